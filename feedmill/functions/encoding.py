@@ -35,14 +35,19 @@ def line_fields(line: Column | str, names: Sequence[str], sep: str = ";", quote:
     """
     parts = F.split(as_column(line), re.escape(sep))
     return [
-        F.regexp_replace(F.get(parts, F.lit(place)), re.escape(quote), "").alias(name)
+        F.replace(F.get(parts, F.lit(place)), F.lit(quote), F.lit("")).alias(name)
         for place, name in enumerate(names)
     ]
 
 
 def decode_json(bronze: DataFrame, schema: T.StructType | str, value: str = "value") -> DataFrame:
-    """Parse the JSON text and spread its fields; text that fails gives nulls."""
-    return bronze.select(F.from_json(field(value), schema).alias("_row")).select("_row.*")
+    """Parse the JSON text and spread its fields; text that fails gives nulls.
+
+    The one-element inline keeps later filters above the parse. Spread by a
+    plain select, a filter on a field would be moved below it, and every row
+    would be parsed again for each filtered field.
+    """
+    return bronze.select(F.inline(F.array(F.from_json(field(value), schema))))
 
 
 def sampled_schema(bronze: DataFrame, value: str = "value") -> T.StructType:

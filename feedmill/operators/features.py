@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from feedmill.functions.values import field
 from feedmill.operators.ordinals import with_ordinals
 
+# The driver holds one text and one count per label of an indexed column.
+LABEL_LIMIT = 100_000
+INDEX_SUFFIX = "_idx"
+
 
 def feature_stages(
-    numeric: Sequence[str], categorical: Sequence[str], scale: bool, suffix: str = "_idx"
+    numeric: Sequence[str], categorical: Sequence[str], scale: bool, skip: Sequence[str] = ()
 ) -> Pipeline:
     """Index the categories, assemble one vector, scale it if asked to.
 
@@ -22,13 +26,15 @@ def feature_stages(
     the last index; rows with a null or NaN number are left out. Scaling
     divides by the sample standard deviation and does not centre. It also
     drops the mark that index columns are categories, so forests on scaled
-    vectors treat them as numbers.
+    vectors treat them as numbers. Columns in ``skip`` bring their index along.
     """
-    indexes = [name + suffix for name in categorical]
+    indexes = [name + INDEX_SUFFIX for name in categorical]
+    fitted = [name for name in categorical if name not in skip]
     assembled = "unscaled_features" if scale else "features"
     stages = []
-    if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexes, handleInvalid="keep"))
+    if fitted:
+        outputs = [name + INDEX_SUFFIX for name in fitted]
+        stages.append(StringIndexer(inputCols=fitted, outputCols=outputs, handleInvalid="keep"))
     stages.append(
         VectorAssembler(inputCols=[*numeric, *indexes], outputCol=assembled, handleInvalid="skip")
     )
@@ -43,31 +49,53 @@ def add_features(
     categorical: Sequence[str],
     scale: bool = False,
     fit_rows: DataFrame | None = None,
+    label_limit: int = LABEL_LIMIT,
 ) -> tuple[DataFrame, PipelineModel]:
     """The frame with its features, and the fitted stages.
 
     Fitted on all rows of the frame unless ``fit_rows`` names others, such as
-    the training part alone.
+    the training part alone. The indexer keeps its labels on the driver, so a
+    column with about ``label_limit`` different ones or more is indexed by a
+    join instead and is not part of the returned stages.
     """
-    columns = [*numeric, *categorical]
-    source = (df if fit_rows is None else fit_rows).select(*[field(name) for name in columns])
-    model = feature_stages(numeric, categorical, scale).fit(source)
+    seen = df if fit_rows is None else fit_rows
+    wide = wide_categories(seen, categorical, label_limit)
+    for column in wide:
+        places = category_places(seen, column)
+        df, seen = [with_place(rows, column, column + INDEX_SUFFIX, places) for rows in (df, seen)]
+    ready = [name + INDEX_SUFFIX if name in wide else name for name in categorical]
+    source = seen.select(*[field(name) for name in [*numeric, *ready]])
+    model = feature_stages(numeric, categorical, scale, skip=wide).fit(source)
     return model.transform(df), model
 
 
-def index_wide_category(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Category index for columns with more categories than a driver can hold.
+def wide_categories(df: DataFrame, columns: Sequence[str], limit: int) -> list[str]:
+    """The columns with too many different values for the driver, by a distinct sketch."""
+    if not columns:
+        return []
+    found = df.agg(*[F.approx_count_distinct(field(name)).alias(name) for name in columns]).first()
+    return [name for name in columns if found[name] >= limit]
+
 
-    Same numbering as the indexer in ``feature_stages``: by falling count,
-    then by text, null last. Distinct values are numbered by range blocks and
-    joined back; adaptive execution splits the join where one value is hot.
+def category_places(df: DataFrame, column: str) -> DataFrame:
+    """Every category with its number: by falling count, then by text, from 0.
+
+    The numbering the indexer gives, for columns with more categories than a
+    driver should hold.
     """
-    # Nulls carry no value, so they skip the join instead of meeting in one task.
     known = df.where(field(column).isNotNull())
-    missing = df.where(field(column).isNull())
     counts = known.groupBy(field(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = with_ordinals(counts, [F.desc("_n"), "_value"], name="_place")
-    places = numbered.select("_value", F.col("_place").cast("double").alias(name))
-    last = numbered.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    indexed = known.join(places, field(column) == F.col("_value")).drop("_value")
-    return indexed.unionByName(missing.withColumn(name, last))
+    numbered = with_ordinals(counts, [F.desc("_n"), "_value"], name="_place", unique=True)
+    return numbered.select("_value", F.col("_place").cast("double").alias("_place"))
+
+
+def with_place(df: DataFrame, column: str, name: str, places: DataFrame) -> DataFrame:
+    """Join the numbers of ``category_places``; unseen and null share the one after the last.
+
+    Adaptive execution broadcasts a small side and splits a hot value's join.
+    """
+    last = places.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    # Nulls match nothing, so they skip the join instead of meeting in one task.
+    known = df.where(field(column).isNotNull()).join(places, field(column) == F.col("_value"), "left")
+    found = known.withColumn(name, F.coalesce("_place", last)).drop("_value", "_place")
+    return found.unionByName(df.where(field(column).isNull()).withColumn(name, last))

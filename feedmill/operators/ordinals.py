@@ -15,19 +15,25 @@ ROW_BITS = 33
 
 
 def with_ordinals(
-    df: DataFrame, order_by: Sequence[Column | str], name: str = "ordinal", blocks: int | None = None
+    df: DataFrame, order_by: Sequence[Column | str], name: str = "ordinal", unique: bool = False,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, ... in the given order.
 
     One range shuffle sorts the rows into blocks; the staged table keeps block
-    and place of every row; block sizes add up to offsets. A scan number ends
-    the order, so a key that holds a third of the rows is split over many
-    blocks. Rows that tie on ``order_by`` follow each other in scan order:
-    give a full order where that matters.
+    and place of every row; block sizes add up to offsets.
+
+    Say ``unique`` where no two rows tie on ``order_by``. Otherwise tied rows
+    get numbers to tell them apart, so that a key that holds a third of the
+    rows, or a third of rows that are all the same, spreads over many blocks.
+    The numbers are taken from a staged copy: a scan that is repeated after
+    the loss of an executor deals the same numbers, a shuffle might not.
     """
-    order = [*[as_column(item) for item in order_by], F.col("_tie")]
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    ranged = tied.repartitionByRange(blocks, *order) if blocks else tied.repartitionByRange(*order)
+    order = [as_column(item) for item in order_by]
+    if not unique:
+        df = stage(df, "ties").withColumn("_tie", F.monotonically_increasing_id())
+        order.append(F.col("_tie"))
+    ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
     placed = ranged.sortWithinPartitions(*order).drop("_tie").withColumn("_at", F.monotonically_increasing_id())
     staged = stage(placed, "ordinals").withColumn("_block", F.shiftright("_at", ROW_BITS))
 
@@ -39,7 +45,7 @@ def with_ordinals(
 
     place = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return staged.join(F.broadcast(offsets), "_block").select(
-        *[field(column) for column in df.columns], (F.col("_offset") + place).alias(name)
+        *[field(column) for column in df.columns if column != "_tie"], (F.col("_offset") + place).alias(name)
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
 from feedmill.functions.encoding import row_json
@@ -22,17 +23,18 @@ def encode_feed(
     order_by: Sequence[str],
     rows: int | None = fixed.FEED_ROW_CAP,
     chunk_rows: int = fixed.FEED_CHUNK_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """``ordinal``, ``chunk`` and ``value`` of the first ``rows`` rows; None means all.
 
     All chunks come out of one pass, so publishing is one write instead of a
-    read of the source per chunk.
+    read of the source per chunk. Say ``unique`` where ``order_by`` names a
+    key: that saves a copy.
     """
-    names = df.columns
     capped = df if rows is None else ordered_cap(df, rows, order_by)
-    numbered = with_chunks(with_ordinals(capped, order_by, name="_ordinal"), chunk_rows, "_ordinal", "_chunk")
-    return numbered.selectExpr("_ordinal AS ordinal", "_chunk AS chunk", "*").select(
-        "ordinal", "chunk", row_json(names).alias("value")
+    numbered = with_chunks(with_ordinals(capped, order_by, "_ordinal", unique), chunk_rows, "_ordinal", "_chunk")
+    return numbered.select(
+        F.col("_ordinal").alias("ordinal"), F.col("_chunk").alias("chunk"), row_json(df.columns).alias("value")
     )
 
 

@@ -18,7 +18,7 @@ from feedmill.functions.values import class_text, lenient_double, loose_number
 from feedmill.operators.caps import ordered_cap
 from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.counting import count_by, histogram, sum_counts
-from feedmill.operators.features import add_features, index_wide_category
+from feedmill.operators.features import add_features, category_places, with_place
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
 from feedmill.operators.ordinals import slice_rows, with_chunks, with_ordinals
 from feedmill.operators.pivoting import pivot_counts
@@ -304,7 +304,7 @@ def class_weight(spark, sf_dir):
 )
 def feed_chunks(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
-    feed = encode_feed(orders, ["o_orderdate", "o_orderkey"], rows=None)
+    feed = encode_feed(orders, ["o_orderdate", "o_orderkey"], rows=None, unique=True)
     decoded = feed.select("ordinal", "chunk", F.from_json("value", "o_orderkey bigint, o_totalprice double").alias("j"))
     return decoded.select("ordinal", "chunk", "j.*")
 
@@ -330,7 +330,7 @@ def hot_key_ordinals(spark, sf_dir):
 )
 def feed_slice(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    numbered = with_ordinals(orders, ["o_totalprice", "o_orderkey"])
+    numbered = with_ordinals(orders, ["o_totalprice", "o_orderkey"], unique=True)
     return slice_rows(numbered, 1000, 2000).select("o_orderkey", "ordinal")
 
 
@@ -420,7 +420,7 @@ def category_index_wide(spark, sf_dir):
     events = table(spark, sf_dir, "events").selectExpr(
         "event_id", "CASE WHEN user_id % 3 = 0 THEN 'hot' WHEN user_id % 7 = 0 THEN NULL ELSE string(user_id) END AS who"
     )
-    return index_wide_category(events, "who", "who_idx")
+    return with_place(events, "who", "who_idx", category_places(events, "who"))
 
 
 @query(
@@ -723,7 +723,7 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     topic, bronze, ledger, checkpoint = [
         new_path(spark, f"stream-{part}") for part in ("topic", "bronze", "ledger", "checkpoint")
     ]
-    feed = encode_feed(table(spark, sf_dir, "events"), ["event_id"], rows=None, chunk_rows=STREAM_CHUNK_ROWS)
+    feed = encode_feed(table(spark, sf_dir, "events"), ["event_id"], rows=None, chunk_rows=STREAM_CHUNK_ROWS, unique=True)
     write_feed_files(feed, topic, STREAM_CHUNK_ROWS)
     source = file_stream(spark, topic, maxFilesPerTrigger=STREAM_FILES_PER_BATCH)
     start_ingest(source, bronze, ledger, checkpoint, trigger=None).awaitTermination()

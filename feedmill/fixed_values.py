@@ -45,10 +45,6 @@ LOGIT_FOLDS = 3
 # --- marts and report (fixed values) ------------------------------------------
 BALANCE_WIDTH = 5000
 SCATTER_ROWS = 1_000
-MART_NAMES = [
-    "viz_loan_grade", "viz_mkt_balance", "viz_loan_home",
-    "viz_mkt_edu", "viz_loan_scatter", "viz_mkt_job",
-]
 GRADES = ["A", "B", "C", "D", "E", "F", "G"]
 CLASS_TEXTS = ["0.0", "1.0"]
 OUTCOMES = ["yes", "no"]

@@ -24,7 +24,8 @@ def ordered_cap(
 
     Sort-and-limit keeps the first n of every task and merges them in one, so
     its last task sees n rows per task of the scan. On a large table the rows
-    that cannot be among the first n are filtered away beforehand.
+    that cannot be among the first n are filtered away beforehand, which
+    reads the order columns a few times: stage an input that is dear to compute.
     """
     order = [field(name) for name in order_by]
     if estimated_bytes(df) > bound_from_bytes:

@@ -13,33 +13,60 @@ from feedmill.operators.counting import count_by, histogram
 from feedmill.sources.tables import Target, fan_out, read_table
 
 
-def scatter_sample(results: DataFrame, rows: int = fixed.SCATTER_ROWS, order_by: Sequence[str] | None = None) -> DataFrame:
+def loan_grade(loan_results: DataFrame) -> DataFrame:
+    """Loans per grade and predicted class."""
+    return count_by(loan_results, "grade", "prediction")
+
+
+def loan_home(loan_silver: DataFrame) -> DataFrame:
+    """Loans per kind of home ownership."""
+    return count_by(loan_silver, "home_ownership")
+
+
+def loan_scatter(
+    loan_results: DataFrame, rows: int = fixed.SCATTER_ROWS, order_by: Sequence[str] | None = None
+) -> DataFrame:
     """``rows`` points for a scatter chart, the same ones at every run.
 
     Without an order the points follow a hash of their values, so they spread
     over the whole table instead of clustering at one end of an axis.
     """
     columns = ["dti", "loan_amnt", "prediction"]
-    points = results.select(*columns)
+    points = loan_results.select(*columns)
     if order_by is not None:
         return ordered_cap(points, rows, order_by)
     return ordered_cap(points.withColumn("_spread", F.xxhash64(*columns)), rows, ["_spread", *columns]).drop("_spread")
 
 
+def marketing_balance(marketing_results: DataFrame) -> DataFrame:
+    """Contacts per balance bucket and predicted class."""
+    return histogram(marketing_results, "balance", ["prediction"])
+
+
+def marketing_education(marketing_silver: DataFrame) -> DataFrame:
+    """Contacts per education and true outcome."""
+    return count_by(marketing_silver, "education", "y")
+
+
+def marketing_job(marketing_results: DataFrame) -> DataFrame:
+    """Contacts per job and predicted class."""
+    return count_by(marketing_results, "job", "prediction")
+
+
 def build_marts(
     loan_results: DataFrame,
     marketing_results: DataFrame,
     loan_silver: DataFrame,
     marketing_silver: DataFrame,
 ) -> dict[str, DataFrame]:
-    """All marts by name. Each reads only the columns it counts."""
+    """All six marts by name. Each reads only the columns it counts."""
     return {
-        "viz_loan_grade": count_by(loan_results, "grade", "prediction"),
-        "viz_mkt_balance": histogram(marketing_results, "balance", ["prediction"]),
-        "viz_loan_home": count_by(loan_silver, "home_ownership"),
-        "viz_mkt_edu": count_by(marketing_silver, "education", "y"),
-        "viz_loan_scatter": scatter_sample(loan_results),
-        "viz_mkt_job": count_by(marketing_results, "job", "prediction"),
+        "viz_loan_grade": loan_grade(loan_results),
+        "viz_mkt_balance": marketing_balance(marketing_results),
+        "viz_loan_home": loan_home(loan_silver),
+        "viz_mkt_edu": marketing_education(marketing_silver),
+        "viz_loan_scatter": loan_scatter(loan_results),
+        "viz_mkt_job": marketing_job(marketing_results),
     }
 
 

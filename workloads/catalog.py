@@ -559,38 +559,49 @@ LOAN_RESULTS_SQL = "loan_results AS (SELECT loan_amnt, (dti > 20)::INT::DOUBLE A
 MARKETING_RESULTS_SQL = "marketing_results AS (SELECT age, job, balance, (duration > 300)::INT::DOUBLE AS prediction, label FROM silver)"
 
 
-def mart_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Silver tables, and results with a rule in the place of a model."""
-    loans, contacts = loan_silver(spark, sf_dir), marketing_silver(spark, sf_dir)
-    return {
-        "loan_results": loans.withColumn("prediction", (F.col("dti") > 20).cast("double")).select(*fixed.LOAN_RESULT_COLUMNS),
-        "marketing_results": contacts.withColumn("prediction", (F.col("duration") > 300).cast("double")).select(
-            *fixed.MARKETING_RESULT_COLUMNS
-        ),
-        "loan_silver": loans,
-        "marketing_silver": contacts,
-    }
+def loan_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan results with a rule in the place of a model."""
+    predicted = loan_silver(spark, sf_dir).withColumn("prediction", (F.col("dti") > 20).cast("double"))
+    return predicted.select(*fixed.LOAN_RESULT_COLUMNS)
 
 
-def mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return marts.build_marts(**mart_inputs(spark, sf_dir))[name]
+def marketing_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marketing results with a rule in the place of a model."""
+    predicted = marketing_silver(spark, sf_dir).withColumn("prediction", (F.col("duration") > 300).cast("double"))
+    return predicted.select(*fixed.MARKETING_RESULT_COLUMNS)
 
 
 LOAN_MART_WITH = f"WITH {LOAN_SILVER_SQL}, {LOAN_RESULTS_SQL}"
 MARKETING_MART_WITH = f"WITH {MARKETING_SILVER_SQL}, {MARKETING_RESULTS_SQL}"
-MART_SQL = {
-    "viz_loan_grade": (LOAN_MART_WITH, 'SELECT grade, prediction, count(*) AS "count" FROM loan_results GROUP BY 1, 2'),
-    "viz_loan_home": (LOAN_MART_WITH, 'SELECT home_ownership, count(*) AS "count" FROM silver GROUP BY 1'),
-    "viz_mkt_balance": (
-        MARKETING_MART_WITH,
-        f"""SELECT {buckets_sql('balance')} AS balance_range, prediction, count(*) AS "count" FROM marketing_results GROUP BY 1, 2""",
-    ),
-    "viz_mkt_edu": (MARKETING_MART_WITH, 'SELECT education, y, count(*) AS "count" FROM silver GROUP BY 1, 2'),
-    "viz_mkt_job": (MARKETING_MART_WITH, 'SELECT job, prediction, count(*) AS "count" FROM marketing_results GROUP BY 1, 2'),
-}
 
-for _name, (_with, _select) in MART_SQL.items():
-    query(_name, f"{_with} {_select}")(lambda spark, sf_dir, name=_name: mart(spark, sf_dir, name))
+
+@query("viz_loan_grade", f'{LOAN_MART_WITH} SELECT grade, prediction, count(*) AS "count" FROM loan_results GROUP BY 1, 2')
+def viz_loan_grade(spark, sf_dir):
+    return marts.loan_grade(loan_results(spark, sf_dir))
+
+
+@query("viz_loan_home", f'{LOAN_MART_WITH} SELECT home_ownership, count(*) AS "count" FROM silver GROUP BY 1')
+def viz_loan_home(spark, sf_dir):
+    return marts.loan_home(loan_silver(spark, sf_dir))
+
+
+@query(
+    "viz_mkt_balance",
+    f"""{MARKETING_MART_WITH} SELECT {buckets_sql('balance')} AS balance_range, prediction, count(*) AS "count"
+        FROM marketing_results GROUP BY 1, 2""",
+)
+def viz_mkt_balance(spark, sf_dir):
+    return marts.marketing_balance(marketing_results(spark, sf_dir))
+
+
+@query("viz_mkt_edu", f'{MARKETING_MART_WITH} SELECT education, y, count(*) AS "count" FROM silver GROUP BY 1, 2')
+def viz_mkt_edu(spark, sf_dir):
+    return marts.marketing_education(marketing_silver(spark, sf_dir))
+
+
+@query("viz_mkt_job", f'{MARKETING_MART_WITH} SELECT job, prediction, count(*) AS "count" FROM marketing_results GROUP BY 1, 2')
+def viz_mkt_job(spark, sf_dir):
+    return marts.marketing_job(marketing_results(spark, sf_dir))
 
 
 @query(
@@ -598,8 +609,7 @@ for _name, (_with, _select) in MART_SQL.items():
     f"{LOAN_MART_WITH} SELECT dti, loan_amnt, prediction FROM loan_results ORDER BY dti, loan_amnt, prediction LIMIT 1000",
 )
 def viz_loan_scatter(spark, sf_dir):
-    results = mart_inputs(spark, sf_dir)["loan_results"]
-    return marts.scatter_sample(results, order_by=["dti", "loan_amnt", "prediction"])
+    return marts.loan_scatter(loan_results(spark, sf_dir), order_by=["dti", "loan_amnt", "prediction"])
 
 
 # --- report -------------------------------------------------------------------
@@ -610,7 +620,7 @@ def viz_loan_scatter(spark, sf_dir):
         FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E', 'F', 'G']) AS g) LEFT JOIN loan_results ON grade = g GROUP BY 1""",
 )
 def grade_risk(spark, sf_dir):
-    return report.grade_risk(mart(spark, sf_dir, "viz_loan_grade"))
+    return report.grade_risk(viz_loan_grade(spark, sf_dir))
 
 
 @query(
@@ -626,7 +636,7 @@ def pivot_rows(spark, sf_dir):
     f"""{MARKETING_MART_WITH} SELECT education, count_if(y = 'yes') AS yes, count_if(y = 'no') AS "no" FROM silver GROUP BY 1""",
 )
 def education_outcome(spark, sf_dir):
-    return report.education_outcome(mart(spark, sf_dir, "viz_mkt_edu"))
+    return report.education_outcome(viz_mkt_edu(spark, sf_dir))
 
 
 @query(
@@ -638,7 +648,7 @@ def education_outcome(spark, sf_dir):
         FROM (SELECT unnest(['office', 'labor', 'other']) AS job_group) d LEFT JOIN g USING (job_group) GROUP BY 1""",
 )
 def job_groups(spark, sf_dir):
-    return report.job_groups(mart(spark, sf_dir, "viz_mkt_job"))
+    return report.job_groups(viz_mkt_job(spark, sf_dir))
 
 
 BANDS_SQL = """SELECT d.band, count(b.band) AS "count" FROM (SELECT unnest(['debt', 'low', 'middle', 'VIP']) AS band) d
@@ -651,7 +661,7 @@ BANDS_SQL = """SELECT d.band, count(b.band) AS "count" FROM (SELECT unnest(['deb
           WHEN balance < 55000 THEN 'middle' ELSE 'VIP' END AS band FROM marketing_results) {BANDS_SQL}""",
 )
 def asset_bands(spark, sf_dir):
-    return report.asset_bands(mart(spark, sf_dir, "viz_mkt_balance"))
+    return report.asset_bands(viz_mkt_balance(spark, sf_dir))
 
 
 @query(
@@ -685,19 +695,21 @@ def class_text_query(spark, sf_dir):
 
 @query("class_points", f"{LOAN_MART_WITH} SELECT dti AS x, loan_amnt AS y FROM loan_results WHERE prediction = 1")
 def class_points(spark, sf_dir):
-    return report.class_points(mart_inputs(spark, sf_dir)["loan_results"], "1.0")
+    return report.class_points(loan_results(spark, sf_dir), "1.0")
 
 
 @query("home_share", f'{LOAN_MART_WITH} SELECT home_ownership, count(*) AS "count" FROM silver GROUP BY 1')
 def home_share(spark, sf_dir):
-    return report.home_share(mart(spark, sf_dir, "viz_loan_home"))
+    return report.home_share(viz_loan_home(spark, sf_dir))
 
 
 @query(
     "chart_rows",
     f"""WITH l AS ({LOAN_MART_WITH} SELECT * FROM (
             SELECT 'grade' AS chart, json_array(grade, printf('%.1f', prediction), count(*)) AS entry FROM loan_results GROUP BY grade, prediction
-            UNION ALL SELECT 'home', json_array(home_ownership, count(*)) FROM silver GROUP BY home_ownership)),
+            UNION ALL SELECT 'home', json_array(home_ownership, count(*)) FROM silver GROUP BY home_ownership
+            UNION ALL (SELECT 'scatter', json_array(dti, loan_amnt, printf('%.1f', prediction))
+              FROM loan_results ORDER BY dti, loan_amnt, prediction LIMIT 1000))),
          m AS ({MARKETING_MART_WITH} SELECT * FROM (
             SELECT 'job' AS chart, json_array(job, CASE WHEN prediction IS NULL THEN 'NaN' ELSE printf('%.1f', prediction) END, count(*)) AS entry
               FROM marketing_results GROUP BY job, prediction
@@ -707,8 +719,8 @@ def home_share(spark, sf_dir):
         SELECT chart, entry::VARCHAR AS entry FROM l UNION ALL SELECT chart, entry::VARCHAR FROM m""",
 )
 def chart_rows(spark, sf_dir):
-    built = marts.build_marts(**mart_inputs(spark, sf_dir))
-    return report.chart_rows({name: frame for name, frame in built.items() if name != "viz_loan_scatter"})
+    built = [viz_loan_grade, viz_loan_home, viz_loan_scatter, viz_mkt_balance, viz_mkt_edu, viz_mkt_job]
+    return report.chart_rows({one.__name__: one(spark, sf_dir) for one in built})
 
 
 # --- streaming ----------------------------------------------------------------

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.functions.values import field
+from feedmill.operators.sizes import estimated_bytes
 
 # Above this many bytes of input the table is cut down before the final sort.
 BOUND_FROM_BYTES = 4 << 30
@@ -33,11 +34,6 @@ def ordered_cap(
     return df.orderBy(*order).limit(rows)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of the frame."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def _without_late_rows(df: DataFrame, rows: int, order_by: list[str]) -> DataFrame:
     """Drop rows that come after at least ``rows`` others; keeps all the first ones.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
@@ -16,6 +17,11 @@ from feedmill.operators.ordinals import with_ordinals
 LABEL_LIMIT = 100_000
 INDEX_SUFFIX = "_idx"
 
+# Bounds of the broadcast in ``with_place``: at most this many labels of at most
+# this many characters.
+HOT_LABELS = 10_000
+HOT_LABEL_CHARS = 500
+
 
 def feature_stages(
     numeric: Sequence[str], categorical: Sequence[str], scale: bool, skip: Sequence[str] = ()
@@ -92,10 +98,19 @@ def category_places(df: DataFrame, column: str) -> DataFrame:
 def with_place(df: DataFrame, column: str, name: str, places: DataFrame) -> DataFrame:
     """Join the numbers of ``category_places``; unseen and null share the one after the last.
 
-    Adaptive execution broadcasts a small side and splits a hot value's join.
+    Low numbers are the frequent categories, so the first ones go by broadcast
+    and their rows are not shuffled at all, however hot a value is. Only rows
+    of the rarer categories meet by a shuffle.
     """
     last = places.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    # Nulls match nothing, so they skip the join instead of meeting in one task.
-    known = df.where(field(column).isNotNull()).join(places, field(column) == F.col("_value"), "left")
-    found = known.withColumn(name, F.coalesce("_place", last)).drop("_value", "_place")
-    return found.unionByName(df.where(field(column).isNull()).withColumn(name, last))
+    frequent = (F.col("_place") < HOT_LABELS) & (F.length("_value") <= HOT_LABEL_CHARS)
+    hot, cold = F.broadcast(places.where(frequent)), places.where(~frequent)
+    same = field(column) == F.col("_value")
+    # Nulls match nothing, so they skip the joins instead of meeting in one task.
+    known, missing = df.where(field(column).isNotNull()), df.where(field(column).isNull())
+    parts = [
+        known.join(hot, same).withColumn(name, F.col("_place")),
+        known.join(hot, same, "left_anti").join(cold, same, "left").withColumn(name, F.coalesce("_place", last)),
+        missing.withColumn(name, last),
+    ]
+    return reduce(DataFrame.unionByName, [part.select(*[field(kept) for kept in [*df.columns, name]]) for part in parts])

@@ -17,12 +17,24 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 
 from feedmill import fixed_values as fixed
+from feedmill.operators.sizes import estimated_bytes
+
+# The default size of a scan's split.
+SPLIT_BYTES = 128 << 20
 
 
 @contextmanager
 def kept_for_training(train: DataFrame, *columns: str):
-    """The training columns, held in memory and on disk while models are fitted."""
-    kept = train.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    """The training columns, held in memory and on disk while models are fitted.
+
+    Fitting passes over the rows many times, so a table too small to come in a
+    split per core is dealt out to all cores first.
+    """
+    rows = train.select(*columns)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(rows) < cores * SPLIT_BYTES:
+        rows = rows.repartition(cores)
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
     finally:
@@ -44,13 +56,12 @@ def fit_logistic(
     folds: int = fixed.LOGIT_FOLDS,
     seed: int = fixed.SPLIT_SEED,
     parallelism: int = 2,
-    fold: str | None = None,
 ) -> LogisticRegressionModel:
     """Logistic regression, its regularization chosen by area under ROC over folds.
 
-    ``fold`` names an integer column with the fold of each row; without it the
-    folds are drawn at random from the seed. The best setting is fitted again
-    on all rows.
+    The best setting is fitted again on all rows. Folds are drawn in the JVM
+    from the seed; a fold column of our own would send every row through a
+    Python check.
     """
     logistic = LogisticRegression(featuresCol="features", labelCol="label")
     if weight:
@@ -63,6 +74,4 @@ def fit_logistic(
         seed=seed,
         parallelism=parallelism,
     )
-    if fold:
-        search = search.setFoldCol(fold)
     return search.fit(train).bestModel

@@ -1,0 +1,10 @@
+"""How large a frame is, as far as the optimizer knows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; plans the frame but runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -11,7 +11,7 @@ from feedmill.functions.values import label_unless, lenient_double
 from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.features import add_features
 from feedmill.operators.models import fit_forest, fit_logistic, kept_for_training
-from feedmill.operators.splitting import key_bucket, split_rows
+from feedmill.operators.splitting import split_rows
 from feedmill.operators.weighting import with_class_weight
 from feedmill.plans.scoring import Trained, report_on, score_rows
 from feedmill.sources.tables import read_table, replace_table
@@ -48,18 +48,11 @@ def train_and_score(
     """Fit a forest and a cross-validated logistic regression, report on both.
 
     Results come from the logistic regression unless ``result_model`` says
-    ``forest``. With a row ``key`` split and folds do not depend on file layout.
+    ``forest``. With a row ``key`` the split does not depend on file layout.
     """
     train, holdout = split_rows(gold_rows, key=key)
-    columns = ["label", "features", "classWeight"]
-    if key is not None:
-        fold = key_bucket(key, fixed.SPLIT_SEED + 1, fixed.LOGIT_FOLDS).cast("int")
-        train, columns = train.withColumn("fold", fold), [*columns, "fold"]
-    with kept_for_training(train, *columns) as rows:
-        models = {
-            "forest": fit_forest(rows),
-            "logistic": fit_logistic(rows, parallelism=parallelism, fold=None if key is None else "fold"),
-        }
+    with kept_for_training(train, "label", "features", "classWeight") as rows:
+        models = {"forest": fit_forest(rows), "logistic": fit_logistic(rows, parallelism=parallelism)}
     scored = {name: score_rows(model, holdout, fixed.LOAN_RESULT_COLUMNS, name) for name, model in models.items()}
     results = scored[result_model].select(*fixed.LOAN_RESULT_COLUMNS)
     return Trained(models, report_on(scored), results)

@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
+from feedmill.operators import features
 from feedmill.operators.features import add_features, category_places, with_place
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
 from feedmill.operators.models import fit_forest
@@ -42,6 +43,18 @@ def test_places_of_a_hot_category(spark):
     assert found.agg(F.countDistinct("i"), F.max("i")).first()[:] == (601, 600.0)
 
 
+def test_places_of_rare_and_long_categories(spark, monkeypatch):
+    monkeypatch.setattr(features, "HOT_LABELS", 2)
+    monkeypatch.setattr(features, "HOT_LABEL_CHARS", 3)
+    labels = ["hot"] * 9 + ["a long one"] * 5 + ["b"] * 4 + ["c"] * 2 + ["d", None, None]
+    rows = spark.createDataFrame([(label,) for label in labels], "v string")
+    found = with_place(rows, "v", "i", category_places(rows, "v"))
+    assert {tuple(row) for row in found.distinct().collect()} == {
+        ("hot", 0.0), ("a long one", 1.0), ("b", 2.0), ("c", 3.0), ("d", 4.0), (None, 5.0)
+    }
+    assert found.count() == len(labels)
+
+
 def test_constant_column_scales_to_zero(spark):
     rows = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "a double, b double")
     scaled, _ = add_features(rows, ["a", "b"], [], scale=True)

@@ -61,6 +61,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as the table the next step reads, as between bronze, silver and gold."""
+    path = new_path(df.sparkSession, label)
+    replace_table(df, path)
+    return read_table(df.sparkSession, path)
+
+
 # --- sources and sinks --------------------------------------------------------
 
 ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
@@ -291,7 +298,7 @@ def class_balance_query(spark, sf_dir):
         SELECT loan_amnt, label, round(CASE WHEN label = 1 THEN (SELECT ratio FROM b) ELSE 1.0 END, 8) AS weight FROM silver""",
 )
 def class_weight(spark, sf_dir):
-    weighted = with_class_weight(loan_silver(spark, sf_dir))
+    weighted = with_class_weight(written(loan_silver(spark, sf_dir), "loan-silver"))
     return weighted.select("loan_amnt", "label", F.round("classWeight", 8).alias("weight"))
 
 
@@ -475,9 +482,7 @@ def _loan_gold_sql() -> str:
 
 @query("loan_gold", _loan_gold_sql())
 def loan_gold(spark, sf_dir):
-    path = new_path(spark, "loan-silver")
-    replace_table(loan_silver(spark, sf_dir), path)
-    gold = loan.gold(read_table(spark, path))
+    gold = loan.gold(written(loan_silver(spark, sf_dir), "loan-silver"))
     indexes = [f"{name}_idx" for name in fixed.LOAN_CATEGORICAL]
     weighted = gold.withColumn("weight", F.round("classWeight", 8))
     return spread(weighted, "features", 10, "loan_amnt", "label", "weight", *indexes, digits=4)
@@ -498,9 +503,7 @@ def _marketing_gold_sql() -> str:
 
 @query("marketing_gold", _marketing_gold_sql())
 def marketing_gold(spark, sf_dir):
-    path = new_path(spark, "marketing-silver")
-    replace_table(marketing_silver(spark, sf_dir), path)
-    return spread(marketing.gold(read_table(spark, path)), "features", 9, "label")
+    return spread(marketing.gold(written(marketing_silver(spark, sf_dir), "marketing-silver")), "features", 9, "label")
 
 
 # --- quality metrics ----------------------------------------------------------
@@ -559,15 +562,14 @@ LOAN_RESULTS_SQL = "loan_results AS (SELECT loan_amnt, (dti > 20)::INT::DOUBLE A
 MARKETING_RESULTS_SQL = "marketing_results AS (SELECT age, job, balance, (duration > 300)::INT::DOUBLE AS prediction, label FROM silver)"
 
 
-def loan_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loan_results(silver: DataFrame) -> DataFrame:
     """Loan results with a rule in the place of a model."""
-    predicted = loan_silver(spark, sf_dir).withColumn("prediction", (F.col("dti") > 20).cast("double"))
-    return predicted.select(*fixed.LOAN_RESULT_COLUMNS)
+    return silver.withColumn("prediction", (F.col("dti") > 20).cast("double")).select(*fixed.LOAN_RESULT_COLUMNS)
 
 
-def marketing_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def marketing_results(silver: DataFrame) -> DataFrame:
     """Marketing results with a rule in the place of a model."""
-    predicted = marketing_silver(spark, sf_dir).withColumn("prediction", (F.col("duration") > 300).cast("double"))
+    predicted = silver.withColumn("prediction", (F.col("duration") > 300).cast("double"))
     return predicted.select(*fixed.MARKETING_RESULT_COLUMNS)
 
 
@@ -577,7 +579,7 @@ MARKETING_MART_WITH = f"WITH {MARKETING_SILVER_SQL}, {MARKETING_RESULTS_SQL}"
 
 @query("viz_loan_grade", f'{LOAN_MART_WITH} SELECT grade, prediction, count(*) AS "count" FROM loan_results GROUP BY 1, 2')
 def viz_loan_grade(spark, sf_dir):
-    return marts.loan_grade(loan_results(spark, sf_dir))
+    return marts.loan_grade(loan_results(loan_silver(spark, sf_dir)))
 
 
 @query("viz_loan_home", f'{LOAN_MART_WITH} SELECT home_ownership, count(*) AS "count" FROM silver GROUP BY 1')
@@ -591,7 +593,7 @@ def viz_loan_home(spark, sf_dir):
         FROM marketing_results GROUP BY 1, 2""",
 )
 def viz_mkt_balance(spark, sf_dir):
-    return marts.marketing_balance(marketing_results(spark, sf_dir))
+    return marts.marketing_balance(marketing_results(marketing_silver(spark, sf_dir)))
 
 
 @query("viz_mkt_edu", f'{MARKETING_MART_WITH} SELECT education, y, count(*) AS "count" FROM silver GROUP BY 1, 2')
@@ -601,7 +603,7 @@ def viz_mkt_edu(spark, sf_dir):
 
 @query("viz_mkt_job", f'{MARKETING_MART_WITH} SELECT job, prediction, count(*) AS "count" FROM marketing_results GROUP BY 1, 2')
 def viz_mkt_job(spark, sf_dir):
-    return marts.marketing_job(marketing_results(spark, sf_dir))
+    return marts.marketing_job(marketing_results(marketing_silver(spark, sf_dir)))
 
 
 @query(
@@ -609,7 +611,7 @@ def viz_mkt_job(spark, sf_dir):
     f"{LOAN_MART_WITH} SELECT dti, loan_amnt, prediction FROM loan_results ORDER BY dti, loan_amnt, prediction LIMIT 1000",
 )
 def viz_loan_scatter(spark, sf_dir):
-    return marts.loan_scatter(loan_results(spark, sf_dir), order_by=["dti", "loan_amnt", "prediction"])
+    return marts.loan_scatter(loan_results(loan_silver(spark, sf_dir)), order_by=["dti", "loan_amnt", "prediction"])
 
 
 # --- report -------------------------------------------------------------------
@@ -695,7 +697,7 @@ def class_text_query(spark, sf_dir):
 
 @query("class_points", f"{LOAN_MART_WITH} SELECT dti AS x, loan_amnt AS y FROM loan_results WHERE prediction = 1")
 def class_points(spark, sf_dir):
-    return report.class_points(loan_results(spark, sf_dir), "1.0")
+    return report.class_points(loan_results(loan_silver(spark, sf_dir)), "1.0")
 
 
 @query("home_share", f'{LOAN_MART_WITH} SELECT home_ownership, count(*) AS "count" FROM silver GROUP BY 1')
@@ -719,15 +721,16 @@ def home_share(spark, sf_dir):
         SELECT chart, entry::VARCHAR AS entry FROM l UNION ALL SELECT chart, entry::VARCHAR FROM m""",
 )
 def chart_rows(spark, sf_dir):
-    built = [viz_loan_grade, viz_loan_home, viz_loan_scatter, viz_mkt_balance, viz_mkt_edu, viz_mkt_job]
-    return report.chart_rows({one.__name__: one(spark, sf_dir) for one in built})
+    loans = written(loan_silver(spark, sf_dir), "loan-silver")
+    contacts = written(marketing_silver(spark, sf_dir), "marketing-silver")
+    built = marts.build_marts(loan_results(loans), marketing_results(contacts), loans, contacts)
+    return report.chart_rows({**built, "viz_loan_scatter": marts.loan_scatter(loan_results(loans), order_by=["dti", "loan_amnt", "prediction"])})
 
 
 # --- streaming ----------------------------------------------------------------
 
-# Small enough that even the smallest tables take more than one batch.
 STREAM_CHUNK_ROWS = 1_000
-STREAM_FILES_PER_BATCH = "8"
+STREAM_FILES_PER_BATCH = "32"
 
 
 def ingest_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -762,20 +765,18 @@ def stream_ledger(spark, sf_dir):
 
 def trained_loans(spark: SparkSession, sf_dir: str):
     """Loans from the feed through silver and gold tables to fitted models."""
-    silver_path, gold_path = new_path(spark, "loan-silver"), new_path(spark, "loan-gold")
-    replace_table(loan_silver(spark, sf_dir), silver_path)
-    replace_table(loan.gold(read_table(spark, silver_path)), gold_path)
+    silver = written(loan_silver(spark, sf_dir), "loan-silver")
+    gold = written(loan.gold(silver), "loan-gold")
     key = F.concat_ws("|", "loan_amnt", "annual_inc", "fico_range_low")
-    return loan.train_and_score(read_table(spark, gold_path), key=key)
+    return loan.train_and_score(gold, key=key)
 
 
 def trained_marketing(spark: SparkSession, sf_dir: str):
     """Contacts from the feed through silver and gold tables to a fitted forest."""
-    silver_path, gold_path = new_path(spark, "marketing-silver"), new_path(spark, "marketing-gold")
-    replace_table(marketing_silver(spark, sf_dir), silver_path)
-    replace_table(marketing.gold(read_table(spark, silver_path)), gold_path)
+    silver = written(marketing_silver(spark, sf_dir), "marketing-silver")
+    gold = written(marketing.gold(silver), "marketing-gold")
     key = F.concat_ws("|", "age", "balance", "duration", "campaign")
-    return marketing.train_and_score(read_table(spark, gold_path), key=key)
+    return marketing.train_and_score(gold, key=key)
 
 
 @query("logit_cv_report")

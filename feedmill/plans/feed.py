@@ -20,21 +20,27 @@ def encode_rows(df: DataFrame) -> DataFrame:
 
 def encode_feed(
     df: DataFrame,
-    order_by: Sequence[str],
+    order_by: Sequence[str] | None = None,
     rows: int | None = fixed.FEED_ROW_CAP,
     chunk_rows: int = fixed.FEED_CHUNK_ROWS,
     unique: bool = False,
 ) -> DataFrame:
     """``ordinal``, ``chunk`` and ``value`` of the first ``rows`` rows; None means all.
 
+    Without ``order_by`` the rows keep the order of the scan, for one CSV file
+    that of its lines; the frame must then come straight from files. Say
+    ``unique`` where ``order_by`` names a key: that saves a copy.
+
     All chunks come out of one pass, so publishing is one write instead of a
-    read of the source per chunk. Say ``unique`` where ``order_by`` names a
-    key: that saves a copy.
+    read of the source per chunk.
     """
+    names = df.columns
+    if order_by is None:
+        df, order_by, unique = df.withColumn("_line", F.monotonically_increasing_id()), ["_line"], True
     capped = df if rows is None else ordered_cap(df, rows, order_by)
     numbered = with_chunks(with_ordinals(capped, order_by, "_ordinal", unique), chunk_rows, "_ordinal", "_chunk")
     return numbered.select(
-        F.col("_ordinal").alias("ordinal"), F.col("_chunk").alias("chunk"), row_json(df.columns).alias("value")
+        F.col("_ordinal").alias("ordinal"), F.col("_chunk").alias("chunk"), row_json(names).alias("value")
     )
 
 

@@ -1,0 +1,45 @@
+"""The jobs one after the other, on files."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedmill import fixed_values as fixed
+from feedmill.__main__ import main
+from feedmill.plans.feed import encode_feed
+from feedmill.sources.tables import read_csv, read_table
+from workloads.feeds import HEADER_LINE, loan_rows, marketing_lines
+
+
+@pytest.fixture(scope="module")
+def base(spark, sf_dir, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("jobs"))
+    loan_rows(spark, sf_dir).drop("cut_off").coalesce(1).write.option("header", True).csv(f"{base}/loan_csv")
+    lines = marketing_lines(spark, sf_dir).coalesce(1).write.option("header", True)
+    lines.option("quote", "\u0000").option("escapeQuotes", False).csv(f"{base}/mkt_csv")
+    for name in ("loan", "mkt"):
+        main(["feed", name, "--csv", f"{base}/{name}_csv", "--fmt", "text", "--path", f"{base}/{name}_topic"])
+        main(["ingest", name, "--base", base, "--files", f"{base}/{name}_topic", "--once"])
+        main(["train", name, "--base", base])
+    main(["marts", "--base", base, "--target", f"parquet={base}/marts", "--target", f"json={base}/copy"])
+    main(["charts", "--base", f"{base}/marts", "--out", f"{base}/charts"])
+    return base
+
+
+def test_whole_chain(spark, base):
+    assert read_table(spark, f"{base}/loan_bronze").count() == read_csv(spark, f"{base}/loan_csv").count()
+    assert read_csv(spark, f"{base}/mkt_csv").columns == [HEADER_LINE]
+    assert read_table(spark, f"{base}/loan_results").columns == fixed.LOAN_RESULT_COLUMNS
+    assert read_table(spark, f"{base}/marketing_results").columns == fixed.MARKETING_RESULT_COLUMNS
+    charts = spark.read.json(f"{base}/charts")
+    assert {row["chart"] for row in charts.select("chart").distinct().collect()} == {
+        "grade", "scatter", "job", "balance", "home", "edu"
+    }
+    grades = charts.where("chart = 'grade'").select(F.from_json("entry", "array<string>").alias("e")).collect()
+    assert all(len(row["e"]) == 3 and row["e"][1] in fixed.CLASS_TEXTS for row in grades)
+
+
+def test_feed_keeps_file_order(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("a\n" + "\n".join(str(9 - place % 10) for place in range(40)) + "\n")
+    feed = encode_feed(read_csv(spark, str(tmp_path / "f.csv")), rows=25, chunk_rows=10).orderBy("ordinal").collect()
+    assert [row["value"] for row in feed] == [f'{{"a":"{9 - place % 10}"}}' for place in range(25)]
+    assert [row["chunk"] for row in feed] == [place // 10 for place in range(25)]

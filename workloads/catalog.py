@@ -182,19 +182,18 @@ def json_absent_fields(spark, sf_dir):
 @query(
     "lenient_cast",
     """SELECT o_orderkey,
-         CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN 'NaN'::DOUBLE
-              WHEN o_orderkey % 5 = 2 THEN NULL ELSE o_totalprice END AS amount,
-         CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 5 = 3 THEN 0.0::DOUBLE
-              WHEN o_orderkey % 5 = 1 THEN 'NaN'::DOUBLE
-              WHEN o_orderkey % 5 = 2 THEN NULL ELSE o_totalprice END AS loose
+         CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 'NaN'::DOUBLE
+           WHEN '3-MEDIUM' THEN NULL ELSE o_totalprice END AS amount,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 0.0::DOUBLE WHEN '2-HIGH' THEN 'NaN'::DOUBLE
+           WHEN '3-MEDIUM' THEN NULL WHEN '4-NOT SPECIFIED' THEN 0.0::DOUBLE ELSE o_totalprice END AS loose
        FROM orders""",
 )
 def lenient_cast(spark, sf_dir):
     price = "CAST(o_totalprice AS STRING)"
-    damaged = f"""CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'NaN' WHEN 2 THEN '13.56%'
-                  WHEN 3 THEN concat(' ', {price}, ' ') ELSE {price} END"""
-    blank = f"""CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'NaN' WHEN 2 THEN 'n/a'
-                WHEN 3 THEN ' ' ELSE {price} END"""
+    damaged = f"""CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 'NaN' WHEN '3-MEDIUM' THEN '13.56%'
+                  WHEN '4-NOT SPECIFIED' THEN concat(' ', {price}, ' ') ELSE {price} END"""
+    blank = f"""CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 'NaN' WHEN '3-MEDIUM' THEN 'n/a'
+                WHEN '4-NOT SPECIFIED' THEN ' ' ELSE {price} END"""
     texts = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{damaged} AS damaged", f"{blank} AS blank")
     return texts.select("o_orderkey", lenient_double("damaged").alias("amount"), loose_number("blank").alias("loose"))
 
@@ -202,15 +201,15 @@ def lenient_cast(spark, sf_dir):
 @query(
     "null_policy",
     """SELECT o_orderkey, o_totalprice AS must,
-         CASE WHEN o_orderkey % 4 IN (0, 1) THEN 0.0::DOUBLE ELSE o_totalprice END AS amount,
+         CASE WHEN o_orderstatus IN ('F', 'O') THEN 0.0::DOUBLE ELSE o_totalprice END AS amount,
          coalesce(nullif(o_orderpriority, '5-LOW'), 'Unknown') AS priority
-       FROM orders WHERE o_orderkey % 7 NOT IN (0, 1)""",
+       FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')""",
 )
 def null_policy(spark, sf_dir):
     holes = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
-        "CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') ELSE o_totalprice END AS must",
-        "CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') ELSE o_totalprice END AS amount",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN double('NaN') ELSE o_totalprice END AS must",
+        "CASE o_orderstatus WHEN 'F' THEN NULL WHEN 'O' THEN double('NaN') ELSE o_totalprice END AS amount",
         "nullif(o_orderpriority, '5-LOW') AS priority",
     )
     return apply_null_policy(holes, required=["must"], zero_fill=["amount"], text_fill=fixed.MISSING_TEXT)
@@ -432,12 +431,12 @@ def category_index_wide(spark, sf_dir):
 
 @query(
     "feature_vector",
-    """SELECT o_orderkey::DOUBLE AS f0, o_totalprice AS f1 FROM orders WHERE o_orderkey % 5 NOT IN (0, 1)""",
+    """SELECT o_orderkey::DOUBLE AS f0, o_totalprice AS f1 FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')""",
 )
 def feature_vector(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
-        "CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') ELSE o_totalprice END AS amount",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN double('NaN') ELSE o_totalprice END AS amount",
     )
     featured, _ = add_features(rows, ["o_orderkey", "amount"], [])
     return spread(featured, "features", 2)

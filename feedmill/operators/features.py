@@ -13,14 +13,13 @@ from pyspark.sql import functions as F
 from feedmill.functions.values import field
 from feedmill.operators.ordinals import with_ordinals
 
-# The driver holds one text and one count per label of an indexed column.
-LABEL_LIMIT = 100_000
 INDEX_SUFFIX = "_idx"
 
-# Bounds of the broadcast in ``with_place``: at most this many labels of at most
-# this many characters.
+# The driver holds the labels of an indexed column, a broadcast the frequent
+# ones of a joined column: at most this many, of at most this many characters.
+LABEL_LIMIT = 100_000
 HOT_LABELS = 10_000
-HOT_LABEL_CHARS = 500
+LABEL_CHARS = 500
 
 
 def feature_stages(
@@ -61,8 +60,9 @@ def add_features(
 
     Fitted on all rows of the frame unless ``fit_rows`` names others, such as
     the training part alone. The indexer keeps its labels on the driver, so a
-    column with about ``label_limit`` different ones or more is indexed by a
-    join instead and is not part of the returned stages.
+    column with about ``label_limit`` different ones or more, or with very
+    long ones, is indexed by a join instead and is not part of the returned
+    stages.
     """
     seen = df if fit_rows is None else fit_rows
     wide = wide_categories(seen, categorical, label_limit)
@@ -76,11 +76,17 @@ def add_features(
 
 
 def wide_categories(df: DataFrame, columns: Sequence[str], limit: int) -> list[str]:
-    """The columns with too many different values for the driver, by a distinct sketch."""
+    """The columns with too many or too long values for the driver, by one sketching pass."""
     if not columns:
         return []
-    found = df.agg(*[F.approx_count_distinct(field(name)).alias(name) for name in columns]).first()
-    return [name for name in columns if found[name] >= limit]
+    found = df.agg(
+        *[F.approx_count_distinct(field(name)).alias(f"{name} labels") for name in columns],
+        *[F.max(F.length(field(name))).alias(f"{name} chars") for name in columns],
+    ).first()
+    return [
+        name for name in columns
+        if found[f"{name} labels"] >= limit or (found[f"{name} chars"] or 0) > LABEL_CHARS
+    ]
 
 
 def category_places(df: DataFrame, column: str) -> DataFrame:
@@ -103,7 +109,7 @@ def with_place(df: DataFrame, column: str, name: str, places: DataFrame) -> Data
     of the rarer categories meet by a shuffle.
     """
     last = places.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    frequent = (F.col("_place") < HOT_LABELS) & (F.length("_value") <= HOT_LABEL_CHARS)
+    frequent = (F.col("_place") < HOT_LABELS) & (F.length("_value") <= LABEL_CHARS)
     hot, cold = F.broadcast(places.where(frequent)), places.where(~frequent)
     same = field(column) == F.col("_value")
     # Nulls match nothing, so they skip the joins instead of meeting in one task.

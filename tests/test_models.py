@@ -29,6 +29,13 @@ def test_wide_index_equals_indexer(spark):
     assert narrow == wide and len(wide) == 800
 
 
+def test_long_labels_stay_off_the_driver(spark):
+    rows = spark.createDataFrame([("x" * 600, 1.0, "s"), ("a", 1.0, "s"), ("a", 1.0, "s")], "v string, n double, w string")
+    assert features.wide_categories(rows, ["v", "w"], 100) == ["v"]
+    found, _ = add_features(rows, ["n"], ["v", "w"])
+    assert sorted(row["v_idx"] for row in found.collect()) == [0.0, 0.0, 1.0]
+
+
 @pytest.mark.parametrize("limit", [2, 100_000])
 def test_unseen_category_gets_the_last_index(spark, limit):
     rows = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 1.0), ("new", 2.0)], "v string, n double")
@@ -45,7 +52,7 @@ def test_places_of_a_hot_category(spark):
 
 def test_places_of_rare_and_long_categories(spark, monkeypatch):
     monkeypatch.setattr(features, "HOT_LABELS", 2)
-    monkeypatch.setattr(features, "HOT_LABEL_CHARS", 3)
+    monkeypatch.setattr(features, "LABEL_CHARS", 3)
     labels = ["hot"] * 9 + ["a long one"] * 5 + ["b"] * 4 + ["c"] * 2 + ["d", None, None]
     rows = spark.createDataFrame([(label,) for label in labels], "v string")
     found = with_place(rows, "v", "i", category_places(rows, "v"))

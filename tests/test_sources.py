@@ -52,12 +52,15 @@ def test_csv_schema_and_inference(spark, tmp_path):
     assert read_csv(spark, path, schema="a double, b string").agg(F.sum("a")).first()[0] == 3.5
 
 
-def test_stage_and_release(spark):
+def test_stage_and_release(spark, tmp_path, monkeypatch):
+    assert scratch.session_folder(spark).startswith(scratch.shared_folder(spark))
+    monkeypatch.setattr(scratch, "shared_folder", lambda session: str(tmp_path))
     frame = scratch.stage(spark.range(3), "case")
     assert frame.count() == 3
-    folder = scratch.session_folder(spark)
-    other = scratch.new_path(spark, "case")
-    assert other.startswith(folder) and other != scratch.new_path(spark, "case")
+    assert scratch.new_path(spark, "case") != scratch.new_path(spark, "case")
+    assert len(list(tmp_path.iterdir())) == 1
+    scratch.release(spark)
+    assert list(tmp_path.iterdir()) == []
 
 
 def fake_session(master, named=None, existing=None):

@@ -626,7 +626,7 @@ def grade_risk(spark, sf_dir):
 
 @query(
     "pivot_rows",
-    """SELECT o_orderpriority, count_if(o_orderstatus = 'F') AS f, count_if(o_orderstatus = 'O') AS o FROM orders GROUP BY 1""",
+    """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o FROM orders GROUP BY 1""",
 )
 def pivot_rows(spark, sf_dir):
     return pivot_counts(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus", {"f": "F", "o": "O"})
@@ -634,7 +634,7 @@ def pivot_rows(spark, sf_dir):
 
 @query(
     "education_outcome",
-    f"""{MARKETING_MART_WITH} SELECT education, count_if(y = 'yes') AS yes, count_if(y = 'no') AS "no" FROM silver GROUP BY 1""",
+    f"""{MARKETING_MART_WITH} SELECT education, count(*) FILTER (y = 'yes') AS yes, count(*) FILTER (y = 'no') AS "no" FROM silver GROUP BY 1""",
 )
 def education_outcome(spark, sf_dir):
     return report.education_outcome(viz_mkt_edu(spark, sf_dir))

@@ -40,6 +40,14 @@ def duck_rows(connection: duckdb.DuckDBPyConnection, sql: str):
     return sorted_rows(names, cursor.fetchall())
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
+def duck_types(connection: duckdb.DuckDBPyConnection, sql: str) -> dict[str, str]:
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    return {row[0]: TYPES.get(row[1], row[1]) for row in described}
+
+
 def differs(spark, connection, sf_dir: str, name: str) -> str | None:
     """What is wrong with a query, or None."""
     item = ENTRIES[name]
@@ -47,13 +55,15 @@ def differs(spark, connection, sf_dir: str, name: str) -> str | None:
     names, rows = sorted_rows(frame.columns, frame.collect())
     if item.sql is None:
         return None if rows else "no rows"
-    expected_names, expected = duck_rows(connection, item.sql)
-    if names != expected_names:
-        return f"columns {names} against {expected_names}"
+    types = {field.name: field.dataType.simpleString() for field in frame.schema}
+    expected_types = duck_types(connection, item.sql)
+    if types != expected_types:
+        return f"columns {types} against {expected_types}"
+    _, expected = duck_rows(connection, item.sql)
     if len(rows) != len(expected):
         return f"{len(rows)} rows against {len(expected)}"
     for row, other in zip(rows, expected):
-        if row != other or [type(value) for value in row] != [type(value) for value in other]:
+        if row != other:
             return f"{row} against {other}"
     return None
 

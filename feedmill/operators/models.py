@@ -17,23 +17,13 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 
 from feedmill import fixed_values as fixed
-from feedmill.operators.sizes import estimated_bytes
-
-# The default size of a scan's split.
-SPLIT_BYTES = 128 << 20
+from feedmill.operators.sizes import spread_if_small
 
 
 @contextmanager
 def kept_for_training(train: DataFrame, *columns: str):
-    """The training columns, held in memory and on disk while models are fitted.
-
-    Fitting passes over the rows many times, so a table too small to come in a
-    split per core is dealt out to all cores first.
-    """
-    rows = train.select(*columns)
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(rows) < cores * SPLIT_BYTES:
-        rows = rows.repartition(cores)
+    """The training columns, held in memory and on disk while models are fitted."""
+    rows = spread_if_small(train.select(*columns))
     kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept

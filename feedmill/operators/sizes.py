@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# The default size of a scan's split.
+SPLIT_BYTES = 128 << 20
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; plans the frame but runs nothing."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_if_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table below one split's size out to all cores.
+
+    Such a table may come as a single split, and then one core does all of the
+    parsing or fitting that follows. Larger tables are left as they are: their
+    splits already use the cluster, and a shuffle would only cost.
+    """
+    if estimated_bytes(df) >= SPLIT_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

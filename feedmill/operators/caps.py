@@ -14,6 +14,7 @@ from feedmill.operators.sizes import estimated_bytes
 
 # Above this many bytes of input the table is cut down before the final sort.
 BOUND_FROM_BYTES = 4 << 30
+SAMPLE_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 NARROWABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -62,14 +63,16 @@ def _without_late_rows(df: DataFrame, rows: int, order_by: list[str]) -> DataFra
 def _upper_bound(values: DataFrame, wanted: int):
     """A value with at least ``wanted`` rows at or below it, found by narrowing.
 
-    Each round reads one column and cuts the candidates by the quantile
-    sketch; the exact count of the next round confirms the cut, so the sketch
-    decides only how much is left, never which rows are right.
+    Each round cuts the candidates at a quantile of a sample; the exact count
+    that follows confirms the cut, so chance decides only how much is left,
+    never which rows are right. Without the sample the sketches of all tasks
+    would be more than the one task that merges them should take.
     """
     bound, total = None, values.count()
     while total > 4 * wanted:
-        share = min(1.0, wanted / total + 2.0 / SKETCH_ACCURACY)
-        value = values.agg(F.percentile_approx("v", F.lit(share), F.lit(SKETCH_ACCURACY)).alias("b")).first()["b"]
+        share = min(1.0, 1.2 * wanted / total + 4.0 / SKETCH_ACCURACY)
+        sample = values if total <= SAMPLE_ROWS else values.sample(SAMPLE_ROWS / total, seed=total)
+        value = sample.agg(F.percentile_approx("v", F.lit(share), F.lit(SKETCH_ACCURACY)).alias("b")).first()["b"]
         if value is None or value == bound:
             break
         cut = values.where(F.col("v").isNull() | (F.col("v") <= F.lit(value)))

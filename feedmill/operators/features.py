@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.values import field
 from feedmill.operators.ordinals import with_ordinals
+from feedmill.sources.scratch import stage
 
 INDEX_SUFFIX = "_idx"
 
@@ -23,23 +24,25 @@ LABEL_CHARS = 500
 
 
 def feature_stages(
-    numeric: Sequence[str], categorical: Sequence[str], scale: bool, skip: Sequence[str] = ()
+    numeric: Sequence[str], categorical: Sequence[str], scale: bool, labels: Mapping[str, list[str]]
 ) -> Pipeline:
     """Index the categories, assemble one vector, scale it if asked to.
 
-    All categories are indexed in one pass. Unseen and null categories share
-    the last index; rows with a null or NaN number are left out. Scaling
-    divides by the sample standard deviation and does not centre. It also
-    drops the mark that index columns are categories, so forests on scaled
-    vectors treat them as numbers. Columns in ``skip`` bring their index along.
+    ``labels`` holds the categories of each indexed column in index order;
+    other categorical columns bring their index along. Unseen and null
+    categories share the last index; rows with a null or NaN number are left
+    out. Scaling divides by the sample standard deviation and does not centre.
+    It also drops the mark that index columns are categories, so forests on
+    scaled vectors treat them as numbers.
     """
     indexes = [name + INDEX_SUFFIX for name in categorical]
-    fitted = [name for name in categorical if name not in skip]
     assembled = "unscaled_features" if scale else "features"
     stages = []
-    if fitted:
-        outputs = [name + INDEX_SUFFIX for name in fitted]
-        stages.append(StringIndexer(inputCols=fitted, outputCols=outputs, handleInvalid="keep"))
+    if labels:
+        indexer = StringIndexerModel.from_arrays_of_labels(
+            list(labels.values()), list(labels), [name + INDEX_SUFFIX for name in labels], handleInvalid="keep"
+        )
+        stages.append(indexer)
     stages.append(
         VectorAssembler(inputCols=[*numeric, *indexes], outputCol=assembled, handleInvalid="skip")
     )
@@ -59,45 +62,56 @@ def add_features(
     """The frame with its features, and the fitted stages.
 
     Fitted on all rows of the frame unless ``fit_rows`` names others, such as
-    the training part alone. The indexer keeps its labels on the driver, so a
-    column with about ``label_limit`` different ones or more, or with very
-    long ones, is indexed by a join instead and is not part of the returned
-    stages.
+    the training part alone. An indexer keeps its labels on the driver, so a
+    column with more than ``label_limit`` different ones, or with very long
+    ones, is indexed by a join instead and is not part of the returned stages.
     """
     seen = df if fit_rows is None else fit_rows
-    wide = wide_categories(seen, categorical, label_limit)
-    for column in wide:
-        places = category_places(seen, column)
-        df, seen = [with_place(rows, column, column + INDEX_SUFFIX, places) for rows in (df, seen)]
-    ready = [name + INDEX_SUFFIX if name in wide else name for name in categorical]
+    labels: dict[str, list[str]] = {}
+    if categorical:
+        counts = category_counts(seen, categorical)
+        wide = wide_categories(counts, label_limit)
+        labels = ordered_labels(counts, [name for name in categorical if name not in wide])
+        for column in wide:
+            places = category_places(counts, column)
+            df, seen = [with_place(rows, column, column + INDEX_SUFFIX, places) for rows in (df, seen)]
+    ready = [name if name in labels else name + INDEX_SUFFIX for name in categorical]
     source = seen.select(*[field(name) for name in [*numeric, *ready]])
-    model = feature_stages(numeric, categorical, scale, skip=wide).fit(source)
+    model = feature_stages(numeric, categorical, scale, labels).fit(source)
     return model.transform(df), model
 
 
-def wide_categories(df: DataFrame, columns: Sequence[str], limit: int) -> list[str]:
-    """The columns with too many or too long values for the driver, by one sketching pass."""
-    if not columns:
-        return []
-    found = df.agg(
-        *[F.approx_count_distinct(field(name)).alias(f"{name} labels") for name in columns],
-        *[F.max(F.length(field(name))).alias(f"{name} chars") for name in columns],
-    ).first()
-    return [
-        name for name in columns
-        if found[f"{name} labels"] >= limit or (found[f"{name} chars"] or 0) > LABEL_CHARS
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Staged rows per column and category, nulls left out; one pass for all columns.
+
+    Counts combine before a shuffle that spreads the categories. Fitting an
+    indexer would send the category table of every task to a single one.
+    """
+    pairs = [
+        F.struct(F.lit(name).alias("_column"), field(name).cast("string").alias("_value")) for name in columns
     ]
+    categories = df.select(F.inline(F.array(*pairs))).where(F.col("_value").isNotNull())
+    return stage(categories.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n")), "categories")
 
 
-def category_places(df: DataFrame, column: str) -> DataFrame:
-    """Every category with its number: by falling count, then by text, from 0.
+def wide_categories(counts: DataFrame, limit: int) -> list[str]:
+    """The columns with too many or too long categories for the driver."""
+    sizes = counts.groupBy("_column").agg(F.count(F.lit(1)).alias("labels"), F.max(F.length("_value")).alias("chars"))
+    wide = sizes.where((F.col("labels") > limit) | (F.col("chars") > LABEL_CHARS))
+    return sorted(row["_column"] for row in wide.collect())
 
-    The numbering the indexer gives, for columns with more categories than a
-    driver should hold.
-    """
-    known = df.where(field(column).isNotNull())
-    counts = known.groupBy(field(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = with_ordinals(counts, [F.desc("_n"), "_value"], name="_place", unique=True)
+
+def ordered_labels(counts: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Categories by falling count, then by text; for columns that are not wide."""
+    rows = counts.where(F.col("_column").isin(list(columns))).collect()
+    ordered = sorted(rows, key=lambda row: (-row["_n"], row["_value"]))
+    return {name: [row["_value"] for row in ordered if row["_column"] == name] for name in columns}
+
+
+def category_places(counts: DataFrame, column: str) -> DataFrame:
+    """Every category of a wide column with its number, in the order of ``ordered_labels``."""
+    own = counts.where(F.col("_column") == column).select("_value", "_n")
+    numbered = with_ordinals(own, [F.desc("_n"), "_value"], name="_place", unique=True)
     return numbered.select("_value", F.col("_place").cast("double").alias("_place"))
 
 
@@ -111,7 +125,7 @@ def with_place(df: DataFrame, column: str, name: str, places: DataFrame) -> Data
     last = places.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
     frequent = (F.col("_place") < HOT_LABELS) & (F.length("_value") <= LABEL_CHARS)
     hot, cold = F.broadcast(places.where(frequent)), places.where(~frequent)
-    same = field(column) == F.col("_value")
+    same = field(column).cast("string") == F.col("_value")
     # Nulls match nothing, so they skip the joins instead of meeting in one task.
     known, missing = df.where(field(column).isNotNull()), df.where(field(column).isNull())
     parts = [

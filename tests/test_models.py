@@ -2,12 +2,13 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
 from feedmill.operators import features
-from feedmill.operators.features import add_features, category_places, with_place
+from feedmill.operators.features import add_features, category_counts, category_places, with_place
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
 from feedmill.operators.models import fit_forest
 from feedmill.plans import loan, marketing
@@ -31,7 +32,7 @@ def test_wide_index_equals_indexer(spark):
 
 def test_long_labels_stay_off_the_driver(spark):
     rows = spark.createDataFrame([("x" * 600, 1.0, "s"), ("a", 1.0, "s"), ("a", 1.0, "s")], "v string, n double, w string")
-    assert features.wide_categories(rows, ["v", "w"], 100) == ["v"]
+    assert features.wide_categories(category_counts(rows, ["v", "w"]), 100) == ["v"]
     found, _ = add_features(rows, ["n"], ["v", "w"])
     assert sorted(row["v_idx"] for row in found.collect()) == [0.0, 0.0, 1.0]
 
@@ -45,7 +46,7 @@ def test_unseen_category_gets_the_last_index(spark, limit):
 
 def test_places_of_a_hot_category(spark):
     rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("v"))
-    found = with_place(rows, "v", "i", category_places(rows, "v"))
+    found = with_place(rows, "v", "i", category_places(category_counts(rows, ["v"]), "v"))
     assert found.where("v = 'hot'").select("i").distinct().collect() == [(0.0,)]
     assert found.agg(F.countDistinct("i"), F.max("i")).first()[:] == (601, 600.0)
 
@@ -55,7 +56,7 @@ def test_places_of_rare_and_long_categories(spark, monkeypatch):
     monkeypatch.setattr(features, "LABEL_CHARS", 3)
     labels = ["hot"] * 9 + ["a long one"] * 5 + ["b"] * 4 + ["c"] * 2 + ["d", None, None]
     rows = spark.createDataFrame([(label,) for label in labels], "v string")
-    found = with_place(rows, "v", "i", category_places(rows, "v"))
+    found = with_place(rows, "v", "i", category_places(category_counts(rows, ["v"]), "v"))
     assert {tuple(row) for row in found.distinct().collect()} == {
         ("hot", 0.0), ("a long one", 1.0), ("b", 2.0), ("c", 3.0), ("d", 4.0), (None, 5.0)
     }
@@ -85,6 +86,21 @@ def test_scaling_drops_the_category_mark(spark):
     assert "nominal" not in attribute_kinds(add_features(rows, ["n"], ["v"], scale=True)[0])
 
 
+def test_indexes_equal_the_fitted_indexer(spark):
+    draw = random.Random(8)
+    rows = [(draw.choice(["", "b", "B", "ä", "zz", None]), draw.choice([1, 1, 2, 30])) for _ in range(500)]
+    frame = spark.createDataFrame(rows, "v string, k int").withColumn("n", F.lit(1.0))
+    ours, _ = add_features(frame, ["n"], ["v", "k"])
+    indexer = StringIndexer(inputCols=["v", "k"], outputCols=["v_fit", "k_fit"], handleInvalid="keep")
+    both = indexer.fit(frame).transform(ours)
+    assert both.where("v_idx <> v_fit OR k_idx <> k_fit").count() == 0 and both.count() == 500
+
+
+def test_category_without_any_value(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 2.0)], "v string, n double")
+    assert [row["v_idx"] for row in add_features(rows, ["n"], ["v"])[0].collect()] == [0.0, 0.0]
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     draw = random.Random(11)

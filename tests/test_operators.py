@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from py4j.protocol import Py4JError
 
+from feedmill.operators import caps
 from feedmill.operators.caps import ordered_cap
 from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.counting import count_by, histogram
@@ -169,13 +170,20 @@ def test_narrowed_cap_against_sorting(spark, count, shape):
 
 
 def test_narrowing_leaves_few_rows(spark):
-    from feedmill.operators.caps import _without_late_rows
-
     frame = spark.range(200_000).select((F.col("id") % 3).alias("hot"), F.xxhash64("id").alias("h"))
-    left = _without_late_rows(frame, 100, ["hot", "h"]).count()
+    left = caps._without_late_rows(frame, 100, ["hot", "h"]).count()
     assert 100 <= left <= 400
 
 
+def test_narrowing_by_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(caps, "SAMPLE_ROWS", 20_000)
+    frame = spark.range(200_000).select(F.xxhash64("id").alias("h"), "id")
+    assert 50 <= caps._without_late_rows(frame, 50, ["h"]).count() <= 1000
+    expected = [row["id"] for row in frame.orderBy("h").limit(50).collect()]
+    found = ordered_cap(frame, 50, ["h"], bound_from_bytes=0).collect()
+    assert [row["id"] for row in found] == expected
+
+
 def test_cap_by_text(spark):
     frame = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3)], "t string, n int")
     assert [row["t"] for row in ordered_cap(frame, 2, ["t"], bound_from_bytes=0).collect()] == ["a", "b"]

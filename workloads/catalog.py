@@ -18,7 +18,7 @@ from feedmill.functions.values import class_text, lenient_double, loose_number
 from feedmill.operators.caps import ordered_cap
 from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.counting import count_by, histogram, sum_counts
-from feedmill.operators.features import add_features, category_places, with_place
+from feedmill.operators.features import add_features, category_counts, category_places, with_place
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
 from feedmill.operators.ordinals import slice_rows, with_chunks, with_ordinals
 from feedmill.operators.pivoting import pivot_counts
@@ -426,7 +426,7 @@ def category_index_wide(spark, sf_dir):
     events = table(spark, sf_dir, "events").selectExpr(
         "event_id", "CASE WHEN user_id % 3 = 0 THEN 'hot' WHEN user_id % 7 = 0 THEN NULL ELSE string(user_id) END AS who"
     )
-    return with_place(events, "who", "who_idx", category_places(events, "who"))
+    return with_place(events, "who", "who_idx", category_places(category_counts(events, ["who"]), "who"))
 
 
 @query(

@@ -37,12 +37,12 @@ def feature_stages(
     """
     indexes = [name + INDEX_SUFFIX for name in categorical]
     assembled = "unscaled_features" if scale else "features"
-    stages = []
-    if labels:
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            list(labels.values()), list(labels), [name + INDEX_SUFFIX for name in labels], handleInvalid="keep"
-        )
-        stages.append(indexer)
+    # One indexer per column: built for several, from label lists of different
+    # lengths, the shorter lists would be filled up with nulls.
+    stages = [
+        StringIndexerModel.from_labels(known, name, name + INDEX_SUFFIX, handleInvalid="keep")
+        for name, known in labels.items()
+    ]
     stages.append(
         VectorAssembler(inputCols=[*numeric, *indexes], outputCol=assembled, handleInvalid="skip")
     )

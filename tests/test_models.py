@@ -88,7 +88,7 @@ def test_scaling_drops_the_category_mark(spark):
 
 def test_indexes_equal_the_fitted_indexer(spark):
     draw = random.Random(8)
-    rows = [(draw.choice(["", "b", "B", "ä", "zz", None]), draw.choice([1, 1, 2, 30])) for _ in range(500)]
+    rows = [(draw.choice(["", "b", "B", "ä", "zz", None]), draw.choice([1, 1, 2, None])) for _ in range(500)]
     frame = spark.createDataFrame(rows, "v string, k int").withColumn("n", F.lit(1.0))
     ours, _ = add_features(frame, ["n"], ["v", "k"])
     indexer = StringIndexer(inputCols=["v", "k"], outputCols=["v_fit", "k_fit"], handleInvalid="keep")

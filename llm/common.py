@@ -16,7 +16,7 @@ from feedmill.sources.scratch import stage
 __all__ = ["SHINGLE_WORDS", "WordHashes", "small_batches", "stage", "table", "window_hashes", "word_shingles", "words"]
 
 SHINGLE_WORDS = 5
-BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _CACHED_WORDS = 400_000
 
@@ -27,8 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python workers some hundred rows at a time, so that long ones fit."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Hand rows to Python workers some megabytes at a time, however long their texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def words(text: str | None, lower: bool = False) -> list[bytes]:

@@ -6,14 +6,20 @@ form feed and carriage return; ``bytes.split`` splits at exactly these.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedmill.sources.scratch import stage
 
-__all__ = ["SHINGLE_WORDS", "WordHashes", "small_batches", "stage", "table", "window_hashes", "word_shingles", "words"]
+__all__ = [
+    "SHINGLE_WORDS", "WordHashes", "connected", "keys_of_several", "partitions", "small_batches", "stage", "table",
+    "window_hashes", "word_shingles", "words",
+]
 
 SHINGLE_WORDS = 5
 BATCH_BYTES = 8 << 20
@@ -76,3 +82,64 @@ def word_shingles(hashes: np.ndarray, size: int = SHINGLE_WORDS) -> np.ndarray:
     if not len(hashes):
         return np.empty(0, np.uint64)
     return np.unique(window_hashes(hashes, min(size, len(hashes))))
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def keys_of_several(rows: DataFrame, key: str, owner: str) -> DataFrame:
+    """The rows whose key several owners have, and some few others.
+
+    Key, owner and all other columns are bigint. One range shuffle by key and owner
+    puts a key's rows next to each other; a key that very many owners have is spread
+    over several partitions. The first and last key of a partition may go on in the
+    next one, so their rows are kept whatever their owners: callers must not mind
+    rows of a key that has one owner after all.
+    """
+    names = rows.columns
+    at_key, at_owner = names.index(key), names.index(owner)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, going, waiting = None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data = np.stack([column.to_numpy(zero_copy_only=False) for column in batch.columns])
+            if waiting is not None:
+                data = np.concatenate([waiting, data], axis=1)
+            keys, owners = data[at_key], data[at_owner]
+            first = keys[0] if first is None else first
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            ends = np.r_[starts[1:], len(keys)]
+            several = owners[starts] != owners[ends - 1]  # owners are sorted within a key
+            several |= (keys[starts] == first) | (False if going is None else keys[starts] == going)
+            going = keys[-1] if several[-1] else None  # more rows of this key are kept as they come
+            take = np.repeat(several, ends - starts)
+            waiting = None if several[-1] else data[:, starts[-1] :]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in data[:, take]], names=names)
+        if waiting is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in waiting], names=names)
+
+    dealt = rows.repartitionByRange(partitions(rows.sparkSession), key, owner).sortWithinPartitions(key, owner)
+    return dealt.mapInArrow(kept, rows.schema)
+
+
+def connected(links: DataFrame, one: str, other: str) -> DataFrame:
+    """Components of an undirected graph: (node, component), the component being its least node.
+
+    Every round gives a node the least label among its neighbours' and its own, then
+    the label of that label. Rounds are staged; they end when no label changes.
+    """
+    both = links.select(F.col(one).alias("node"), F.col(other).alias("near")).where("node <> near")
+    edges = stage(both.unionByName(both.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct(), "edges")
+    labels = stage(edges.groupBy("node").agg(F.least("node", F.min("near")).alias("component")), "labels")
+    while True:
+        seen = edges.join(labels.withColumnRenamed("node", "near"), "near").groupBy("node").agg(F.min("component").alias("least"))
+        lowered = labels.join(seen, "node").select("node", F.col("component").alias("was"), F.least("component", "least").alias("component"))
+        jump = lowered.select(F.col("node").alias("component"), F.col("component").alias("next"))
+        following = lowered.join(jump, "component").select("node", "was", F.col("next").alias("component"))
+        following = stage(following, "labels")
+        if following.where("was <> component").isEmpty():
+            return following.select("node", "component")
+        labels = following.select("node", "component")

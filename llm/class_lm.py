@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import WordHashes, small_batches, stage, words
+from llm.common import small_batches, stage, word_hashes
 
 ADDED = 0.1
 BACKOFF = 50.0
@@ -60,15 +60,16 @@ def chosen(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def tokens(text: str | None, hashes: WordHashes) -> np.ndarray:
-    return np.append(hashes.of(words(text, lower=True)).view(np.int64), END)
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all texts' words, each text's followed by the end, and where each text begins."""
+    hashes, bounds = word_hashes(texts, lower=True)
+    found = np.insert(hashes.view(np.int64), bounds[1:], END)
+    return found, bounds[:-1] + np.arange(len(texts))
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in batches:
-        found = [tokens(text, hashes) for text in batch.column(0).to_pylist()]
-        word, times = np.unique(np.concatenate(found or [np.empty(0, np.int64)]), return_counts=True)
+        word, times = np.unique(tokens(batch.column(0))[0], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(times, pa.int64())], names=["word", "count"])
 
 
@@ -131,10 +132,11 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT, core: int = CORE) ->
     )
 
 
-def symbol_row(found: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+def symbols_of(found: np.ndarray, vocab: Vocabulary) -> np.ndarray:
     at, known = vocab.look_up(found)
-    symbols = np.where(known, vocab.symbols[at], vocab.rare) if len(vocab.words) else np.full(len(found), vocab.rare)
-    symbols[-1] = vocab.end
+    symbols = np.full(len(found), vocab.rare)
+    symbols[known] = vocab.symbols[at[known]]
+    symbols[found == END] = vocab.end
     return symbols
 
 
@@ -143,13 +145,11 @@ def neighbour_counts(train: DataFrame, vocab: Vocabulary) -> np.ndarray:
     size = vocab.n_symbols
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHashes(), np.zeros(size * size, np.int64)
+        total = np.zeros(size * size, np.int64)
         for batch in batches:
-            rows = [symbol_row(tokens(text, hashes), vocab) for text in batch.column(0).to_pylist()]
-            if rows:
-                # Every row ends with the end, which also stands before the next one.
-                flat = np.concatenate([[vocab.end], *rows])
-                total += np.bincount(flat[:-1] * size + flat[1:], minlength=size * size)
+            # Every text ends with the end, which also stands before the next one.
+            flat = np.r_[vocab.end, symbols_of(tokens(batch.column(0))[0], vocab)]
+            total += np.bincount(flat[:-1] * size + flat[1:], minlength=size * size)
         codes = np.flatnonzero(total)
         for at in range(0, len(codes), 1 << 16):
             part = codes[at : at + (1 << 16)]
@@ -253,18 +253,29 @@ def train(texts: DataFrame, counts: DataFrame) -> ClassModel:
     return class_model(vocab, matrix, exchange(matrix, vocab.n_core))
 
 
-def scan_text(found: np.ndarray, model: ClassModel) -> tuple:
-    """Sums over the frequent words, the end and all transitions; the other words with their numbers."""
+def scan_texts(texts: pa.Array, model: ClassModel) -> list[pa.Array]:
+    """Per text: tokens, frequent words and others, the two sums over frequent words, the end and transitions, and the others with their numbers."""
     vocab = model.vocab
+    found, begins = tokens(texts)
     at, known = vocab.look_up(found)
-    known[-1] = False
-    classes = model.symbol_class[symbol_row(found, vocab)]
-    previous = np.concatenate([[model.symbol_class[vocab.end]], classes[:-1]])
-    score = model.transition[previous, classes].sum() + (model.emission[at[known]].sum() if known.any() else 0.0)
-    times = vocab.counts[at[known]] if known.any() else np.empty(0)
-    base = np.log10((times + ADDED) / model.base_denominator).sum()
-    word, number = np.unique(found[:-1][~known[:-1]], return_counts=True)
-    return int(known.sum()), float(base), float(score), word, number
+    ends = found == END
+    known &= ~ends
+    classes = model.symbol_class[symbols_of(found, vocab)]
+    score = model.transition[np.r_[model.symbol_class[vocab.end], classes[:-1]], classes]
+    base = np.zeros(len(found))
+    score[known] += model.emission[at[known]]
+    base[known] = np.log10((vocab.counts[at[known]] + ADDED) / model.base_denominator)
+    per_text = lambda values: np.add.reduceat(values, begins) if len(begins) else np.empty(0)
+    rest = np.flatnonzero(~known & ~ends)
+    text = np.searchsorted(begins, rest, "right") - 1
+    order = np.lexsort((found[rest], text))
+    word, text = found[rest][order], text[order]
+    first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (text[1:] != text[:-1])]) if len(word) else np.empty(0, np.int64)
+    times = np.diff(np.r_[first, len(word)])
+    items = pa.StructArray.from_arrays([pa.array(word[first], pa.int64()), pa.array(times, pa.int64())], ["word", "times"])
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[first], np.arange(len(texts) + 1)), pa.int32()), items)
+    counts = [per_text(values.astype(np.int64)) for values in (np.ones(len(found)), known, ~known & ~ends)]
+    return [*(pa.array(values, pa.int64()) for values in counts), pa.array(per_text(base), pa.float64()), pa.array(per_text(score), pa.float64()), lists]
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,25 +287,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     model = train(training, counts)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, row = WordHashes(), TaskContext.get().partitionId() << 40
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                found = tokens(text, hashes)
-                n_frequent, base, score, word, number = scan_text(found, model)
-                rest = [{"word": one, "times": times} for one, times in zip(word.tolist(), number.tolist())]
-                rows.append((row, len(found), n_frequent, int(number.sum()), base, score, rest))
-                row += 1
-            ids, n_tokens, n_frequent, n_rest, base, score, rest = zip(*rows) if rows else [()] * 7
-            item = pa.list_(pa.struct([("word", pa.int64()), ("times", pa.int64())]))
+            rows = pa.array(np.arange(row, row + batch.num_rows), pa.int64())
+            row += batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()), batch.column(0), batch.column(2), pa.array(n_tokens, pa.int64()),
-                    pa.array(n_frequent, pa.int64()), pa.array(n_rest, pa.int64()), pa.array(base, pa.float64()),
-                    pa.array(score, pa.float64()), pa.array(rest, item),
-                ],
+                [rows, batch.column(0), batch.column(2), *scan_texts(batch.column(1), model)],
                 names=[part.split()[0] for part in SCANNED.split(", ")],
-            )
+            )
 
     scan = stage(texts.mapInArrow(scanned, SCANNED), "scored")
     rest = scan.select("row", F.explode("rest").alias("rest")).select("row", "rest.word", "rest.times")

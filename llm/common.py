@@ -7,7 +7,6 @@ form feed and carriage return; ``bytes.split`` splits at exactly these.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +16,22 @@ from pyspark.sql import functions as F
 from feedmill.sources.scratch import stage
 
 __all__ = [
-    "SHINGLE_WORDS", "WordHashes", "connected", "keys_of_several", "partitions", "small_batches", "stage", "table",
-    "window_hashes", "word_shingles", "words",
+    "SHINGLE_WORDS", "connected", "keys_of_several", "partitions", "small_batches", "stage", "table",
+    "window_hashes", "word_hashes", "word_shingles", "words",
 ]
 
 SHINGLE_WORDS = 5
 BATCH_BYTES = 8 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
-_CACHED_WORDS = 400_000
+_MIXER = 0xD6E8FEB86659FD93
+_CHUNK = 1 << 20
+_powers = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+
+_SOLID = np.ones(256, bool)
+_SOLID[[9, 10, 11, 12, 13, 32]] = False
+_VALUES = np.random.Generator(np.random.PCG64(20240611)).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
+_LOWER_VALUES = _VALUES.copy()
+_LOWER_VALUES[65:91] = _VALUES[97:123]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,17 +50,56 @@ def words(text: str | None, lower: bool = False) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered for a bounded number of them."""
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column of texts, one after the other, and where each text begins and the last ends; a null is empty."""
+    if column.null_count:
+        column = column.fill_null("")
+    _, offsets, data = column.buffers()
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    edges = np.frombuffer(offsets, width)[column.offset : column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data is not None else np.empty(0, np.uint8)
+    return raw, edges - edges[0]
+
+
+def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse modulo 2^64, kept for chunks of the usual size."""
+    if count > len(_powers[0]):
+        size = max(count, _CHUNK)
+        inverse = pow(_MULTIPLIER, -1, 1 << 64)
+        _powers[:] = [np.cumprod(np.r_[np.uint64(1), np.full(size - 1, base, np.uint64)]) for base in (_MULTIPLIER, inverse)]
+    return _powers[0][:count], _powers[1][:count]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return value
 
-    def of(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+def word_hashes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a column of texts, and where each text's words begin and the last ones end.
+
+    A word's hash is a polynomial of its bytes, each byte standing for a random
+    number: differences of running sums, for a chunk of words at a time. With
+    ``lower``, A-Z stand for the same numbers as a-z.
+    """
+    raw, edges = text_bytes(column)
+    solid = _SOLID[raw]
+    cuts = np.zeros(len(raw) + 1, bool)  # a text begins here, so no word goes on
+    cuts[edges] = True
+    before = np.r_[False, solid[:-1]] & ~cuts[:-1] if len(raw) else solid
+    after = np.r_[solid[1:], False] & ~cuts[1:] if len(raw) else solid
+    begins, ends = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+    values = _LOWER_VALUES if lower else _VALUES
+    hashes, at = np.empty(len(begins), np.uint64), 0
+    while at < len(begins):
+        low = begins[at]
+        stop = max(at + 1, int(np.searchsorted(ends, low + _CHUNK, "right")))
+        part = raw[low : ends[stop - 1]]
+        power, inverse = powers(len(part))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(values[part] * power, out=sums[1:])
+        first = begins[at:stop] - low
+        hashes[at:stop] = (sums[ends[at:stop] - low] - sums[first]) * inverse[first]
+        at = stop
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= np.uint64(_MIXER)
+    hashes ^= hashes >> np.uint64(29)
+    return hashes, np.searchsorted(begins, edges)
 
 
 def window_hashes(values: np.ndarray, width: int) -> np.ndarray:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import WordHashes, keys_of_several, small_batches, window_hashes, words
+from llm.common import keys_of_several, small_batches, window_hashes, word_hashes, words
 
 WINDOW = 50
 # Every difference modulo 31 is the difference of exactly one pair of these.
@@ -82,14 +82,13 @@ def joined(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in batches:
+        hashes, bounds = word_hashes(batch.column(1))
         keys, docs, places = [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = words(text)
-            if len(found) < WINDOW:
+        for doc, begin, end in zip(batch.column(0).to_pylist(), bounds, bounds[1:]):
+            if end - begin < WINDOW:
                 continue
-            runs = window_hashes(hashes.of(found), ANCHOR)
+            runs = window_hashes(hashes[begin:end], ANCHOR)
             at = cover_positions(len(runs))
             keys.append(runs[at].view(np.int64))
             docs.append(np.full(len(at), doc, np.int64))
@@ -98,41 +97,43 @@ def anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in batches:
+        hashes, bounds = word_hashes(batch.column(1))
         keys, docs = [], []
-        for doc, text, places in zip(*(column.to_pylist() for column in batch.columns)):
-            found = words(text) if places else []
-            if len(found) < WINDOW:
+        for doc, places, begin, end in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), bounds, bounds[1:]):
+            if not places or end - begin < WINDOW:
                 continue
-            runs = window_hashes(hashes.of(found), WINDOW)
+            runs = window_hashes(hashes[begin:end], WINDOW)
             at = windows_around(np.unique(np.array(places, np.int64)), len(runs))
             keys.append(np.unique(runs[at]).view(np.int64))
             docs.append(np.full(len(keys[-1]), doc, np.int64))
         yield longs([joined(keys), joined(docs)], ["window", "doc"])
 
 
-def kept_words(text: str | None, repeated: list[int] | None, hashes: WordHashes) -> tuple[int, list[bytes]]:
-    """How many words the text has, and those that stay."""
-    found = words(text)
+def kept_words(found: list[bytes], hashes: np.ndarray, repeated: list[int] | None) -> list[bytes]:
+    """The words that no window with one of the repeated hashes covers."""
     if not repeated or len(found) < WINDOW:
-        return len(found), found
-    runs = window_hashes(hashes.of(found), WINDOW).view(np.int64)
+        return found
+    runs = window_hashes(hashes, WINDOW).view(np.int64)
     gone = covered(np.flatnonzero(np.isin(runs, np.array(repeated, np.int64))), len(found))
-    return len(found), [word for word, go in zip(found, gone.tolist()) if not go]
+    return [word for word, go in zip(found, gone.tolist()) if not go]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """One row per document: word counts, the checksum of the kept words and, if asked for, the kept text."""
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             rows = []
-            for doc, text, repeated in zip(*(column.to_pylist() for column in batch.columns)):
-                count, kept = kept_words(text, repeated, hashes)
+            hashes, bounds = word_hashes(batch.column(1))
+            for (doc, text, repeated), begin, end in zip(zip(*(column.to_pylist() for column in batch.columns)), bounds, bounds[1:]):
+                found = words(text)
+                kept = kept_words(found, hashes[begin:end], repeated)
                 raw = b" ".join(kept)
-                rows.append((None if doc == LAST_ID else doc, count, count - len(kept), hashlib.sha256(raw).hexdigest(), raw.decode()))
+                rows.append((
+                    None if doc == LAST_ID else doc, len(found), len(found) - len(kept), hashlib.sha256(raw).hexdigest(),
+                    raw.decode() if with_text else None,
+                ))
             ids, counts, gone, sums, texts = zip(*rows) if rows else [()] * 5
             arrays = [pa.array(column, pa.int64()) for column in (ids, counts, gone)] + [pa.array(sums, pa.string())]
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"]

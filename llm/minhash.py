@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import WordHashes, small_batches, word_shingles, words
+from llm.common import small_batches, word_hashes, word_shingles
 
 PERMUTATIONS = 128
 BAND_PLACES = 4
@@ -63,8 +63,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u2")
 
 
-def text_signature(text: str, hashes: WordHashes) -> np.ndarray:
-    return signature(word_shingles(hashes.of(words(text, lower=True))))
+def text_shingles(texts: pa.Array) -> list[np.ndarray]:
+    """The shingles of every text, lower-cased."""
+    hashes, bounds = word_hashes(texts, lower=True)
+    return [word_shingles(hashes[begin:end]) for begin, end in zip(bounds, bounds[1:])]
 
 
 def likeness(one: np.ndarray, other: np.ndarray) -> float:
@@ -145,18 +147,20 @@ def arrays(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, held = WordHashes(), ("", text_signature("", WordHashes()))
+    held = None, None
     for batch in batches:
+        docs, texts, following = (column.to_pylist() for column in batch.columns)
+        changed = [edited(text, other) for text, other in zip(texts, following)]
+        sets = zip(text_shingles(batch.column(1)), text_shingles(batch.column(2)), text_shingles(pa.array(changed, pa.string())))
         out = []
-        for doc, text, following in zip(*(column.to_pylist() for column in batch.columns)):
+        for doc, text, other, new, (own_set, other_set, new_set) in zip(docs, texts, following, changed, sets):
             # The next text of one row is nearly always the text of the row after it.
-            own = held[1] if held[0] == text else text_signature(text, hashes)
-            held = (following, text_signature(following, hashes))
-            changed = edited(text, following)
-            other = text_signature(changed, hashes)
+            own = held[1] if held[0] == text else signature(own_set)
+            held = other, signature(other_set)
+            near = signature(new_set)
             out.append((
-                doc, len(text), hashlib.sha256(changed.encode()).hexdigest(), printed(own), printed(other),
-                likeness(own, other), likeness(own, held[1]),
+                doc, len(text), hashlib.sha256(new.encode()).hexdigest(), printed(own), printed(near),
+                likeness(own, near), likeness(own, held[1]),
             ))
         yield arrays(out, FINGERPRINTS)
 
@@ -170,9 +174,8 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, the sorted shingle hashes, and the signature's bands."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            found = [word_shingles(hashes.of(words(text, lower=True))) for text in batch.column(1).to_pylist()]
+            found = text_shingles(batch.column(1))
             bands = [signature(one).view("<u8").view(np.int64) for one in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(column, pa.list_(pa.int64())) for column in ([one.view(np.int64) for one in found], bands))],

@@ -17,8 +17,8 @@ shingles, so they share at least ``needed`` cells: sets with fewer drop out, and
 others keep their rarest cells only. A star puts together the cells that have the
 same least member. Two rounds then find all components:
 
-1. each member of a star is verified against its least set only, and the components
-   of these links are found;
+1. each set is verified against the least sets of those stars, a few, that it shares
+   most cells with, and the components of these links are found;
 2. stars whose members are still in different components are cut into blocks, and
    R-trees of blocks are joined; pairs within a component are passed over.
 
@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import WordHashes, connected, partitions, small_batches, stage, word_shingles, words
+from llm.common import connected, partitions, small_batches, stage, word_hashes, word_shingles
 
 GROUPS = 256
 NODE_POINTS = 16
@@ -57,6 +57,7 @@ CELLS = "cell bigint, n_shingles bigint, set_id bigint"
 CELL_NAMES = ["cell", "n_shingles", "set_id"]
 SEEN_SETS = 1 << 18
 PEELINGS = 2
+LIKELY_LEADS = 4
 SETS = "set_id bigint, n_shingles bigint, counts binary, shingles array<bigint>"
 
 
@@ -85,14 +86,15 @@ def counts(shingles: np.ndarray) -> np.ndarray:
     return found.astype("<u2" if found.max(initial=0) < 1 << 16 else "<u4")
 
 
-def text_shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
-    return word_shingles(hashes.of(words(text, lower=True)))
+def text_shingles(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The sorted shingles of every text."""
+    hashes, bounds = word_hashes(texts, lower=True)
+    return (word_shingles(hashes[begin:end]) for begin, end in zip(bounds, bounds[1:]))
 
 
 def info_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in batches:
-        found = [text_shingles(text, hashes) for text in batch.column(2).to_pylist()]
+        found = list(text_shingles(batch.column(2)))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0), batch.column(1),
@@ -105,11 +107,10 @@ def info_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cell, n_shingles, set_id) of the first shingles, once per set and task."""
-    hashes, seen = WordHashes(), set()
+    seen = set()
     for batch in batches:
         rows = [np.empty((3, 0), np.int64)]
-        for text in batch.column(0).to_pylist():
-            shingles = text_shingles(text, hashes)
+        for shingles in text_shingles(batch.column(0)):
             if not len(shingles) or (name := set_id(shingles)) in seen:
                 continue
             if len(seen) >= SEEN_SETS:
@@ -155,11 +156,9 @@ def with_partner(cells: DataFrame) -> DataFrame:
 
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in batches:
         rows = []
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            shingles = text_shingles(text, hashes)
+        for shingles, wanted in zip(text_shingles(batch.column(0)), batch.column(1).to_pylist()):
             if len(shingles) and set_id(shingles) == wanted:
                 rows.append((wanted, len(shingles), counts(shingles).tobytes(), shingles.view(np.int64)))
         columns = list(zip(*rows)) or [()] * 4
@@ -204,12 +203,12 @@ def active_sets(chosen: DataFrame, info: DataFrame, cells: DataFrame) -> DataFra
 
 
 def stars(cells: DataFrame) -> DataFrame:
-    """(lead, set_id, n_shingles): the cells of one least set put together, with their members.
+    """(lead, set_id, n_shingles, shared): the cells of one least set put together, with their members.
 
     Any two sets that share a cell share the star of that cell's least set.
     """
     leads = cells.groupBy("cell").agg(F.min("set_id").alias("lead"), F.count("*").alias("members")).where("members > 1")
-    return stage(cells.join(leads, "cell").select("lead", "set_id", "n_shingles").distinct(), "stars")
+    return stage(cells.join(leads, "cell").groupBy("lead", "set_id", "n_shingles").agg(F.count("*").alias("shared")), "stars")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -333,7 +332,9 @@ def link_sets(chosen: DataFrame, info: DataFrame) -> DataFrame:
     members = stars(cells)
     comparable = (4 * F.col("n_lead") >= 3 * F.col("n_shingles")) & (4 * F.col("n_shingles") >= 3 * F.col("n_lead"))
     leads = sets.select(F.col("set_id").alias("lead"), F.col("n_shingles").alias("n_lead"))
+    likely = F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("shared"), "lead"))
     pairs = members.where("lead <> set_id").join(leads, "lead").where(comparable)
+    pairs = pairs.withColumn("place", likely).where(F.col("place") <= LIKELY_LEADS)
     links = stage(verified(pairs.select(F.col("lead").alias("one"), F.col("set_id").alias("other")), sets), "links")
     components = connected(links, "one", "other")
     more = stage(verified(tree_candidates(unresolved(members, components), sets), sets), "links")

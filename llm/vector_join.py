@@ -15,12 +15,13 @@ per star. A cell is a shingle that several sets of comparable size have among th
 first ones in hash order. Sets that link miss at most a quarter of each other's
 shingles, so they share at least ``needed`` cells: sets with fewer drop out, and the
 others keep their rarest cells only. A star puts together the cells that have the
-same least member. Two rounds then find all components:
+same leading member. Two rounds then find all components:
 
-1. each set is verified against the least sets of those stars, a few, that it shares
+1. each set is verified against the leading sets of those stars, a few, that it shares
    most cells with, and the components of these links are found;
 2. stars whose members are still in different components are cut into blocks, and
-   R-trees of blocks are joined; pairs within a component are passed over.
+   R-trees of blocks are joined; pairs within a component are passed over, also those
+   that links found on the way connect.
 
 A link of two sets is thus either verified or lies within a component that other
 links hold together, so components are exact (with shingles and sets told apart by
@@ -49,6 +50,7 @@ from llm.common import connected, partitions, small_batches, stage, word_hashes,
 GROUPS = 256
 NODE_POINTS = 16
 BLOCK_POINTS = 512
+BLOCK_SHINGLES = 1 << 19
 # Sizes of linked sets differ by a factor of at most 4 / 3, so by at most two of these steps.
 SIZE_STEP = 1.16
 
@@ -203,12 +205,17 @@ def active_sets(chosen: DataFrame, info: DataFrame, cells: DataFrame) -> DataFra
 
 
 def stars(cells: DataFrame) -> DataFrame:
-    """(lead, set_id, n_shingles, shared): the cells of one least set put together, with their members.
+    """(lead, set_id, n_shingles, shared): the cells of one leading set put together, with their members.
 
-    Any two sets that share a cell share the star of that cell's least set.
+    The leading set of a cell is the one with most cells of several members, as near
+    copies have their original in common. Any two sets that share a cell share the
+    star of its leading set.
     """
-    leads = cells.groupBy("cell").agg(F.min("set_id").alias("lead"), F.count("*").alias("members")).where("members > 1")
-    return stage(cells.join(leads, "cell").groupBy("lead", "set_id", "n_shingles").agg(F.count("*").alias("shared")), "stars")
+    several = cells.join(cells.groupBy("cell").count().where("count > 1").select("cell"), "cell")
+    weights = several.groupBy("set_id").agg(F.count("*").alias("weight"))
+    weighted = stage(several.join(weights, "set_id"), "weighted-cells")
+    leads = weighted.groupBy("cell").agg(F.max(F.struct("weight", "set_id")).alias("first")).select("cell", F.col("first.set_id").alias("lead"))
+    return stage(weighted.join(leads, "cell").groupBy("lead", "set_id", "n_shingles").agg(F.count("*").alias("shared")), "stars")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -224,22 +231,26 @@ def unresolved(members: DataFrame, components: DataFrame) -> DataFrame:
     """Members of stars that lie in several components, with their component."""
     labels = components.select(F.col("node").alias("set_id"), "component")
     labelled = members.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    several = labelled.groupBy("lead").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members"))
-    return labelled.join(several.where("least <> most").select("lead", "members"), "lead")
+    several = labelled.groupBy("lead").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members"), F.sum("n_shingles").alias("total")
+    )
+    return labelled.join(several.where("least <> most").select("lead", "members", "total"), "lead")
 
 
 def blocks(members: DataFrame) -> DataFrame:
     """Members with their block: a star of up to BLOCK_POINTS members is one block.
 
-    A larger one is cut by component, if that alone would fill a block, by size and by
-    a hash, so that blocks within a component need not be joined.
+    A larger one, or one of long sets, is cut by component, if that alone would fill a
+    block, by size and by a hash, so that blocks within a component need not be joined.
     """
-    large = F.col("members") > BLOCK_POINTS
+    large = (F.col("members") > BLOCK_POINTS) | (F.col("total") > BLOCK_SHINGLES)
     weight = members.groupBy("lead", "component").agg(F.count("*").alias("weight"))
     own = F.when(large & (F.col("weight") > BLOCK_POINTS), F.col("component")).otherwise(0)
     band = F.when(large, F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(SIZE_STEP)))).otherwise(0).cast("int")
     rows = members.join(weight, ["lead", "component"]).withColumn("own", own).withColumn("band", band)
-    filled = rows.groupBy("lead", "own", "band").agg(F.ceil(F.count("*") / BLOCK_POINTS).alias("parts"))
+    filled = rows.groupBy("lead", "own", "band").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_POINTS, F.sum("n_shingles") / BLOCK_SHINGLES)).alias("parts")
+    )
     part = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
     placed = rows.join(filled, ["lead", "own", "band"]).withColumn("part", F.when(large, part).otherwise(0))
     return stage(placed.select("lead", "own", "band", "part", "set_id", "n_shingles", "component"), "blocks")
@@ -294,35 +305,59 @@ def tree_join(one: tuple, other: tuple | None) -> Iterator[tuple[np.ndarray, np.
                 yield np.full(len(rest), place), rest
 
 
+def root(parents: dict[int, int], node: int) -> int:
+    while parents.setdefault(node, node) != node:
+        parents[node] = node = parents[parents[node]]
+    return node
+
+
+def shared_count(one: np.ndarray, other: np.ndarray) -> int:
+    """How many values two sorted arrays have in common."""
+    return int((one[np.minimum(np.searchsorted(one, other), len(one) - 1)] == other).sum())
+
+
+def block_links(one: tuple, other: tuple | None) -> Iterator[tuple[int, int]]:
+    """Links between sets of different components in one or two blocks, as many as connect them.
+
+    A side is (set ids, shingles, (points, sizes, components)).
+    """
+    ids, shingles, tree = one
+    ids_2, shingles_2, tree_2 = other or one
+    parents: dict[int, int] = {}
+    for places, near in tree_join(tree, tree_2 if other else None):
+        place = places[0]
+        for at in near:
+            mine, theirs = root(parents, tree[2][place]), root(parents, tree_2[2][at])
+            if mine != theirs and linked(shared_count(shingles[place], shingles_2[at]), len(shingles[place]), len(shingles_2[at])):
+                parents[max(mine, theirs)] = min(mine, theirs)
+                yield ids[place], ids_2[at]
+
+
 def join_batch(rows: pd.DataFrame) -> pd.DataFrame:
-    """The candidate pairs of all block pairs in a task's share."""
-    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    """The links of all block pairs in a task's share."""
+    found = []
     for _, group in rows.groupby("pair", sort=False):
         sides = []
         for _, side in group.groupby("side"):
             points = np.stack([np.frombuffer(raw, "<u2" if len(raw) == 2 * GROUPS else "<u4").astype(np.int32) for raw in side["counts"]])
-            sides.append((side["set_id"].to_numpy(), (points, side["n_shingles"].to_numpy(), side["component"].to_numpy())))
-        if len(sides) == 1 and group["other"].iloc[0]:
-            continue
-        (ids, one), (ids_2, other) = sides[0], sides[1] if len(sides) > 1 else (sides[0][0], None)
-        found += [(ids[mine], ids_2[theirs]) for mine, theirs in tree_join(one, other)]
-    one, other = (np.concatenate(column) for column in zip(*found))
-    pairs = pd.DataFrame({"one": np.minimum(one, other), "other": np.maximum(one, other)})
-    return pairs.drop_duplicates()
+            shingles = [np.sort(one) for one in side["shingles"]]
+            sides.append((side["set_id"].tolist(), shingles, (points, side["n_shingles"].to_numpy(), side["component"].to_numpy())))
+        if len(sides) > 1 or not group["two"].iloc[0]:
+            found += block_links(sides[0], sides[1] if len(sides) > 1 else None)
+    return pd.DataFrame(found, columns=["one", "other"], dtype="int64")
 
 
-def tree_candidates(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (one, other) of sets in different components that share a star and pass the bound."""
+def tree_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links (one, other) that connect sets of different components that share a star."""
     placed = blocks(members)
     pairs = stage(block_pairs(placed).withColumn("pair", F.xxhash64("lead", "own", "band", "part", "own_2", "band_2", "part_2")), "pairs")
     same = (F.col("own") == F.col("own_2")) & (F.col("band") == F.col("band_2")) & (F.col("part") == F.col("part_2"))
     keys = ["lead", "own", "band", "part"]
-    first = pairs.select(*keys, "pair", F.lit(0).alias("side"), (~same).alias("other"))
-    second = pairs.where(~same).select("lead", *(F.col(f"{key}_2").alias(key) for key in keys[1:]), "pair", F.lit(1).alias("side"), F.lit(True).alias("other"))
-    rows = placed.join(first.unionByName(second), keys).select("pair", "side", "other", "set_id", "component")
-    rows = rows.join(sets.select("set_id", "n_shingles", "counts"), "set_id")
-    share = F.pmod("pair", F.lit(16 * partitions(members.sparkSession)))
-    return rows.withColumn("share", share).groupBy("share").applyInPandas(join_batch, "one bigint, other bigint").distinct()
+    first = pairs.select(*keys, "pair", F.lit(0).alias("side"), (~same).alias("two"))
+    second = pairs.where(~same).select("lead", *(F.col(f"{key}_2").alias(key) for key in keys[1:]), "pair", F.lit(1).alias("side"), F.lit(True).alias("two"))
+    rows = placed.join(first.unionByName(second), keys).select("pair", "side", "two", "set_id", "component")
+    rows = rows.join(sets, "set_id").withColumn("share", F.pmod("pair", F.lit(16 * partitions(members.sparkSession))))
+    return rows.groupBy("share").applyInPandas(join_batch, "one bigint, other bigint").distinct()
 
 
 def link_sets(chosen: DataFrame, info: DataFrame) -> DataFrame:
@@ -337,7 +372,7 @@ def link_sets(chosen: DataFrame, info: DataFrame) -> DataFrame:
     pairs = pairs.withColumn("place", likely).where(F.col("place") <= LIKELY_LEADS)
     links = stage(verified(pairs.select(F.col("lead").alias("one"), F.col("set_id").alias("other")), sets), "links")
     components = connected(links, "one", "other")
-    more = stage(verified(tree_candidates(unresolved(members, components), sets), sets), "links")
+    more = stage(tree_links(unresolved(members, components), sets), "links")
     return connected(links.unionByName(more), "one", "other")
 
 

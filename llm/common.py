@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from feedmill.sources.scratch import stage
 
 __all__ = [
-    "SHINGLE_WORDS", "connected", "keys_of_several", "partitions", "small_batches", "stage", "table",
+    "SHINGLE_WORDS", "connected", "free_name", "keys_of_several", "own_columns", "partitions", "small_batches", "stage", "table",
     "window_hashes", "word_hashes", "word_shingles", "words",
 ]
 
@@ -39,6 +39,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column of the frame has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def own_columns(df: DataFrame) -> list:
+    """The frame's columns, also those with dots in their names."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hand rows to Python workers some megabytes at a time, however long their texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

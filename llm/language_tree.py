@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from llm.common import small_batches
+from llm.common import free_name, small_batches
 
 PAIR_BITS, TRIPLE_BITS = 9, 11
 FEATURES = (1 << PAIR_BITS) + (1 << TRIPLE_BITS)
@@ -164,27 +165,31 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return LanguageTree(languages, groups, np.array(family_weights), pair_weights)
 
 
-def with_language(docs: DataFrame, tree: LanguageTree, text_col: str = "text") -> DataFrame:
-    """The frame with the columns ``lang_pred`` and ``score`` added, from the whole text."""
-    taken = {"lang_pred", "score"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"the table already has {sorted(taken)}")
-    at, names = docs.columns.index(text_col), [*docs.columns, "lang_pred", "score"]
+def with_language(docs: DataFrame, tree: LanguageTree, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
+    """The frame with the two columns added, from the whole text; columns of these names are replaced."""
+    others = [name for name in docs.columns if name.lower() not in (lang_name.lower(), score_name.lower())]
+    given = docs.select(F.col(text_col).cast("string").alias(free_name(docs, "text_read")), *(F.col(f"`{name}`") for name in others))
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                tree.predict(features(text)) if text and has_letter(text) else (UNDETERMINED, 0.0)
-                for text in batch.column(at).to_pylist()
+                tree.predict(features(text)) if text and has_letter(text) else (UNDETERMINED, 0.0) for text in batch.column(0).to_pylist()
             ]
             columns = [pa.array([lang for lang, _ in found], pa.string()), pa.array([score for _, score in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=names)
 
     small_batches(docs.sparkSession)
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+    schema = StructType([*given.schema.fields[1:], StructField(lang_name, StringType()), StructField(score_name, DoubleType())])
+    names = schema.names
+    return given.mapInArrow(predicted, schema)
 
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.mapInArrow(predicted, schema)
+
+def drop_undetermined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents that have a language, which replaces their label; learned from the rows that are not held out."""
+    tree = fit(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    named = with_language(docs, tree, text_col, lang, score).where(F.col(lang) != UNDETERMINED)
+    return named.select(*(F.col(lang).alias(name) if name == lang_col else F.col(f"`{name}`") for name in docs.columns))
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2):

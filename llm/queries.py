@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from llm import class_lm, cover_dedup, language_tree, minhash, posting_ann, raking, secret_links, sos_packing, vector_join, warc_zstd
 from llm.common import table
 
@@ -110,3 +111,6 @@ def op9_raking(spark, sf_dir):
 @query("op10_minhash")
 def op10_minhash(spark, sf_dir):
     return minhash.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

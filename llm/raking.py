@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stage
+from llm.common import free_name, own_columns, stage
 
 TEMPER = 0.7
 KEEP = 0.6
@@ -106,36 +106,40 @@ def probabilities(raked: DataFrame, keep: float = KEEP) -> DataFrame:
     return raked.withColumn("probability", F.least(F.lit(1.0), wish * high))
 
 
-def with_cells(docs: DataFrame, text_col: str = "text", topic: Column | None = None) -> DataFrame:
-    """The margins as keys (null told from every text), and the tokens of each document."""
+def with_cells(docs: DataFrame, name: str, text_col: str = "text", topic: Column | None = None) -> DataFrame:
+    """The frame with a struct ``name``: the margins as keys (null told from every text) and the document's tokens."""
     key = {margin: F.coalesce(F.concat(F.lit("="), F.col(margin).cast("string")), F.lit("null")) for margin in ("source", "lang")}
     key["topic"] = F.concat(F.lit("="), topic_of(F.col(text_col)) if topic is None else topic)
-    return docs.select("*", F.struct(*(key[margin].alias(margin) for margin in MARGINS), token_count(F.col(text_col)).alias("tokens")).alias("mix"))
+    cell = F.struct(*(key[margin].alias(margin) for margin in MARGINS), token_count(F.col(text_col)).alias("tokens"))
+    return docs.select(*own_columns(docs), cell.alias(name))
 
 
-def mix(docs: DataFrame, wanted: dict[str, dict] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The frame with a struct ``mix``: the margins, tokens, weight per token, probability and whether the document is drawn.
+def mix(docs: DataFrame, wanted: dict[str, dict] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", name: str = "mix") -> DataFrame:
+    """The frame with a struct ``name``: the margins, tokens, weight per token, probability and whether the document is drawn.
 
-    ``wanted`` maps a margin to shares per value, written ``=value`` or ``null``.
+    ``wanted`` maps a margin to shares per value, written ``=value`` or ``null``. A
+    column that is already called ``name`` is replaced.
     """
-    if "mix" in docs.columns:
-        raise ValueError("the table already has a column mix")
-    known = with_cells(docs, text_col)
-    cells = stage(known.groupBy(*(F.col(f"mix.{margin}").alias(margin) for margin in MARGINS)).agg(F.sum("mix.tokens").alias("tokens")), "cells")
-    chances = stage(probabilities(rake(cells, wanted), keep), "chances")
-    chances = chances.select(*(F.col(margin).alias(f"cell_{margin}") for margin in MARGINS), F.col("tokens").alias("cell_tokens"), "weight", "probability")
-    same = [F.col(f"mix.{margin}") == F.col(f"cell_{margin}") for margin in MARGINS]
+    docs = docs.drop(name)
+    chance = free_name(docs.withColumn(name, F.lit(0)), "chance")
+    known = with_cells(docs, name, text_col)
+    cells = known.groupBy(*(F.col(f"{name}.{margin}").alias(margin) for margin in MARGINS)).agg(F.sum(f"{name}.tokens").alias("tokens"))
+    chances = stage(probabilities(rake(stage(cells, "cells"), wanted), keep), "chances")
+    chances = chances.select(F.struct(*MARGINS, (F.col("weight") / F.col("tokens")).alias("weight"), "probability").alias(chance))
+    same = [F.col(f"{name}.{margin}") == F.col(f"{chance}.{margin}") for margin in MARGINS]
     joined = known.join(chances, same[0] & same[1] & same[2], "left")
     # Cells without tokens hold no weight; their documents cost nothing and stay.
-    probability = F.coalesce(F.col("probability"), F.lit(1.0))
-    place = F.pmod(F.xxhash64(F.lit(SEED), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.col(text_col)))), F.lit(1 << 52)) / float(1 << 52)
+    probability = F.coalesce(F.col(f"{chance}.probability"), F.lit(1.0))
+    identity = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.col(text_col)), F.lit(""))
+    place = F.pmod(F.xxhash64(F.lit(SEED), identity), F.lit(1 << 52)) / float(1 << 52)
     drawn = F.struct(
-        *(F.col(f"mix.{margin}").alias(margin) for margin in MARGINS), F.col("mix.tokens").alias("tokens"),
-        (F.col("weight") / F.col("cell_tokens")).alias("weight"), probability.alias("probability"), (place < probability).alias("drawn"),
+        *(F.col(f"{name}.{field}").alias(field) for field in (*MARGINS, "tokens")), F.col(f"{chance}.weight").alias("weight"),
+        probability.alias("probability"), (place < probability).alias("drawn"),
     )
-    return joined.select(*(F.col(f"`{name}`") for name in docs.columns), drawn.alias("mix"))
+    return joined.select(*own_columns(docs), drawn.alias(name))
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
     """The documents that are drawn, with their own columns."""
-    return mix(docs, **options).where("mix.drawn").select(*(F.col(f"`{name}`") for name in docs.columns))
+    name = free_name(docs, "mix")
+    return mix(docs, name=name, **options).where(f"{name}.drawn").select(*own_columns(docs))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import small_batches, stage
+from llm.common import free_name, own_columns, small_batches, stage
 
 SCOPE = 200
 KINDS = ["assign", "access", "hex", "ident", "weak", "endpoint"]
@@ -109,9 +109,13 @@ def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document its base spans and weak candidates; ``key`` stands for id and text."""
     small_batches(docs.sparkSession)
-    chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(F.xxhash64("text")), F.length("text").cast("string"))
-    return chosen.select(key.alias("key"), "doc_id", "text").mapInArrow(scan_batches, SCANNED)
+    doc, text = F.col(id_col).cast("bigint"), F.col(text_col).cast("string")
+    return docs.select(row_key(doc, text).alias("key"), doc.alias("doc_id"), text.alias("text")).mapInArrow(scan_batches, SCANNED)
+
+
+def row_key(doc, text):
+    """A key for id and text, the same for repeated rows only."""
+    return F.concat_ws(":", doc.cast("string"), F.hex(F.xxhash64(text)), F.length(text).cast("string"))
 
 
 def cells(first, last):
@@ -146,24 +150,49 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``secrets`` lists every span as (start, stop, kind); ``spans`` has them as text.
     """
-    scanned = stage(scan_documents(docs, id_col, text_col), "secret-scan")
-    added = linked(scanned).groupBy("key").agg(F.collect_list(F.struct("start", "stop", "kind")).alias("added"))
-    by_start = F.array_sort(
-        F.transform(F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:bigint,stop:bigint,kind:int>>"))),
-                    lambda span: F.struct(span.start.alias("start"), span.kind.alias("kind"), span.stop.alias("stop")))
-    )
     kinds = F.array(*(F.lit(kind) for kind in KINDS))
     span_text = F.transform("secrets", lambda span: F.concat_ws(":", F.element_at(kinds, span.kind + 1), span.start, span.stop))
-    return (
-        scanned.join(added, "key", "left")
-        .withColumn("secrets", by_start)
-        .select(
-            "doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
-            F.array_join(span_text, ",").alias("spans"),
-            F.coalesce(F.size("added"), F.lit(0)).cast("bigint").alias("n_linked"),
-            "secrets",
-        )
-    )
+    return with_spans(stage(scan_documents(docs, id_col, text_col), "secret-scan")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(span_text, ",").alias("spans"), "n_linked", "secrets"
+    )
+
+
+def with_spans(scanned: DataFrame) -> DataFrame:
+    """The scanned rows with ``secrets``, base and linked spans by start, and the number of linked ones."""
+    added = linked(scanned).groupBy("key").agg(F.collect_list(F.struct("start", "stop", "kind")).alias("added"))
+    none = F.array().cast("array<struct<start:bigint,stop:bigint,kind:int>>")
+    ordered = F.transform(
+        F.concat("base", F.coalesce("added", none)),
+        lambda span: F.struct(span.start.alias("start"), span.kind.alias("kind"), span.stop.alias("stop")),
+    )
+    number = F.coalesce(F.array_size("added"), F.lit(0)).cast("bigint")
+    return scanned.join(added, "key", "left").withColumn("secrets", F.array_sort(ordered)).withColumn("n_linked", number)
+
+
+def mask_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """The frame with every span of the texts replaced by its kind; ``length_col``, if given, has the new number of characters.
+
+    Only documents with spans go through Python a second time.
+    """
+    key, spans = free_name(docs, "secret_key"), free_name(docs, "secret_spans")
+    found = with_spans(stage(scan_documents(docs, id_col, text_col), "secret-scan")).where(F.size("secrets") > 0)
+    found = stage(found.dropDuplicates(["key"]).select(F.col("key").alias(key), F.col("secrets").alias(spans)), "secret-spans")
+    keyed = docs.withColumn(key, row_key(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")))
+    names, at = docs.columns, docs.columns.index(text_col)
+
+    def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [mask(text, one) for text, one in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist())]
+            columns = list(batch.columns[: len(names)])
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    touched = keyed.join(found, key).select(*own_columns(docs), spans).mapInArrow(masked, docs.schema)
+    if length_col is not None:
+        kind = docs.schema[length_col].dataType
+        touched = touched.withColumn(length_col, F.length(text_col).cast(kind))
+    untouched = keyed.join(found.select(key), key, "left_anti").select(*own_columns(docs))
+    return untouched.unionByName(touched)
 
 
 def mask(text: str, spans: list) -> str:

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import connected, partitions, small_batches, stage, word_hashes, word_shingles
+from llm.common import connected, free_name, partitions, small_batches, stage, word_hashes, word_shingles
 
 GROUPS = 256
 NODE_POINTS = 16
@@ -376,22 +376,37 @@ def link_sets(chosen: DataFrame, info: DataFrame) -> DataFrame:
     return connected(links.unionByName(more), "one", "other")
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, and component_id, the least id reachable by links."""
+def labelled_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component): the component is the least set id in it, null where there are no words."""
     small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
     chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     info = shingle_info(chosen)
     components = link_sets(chosen, info).select(F.col("node").alias("set_id"), "component")
-    labelled = info.where("set_id is not null").join(components, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    with_words = info.where("set_id is not null").join(components, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    without = info.where("set_id is null").withColumn("component", F.lit(None).cast("bigint"))
+    columns = ["doc_id", "text_key", "n_shingles", "component"]
+    return with_words.select(*columns).unionByName(without.select(*columns))
+
+
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, and component_id, the least id reachable by links."""
+    labelled = stage(labelled_documents(docs, id_col, text_col), "labelled")
+    least = labelled.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found = labelled.join(least, "component").select("doc_id", "n_shingles", "component_id")
-    return found.unionByName(info.where("set_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    alone = labelled.where("component is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return found.unionByName(alone)
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that name their component; of rows that repeat such an id, one."""
-    named = join_components(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    named = named.select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(named, F.col(id_col).cast("bigint").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    """The frame with one row of each component, that of the smallest id (no id comes last), and all rows without words."""
+    kept, key, mine = (free_name(docs, name) for name in ("kept_id", "kept_key", "text_key"))
+    labelled = labelled_documents(docs, id_col, text_col).where("component is not null")
+    first = labelled.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias(kept), F.col("first.text_key").alias(key)).distinct()
+    text = F.col(text_col).cast("string")
+    blank = F.coalesce(~F.rlike(text, F.lit("[^ \\t-\\r]")), F.lit(True))
+    keyed = docs.withColumn(mine, F.xxhash64(text))
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col(kept)) & (F.col(mine) == F.col(key))
+    chosen = keyed.where(~blank).join(first, same, "left_semi").dropDuplicates([id_col, mine])
+    return chosen.unionByName(keyed.where(blank)).drop(mine)

@@ -62,8 +62,18 @@ def targets(cells: DataFrame, margin: str, wanted: dict | None, temper: float =
     else:
         pairs = [F.lit(value) for pair in wanted.items() for value in pair]
         share = F.coalesce(F.element_at(F.create_map(*pairs), F.col(margin)), F.lit(0.0)).cast("double")
-    raw = sums.select(margin, share.alias("share"))
-    return raw.crossJoin(F.broadcast(raw.agg(F.sum("share").alias("all")))).select(margin, (F.col("share") / F.col("all")).alias("target"))
+    total = sums.agg(F.sum(share)).first()[0] or 1.0
+    return sums.select(margin, (share / total).alias("target"))
+
+
+def gap(weighted: DataFrame, goal: dict[str, DataFrame], margins) -> float:
+    """The largest difference between a value's share and its target."""
+    found = None
+    for margin in margins:
+        sums = weighted.groupBy(margin).agg(F.sum("weight").alias("sum")).join(goal[margin], margin)
+        off = sums.select(F.abs(F.col("sum") - F.col("target")).alias("off"))
+        found = off if found is None else found.unionByName(off)
+    return (found.agg(F.max("off")).first()[0] or 0.0) if found is not None else 0.0
 
 
 def rake(cells: DataFrame, wanted: dict[str, dict] | None = None, margins=MARGINS, temper: float = TEMPER) -> DataFrame:
@@ -78,11 +88,7 @@ def rake(cells: DataFrame, wanted: dict[str, dict] | None = None, margins=MARGIN
             )
             weighted = weighted.join(factor, margin).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
         weighted = stage(weighted, "raked")
-        gaps = [
-            weighted.groupBy(margin).agg(F.sum("weight").alias("sum")).join(goal[margin], margin).agg(F.max(F.abs(F.col("sum") - F.col("target")))).first()[0]
-            for margin in margins[:-1]  # the last margin has just been met
-        ]
-        if max((gap or 0.0 for gap in gaps), default=0.0) <= TOLERANCE:
+        if gap(weighted, goal, margins[:-1]) <= TOLERANCE:  # the last margin has just been met
             break
     return weighted
 

@@ -190,7 +190,8 @@ def exchange(matrix: np.ndarray, n_core: int, classes: int = CLASSES, sweeps: in
             pairs[own] -= right
             pairs[:, own] -= left
             pairs[own, own] -= self_count
-            rows, columns = pairs.sum(axis=1), pairs.sum(axis=0)
+            # Its neighbours keep their totals wherever it goes.
+            rows, columns = pairs.sum(axis=1) + left, pairs.sum(axis=0) + right
             gain = (h(pairs[:classes] + right) - h(pairs[:classes])).sum(axis=1)
             gain += (h(pairs[:, :classes] + left[:, None]) - h(pairs[:, :classes])).sum(axis=0)
             place = np.arange(classes)

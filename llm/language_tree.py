@@ -59,7 +59,8 @@ def features(text: str) -> np.ndarray:
         code = np.frombuffer(raw, np.uint8, min(CHUNK_BYTES + 2, len(raw) - at), at).astype(np.uint32)
         pairs = code[:-1] << np.uint32(8) | code[1:]
         triples = pairs[:-1] << np.uint32(8) | code[2:]
-        for codes, bits, begin in ((pairs, PAIR_BITS, 0), (triples, TRIPLE_BITS, 1 << PAIR_BITS)):
+        # A pair counts with the triple that begins with it, so chunks may overlap.
+        for codes, bits, begin in ((pairs[:-1], PAIR_BITS, 0), (triples, TRIPLE_BITS, 1 << PAIR_BITS)):
             places = (codes * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
             total[begin : begin + (1 << bits)] += np.bincount(places, minlength=1 << bits)
     np.sqrt(total, out=total)
@@ -169,6 +170,7 @@ def with_language(docs: DataFrame, tree: LanguageTree, text_col: str = "text", l
     """The frame with the two columns added, from the whole text; columns of these names are replaced."""
     others = [name for name in docs.columns if name.lower() not in (lang_name.lower(), score_name.lower())]
     given = docs.select(F.col(text_col).cast("string").alias(free_name(docs, "text_read")), *(F.col(f"`{name}`") for name in others))
+    fields = given.schema.fields[1:]
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,9 +181,9 @@ def with_language(docs: DataFrame, tree: LanguageTree, text_col: str = "text", l
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=names)
 
     small_batches(docs.sparkSession)
-    schema = StructType([*given.schema.fields[1:], StructField(lang_name, StringType()), StructField(score_name, DoubleType())])
+    schema = StructType([*fields, StructField(lang_name, StringType()), StructField(score_name, DoubleType())])
     names = schema.names
-    return given.mapInArrow(predicted, schema)
+    return given.toDF(*(f"c{at}" for at in range(len(fields) + 1))).mapInArrow(predicted, schema)
 
 
 def drop_undetermined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -187,7 +187,8 @@ def mask_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    touched = keyed.join(found, key).select(*own_columns(docs), spans).mapInArrow(masked, docs.schema)
+    touched = keyed.join(found, key).select(*own_columns(docs), spans).toDF(*(f"c{place}" for place in range(len(names) + 1)))
+    touched = touched.mapInArrow(masked, docs.schema)
     if length_col is not None:
         kind = docs.schema[length_col].dataType
         touched = touched.withColumn(length_col, F.length(text_col).cast(kind))

@@ -2,9 +2,12 @@
 
     feed loan --csv FILE --fmt kafka --option topic=loans --option kafka.bootstrap.servers=...
     ingest loan --base DIR --topic loans --option kafka.bootstrap.servers=...
-    train loan --base DIR
-    marts --base DIR --target parquet=DIR/marts --target json=DIR/copy
+    train loan --base DIR --result-model forest
+    marts --base DIR --target parquet=DIR/marts --target mongodb --target-option mongodb.collection={mart}
     charts --base DIR/marts --out DIR/charts
+    charts --fmt mongodb --option collection={mart} --out DIR/charts
+
+``{mart}`` stands for the mart's name.
 
 Names are ``loan`` and ``mkt``. Tables lie under the base folder as
 ``<name>_bronze``, ``<name>_silver``, ``<name>_gold`` and their results.
@@ -22,7 +25,7 @@ from feedmill.session import build_session
 from feedmill.sources.tables import Target, publish, read_csv, read_table
 from feedmill.streaming.ingest import file_stream, start_ingest, topic_stream
 
-PUBLISHED_ROWS = {"loan": fixed.LOAN_PUBLISHED_ROWS, "mkt": fixed.MARKETING_PUBLISHED_ROWS}
+PLANS = {"loan": loan, "mkt": marketing}
 CHART_MARTS = [
     "viz_loan_grade", "viz_mkt_balance", "viz_loan_home", "viz_mkt_edu", "viz_loan_scatter", "viz_mkt_job",
 ]
@@ -33,14 +36,14 @@ def arguments(words: list[str] | None) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
     job = {name: jobs.add_parser(name) for name in ("feed", "ingest", "train", "marts", "charts")}
     for name in ("feed", "ingest", "train"):
-        job[name].add_argument("name", choices=sorted(PUBLISHED_ROWS))
-    for name in ("ingest", "train", "marts", "charts"):
+        job[name].add_argument("name", choices=sorted(PLANS))
+    for name in ("ingest", "train", "marts"):
         job[name].add_argument("--base", required=True)
-    for name in ("feed", "ingest"):
+    for name in ("feed", "ingest", "charts"):
         job[name].add_argument("--option", action="append", default=[], help="key=value for the reader or writer")
     job["feed"].add_argument("--csv", required=True)
     job["feed"].add_argument("--order-by", action="append", help="default: the order of the file")
-    job["feed"].add_argument("--rows", type=int, help="0 for all")
+    job["feed"].add_argument("--rows", type=int, help="the first so many; default: all")
     job["feed"].add_argument("--fmt", default="kafka")
     job["feed"].add_argument("--path")
     job["ingest"].add_argument("--topic")
@@ -48,14 +51,22 @@ def arguments(words: list[str] | None) -> argparse.Namespace:
     job["ingest"].add_argument("--once", action="store_true", help="take what is there and end")
     for name in ("ingest", "train", "marts"):
         job[name].add_argument("--table-fmt", default="parquet")
-    job["marts"].add_argument("--target", action="append", required=True, help="format=folder")
+    job["train"].add_argument("--fit-all", action="store_true", help="fit weight, indexes and scale on the holdout too")
+    job["train"].add_argument("--result-model", choices=["logistic", "forest"], help="loans only")
+    job["train"].add_argument("--max-bins", type=int, help="for categories with more than 32 values")
+    job["train"].add_argument("--partitions", type=int, help="of the training rows")
+    job["train"].add_argument("--schema-from-first-row", action="store_true", help="contacts only")
+    job["marts"].add_argument("--target", action="append", required=True, help="format=folder, or format alone")
+    job["marts"].add_argument("--target-option", action="append", default=[], help="format.key=value")
+    job["marts"].add_argument("--scatter-rows", type=int, help="default: all")
+    job["charts"].add_argument("--base", help="folder of the marts")
+    job["charts"].add_argument("--fmt", default="parquet")
     job["charts"].add_argument("--out", required=True)
     return parser.parse_args(words)
 
 
 def run_feed(spark: SparkSession, given: argparse.Namespace, options: dict[str, str]) -> None:
-    rows = PUBLISHED_ROWS[given.name] if given.rows is None else given.rows or None
-    publish(feed.encode_feed(read_csv(spark, given.csv), given.order_by, rows), given.fmt, given.path, **options)
+    publish(feed.encode_feed(read_csv(spark, given.csv), given.order_by, given.rows), given.fmt, given.path, **options)
 
 
 def run_ingest(spark: SparkSession, given: argparse.Namespace, options: dict[str, str]) -> None:
@@ -65,6 +76,34 @@ def run_ingest(spark: SparkSession, given: argparse.Namespace, options: dict[str
     start_ingest(source, bronze, ledger, checkpoint, given.table_fmt, trigger).awaitTermination()
 
 
+def training_options(given: argparse.Namespace) -> dict:
+    """What was given of the options of a plan's ``run``."""
+    named = {"result_model": given.result_model, "maxBins": given.max_bins, "partitions": given.partitions}
+    options = {name: value for name, value in named.items() if value is not None}
+    if given.schema_from_first_row:
+        options["schema_from_first_row"] = True
+    return {"fit_all": given.fit_all, **options}
+
+
+def mart_targets(given: argparse.Namespace, mart: str) -> list[Target]:
+    """The places of one mart: below a folder, or where the format's options say."""
+    options: dict[str, dict[str, str]] = {}
+    for pair in given.target_option:
+        name, value = pair.split("=", 1)
+        fmt, key = name.split(".", 1)
+        options.setdefault(fmt, {})[key] = value.replace("{mart}", mart)
+    pairs = [target.partition("=") for target in given.target]
+    return [Target(fmt, f"{folder}/{mart}" if folder else None, options.get(fmt, {})) for fmt, _, folder in pairs]
+
+
+def run_charts(spark: SparkSession, given: argparse.Namespace, options: dict[str, str]) -> None:
+    built = {}
+    for mart in CHART_MARTS:
+        own = {key: value.replace("{mart}", mart) for key, value in options.items()}
+        built[mart] = read_table(spark, f"{given.base}/{mart}" if given.base else None, given.fmt, **own)
+    report.chart_rows(built).write.mode("overwrite").partitionBy("chart").json(given.out)
+
+
 def main(words: list[str] | None = None) -> None:
     given = arguments(words)
     spark = build_session(f"feedmill-{given.job}")
@@ -74,14 +113,11 @@ def main(words: list[str] | None = None) -> None:
     elif given.job == "ingest":
         run_ingest(spark, given, options)
     elif given.job == "train":
-        plan = {"loan": loan, "mkt": marketing}[given.name]
-        plan.run(spark, given.base, given.table_fmt).report.show(truncate=False)
+        PLANS[given.name].run(spark, given.base, given.table_fmt, **training_options(given)).report.show(truncate=False)
     elif given.job == "marts":
-        folders = [pair.split("=", 1) for pair in given.target]
-        marts.run(spark, given.base, lambda name: [Target(fmt, f"{path}/{name}") for fmt, path in folders], given.table_fmt)
+        marts.run(spark, given.base, lambda name: mart_targets(given, name), given.table_fmt, given.scatter_rows)
     else:
-        built = {name: read_table(spark, f"{given.base}/{name}") for name in CHART_MARTS}
-        report.chart_rows(built).write.mode("overwrite").partitionBy("chart").json(given.out)
+        run_charts(spark, given, options)
 
 
 if __name__ == "__main__":

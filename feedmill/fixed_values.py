@@ -29,10 +29,7 @@ MARKETING_POSITIVE = "yes"
 MARKETING_RESULT_COLUMNS = ["age", "job", "balance", "prediction", "label"]
 
 # --- feed and ingest sizes (fixed values) -------------------------------------
-FEED_ROW_CAP = 50_000
 FEED_CHUNK_ROWS = 1_000
-LOAN_PUBLISHED_ROWS = 5_000
-MARKETING_PUBLISHED_ROWS = 50_000
 INGEST_TRIGGER = "5 seconds"
 
 # --- models (fixed values) ----------------------------------------------------

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,29 +52,29 @@ def decode_json(bronze: DataFrame, schema: T.StructType | str, value: str = "val
     return bronze.select(F.inline(F.array(F.from_json(field(value), schema))))
 
 
+def only_value(bronze: DataFrame, name: str = "line", value: str = "value") -> DataFrame:
+    """The value of one-field JSON objects, whatever the field is called; null where the text is no object.
+
+    Rows under different names, odd rows and broken ones stand side by side;
+    no schema is taken from any of them. Of several fields the first counts.
+    """
+    fields = F.map_values(F.from_json(field(value), "map<string,string>"))
+    return bronze.select(F.inline(F.array(F.struct(F.get(fields, F.lit(0)).alias(name)))))
+
+
 def sampled_schema(bronze: DataFrame, value: str = "value") -> T.StructType:
-    """Schema of one row's JSON, which then stands for the whole table.
+    """Schema of one row's JSON, which then stands for the whole table; for parity with feeds read that way.
 
-    Only that row comes to the driver. ``common_key_schema`` looks at every
-    row instead, at the price of a pass over the table.
+    Only that row comes to the driver.
     """
     first = bronze.select(field(value).alias("value")).where("value IS NOT NULL").first()
     if first is None:
         raise ValueError("no rows to take a JSON schema from")
-    ddl = bronze.sparkSession.range(1).select(F.schema_of_json(F.lit(first["value"])).alias("ddl")).first()["ddl"]
-    schema = T.DataType.fromDDL(ddl)
+    try:
+        ddl = bronze.sparkSession.range(1).select(F.schema_of_json(F.lit(first["value"])).alias("ddl")).first()["ddl"]
+        schema = T.DataType.fromDDL(ddl)
+    except (PySparkException, Py4JJavaError):
+        schema = None
     if not isinstance(schema, T.StructType) or not schema.names:
         raise ValueError(f"the sampled row holds no JSON object: {first['value'][:200]!r}")
     return schema
-
-
-def common_key_schema(bronze: DataFrame, value: str = "value") -> T.StructType:
-    """One text field: the JSON key that most rows have (ties: first by name).
-
-    Counting keys combines before the shuffle; one row comes to the driver.
-    """
-    keys = bronze.select(F.explode(F.json_object_keys(field(value))).alias("key"))
-    top = keys.groupBy("key").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "key").first()
-    if top is None:
-        raise ValueError("no row holds a JSON object")
-    return text_schema([top["key"]])

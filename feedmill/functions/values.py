@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
@@ -18,6 +18,14 @@ def field(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column of the frame has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def lenient_double(value: Column | str) -> Column:
     """Double, or null where the text is no number. Blanks around it are fine."""
     return as_column(value).try_cast("double")

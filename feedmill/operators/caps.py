@@ -3,81 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from feedmill.functions.values import field
-from feedmill.operators.sizes import estimated_bytes
+from feedmill.functions.values import field, unused
+from feedmill.operators.ordinals import with_ordinals
 
-# Above this many bytes of input the table is cut down before the final sort.
-BOUND_FROM_BYTES = 4 << 30
-SAMPLE_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
-NARROWABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+GROUP_TASKS = 1_000
+# More rows than this are numbered by range blocks instead of sorted in one task.
+SORTED_ROWS = 100_000
 
 
-def ordered_cap(
-    df: DataFrame, rows: int, order_by: Sequence[str], bound_from_bytes: int = BOUND_FROM_BYTES
-) -> DataFrame:
+def ordered_cap(df: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``rows`` rows by ascending ``order_by`` columns, nulls first.
 
-    Sort-and-limit keeps the first n of every task and merges them in one, so
-    its last task sees n rows per task of the scan. On a large table the rows
-    that cannot be among the first n are filtered away beforehand, which
-    reads the order columns a few times: stage an input that is dear to compute.
+    Every group of neighbouring tasks keeps its first rows, which Spark limits
+    in each task before they are shuffled; the few left are sorted at the end.
+    That last sort takes one task, so for a large ``rows`` all rows are numbered
+    instead and those with a small number taken, with no task taking more than a block.
     """
     order = [field(name) for name in order_by]
-    if estimated_bytes(df) > bound_from_bytes:
-        df = _without_late_rows(df, rows, list(order_by))
-    return df.orderBy(*order).limit(rows)
-
-
-def _without_late_rows(df: DataFrame, rows: int, order_by: list[str]) -> DataFrame:
-    """Drop rows that come after at least ``rows`` others; keeps all the first ones.
-
-    For each order column in turn a bound is found, such that enough rows lie
-    at or below it. Rows below it stay; of the rows equal to it, the next
-    column decides, so a hot key is narrowed like any other.
-    """
-    kept: list[DataFrame] = []
-    rest, wanted = df, rows
-    for name in order_by:
-        column = field(name)
-        if not isinstance(df.schema[name].dataType, NARROWABLE):
-            break
-        bound = _upper_bound(rest.select(column.alias("v")), wanted)
-        if bound is None:
-            break
-        below = column.isNull() | (column < F.lit(bound))
-        taken = rest.where(below).count()
-        kept.append(rest.where(below))
-        if taken >= wanted:
-            return reduce(DataFrame.unionAll, kept)
-        rest, wanted = rest.where(column == F.lit(bound)), wanted - taken
-    return reduce(DataFrame.unionAll, [*kept, rest])
-
-
-def _upper_bound(values: DataFrame, wanted: int):
-    """A value with at least ``wanted`` rows at or below it, found by narrowing.
-
-    Each round cuts the candidates at a quantile of a sample; the exact count
-    that follows confirms the cut, so chance decides only how much is left,
-    never which rows are right. Without the sample the sketches of all tasks
-    would be more than the one task that merges them should take.
-    """
-    bound, total = None, values.count()
-    while total > 4 * wanted:
-        share = min(1.0, 1.2 * wanted / total + 4.0 / SKETCH_ACCURACY)
-        sample = values if total <= SAMPLE_ROWS else values.sample(SAMPLE_ROWS / total, seed=total)
-        value = sample.agg(F.percentile_approx("v", F.lit(share), F.lit(SKETCH_ACCURACY)).alias("b")).first()["b"]
-        if value is None or value == bound:
-            break
-        cut = values.where(F.col("v").isNull() | (F.col("v") <= F.lit(value)))
-        left = cut.count()
-        if left < wanted:
-            break
-        values, total, bound = cut, left, value
-    return bound
+    if rows > SORTED_ROWS:
+        number = unused(df, "_number")
+        return with_ordinals(df, order, number).where(F.col(number) < rows).drop(number)
+    group, place = unused(df, "_group"), unused(df, "_place")
+    grouped = df.withColumn(group, F.floor(F.spark_partition_id() / F.lit(GROUP_TASKS)))
+    first = grouped.withColumn(place, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return first.where(F.col(place) <= rows).drop(group, place).orderBy(*order).limit(rows)

@@ -4,48 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.functions.values import field
+from feedmill.functions.values import field, unused
 from feedmill.operators.ordinals import with_ordinals
 from feedmill.sources.scratch import stage
 
 INDEX_SUFFIX = "_idx"
 
-# The driver holds the labels of an indexed column, a broadcast the frequent
-# ones of a joined column: at most this many, of at most this many characters.
-LABEL_LIMIT = 100_000
+# This many of the most frequent labels of a column go to all tasks; a label
+# longer than LONG_LABEL goes as its checksum, so the broadcast has a bound.
 HOT_LABELS = 10_000
-LABEL_CHARS = 500
+LONG_LABEL = 64
 
 
-def feature_stages(
-    numeric: Sequence[str], categorical: Sequence[str], scale: bool, labels: Mapping[str, list[str]]
-) -> Pipeline:
-    """Index the categories, assemble one vector, scale it if asked to.
+def feature_stages(numeric: Sequence[str], categorical: Sequence[str], scale: bool) -> Pipeline:
+    """Assemble numbers and category indexes to one vector, scale it if asked to.
 
-    ``labels`` holds the categories of each indexed column in index order;
-    other categorical columns bring their index along. Unseen and null
-    categories share the last index; rows with a null or NaN number are left
-    out. Scaling divides by the sample standard deviation and does not centre.
-    It also drops the mark that index columns are categories, so forests on
-    scaled vectors treat them as numbers.
+    Rows with a null or NaN number are left out. Scaling divides by the sample
+    standard deviation and does not centre. It also drops the mark that index
+    columns are categories, so forests on scaled vectors treat them as numbers.
     """
     indexes = [name + INDEX_SUFFIX for name in categorical]
     assembled = "unscaled_features" if scale else "features"
-    # One indexer per column: built for several, from label lists of different
-    # lengths, the shorter lists would be filled up with nulls.
-    stages = [
-        StringIndexerModel.from_labels(known, name, name + INDEX_SUFFIX, handleInvalid="keep")
-        for name, known in labels.items()
-    ]
-    stages.append(
-        VectorAssembler(inputCols=[*numeric, *indexes], outputCol=assembled, handleInvalid="skip")
-    )
+    stages = [VectorAssembler(inputCols=[*numeric, *indexes], outputCol=assembled, handleInvalid="skip")]
     if scale:
         stages.append(StandardScaler(inputCol=assembled, outputCol="features", withStd=True, withMean=False))
     return Pipeline(stages=stages)
@@ -57,27 +44,21 @@ def add_features(
     categorical: Sequence[str],
     scale: bool = False,
     fit_rows: DataFrame | None = None,
-    label_limit: int = LABEL_LIMIT,
+    hot_labels: int = HOT_LABELS,
 ) -> tuple[DataFrame, PipelineModel]:
-    """The frame with its features, and the fitted stages.
+    """The frame with its features, and the fitted stages behind the indexes.
 
     Fitted on all rows of the frame unless ``fit_rows`` names others, such as
-    the training part alone. An indexer keeps its labels on the driver, so a
-    column with more than ``label_limit`` different ones, or with very long
-    ones, is indexed by a join instead and is not part of the returned stages.
+    the training part alone. Categories are numbered by ``with_places``, the
+    same way whatever their number.
     """
     seen = df if fit_rows is None else fit_rows
-    labels: dict[str, list[str]] = {}
     if categorical:
-        counts = category_counts(seen, categorical)
-        wide = wide_categories(counts, label_limit)
-        labels = ordered_labels(counts, [name for name in categorical if name not in wide])
-        for column in wide:
-            places = category_places(counts, column)
-            df, seen = [with_place(rows, column, column + INDEX_SUFFIX, places) for rows in (df, seen)]
-    ready = [name if name in labels else name + INDEX_SUFFIX for name in categorical]
-    source = seen.select(*[field(name) for name in [*numeric, *ready]])
-    model = feature_stages(numeric, categorical, scale, labels).fit(source)
+        places, sizes = category_places(category_counts(seen, categorical))
+        df = with_places(df, categorical, places, sizes, hot_labels)
+        seen = df if fit_rows is None else with_places(seen, categorical, places, sizes, hot_labels)
+    source = seen.select(*[field(name) for name in [*numeric, *[name + INDEX_SUFFIX for name in categorical]]])
+    model = feature_stages(numeric, categorical, scale).fit(source)
     return model.transform(df), model
 
 
@@ -94,43 +75,68 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stage(categories.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n")), "categories")
 
 
-def wide_categories(counts: DataFrame, limit: int) -> list[str]:
-    """The columns with too many or too long categories for the driver."""
-    sizes = counts.groupBy("_column").agg(F.count(F.lit(1)).alias("labels"), F.max(F.length("_value")).alias("chars"))
-    wide = sizes.where((F.col("labels") > limit) | (F.col("chars") > LABEL_CHARS))
-    return sorted(row["_column"] for row in wide.collect())
-
-
-def ordered_labels(counts: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Categories by falling count, then by text; for columns that are not wide."""
-    rows = counts.where(F.col("_column").isin(list(columns))).collect()
-    ordered = sorted(rows, key=lambda row: (-row["_n"], row["_value"]))
-    return {name: [row["_value"] for row in ordered if row["_column"] == name] for name in columns}
-
-
-def category_places(counts: DataFrame, column: str) -> DataFrame:
-    """Every category of a wide column with its number, in the order of ``ordered_labels``."""
-    own = counts.where(F.col("_column") == column).select("_value", "_n")
-    numbered = with_ordinals(own, [F.desc("_n"), "_value"], name="_place", unique=True)
-    return numbered.select("_value", F.col("_place").cast("double").alias("_place"))
+def category_places(counts: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Every category with its number in its column, by falling count, then text; and the categories per column.
 
-
-def with_place(df: DataFrame, column: str, name: str, places: DataFrame) -> DataFrame:
-    """Join the numbers of ``category_places``; unseen and null share the one after the last.
-
-    Low numbers are the frequent categories, so the first ones go by broadcast
-    and their rows are not shuffled at all, however hot a value is. Only rows
-    of the rarer categories meet by a shuffle.
+    All columns are numbered in one go; one row per column comes to the driver.
     """
-    last = places.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    frequent = (F.col("_place") < HOT_LABELS) & (F.length("_value") <= LABEL_CHARS)
-    hot, cold = F.broadcast(places.where(frequent)), places.where(~frequent)
-    same = field(column).cast("string") == F.col("_value")
-    # Nulls match nothing, so they skip the joins instead of meeting in one task.
-    known, missing = df.where(field(column).isNotNull()), df.where(field(column).isNull())
-    parts = [
-        known.join(hot, same).withColumn(name, F.col("_place")),
-        known.join(hot, same, "left_anti").join(cold, same, "left").withColumn(name, F.coalesce("_place", last)),
-        missing.withColumn(name, last),
-    ]
-    return reduce(DataFrame.unionByName, [part.select(*[field(kept) for kept in [*df.columns, name]]) for part in parts])
+    numbered = with_ordinals(counts, ["_column", F.desc("_n"), "_value"], name="_ordinal", unique=True)
+    numbered = stage(numbered.select("_column", "_value", "_ordinal"), "places")
+    ranges = numbered.groupBy("_column").agg(F.min("_ordinal").alias("first"), F.count(F.lit(1)).alias("n")).collect()
+    if not ranges:
+        return numbered.select("_column", "_value", F.lit(0.0).alias("_place")), {}
+    first = F.create_map(*[F.lit(item) for row in ranges for item in (row["_column"], row["first"])])
+    place = (F.col("_ordinal") - F.element_at(first, F.col("_column"))).cast("double")
+    return numbered.select("_column", "_value", place.alias("_place")), {row["_column"]: row["n"] for row in ranges}
+
+
+def label_key(text: Column) -> Column:
+    """The text, or a checksum in its place where it is long."""
+    return F.when(F.length(text) <= LONG_LABEL, text).otherwise(F.concat(F.lit("\u0000md5 "), F.md5(text)))
+
+
+def with_places(
+    df: DataFrame, columns: Sequence[str], places: DataFrame, sizes: Mapping[str, int], hot_labels: int = HOT_LABELS
+) -> DataFrame:
+    """The frame with the number of each category; unseen and null share the one after the last.
+
+    The frequent labels of all columns are joined by broadcast in one pass, so
+    rows of a hot value are not shuffled. Only rows with a label that is not
+    among them go through a second pass, in which the rare labels are joined by
+    a shuffle, column after column; what such a row has found already gets a
+    key of its own there, so that it does not meet in one task. Two passes,
+    however many columns there are.
+    """
+    salt = F.xxhash64(*[field(name).cast("string") for name in columns]).cast("string")
+    keyed, found, last = df, {}, {}
+    for at, column in enumerate(columns):
+        text, label, place = field(column).cast("string"), unused(df, f"_label_{at}"), unused(df, f"_place_{at}")
+        own = places.where((F.col("_column") == column) & (F.col("_place") < hot_labels))
+        hot = own.select(label_key(F.col("_value")).alias(label), F.col("_place").alias(place))
+        keyed = keyed.join(F.broadcast(hot), label_key(text) == F.col(label), "left").drop(label)
+        last[column] = F.lit(float(sizes.get(column, 0)))
+        found[column] = F.when(text.isNull(), last[column]).otherwise(F.col(place))
+    open_ = reduce(or_, [number.isNull() for number in found.values()])
+    done = keyed.where(~open_).select(*_indexed(df, found))
+    rest, rare = keyed.where(open_), {}
+    for at, column in enumerate(columns):
+        rare[column] = F.coalesce(found[column], last[column])
+        if sizes.get(column, 0) > hot_labels:
+            label, place = unused(df, f"_rare_{at}"), unused(df, f"_rare_place_{at}")
+            own = places.where((F.col("_column") == column) & (F.col("_place") >= hot_labels))
+            cold = own.select(F.col("_value").alias(label), F.col("_place").alias(place))
+            missing = found[column].isNull()
+            key = F.when(missing, field(column).cast("string")).otherwise(F.concat(F.lit("\u0000"), salt))
+            rest = rest.join(cold, (key == F.col(label)) & missing, "left").drop(label)
+            rare[column] = F.coalesce(found[column], F.col(place), last[column])
+    both = done.unionByName(rest.select(*_indexed(df, rare)))
+    # Learners take a column with this mark for a category of so many values.
+    marks = {
+        name + INDEX_SUFFIX: {"ml_attr": {"type": "nominal", "name": name + INDEX_SUFFIX, "num_vals": sizes.get(name, 0) + 1}}
+        for name in columns
+    }
+    return both.select(*[field(name).alias(name, metadata=marks[name]) if name in marks else field(name) for name in both.columns])
+
+
+def _indexed(df: DataFrame, numbers: Mapping[str, Column]) -> list[Column]:
+    return [field(name) for name in df.columns] + [number.alias(name + INDEX_SUFFIX) for name, number in numbers.items()]

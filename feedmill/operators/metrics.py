@@ -18,9 +18,9 @@ def class_metrics(scored: DataFrame, label: str = "label", prediction: str = "pr
     """One row: rows, accuracy, weighted precision, weighted recall.
 
     One aggregate over the scored rows gives the confusion counts; the rest
-    works on one row per pair of classes.
+    works on one row per pair of classes. Rows without a label are left out.
     """
-    cells = scored.groupBy(
+    cells = scored.where(field(label).isNotNull()).groupBy(
         field(label).cast("double").alias("label"), field(prediction).cast("double").alias("prediction")
     ).agg(F.count(F.lit(1)).alias("n"))
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
@@ -53,9 +53,12 @@ def area_under_roc(scored: DataFrame, score: Column | str, label: str = "label")
     Rows first combine per distinct score, which takes care of hot scores. The
     scores are range-partitioned into blocks; each block counts the pairs it
     holds itself, and the negatives of all earlier blocks are added per block.
+    Rows without a label, and rows whose score is null or NaN, are left out.
     """
     positive = F.count_if(field(label) == 1)
-    per_score = scored.groupBy(as_column(score).alias("_score")).agg(
+    ranked = scored.select(as_column(score).cast("double").alias("_score"), field(label))
+    ranked = ranked.where(field(label).isNotNull() & F.col("_score").isNotNull() & ~F.isnan("_score"))
+    per_score = ranked.groupBy("_score").agg(
         positive.alias("_pos"), (F.count(F.lit(1)) - positive).alias("_neg")
     )
     blocks = per_score.repartitionByRange("_score").withColumn("_block", F.spark_partition_id())

@@ -13,18 +13,31 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
-from feedmill.operators.sizes import spread_if_small
+from feedmill.functions.values import field
+
+# Fitted models follow the partitions of their rows, so their number is fixed;
+# give a larger one for tables that don't fit so few tasks.
+TRAINING_PARTITIONS = 16
 
 
 @contextmanager
-def kept_for_training(train: DataFrame, *columns: str):
-    """The training columns, held in memory and on disk while models are fitted."""
-    rows = spread_if_small(train.select(*columns))
-    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+def kept_for_training(train: DataFrame, *columns: str, partitions: int = TRAINING_PARTITIONS):
+    """The training columns, held in memory and on disk while models are fitted.
+
+    Rows are dealt out and ordered by a hash of their values, so that the same
+    rows give the same model from any file layout, at any size and on any number of cores.
+    """
+    rows = train.select(*columns)
+    values = [vector_to_array(field(name)) if isinstance(rows.schema[name].dataType, VectorUDT) else field(name) for name in columns]
+    place = F.xxhash64(*values)
+    kept = rows.repartition(partitions, place).sortWithinPartitions(place).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
     finally:
@@ -59,7 +72,7 @@ def fit_logistic(
     search = CrossValidator(
         estimator=logistic,
         estimatorParamMaps=ParamGridBuilder().addGrid(logistic.regParam, list(reg_params)).build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label"),
+        evaluator=BinaryClassificationEvaluator(labelCol="label", numBins=0),
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,

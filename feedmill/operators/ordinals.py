@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmill.functions.values import as_column, field
+from feedmill.functions.values import as_column, field, unused
 from feedmill.sources.scratch import stage
 
 # monotonically_increasing_id keeps the task number above 33 bits of row number.
@@ -29,23 +29,25 @@ def with_ordinals(
     The numbers are taken from a staged copy: a scan that is repeated after
     the loss of an executor deals the same numbers, a shuffle might not.
     """
-    order = [as_column(item) for item in order_by]
+    order, names = [as_column(item) for item in order_by], df.columns
+    tie, at, block, offset = [unused(df, own) for own in ("_tie", "_at", "_block", "_offset")]
     if not unique:
-        df = stage(df, "ties").withColumn("_tie", F.monotonically_increasing_id())
-        order.append(F.col("_tie"))
+        df = stage(df, "ties").withColumn(tie, F.monotonically_increasing_id())
+        order.append(F.col(tie))
     ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
-    placed = ranged.sortWithinPartitions(*order).drop("_tie").withColumn("_at", F.monotonically_increasing_id())
-    staged = stage(placed, "ordinals").withColumn("_block", F.shiftright("_at", ROW_BITS))
+    sorted_ = ranged.sortWithinPartitions(*order)
+    placed = (sorted_ if unique else sorted_.drop(tie)).withColumn(at, F.monotonically_increasing_id())
+    staged = stage(placed, "ordinals").withColumn(block, F.shiftright(at, ROW_BITS))
 
-    sizes = staged.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = staged.groupBy(block).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per block, so at most one per shuffle partition: small enough for
     # one task and for a broadcast whatever the size of the table.
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(block, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(offset))
 
-    place = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return staged.join(F.broadcast(offsets), "_block").select(
-        *[field(column) for column in df.columns if column != "_tie"], (F.col("_offset") + place).alias(name)
+    place = F.col(at).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return staged.join(F.broadcast(offsets), block).select(
+        *[field(column) for column in names], (F.col(offset) + place).alias(name)
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
-from feedmill.functions.values import as_column
+from feedmill.functions.values import as_column, field
 
 BUCKETS = 10_000
 
@@ -19,6 +19,11 @@ def key_bucket(key: Column | str, seed: int = fixed.SPLIT_SEED, buckets: int = B
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
 
 
+def row_key(df: DataFrame) -> Column:
+    """A number that follows from the values of the row."""
+    return F.xxhash64(*[field(name) for name in df.columns])
+
+
 def split_rows(
     df: DataFrame,
     weights: Sequence[float] = tuple(fixed.SPLIT_WEIGHTS),

@@ -5,26 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from feedmill import fixed_values as fixed
-from feedmill.functions.encoding import common_key_schema, decode_json, line_fields, sampled_schema
+from feedmill.functions.encoding import decode_json, line_fields, only_value, sampled_schema
 from feedmill.functions.values import field, label_if, lenient_double
 from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.features import add_features
-from feedmill.operators.models import fit_forest, kept_for_training
-from feedmill.operators.splitting import split_rows
+from feedmill.operators.models import TRAINING_PARTITIONS, fit_forest, kept_for_training
+from feedmill.operators.splitting import row_key, split_rows
 from feedmill.plans.scoring import Trained, report_on, score_rows
 from feedmill.sources.tables import read_table, replace_table
 from feedmill.streaming.ingest import bronze_table
 
 
-def silver(bronze: DataFrame, whole_table_schema: bool = False) -> DataFrame:
+def silver(bronze: DataFrame, schema_from_first_row: bool = False) -> DataFrame:
     """Contacts unpacked from lines, with a label; only age and job must be there.
 
-    The JSON holds one field, named by a whole header line. Its name comes
-    from one sampled row, or with ``whole_table_schema`` from the most common
-    key of all rows, which one odd row cannot upset.
+    The JSON holds one field, named by a whole header line, and each row may
+    have another name for it. With ``schema_from_first_row`` one row's name
+    stands for the whole table, and rows under other names are lost.
     """
-    schema = common_key_schema(bronze) if whole_table_schema else sampled_schema(bronze)
-    lines = decode_json(bronze, schema)
+    lines = decode_json(bronze, sampled_schema(bronze)) if schema_from_first_row else only_value(bronze)
     contacts = lines.select(*line_fields(field(lines.columns[0]).cast("string"), fixed.MARKETING_FIELDS))
     typed = contacts.withColumns({name: lenient_double(name) for name in fixed.MARKETING_NUMERIC})
     return apply_null_policy(typed, fixed.MARKETING_REQUIRED).withColumn(
@@ -40,19 +39,34 @@ def gold(silver_rows: DataFrame, fit_rows: DataFrame | None = None) -> DataFrame
     return featured
 
 
-def train_and_score(gold_rows: DataFrame, key: Column | str | None = None) -> Trained:
-    """Fit a forest on the training rows, score and report on the holdout."""
+def train_and_score(
+    gold_rows: DataFrame, key: Column | str | None = None, partitions: int = TRAINING_PARTITIONS, **forest: int
+) -> Trained:
+    """Fit a forest on the training rows, score and report on the holdout.
+
+    Further arguments are settings of the forest, such as ``maxBins`` where a
+    category has more than 32 values.
+    """
     train, holdout = split_rows(gold_rows, key=key)
-    with kept_for_training(train, "label", "features") as rows:
-        model = fit_forest(rows)
+    with kept_for_training(train, "label", "features", partitions=partitions) as rows:
+        model = fit_forest(rows, **forest)
     scored = score_rows(model, holdout, fixed.MARKETING_RESULT_COLUMNS, "marketing-forest")
     return Trained({"forest": model}, report_on({"forest": scored}), scored.select(*fixed.MARKETING_RESULT_COLUMNS))
 
 
-def run(spark: SparkSession, base: str, fmt: str = "parquet") -> Trained:
-    """Bronze under ``base`` to the silver, gold and results tables beside it."""
-    replace_table(silver(bronze_table(spark, f"{base}/mkt_bronze", fmt)), f"{base}/mkt_silver", fmt)
-    replace_table(gold(read_table(spark, f"{base}/mkt_silver", fmt)), f"{base}/mkt_gold", fmt)
-    trained = train_and_score(read_table(spark, f"{base}/mkt_gold", fmt))
+def run(
+    spark: SparkSession, base: str, fmt: str = "parquet", fit_all: bool = False, schema_from_first_row: bool = False, **training
+) -> Trained:
+    """Bronze under ``base`` to the silver, gold and results tables beside it.
+
+    A hash of the silver row splits the rows before anything is fitted; indexes
+    come from the training rows, or from all with ``fit_all``. ``training`` goes to ``train_and_score``.
+    """
+    bronze = bronze_table(spark, f"{base}/mkt_bronze", fmt, ledger=f"{base}/mkt_ledger")
+    replace_table(silver(bronze, schema_from_first_row), f"{base}/mkt_silver", fmt)
+    rows = read_table(spark, f"{base}/mkt_silver", fmt)
+    key = row_key(rows)
+    replace_table(gold(rows, None if fit_all else split_rows(rows, key=key)[0]), f"{base}/mkt_gold", fmt)
+    trained = train_and_score(read_table(spark, f"{base}/mkt_gold", fmt), key=key, **training)
     replace_table(trained.results, f"{base}/marketing_results", fmt)
     return trained

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill import fixed_values as fixed
 from feedmill.operators.caps import ordered_cap
 from feedmill.operators.counting import count_by, histogram
 from feedmill.sources.tables import Target, fan_out, read_table
@@ -24,15 +23,17 @@ def loan_home(loan_silver: DataFrame) -> DataFrame:
 
 
 def loan_scatter(
-    loan_results: DataFrame, rows: int = fixed.SCATTER_ROWS, order_by: Sequence[str] | None = None
+    loan_results: DataFrame, rows: int | None = None, order_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """``rows`` points for a scatter chart, the same ones at every run.
+    """The points of a scatter chart: all, or ``rows`` of them, the same ones at every run.
 
-    Without an order the points follow a hash of their values, so they spread
+    Without an order these follow a hash of their values, so they spread
     over the whole table instead of clustering at one end of an axis.
     """
     columns = ["dti", "loan_amnt", "prediction"]
     points = loan_results.select(*columns)
+    if rows is None:
+        return points
     if order_by is not None:
         return ordered_cap(points, rows, order_by)
     return ordered_cap(points.withColumn("_spread", F.xxhash64(*columns)), rows, ["_spread", *columns]).drop("_spread")
@@ -58,25 +59,30 @@ def build_marts(
     marketing_results: DataFrame,
     loan_silver: DataFrame,
     marketing_silver: DataFrame,
+    scatter_rows: int | None = None,
 ) -> dict[str, DataFrame]:
-    """All six marts by name. Each reads only the columns it counts."""
+    """All six marts by name. Each reads only the columns it counts. ``scatter_rows`` thins out the scatter."""
     return {
         "viz_loan_grade": loan_grade(loan_results),
         "viz_mkt_balance": marketing_balance(marketing_results),
         "viz_loan_home": loan_home(loan_silver),
         "viz_mkt_edu": marketing_education(marketing_silver),
-        "viz_loan_scatter": loan_scatter(loan_results),
+        "viz_loan_scatter": loan_scatter(loan_results, scatter_rows),
         "viz_mkt_job": marketing_job(marketing_results),
     }
 
 
-def run(spark: SparkSession, base: str, targets: Callable[[str], Sequence[Target]], fmt: str = "parquet") -> None:
+def run(
+    spark: SparkSession, base: str, targets: Callable[[str], Sequence[Target]], fmt: str = "parquet",
+    scatter_rows: int | None = None,
+) -> None:
     """Build the marts from the tables under ``base`` and write each to its targets."""
     marts = build_marts(
         read_table(spark, f"{base}/loan_results", fmt),
         read_table(spark, f"{base}/marketing_results", fmt),
         read_table(spark, f"{base}/loan_silver", fmt),
         read_table(spark, f"{base}/mkt_silver", fmt),
+        scatter_rows,
     )
     for name, mart in marts.items():
         fan_out(mart, targets(name))

@@ -71,9 +71,23 @@ def table_rows(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     return read_table(spark, path, fmt, schema).count()
 
 
+def in_chunks(feed: DataFrame) -> DataFrame:
+    """The feed with each chunk's rows in one task, in the order of their ordinals."""
+    return feed.repartitionByRange("chunk").sortWithinPartitions("chunk", "ordinal")
+
+
 def publish(df: DataFrame, fmt: str = "kafka", path: str | None = None, **options: str) -> None:
-    """Send the ``value`` column to a topic, or append it to files of text."""
-    writer = df.select("value").write.format(fmt).options(**options)
+    """Send the ``value`` column to a topic, or append it to files of text.
+
+    A feed with ``chunk`` and ``ordinal`` is sent chunk by chunk, in order. In a topic
+    the chunk is the message key, so its rows share a partition and stay in order there.
+    """
+    columns = ["value"]
+    if {"chunk", "ordinal"} <= set(df.columns):
+        df = in_chunks(df)
+        if fmt == "kafka":
+            columns = ["CAST(chunk AS STRING) AS key", "value"]
+    writer = df.selectExpr(*columns).write.format(fmt).options(**options)
     if fmt != "kafka":
         writer = writer.mode("append")
     writer.save(path) if path else writer.save()

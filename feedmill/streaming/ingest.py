@@ -55,10 +55,11 @@ class BronzeWriter:
         if self.fmt == "delta":
             # The table's own transaction marker makes a repeated append a no-op.
             kept = batch.persist()
-            append_table(kept, self.bronze, "delta", txnAppId=self.bronze, txnVersion=str(batch_id))
-            rows = kept.count()
-            kept.unpersist()
-            return rows
+            try:
+                append_table(kept, self.bronze, "delta", txnAppId=self.bronze, txnVersion=str(batch_id))
+                return kept.count()
+            finally:
+                kept.unpersist()
         return replace_table(batch, f"{self.bronze}/batch={batch_id}", self.fmt)
 
     def _total_before(self, spark: SparkSession, batch_id: int) -> int:
@@ -93,12 +94,18 @@ def start_ingest(
     return writer.trigger(processingTime=trigger).start()
 
 
-def bronze_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The values of all finished batches."""
-    reader = spark.read.format(fmt)
-    if fmt != "delta":
-        reader = reader.schema("value string")
-    return reader.load(path).select("value")
+def bronze_table(spark: SparkSession, path: str, fmt: str = "parquet", ledger: str | None = None) -> DataFrame:
+    """The values of all batches; with the ``ledger``, of those it lists as finished.
+
+    A batch folder that a crash left behind has no entry yet. Delta's log knows that by itself.
+    """
+    if fmt == "delta":
+        return spark.read.format(fmt).load(path).select("value")
+    rows = spark.read.format(fmt).schema("value string, batch bigint").load(path)
+    if ledger is not None:
+        finished = F.broadcast(ledger_table(spark, ledger).select("batch"))  # one row per batch
+        rows = rows.join(finished, "batch", "left_semi")
+    return rows.select("value")
 
 
 def ledger_table(spark: SparkSession, path: str) -> DataFrame:

@@ -4,9 +4,9 @@ import pytest
 
 from feedmill import fixed_values as fixed
 from feedmill.functions.encoding import (
-    common_key_schema,
     decode_json,
     line_fields,
+    only_value,
     positional_json,
     row_json,
     sampled_schema,
@@ -36,24 +36,26 @@ def test_fixed_schema_edges(spark):
     assert rows == [("5000.0", " 36 months", '{"x":1}'), *[(None, None, None)] * 5]
 
 
-def test_sampled_schema_follows_one_row(spark):
-    schema = sampled_schema(values_frame(spark, '{"a":"1"}'))
-    rows = decode_json(values_frame(spark, '{"b":"2"}', '{"a":"3"}'), schema).collect()
-    assert [row["a"] for row in rows] == [None, "3"]
+def test_every_row_brings_its_own_field_name(spark):
+    bronze = values_frame(spark, '{"odd":"1"}', '{"a":"x;y"}', '{"b":7}', "{bad", None, '["x"]', "{}", '{"a":null}')
+    assert [row["line"] for row in only_value(bronze).collect()] == ["1", "x;y", "7", None, None, None, None, None]
 
 
-def test_common_key_wins_over_odd_rows(spark):
-    bronze = values_frame(spark, '{"odd":"1"}', '{"a":"1"}', '{"a":"2"}', "{bad", None)
-    assert common_key_schema(bronze).names == ["a"]
+def test_contacts_under_two_headers_are_all_found(spark):
+    line = '58;management;married;tertiary;no;2143;yes;no;unknown;5;may;261;1;-1;0;unknown;yes'
+    texts = ['{"odd":"1"}', "{bad", *[json.dumps({header: line}) for header in ("h1", "h2") for _ in range(30)]]
+    found = marketing.silver(values_frame(spark, *texts))
+    assert found.count() == 60
+    first = marketing.silver(values_frame(spark, *texts[2:]).coalesce(1), schema_from_first_row=True)
+    assert first.count() == 30
 
 
-def test_schema_needs_rows_and_objects(spark):
-    empty = spark.createDataFrame([], "value string")
-    for schema_of in (sampled_schema, common_key_schema):
-        with pytest.raises(ValueError):
-            schema_of(empty)
-        with pytest.raises(ValueError):
-            schema_of(values_frame(spark, "7"))
+@pytest.mark.parametrize("text", ["7", "{bad", "[1]", "{}"])
+def test_schema_of_one_row_needs_rows_and_objects(spark, text):
+    with pytest.raises(ValueError):
+        sampled_schema(spark.createDataFrame([], "value string"))
+    with pytest.raises(ValueError, match="no JSON object"):
+        sampled_schema(values_frame(spark, text))
 
 
 def test_short_line_gives_nulls(spark):

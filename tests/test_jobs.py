@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
-from feedmill.__main__ import main
+from feedmill.__main__ import arguments, main, mart_targets, training_options
 from feedmill.plans.feed import encode_feed
 from feedmill.sources.tables import read_csv, read_table
 from workloads.feeds import HEADER_LINE, loan_rows, marketing_lines
@@ -38,6 +38,23 @@ def test_whole_chain(spark, base):
     assert all(len(row["e"]) == 3 and row["e"][1] in fixed.CLASS_TEXTS for row in grades)
 
 
+def test_options_reach_targets_and_training():
+    given = arguments([
+        "marts", "--base", "b", "--target", "parquet=/x", "--target", "mongodb", "--target-option", "mongodb.collection={mart}",
+        "--target-option", "mongodb.database=d",
+    ])
+    first, second = mart_targets(given, "viz_a")
+    assert (first.fmt, first.path, first.options) == ("parquet", "/x/viz_a", {})
+    assert (second.fmt, second.path, second.options) == ("mongodb", None, {"collection": "viz_a", "database": "d"})
+    train = arguments(["train", "loan", "--base", "b", "--result-model", "forest", "--max-bins", "64", "--fit-all"])
+    assert training_options(train) == {"fit_all": True, "result_model": "forest", "maxBins": 64}
+
+
+def test_charts_from_another_format(spark, base, tmp_path):
+    main(["charts", "--base", f"{base}/marts", "--fmt", "parquet", "--option", "mergeSchema=false", "--out", str(tmp_path / "charts")])
+    assert spark.read.json(str(tmp_path / "charts")).count() == spark.read.json(f"{base}/charts").count()
+
+
 def test_feed_keeps_file_order(spark, tmp_path):
     (tmp_path / "f.csv").write_text("a\n" + "\n".join(str(9 - place % 10) for place in range(40)) + "\n")
     feed = encode_feed(read_csv(spark, str(tmp_path / "f.csv")), rows=25, chunk_rows=10).orderBy("ordinal").collect()

@@ -8,55 +8,74 @@ from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
 from feedmill.operators import features
-from feedmill.operators.features import add_features, category_counts, category_places, with_place
+from feedmill.operators.features import add_features, category_counts, category_places, with_places
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
-from feedmill.operators.models import fit_forest
+from feedmill.operators.models import fit_forest, kept_for_training
 from feedmill.plans import loan, marketing
 from workloads import catalog
 
 
+def attribute_kinds(frame):
+    return frame.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+
+
 def test_category_index_order(spark):
     rows = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "v string").withColumn("n", F.lit(1.0))
     indexed, _ = add_features(rows, ["n"], ["v"])
     assert {row["v"]: row["v_idx"] for row in indexed.collect()} == {"c": 0.0, "a": 1.0, "b": 2.0, None: 3.0}
 
 
-def test_wide_index_equals_indexer(spark):
+def test_rare_labels_get_the_same_index_as_frequent_ones(spark):
     draw = random.Random(5)
     rows = [(draw.choice(["hot", "hot", None, f"v{draw.randrange(40)}"]), float(place)) for place in range(800)]
     frame = spark.createDataFrame(rows, "v string, n double")
-    narrow = {(row["n"], row["v_idx"]) for row in add_features(frame, ["n"], ["v"])[0].collect()}
-    wide = {(row["n"], row["v_idx"]) for row in add_features(frame, ["n"], ["v"], label_limit=2)[0].collect()}
+    narrow, wide = [add_features(frame, ["n"], ["v"], hot_labels=hot)[0] for hot in (10_000, 2)]
+    assert attribute_kinds(narrow) == attribute_kinds(wide) and "nominal" in attribute_kinds(wide)
+    narrow, wide = [{(row["n"], row["v_idx"]) for row in found.collect()} for found in (narrow, wide)]
     assert narrow == wide and len(wide) == 800
 
 
-def test_long_labels_stay_off_the_driver(spark):
+def test_long_labels(spark):
     rows = spark.createDataFrame([("x" * 600, 1.0, "s"), ("a", 1.0, "s"), ("a", 1.0, "s")], "v string, n double, w string")
-    assert features.wide_categories(category_counts(rows, ["v", "w"]), 100) == ["v"]
     found, _ = add_features(rows, ["n"], ["v", "w"])
     assert sorted(row["v_idx"] for row in found.collect()) == [0.0, 0.0, 1.0]
 
 
-@pytest.mark.parametrize("limit", [2, 100_000])
+def test_four_wide_columns_need_two_scans(spark, tmp_path):
+    names = ["a", "b", "c", "d"]
+    spark.range(600).selectExpr(*[f"string(id % {60 + at}) AS {name}" for at, name in enumerate(names)], "double(id) AS n").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    found = with_places(rows, names, *category_places(category_counts(rows, names)), hot_labels=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<a:string") == 2
+    assert found.agg(*[F.countDistinct(f"{name}_idx") for name in names]).first()[:] == (60, 61, 62, 63)
+
+
+def test_columns_of_the_names_used_inside(spark):
+    rows = spark.createDataFrame([("a", 1.0, 5, 6, 7), ("b", 2.0, 5, 6, 7)], "v string, n double, _label_0 int, _place_0 int, _rare_0 int")
+    found, _ = add_features(rows, ["n"], ["v"], hot_labels=1)
+    assert {(row["v"], row["v_idx"], row["_place_0"]) for row in found.collect()} == {("a", 0.0, 6), ("b", 1.0, 6)}
+
+
+@pytest.mark.parametrize("limit", [1, 100_000])
 def test_unseen_category_gets_the_last_index(spark, limit):
     rows = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 1.0), ("new", 2.0)], "v string, n double")
-    found, _ = add_features(rows, ["n"], ["v"], fit_rows=rows.where("n = 1"), label_limit=limit)
+    found, _ = add_features(rows, ["n"], ["v"], fit_rows=rows.where("n = 1"), hot_labels=limit)
     assert {row["v"]: row["v_idx"] for row in found.collect()} == {"a": 0.0, "b": 1.0, "new": 2.0}
 
 
 def test_places_of_a_hot_category(spark):
     rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("v"))
-    found = with_place(rows, "v", "i", category_places(category_counts(rows, ["v"]), "v"))
-    assert found.where("v = 'hot'").select("i").distinct().collect() == [(0.0,)]
-    assert found.agg(F.countDistinct("i"), F.max("i")).first()[:] == (601, 600.0)
+    found = with_places(rows, ["v"], *category_places(category_counts(rows, ["v"])), hot_labels=10)
+    assert found.where("v = 'hot'").select("v_idx").distinct().collect() == [(0.0,)]
+    assert found.agg(F.countDistinct("v_idx"), F.max("v_idx")).first()[:] == (601, 600.0)
 
 
 def test_places_of_rare_and_long_categories(spark, monkeypatch):
-    monkeypatch.setattr(features, "HOT_LABELS", 2)
-    monkeypatch.setattr(features, "LABEL_CHARS", 3)
+    monkeypatch.setattr(features, "LONG_LABEL", 3)
     labels = ["hot"] * 9 + ["a long one"] * 5 + ["b"] * 4 + ["c"] * 2 + ["d", None, None]
     rows = spark.createDataFrame([(label,) for label in labels], "v string")
-    found = with_place(rows, "v", "i", category_places(category_counts(rows, ["v"]), "v"))
+    found = with_places(rows, ["v"], *category_places(category_counts(rows, ["v"])), hot_labels=2)
     assert {tuple(row) for row in found.distinct().collect()} == {
         ("hot", 0.0), ("a long one", 1.0), ("b", 2.0), ("c", 3.0), ("d", 4.0), (None, 5.0)
     }
@@ -76,10 +95,6 @@ def test_rows_without_numbers_are_left_out(spark):
     assert add_features(rows, ["a"], [])[0].count() == 1
 
 
-def attribute_kinds(frame):
-    return frame.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-
-
 def test_scaling_drops_the_category_mark(spark):
     rows = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("a", 3.0)], "v string, n double")
     assert "nominal" in attribute_kinds(add_features(rows, ["n"], ["v"])[0])
@@ -174,8 +189,18 @@ def test_fit_on_training_rows_only(spark, sf_dir):
     assert ratio == pytest.approx(part)
 
 
-def test_forest_is_the_same_twice(spark, sf_dir):
+def test_forest_is_the_same_from_any_layout(spark, sf_dir):
     gold = marketing.gold(catalog.marketing_silver(spark, sf_dir)).persist()
-    first, second = [fit_forest(gold, trees=3).toDebugString.split("\n", 1)[1] for _ in range(2)]
+    trees = []
+    for layout in (1, 4, 8):
+        with kept_for_training(gold.repartition(layout), "label", "features", partitions=4) as rows:
+            trees.append(fit_forest(rows, trees=5).toDebugString.split("\n", 1)[1])
     gold.unpersist()
-    assert first == second
+    assert trees[0] == trees[1] == trees[2]
+
+
+def test_rows_without_label_or_score_are_left_out(spark):
+    rows = [(1.0, 1.0, 0.9), (0.0, 0.0, 0.1), (None, 0.0, 0.95), (None, 1.0, 0.99), (1.0, 1.0, None), (0.0, 0.0, float("nan"))]
+    frame = spark.createDataFrame(rows, "label double, prediction double, score double")
+    row = model_report(frame, "m").first()
+    assert (row["rows"], row["accuracy"], row["auc"]) == (4, 1.0, 1.0)

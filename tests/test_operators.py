@@ -152,7 +152,7 @@ def expected_cap(rows, count):
 
 @pytest.mark.parametrize("count", [1, 7, 60, 5000])
 @pytest.mark.parametrize("shape", ["spread", "hot", "nulls", "floats"])
-def test_narrowed_cap_against_sorting(spark, count, shape):
+def test_cap_against_sorting(spark, count, shape):
     draw = random.Random(f"{count}-{shape}")
     lead = {
         "spread": lambda: draw.randrange(100_000),
@@ -164,29 +164,38 @@ def test_narrowed_cap_against_sorting(spark, count, shape):
     rows = [(lead(), draw.randrange(1000)) for _ in range(4000)]
     frame = spark.createDataFrame(rows, f"a {kind}, b bigint").repartition(6)
     expected = Counter(map(repr, expected_cap(rows, count)))
-    for bound_from in (0, 1 << 40):
-        found = [tuple(row) for row in ordered_cap(frame, count, ["a", "b"], bound_from_bytes=bound_from).collect()]
-        assert Counter(map(repr, found)) == expected
+    found = [tuple(row) for row in ordered_cap(frame, count, ["a", "b"]).collect()]
+    assert Counter(map(repr, found)) == expected
 
 
-def test_narrowing_leaves_few_rows(spark):
-    frame = spark.range(200_000).select((F.col("id") % 3).alias("hot"), F.xxhash64("id").alias("h"))
-    left = caps._without_late_rows(frame, 100, ["hot", "h"]).count()
-    assert 100 <= left <= 400
+@pytest.mark.parametrize("sorted_rows", [10, 100_000])
+def test_cap_of_more_rows_than_one_task_sorts(spark, sorted_rows, monkeypatch):
+    monkeypatch.setattr(caps, "SORTED_ROWS", sorted_rows)
+    monkeypatch.setattr(caps, "GROUP_TASKS", 2)
+    frame = spark.range(0, 20_000, 1, 7).select((F.col("id") % 3).alias("hot"), F.xxhash64("id").alias("h"), F.lit(1).alias("_place"))
+    found = ordered_cap(frame, 50, ["hot", "h"])
+    assert found.columns == frame.columns
+    assert tuples(found) == tuples(frame.orderBy("hot", "h").limit(50))
+    assert ordered_cap(frame, 50_000, ["hot", "h"]).count() == 20_000
 
 
-def test_narrowing_by_a_sample(spark, monkeypatch):
-    monkeypatch.setattr(caps, "SAMPLE_ROWS", 20_000)
-    frame = spark.range(200_000).select(F.xxhash64("id").alias("h"), "id")
-    assert 50 <= caps._without_late_rows(frame, 50, ["h"]).count() <= 1000
-    expected = [row["id"] for row in frame.orderBy("h").limit(50).collect()]
-    found = ordered_cap(frame, 50, ["h"], bound_from_bytes=0).collect()
-    assert [row["id"] for row in found] == expected
+def test_cap_limits_every_task_before_the_shuffle(spark):
+    plan = ordered_cap(spark.range(0, 1000, 1, 4), 5, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
 
 
 def test_cap_by_text(spark):
     frame = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3)], "t string, n int")
-    assert [row["t"] for row in ordered_cap(frame, 2, ["t"], bound_from_bytes=0).collect()] == ["a", "b"]
+    assert [row["t"] for row in ordered_cap(frame, 2, ["t"]).collect()] == ["a", "b"]
+
+
+def test_feed_has_all_rows_unless_told(spark):
+    assert encode_feed(spark.range(60_000), ["id"], unique=True).count() == 60_000
+
+
+def test_ordinals_keep_columns_of_the_names_used_inside(spark):
+    frame = spark.createDataFrame([(2, 5, 6, 7, 8), (1, 5, 6, 7, 8)], "n int, _tie int, _at int, _block int, _offset int")
+    assert tuples(with_ordinals(frame, ["n"])) == [(1, 5, 6, 7, 8, 0), (2, 5, 6, 7, 8, 1)]
 
 
 def test_split_does_not_depend_on_layout(spark):

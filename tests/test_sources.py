@@ -4,6 +4,7 @@ import types
 import pytest
 from pyspark.sql import functions as F
 
+from feedmill.plans.feed import encode_feed
 from feedmill.sources import scratch
 from feedmill.sources.tables import Target, append_table, fan_out, publish, read_csv, read_table, replace_table, table_rows
 
@@ -44,6 +45,19 @@ def test_publish_appends_values(spark, tmp_path):
     assert sorted(json.loads(row["value"])["id"] for row in spark.read.text(path).collect()) == [0, 0, 1, 1]
 
 
+def test_chunks_are_published_in_order(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    feed = encode_feed(spark.range(95).select(F.xxhash64("id").alias("h"), "id").repartition(5), ["id"], chunk_rows=10, unique=True)
+    publish(feed, "text", path)
+    read = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
+    files = {}
+    for row in read.orderBy("file", "at").collect():
+        files.setdefault(row["file"], []).append(json.loads(row["value"])["id"])
+    assert sorted(sum(files.values(), [])) == list(range(95))
+    assert all(ids == sorted(ids) for ids in files.values())
+    assert all(len({file for file, ids in files.items() if set(ids) & set(range(10 * chunk, 10 * chunk + 10))}) == 1 for chunk in range(10))
+
+
 def test_csv_schema_and_inference(spark, tmp_path):
     (tmp_path / "f.csv").write_text("a,b\n1,x\n2.5,\n")
     path = str(tmp_path / "f.csv")

@@ -50,6 +50,16 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert bronze_table(spark, f"{base}/bronze").count() == 8
 
 
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    base = str(tmp_path)
+    writer = BronzeWriter(f"{base}/bronze", f"{base}/ledger")
+    writer(spark.range(4).selectExpr("string(id) AS value"), 0)
+    spark.range(6).selectExpr("string(id) AS value").write.parquet(f"{base}/bronze/batch=1")  # no entry yet
+    assert bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger").count() == 4
+    writer(spark.range(6).selectExpr("string(id) AS value"), 1)
+    assert bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger").count() == 10
+
+
 def test_empty_batch_leaves_no_entry(spark, tmp_path):
     base = str(tmp_path)
     writer = BronzeWriter(f"{base}/bronze", f"{base}/ledger")

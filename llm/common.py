@@ -21,7 +21,7 @@ __all__ = [
 ]
 
 SHINGLE_WORDS = 5
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MIXER = 0xD6E8FEB86659FD93
 _CHUNK = 1 << 20

@@ -12,7 +12,11 @@ of a text as a word before and after it. Words are lower-cased; a word is told b
    the rare class and the end. They are at most (CORE + 40)^2, whatever the input;
 4. exchange clustering of the core words on these counts: each word in turn moves to
    the class that raises the likelihood most, until no word moves;
-5. scoring: frequent words within the tasks; rare words join their counts by hash, so
+5. exchange of all other frequent words, ``WORD_SWEEPS`` times: Spark counts the classes
+   before and after each of them over all training texts, groups of words are dealt to
+   tasks, and every word moves from its band to the class that raises the likelihood
+   most, judged by the class counts of the sweep's start; these are then counted anew;
+6. scoring: frequent words within the tasks; rare words join their counts by hash, so
    no table that grows with the corpus is broadcast.
 
 Smoothing: transitions are backed off to class frequencies, ``BACKOFF`` pseudo
@@ -27,9 +31,10 @@ word is unknown; an empty table gives an empty result; other columns are not rea
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -43,6 +48,8 @@ FREQUENT = 1 << 17
 CORE = 1024
 CLASSES = 64
 SWEEPS = 12
+WORD_SWEEPS = 2
+SHARES = 64  # groups of words that a sweep deals to tasks
 END = 0  # the hash that stands for the end; a word of this hash would count as one
 
 COUNTS = "word bigint, count bigint"
@@ -218,6 +225,76 @@ def exchange(matrix: np.ndarray, n_core: int, classes: int = CLASSES, sweeps: in
     return of
 
 
+def context_batches(vocab: Vocabulary, movable: np.ndarray):
+    """Codes of (movable word, before or after, symbol there) with their numbers, a batch of texts at a time."""
+    size = vocab.n_symbols
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, _ = tokens(batch.column(0))
+            symbols = np.r_[vocab.end, symbols_of(found, vocab)]
+            at, known = vocab.look_up(found)
+            moving = np.flatnonzero(known & (found != END))
+            moving = moving[movable[at[moving]]]
+            # A text ends with the end, so a word always has a symbol after it.
+            word = at[moving] * (2 * size)
+            code, times = np.unique(np.r_[word + symbols[moving], word + size + symbols[moving + 2]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(times, pa.int64())], names=["word", "count"])
+
+    return counted
+
+
+def best_classes(pairs: np.ndarray, own: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The class for each of some words, a row each of the classes before and after them; ties keep the own class."""
+    n_classes = len(pairs) - 2  # the rare class and the end take no words
+    rows, columns, size = pairs.sum(axis=1), pairs.sum(axis=0), len(pairs)
+    total_after, total_before = after.sum(axis=1), before.sum(axis=1)
+    gain, every = np.empty((len(own), n_classes)), np.arange(len(own))
+    for place in range(n_classes):
+        # Every class is looked at without the word, its own one and its neighbours' counts of that one too.
+        inside = own == place
+        row, column = np.tile(pairs[place], (len(own), 1)), np.tile(pairs[:, place], (len(own), 1))
+        row[inside] -= after[inside]
+        column[inside] -= before[inside]
+        row[every[~inside], own[~inside]] -= before[~inside, place]
+        column[every[~inside], own[~inside]] -= after[~inside, place]
+        both = pairs[place, place] - np.where(inside, after[:, place] + before[:, place], 0)
+        row_sum, column_sum = rows[place] - total_after * inside, columns[place] - total_before * inside
+        other = np.arange(size) != place
+        gain[:, place] = ((h(row + after) - h(row)) + (h(column + before) - h(column)))[:, other].sum(axis=1)
+        gain[:, place] += h(both + after[:, place] + before[:, place]) - h(both)
+        gain[:, place] -= h(row_sum + total_after) - h(row_sum) + h(column_sum + total_before) - h(column_sum)
+    stay = gain[np.arange(len(own)), own]
+    best = gain.argmax(axis=1)
+    return np.where(gain.max(axis=1) > stay + 1e-9, best, own)
+
+
+def sweep(train: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np.ndarray) -> np.ndarray:
+    """The class of every frequent word after all movable ones have chosen; symbols are classes here."""
+    size = vocab.n_symbols
+
+    def chosen_class(rows: pd.DataFrame) -> pd.DataFrame:
+        code = rows["word"].to_numpy(np.int64)
+        words, at = np.unique(code // (2 * size), return_inverse=True)
+        around = np.zeros((len(words), 2 * size))
+        around[at, code % (2 * size)] = rows["count"]
+        best = best_classes(pairs, vocab.symbols[words], around[:, :size], around[:, size:])
+        return pd.DataFrame({"word": words, "count": best})
+
+    counts = train.select("text").mapInArrow(context_batches(vocab, movable), COUNTS).groupBy("word").agg(F.sum("count").alias("count"))
+    share = F.pmod(F.floor(F.col("word") / F.lit(2 * size)), F.lit(SHARES))
+    found = counts.groupBy(share.alias("share")).applyInPandas(chosen_class, COUNTS).toPandas()
+    classes = vocab.symbols.copy()
+    classes[found["word"].to_numpy(np.int64)] = found["count"].to_numpy(np.int64)
+    return classes
+
+
+def with_classes(vocab: Vocabulary, classes: np.ndarray, total: int) -> Vocabulary:
+    """The vocabulary with classes as symbols, those without words left out; the rare class and the end stay the last ones."""
+    names, place = np.unique(np.r_[classes, total - 2, total - 1], return_inverse=True)
+    return replace(vocab, symbols=place[:-2], n_symbols=len(names), n_core=0)
+
+
 @dataclass
 class ClassModel:
     """Frequent words with class and log10 probability in the class; log10 transitions; the rare class's denominator."""
@@ -230,11 +307,14 @@ class ClassModel:
     base_denominator: float
 
 
+def summed(matrix: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Counts of pairs of symbols as counts of pairs of their classes."""
+    member = np.eye(int(of.max()) + 1)[of]
+    return member.T @ matrix @ member
+
+
 def class_model(vocab: Vocabulary, matrix: np.ndarray, of: np.ndarray) -> ClassModel:
-    total = int(of.max()) + 1
-    member = np.zeros((len(of), total))
-    member[np.arange(len(of)), of] = 1
-    pairs = member.T @ matrix @ member
+    total, pairs = int(of.max()) + 1, summed(matrix, of)
     share = (pairs.sum(axis=0) + 1) / (pairs.sum() + total)
     transition = np.log10((pairs + BACKOFF * share) / (pairs.sum(axis=1, keepdims=True) + BACKOFF))
     word_class = of[vocab.symbols] if len(vocab.words) else np.empty(0, np.int64)
@@ -251,7 +331,14 @@ def class_model(vocab: Vocabulary, matrix: np.ndarray, of: np.ndarray) -> ClassM
 def train(texts: DataFrame, counts: DataFrame) -> ClassModel:
     vocab = vocabulary(counts)
     matrix = neighbour_counts(texts, vocab)
-    return class_model(vocab, matrix, exchange(matrix, vocab.n_core))
+    of = exchange(matrix, vocab.n_core)
+    movable = vocab.symbols >= vocab.n_core
+    classed = with_classes(vocab, of[vocab.symbols], int(of.max()) + 1)
+    pairs = summed(matrix, np.unique(of, return_inverse=True)[1])
+    for _ in range(WORD_SWEEPS if movable.any() else 0):
+        classed = with_classes(classed, sweep(texts, classed, pairs, movable), classed.n_symbols)
+        pairs = neighbour_counts(texts, classed)
+    return class_model(classed, pairs, np.arange(classed.n_symbols))
 
 
 def scan_texts(texts: pa.Array, model: ClassModel) -> list[pa.Array]:

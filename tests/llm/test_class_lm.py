@@ -102,3 +102,36 @@ def test_edges(spark):
     assert len({row["score"] for row in rows if row["doc_id"] in (1, 2, 3)}) == 1
     assert all(np.isfinite([row["score"], row["base_score"]]).all() for row in rows)
     assert class_lm.score_documents(docs_frame(spark, [])).collect() == []
+
+
+def test_words_beyond_the_core_join_the_classes_of_their_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    names = {side: [f"{side}{number}" for number in range(60)] for side in "ab"}
+    chance = 1 / np.arange(3, 63)
+    texts = [" ".join(rng.choice(names["ab"[place % 2]], 80, p=chance / chance.sum())) for place in range(200)]
+    monkeypatch.setattr(class_lm, "vocabulary", lambda counts, original=class_lm.vocabulary: original(counts, 1000, 24))
+    docs = class_lm.chosen(docs_frame(spark, list(enumerate(texts))), "doc_id", "text")
+    model = class_lm.train(docs, class_lm.word_counts(docs))
+    import pyarrow as pa
+
+    side_of = {}
+    for side, found in names.items():
+        hashes, _ = class_lm.tokens(pa.array([" ".join(found)]))
+        at, known = model.vocab.look_up(hashes[:-1])
+        for number in model.symbol_class[model.vocab.symbols[at[known]]].tolist():
+            side_of.setdefault(number, set()).add(side)
+    assert len(model.vocab.words) == 120 and all(len(sides) == 1 for sides in side_of.values())
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_a_word_moves_to_the_class_that_raises_the_likelihood_most(seed):
+    rng = np.random.default_rng(seed)
+    # Of seven words, the rare class and the end, words 0 and 5 share a class and word 5 moves.
+    matrix = rng.integers(0, 60, (9, 9)).astype(float)
+    matrix[5, 5] = 0
+    of = np.array([0, 1, 2, 3, 4, 0, 5, 6, 7])
+    moved = [np.where(np.arange(9) == 5, place, of) for place in range(6)]
+    best = max(range(6), key=lambda place: likelihood(matrix, moved[place]))
+    pairs, member = class_lm.summed(matrix, of), np.eye(8)[of]
+    chosen = class_lm.best_classes(pairs, of[5:6], (matrix[:, 5] @ member)[None], (matrix[5] @ member)[None])
+    assert chosen.tolist() == [best]

@@ -6,8 +6,9 @@ of a text as a word before and after it. Words are lower-cased; a word is told b
 
 1. counts of all words of the training texts, a table of any size;
 2. the most frequent words (at most ``FREQUENT``; a count threshold decides) go to
-   all tasks. The ``CORE`` most frequent of them are clustered; the others belong to
-   a class per band of frequency, all remaining words to the rare class;
+   all tasks, and a staged table holds every text's words as places among them, so
+   that later passes read numbers. The ``CORE`` most frequent words are clustered; the
+   others belong to a class per band of frequency, all remaining words to the rare class;
 3. counts of neighbouring symbols over all training texts: core words, band classes,
    the rare class and the end. They are at most (CORE + 40)^2, whatever the input;
 4. exchange clustering of the core words on these counts: each word in turn moves to
@@ -40,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import small_batches, stage, word_hashes
+from llm.common import small_batches, stage, text_bytes, word_hashes
 
 ADDED = 0.1
 BACKOFF = 50.0
@@ -50,13 +51,18 @@ CLASSES = 64
 SWEEPS = 12
 WORD_SWEEPS = 2
 SHARES = 64  # groups of words that a sweep deals to tasks
+COMBINED = 1 << 21  # codes that a task counts together
+EMITTED = 1 << 16
 END = 0  # the hash that stands for the end; a word of this hash would count as one
 
 COUNTS = "word bigint, count bigint"
 SCANNED = (
     "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_frequent bigint, n_rest bigint, "
-    "base double, model double, rest array<struct<word:bigint,times:bigint>>"
+    "base double, rest array<struct<word:bigint,times:bigint>>, places binary"
 )
+SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_frequent bigint, n_rest bigint, base double, model double"
+# Places of what is no frequent word, counted from the end of a table of all words.
+END_PLACE, REST_PLACE = -2, -1
 
 
 def chosen(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -109,6 +115,10 @@ class Vocabulary:
     def end(self) -> int:
         return self.n_symbols - 1
 
+    @property
+    def base_denominator(self) -> float:
+        return self.n_tokens + ADDED * (self.n_words + 1)
+
     def look_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in the frequent words, and whether they are there."""
         if not len(self.words):
@@ -139,30 +149,75 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT, core: int = CORE) ->
     )
 
 
-def symbols_of(found: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+def scan_texts(texts: pa.Array, vocab: Vocabulary) -> list[pa.Array]:
+    """Per text: tokens, frequent words and others, the unigram sum over frequent words, the others with their numbers, and all places."""
+    found, begins = tokens(texts)
     at, known = vocab.look_up(found)
-    symbols = np.full(len(found), vocab.rare)
-    symbols[known] = vocab.symbols[at[known]]
-    symbols[found == END] = vocab.end
-    return symbols
+    ends = found == END
+    known &= ~ends
+    base = np.zeros(len(found))
+    base[known] = np.log10((vocab.counts[at[known]] + ADDED) / vocab.base_denominator)
+    per_text = lambda values: np.add.reduceat(values, begins) if len(begins) else np.empty(0)
+    rest = np.flatnonzero(~known & ~ends)
+    text = np.searchsorted(begins, rest, "right") - 1
+    order = np.lexsort((found[rest], text))
+    word, text = found[rest][order], text[order]
+    first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (text[1:] != text[:-1])]) if len(word) else np.empty(0, np.int64)
+    times = np.diff(np.r_[first, len(word)])
+    items = pa.StructArray.from_arrays([pa.array(word[first], pa.int64()), pa.array(times, pa.int64())], ["word", "times"])
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[first], np.arange(len(texts) + 1)), pa.int32()), items)
+    places = np.where(known, at, np.where(ends, END_PLACE, REST_PLACE)).astype("<i4")
+    edges = (np.r_[begins, len(found)] * 4).astype(np.int32)
+    raw = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(places.tobytes())])
+    counts = [per_text(values.astype(np.int64)) for values in (np.ones(len(found)), known, ~known & ~ends)]
+    return [*(pa.array(values, pa.int64()) for values in counts), pa.array(per_text(base), pa.float64()), lists, raw]
+
 
+def placed(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Every text as places among the frequent words, and what its unigram score needs; staged."""
 
-def neighbour_counts(train: DataFrame, vocab: Vocabulary) -> np.ndarray:
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            rows = pa.array(np.arange(row, row + batch.num_rows), pa.int64())
+            row += batch.num_rows
+            yield pa.RecordBatch.from_arrays([rows, batch.column(0), batch.column(2), *scan_texts(batch.column(1), vocab)], names=names)
+
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_frequent", "n_rest", "base", "rest", "places"]
+    return stage(texts.mapInArrow(scanned, SCANNED), "placed")
+
+
+def places_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a column of texts, one after the other, and where each text begins."""
+    raw, edges = text_bytes(column)
+    return raw.view("<i4"), edges[:-1] // 4
+
+
+def symbol_table(vocab: Vocabulary) -> np.ndarray:
+    """The symbol of every place."""
+    return np.r_[vocab.symbols, vocab.end, vocab.rare]
+
+
+def count_rows(code: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(code), EMITTED):
+        part = slice(at, at + EMITTED)
+        yield pa.RecordBatch.from_arrays([pa.array(code[part], pa.int64()), pa.array(times[part], pa.int64())], names=["word", "count"])
+
+
+def neighbour_counts(training: DataFrame, vocab: Vocabulary) -> np.ndarray:
     """How often each symbol follows each, over all training texts."""
-    size = vocab.n_symbols
+    size, table = vocab.n_symbols, symbol_table(vocab)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         for batch in batches:
             # Every text ends with the end, which also stands before the next one.
-            flat = np.r_[vocab.end, symbols_of(tokens(batch.column(0))[0], vocab)]
+            flat = np.r_[vocab.end, table[places_of(batch.column(0))[0]]]
             total += np.bincount(flat[:-1] * size + flat[1:], minlength=size * size)
         codes = np.flatnonzero(total)
-        for at in range(0, len(codes), 1 << 16):
-            part = codes[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], names=["word", "count"])
+        yield from count_rows(codes, total[codes])
 
-    rows = train.select("text").mapInArrow(counted, COUNTS).groupBy("word").agg(F.sum("count").alias("count")).toPandas()
+    rows = training.select("places").mapInArrow(counted, COUNTS).groupBy("word").agg(F.sum("count").alias("count")).toPandas()
     matrix = np.zeros(size * size)
     matrix[rows["word"].to_numpy(np.int64)] = rows["count"].to_numpy(float)
     return matrix.reshape(size, size)
@@ -226,20 +281,24 @@ def exchange(matrix: np.ndarray, n_core: int, classes: int = CLASSES, sweeps: in
 
 
 def context_batches(vocab: Vocabulary, movable: np.ndarray):
-    """Codes of (movable word, before or after, symbol there) with their numbers, a batch of texts at a time."""
-    size = vocab.n_symbols
+    """Codes of (movable word, before or after, symbol there) with their numbers, some batches of texts at a time."""
+    size, table, moves = vocab.n_symbols, symbol_table(vocab), np.r_[movable, False, False]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number = [], 0
         for batch in batches:
-            found, _ = tokens(batch.column(0))
-            symbols = np.r_[vocab.end, symbols_of(found, vocab)]
-            at, known = vocab.look_up(found)
-            moving = np.flatnonzero(known & (found != END))
-            moving = moving[movable[at[moving]]]
+            places, _ = places_of(batch.column(0))
+            symbols = np.r_[vocab.end, table[places]]
+            moving = np.flatnonzero(moves[places])
             # A text ends with the end, so a word always has a symbol after it.
-            word = at[moving] * (2 * size)
-            code, times = np.unique(np.r_[word + symbols[moving], word + size + symbols[moving + 2]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(times, pa.int64())], names=["word", "count"])
+            word = places[moving].astype(np.int64) * (2 * size)
+            held += [word + symbols[moving], word + size + symbols[moving + 2]]
+            number += 2 * len(moving)
+            if number >= COMBINED:
+                yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
+                held, number = [], 0
+        if held:
+            yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
 
     return counted
 
@@ -269,7 +328,7 @@ def best_classes(pairs: np.ndarray, own: np.ndarray, before: np.ndarray, after:
     return np.where(gain.max(axis=1) > stay + 1e-9, best, own)
 
 
-def sweep(train: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np.ndarray) -> np.ndarray:
+def sweep(training: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np.ndarray) -> np.ndarray:
     """The class of every frequent word after all movable ones have chosen; symbols are classes here."""
     size = vocab.n_symbols
 
@@ -281,7 +340,7 @@ def sweep(train: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np.nd
         best = best_classes(pairs, vocab.symbols[words], around[:, :size], around[:, size:])
         return pd.DataFrame({"word": words, "count": best})
 
-    counts = train.select("text").mapInArrow(context_batches(vocab, movable), COUNTS).groupBy("word").agg(F.sum("count").alias("count"))
+    counts = training.select("places").mapInArrow(context_batches(vocab, movable), COUNTS).groupBy("word").agg(F.sum("count").alias("count"))
     share = F.pmod(F.floor(F.col("word") / F.lit(2 * size)), F.lit(SHARES))
     found = counts.groupBy(share.alias("share")).applyInPandas(chosen_class, COUNTS).toPandas()
     classes = vocab.symbols.copy()
@@ -304,7 +363,6 @@ class ClassModel:
     emission: np.ndarray
     transition: np.ndarray
     rare_denominator: float
-    base_denominator: float
 
 
 def summed(matrix: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -323,68 +381,53 @@ def class_model(vocab: Vocabulary, matrix: np.ndarray, of: np.ndarray) -> ClassM
     ends = matrix[:, vocab.end].sum()
     n_rare_words = vocab.n_words - len(vocab.words) - (1 if ends else 0)
     n_rare = vocab.n_tokens - vocab.counts.sum() - ends
-    return ClassModel(
-        vocab, of, emission, transition, n_rare + ADDED * (n_rare_words + 1), vocab.n_tokens + ADDED * (vocab.n_words + 1)
-    )
+    return ClassModel(vocab, of, emission, transition, n_rare + ADDED * (n_rare_words + 1))
 
 
-def train(texts: DataFrame, counts: DataFrame) -> ClassModel:
-    vocab = vocabulary(counts)
-    matrix = neighbour_counts(texts, vocab)
+def fit(training: DataFrame, vocab: Vocabulary) -> ClassModel:
+    """The model of the training texts, given as places."""
+    matrix = neighbour_counts(training, vocab)
     of = exchange(matrix, vocab.n_core)
     movable = vocab.symbols >= vocab.n_core
     classed = with_classes(vocab, of[vocab.symbols], int(of.max()) + 1)
     pairs = summed(matrix, np.unique(of, return_inverse=True)[1])
     for _ in range(WORD_SWEEPS if movable.any() else 0):
-        classed = with_classes(classed, sweep(texts, classed, pairs, movable), classed.n_symbols)
-        pairs = neighbour_counts(texts, classed)
+        classed = with_classes(classed, sweep(training, classed, pairs, movable), classed.n_symbols)
+        pairs = neighbour_counts(training, classed)
     return class_model(classed, pairs, np.arange(classed.n_symbols))
 
 
-def scan_texts(texts: pa.Array, model: ClassModel) -> list[pa.Array]:
-    """Per text: tokens, frequent words and others, the two sums over frequent words, the end and transitions, and the others with their numbers."""
+def train(texts: DataFrame, counts: DataFrame) -> ClassModel:
+    """The model of the texts, all for training, and their words' counts."""
+    vocab = vocabulary(counts)
+    return fit(placed(texts, vocab), vocab)
+
+
+def score_batches(model: ClassModel):
+    """The sums of log10 transitions and of the frequent words' emissions, after the columns of SCORED."""
     vocab = model.vocab
-    found, begins = tokens(texts)
-    at, known = vocab.look_up(found)
-    ends = found == END
-    known &= ~ends
-    classes = model.symbol_class[symbols_of(found, vocab)]
-    score = model.transition[np.r_[model.symbol_class[vocab.end], classes[:-1]], classes]
-    base = np.zeros(len(found))
-    score[known] += model.emission[at[known]]
-    base[known] = np.log10((vocab.counts[at[known]] + ADDED) / model.base_denominator)
-    per_text = lambda values: np.add.reduceat(values, begins) if len(begins) else np.empty(0)
-    rest = np.flatnonzero(~known & ~ends)
-    text = np.searchsorted(begins, rest, "right") - 1
-    order = np.lexsort((found[rest], text))
-    word, text = found[rest][order], text[order]
-    first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (text[1:] != text[:-1])]) if len(word) else np.empty(0, np.int64)
-    times = np.diff(np.r_[first, len(word)])
-    items = pa.StructArray.from_arrays([pa.array(word[first], pa.int64()), pa.array(times, pa.int64())], ["word", "times"])
-    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[first], np.arange(len(texts) + 1)), pa.int32()), items)
-    counts = [per_text(values.astype(np.int64)) for values in (np.ones(len(found)), known, ~known & ~ends)]
-    return [*(pa.array(values, pa.int64()) for values in counts), pa.array(per_text(base), pa.float64()), pa.array(per_text(score), pa.float64()), lists]
+    classes_of, emission = model.symbol_class[symbol_table(vocab)], np.r_[model.emission, 0.0, 0.0]
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, begins = places_of(batch.column(7))
+            classes = classes_of[places]
+            each = model.transition[np.r_[model.symbol_class[vocab.end], classes[:-1]], classes] + emission[places]
+            sums = np.add.reduceat(each, begins) if len(begins) else np.empty(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(sums, pa.float64())], names=[*batch.schema.names[:7], "model"])
+
+    return scored
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: tokens, known ones, the unigram score and the class model's, log10."""
     small_batches(docs.sparkSession)
     texts = chosen(docs, id_col, text_col)
-    training = texts.where(~F.col("held_out"))
-    counts = word_counts(training)
-    model = train(training, counts)
-
-    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            rows = pa.array(np.arange(row, row + batch.num_rows), pa.int64())
-            row += batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [rows, batch.column(0), batch.column(2), *scan_texts(batch.column(1), model)],
-                names=[part.split()[0] for part in SCANNED.split(", ")],
-            )
-
-    scan = stage(texts.mapInArrow(scanned, SCANNED), "scored")
+    counts = word_counts(texts.where(~F.col("held_out")))
+    vocab = vocabulary(counts)
+    scan = placed(texts, vocab)
+    model = fit(scan.where(~F.col("held_out")), vocab)
+    scores = scan.drop("rest").mapInArrow(score_batches(model), SCORED)
     rest = scan.select("row", F.explode("rest").alias("rest")).select("row", "rest.word", "rest.times")
     # The end is counted like a word, so it comes from the same table.
     count = F.coalesce("count", F.lit(0))
@@ -393,12 +436,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     ends = counts.where(F.col("word") == END).agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     rest_log, rest_known = F.coalesce("rest_log", F.lit(0.0)), F.coalesce("rest_known", F.lit(0))
-    base = F.col("base") + rest_log - F.col("n_rest") * np.log10(model.base_denominator) + np.log10((ends + ADDED) / model.base_denominator)
+    base = F.col("base") + rest_log - F.col("n_rest") * np.log10(vocab.base_denominator) + np.log10((ends + ADDED) / vocab.base_denominator)
     score = F.col("model") + rest_log - F.col("n_rest") * np.log10(model.rare_denominator)
-    return scan.drop("rest").join(joined, "row", "left").select(
+    return scores.join(joined, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_frequent") + rest_known + (1 if ends else 0)).cast("bigint").alias("n_known"),
-        F.lit(int(model.vocab.n_tokens)).cast("bigint").alias("train_tokens"),
+        F.lit(int(vocab.n_tokens)).cast("bigint").alias("train_tokens"),
         base.alias("base_score"), score.alias("score"),
         F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
     )

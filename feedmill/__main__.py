@@ -2,6 +2,7 @@
 
     feed loan --csv FILE --fmt kafka --option topic=loans --option kafka.bootstrap.servers=...
     ingest loan --base DIR --topic loans --option kafka.bootstrap.servers=...
+    compact loan --base DIR
     train loan --base DIR --result-model forest
     marts --base DIR --target parquet=DIR/marts --target mongodb --target-option mongodb.collection={mart}
     charts --base DIR/marts --out DIR/charts
@@ -22,8 +23,9 @@ from pyspark.sql import SparkSession
 from feedmill import fixed_values as fixed
 from feedmill.plans import feed, loan, marketing, marts, report
 from feedmill.session import build_session
+from feedmill.sources.scratch import release
 from feedmill.sources.tables import Target, publish, read_csv, read_table
-from feedmill.streaming.ingest import file_stream, start_ingest, topic_stream
+from feedmill.streaming.ingest import compact, file_stream, start_ingest, topic_stream
 
 PLANS = {"loan": loan, "mkt": marketing}
 CHART_MARTS = [
@@ -34,10 +36,10 @@ CHART_MARTS = [
 def arguments(words: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="feedmill", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
-    job = {name: jobs.add_parser(name) for name in ("feed", "ingest", "train", "marts", "charts")}
-    for name in ("feed", "ingest", "train"):
+    job = {name: jobs.add_parser(name) for name in ("feed", "ingest", "compact", "train", "marts", "charts")}
+    for name in ("feed", "ingest", "compact", "train"):
         job[name].add_argument("name", choices=sorted(PLANS))
-    for name in ("ingest", "train", "marts"):
+    for name in ("ingest", "compact", "train", "marts"):
         job[name].add_argument("--base", required=True)
     for name in ("feed", "ingest", "charts"):
         job[name].add_argument("--option", action="append", default=[], help="key=value for the reader or writer")
@@ -49,7 +51,8 @@ def arguments(words: list[str] | None) -> argparse.Namespace:
     job["ingest"].add_argument("--topic")
     job["ingest"].add_argument("--files", help="folder of text files in place of a topic")
     job["ingest"].add_argument("--once", action="store_true", help="take what is there and end")
-    for name in ("ingest", "train", "marts"):
+    job["compact"].add_argument("--keep", type=int, default=2, help="batches at the end that stay as they are")
+    for name in ("ingest", "compact", "train", "marts"):
         job[name].add_argument("--table-fmt", default="parquet")
     job["train"].add_argument("--fit-all", action="store_true", help="fit weight, indexes and scale on the holdout too")
     job["train"].add_argument("--result-model", choices=["logistic", "forest"], help="loans only")
@@ -112,6 +115,8 @@ def main(words: list[str] | None = None) -> None:
         run_feed(spark, given, options)
     elif given.job == "ingest":
         run_ingest(spark, given, options)
+    elif given.job == "compact":
+        compact(spark, f"{given.base}/{given.name}_bronze", f"{given.base}/{given.name}_ledger", given.table_fmt, given.keep)
     elif given.job == "train":
         PLANS[given.name].run(spark, given.base, given.table_fmt, **training_options(given)).report.show(truncate=False)
     elif given.job == "marts":
@@ -120,5 +125,14 @@ def main(words: list[str] | None = None) -> None:
         run_charts(spark, given, options)
 
 
+def command() -> None:
+    """One job as its own application; what it staged is deleted at its end."""
+    try:
+        main()
+    finally:
+        if (spark := SparkSession.getActiveSession()) is not None:
+            release(spark)
+
+
 if __name__ == "__main__":
-    main()
+    command()

@@ -4,6 +4,11 @@ A batch is written under its own number and replaces what an earlier try of
 the same number left behind, so a crash between write and commit repeats work
 but no rows. The ledger carries the running total, so a batch costs one read
 of its own rows and never a recount of the table.
+
+``compact`` folds finished batches into one. A fold has the negative number
+-1 - (its last batch). Its ledger entry, written last, makes it count and the
+batches up to its last one not, so a crash at any point neither loses nor
+repeats rows for readers who give the ledger.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill import fixed_values as fixed
+from feedmill.sources.scratch import delete
 from feedmill.sources.tables import append_table, replace_table
 
 LEDGER_SCHEMA = "rows bigint, total_rows bigint, batch bigint"
@@ -45,10 +51,7 @@ class BronzeWriter:
             return
         spark = batch.sparkSession
         total = self._total_before(spark, batch_id) + rows
-        entry = spark.range(1).select(
-            F.lit(rows).cast("bigint").alias("rows"), F.lit(total).cast("bigint").alias("total_rows")
-        )
-        entry.coalesce(1).write.mode("overwrite").parquet(f"{self.ledger}/batch={batch_id}")
+        write_entry(spark, self.ledger, batch_id, rows, total)
         self._last = (batch_id, total)
 
     def _write(self, batch: DataFrame, batch_id: int) -> int:
@@ -101,13 +104,52 @@ def bronze_table(spark: SparkSession, path: str, fmt: str = "parquet", ledger: s
     """
     if fmt == "delta":
         return spark.read.format(fmt).load(path).select("value")
-    rows = spark.read.format(fmt).schema("value string, batch bigint").load(path)
+    rows = bronze_rows(spark, path, fmt)
     if ledger is not None:
         finished = F.broadcast(ledger_table(spark, ledger).select("batch"))  # one row per batch
         rows = rows.join(finished, "batch", "left_semi")
     return rows.select("value")
 
 
+def bronze_rows(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    return spark.read.format(fmt).schema("value string, batch bigint").load(path)
+
+
 def ledger_table(spark: SparkSession, path: str) -> DataFrame:
-    """One row per batch: rows written, and all rows up to and with it."""
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path).select("batch", "rows", "total_rows")
+    """One row per batch or fold: rows written, and all rows up to and with it."""
+    entries = spark.read.schema(LEDGER_SCHEMA).parquet(path).select("batch", "rows", "total_rows")
+    folded = F.coalesce(entries.agg(F.max(-F.col("batch") - 1).alias("last")).scalar(), F.lit(-1))
+    # Entries of folded batches stay until the fold's cleanup. No batch is below 0, so without folds all count.
+    return entries.where((F.col("batch") < 0) | (F.col("batch") > folded))
+
+
+def write_entry(spark: SparkSession, ledger: str, batch: int, rows: int, total: int) -> None:
+    entry = spark.range(1).select(F.lit(rows).cast("bigint").alias("rows"), F.lit(total).cast("bigint").alias("total_rows"))
+    entry.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/batch={batch}")
+
+
+def compact(spark: SparkSession, bronze: str, ledger: str, fmt: str = "parquet", keep: int = 2) -> int:
+    """Fold all finished batches but the last ``keep``, which a restart may write again; returns how many were folded.
+
+    Earlier folds stay as they are, so a row is rewritten once. Run one at a time; a
+    reader that began before it may miss the files it lists. Delta compacts by itself.
+    """
+    if fmt == "delta":
+        raise ValueError("compact a Delta table by its own command")
+    if keep < 1:
+        raise ValueError("the last batch cannot be folded: a restart may write it again")
+    single = ledger_table(spark, ledger).where("batch >= 0").orderBy("batch").collect()
+    folded = single[:-keep]
+    if len(folded) < 2:
+        return 0
+    first, last = folded[0]["batch"], folded[-1]["batch"]
+    fold = -1 - last
+    rows = bronze_rows(spark, bronze, fmt).join(F.broadcast(ledger_table(spark, ledger).select("batch")), "batch", "left_semi")
+    written = replace_table(rows.where(F.col("batch").between(first, last)).select("value"), f"{bronze}/batch={fold}", fmt)
+    if written != sum(row["rows"] for row in folded):
+        raise RuntimeError(f"{bronze}: {written} rows in batches {first} to {last}, not those of the ledger")
+    write_entry(spark, ledger, fold, written, folded[-1]["total_rows"])
+    for row in folded:
+        delete(spark, f"{bronze}/batch={row['batch']}")
+        delete(spark, f"{ledger}/batch={row['batch']}")
+    return len(folded)

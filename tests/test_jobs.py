@@ -1,5 +1,10 @@
 """The jobs one after the other, on files."""
 
+import os
+import pathlib
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +65,12 @@ def test_feed_keeps_file_order(spark, tmp_path):
     feed = encode_feed(read_csv(spark, str(tmp_path / "f.csv")), rows=25, chunk_rows=10).orderBy("ordinal").collect()
     assert [row["value"] for row in feed] == [f'{{"a":"{9 - place % 10}"}}' for place in range(25)]
     assert [row["chunk"] for row in feed] == [place // 10 for place in range(25)]
+
+
+def test_an_application_deletes_what_it_staged(base, tmp_path):
+    job = ["feed", "loan", "--csv", f"{base}/loan_csv", "--fmt", "text", "--path", str(tmp_path / "out"), "--order-by", "annual_inc"]
+    scratch = tmp_path / "scratch"
+    scratch.mkdir()
+    root = pathlib.Path(__file__).parents[1]
+    subprocess.run([sys.executable, "-m", "feedmill", *job], cwd=root, env=os.environ | {"TMPDIR": str(scratch)}, check=True, timeout=300)
+    assert list((tmp_path / "out").glob("*.txt")) and not list(scratch.rglob("*.parquet"))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from feedmill.streaming.ingest import BronzeWriter, bronze_table, file_stream, ledger_table, start_ingest
+from feedmill.streaming.ingest import BronzeWriter, bronze_table, compact, file_stream, ledger_table, start_ingest, write_entry
 
 
 def write_lines(spark, folder, start, count):
@@ -89,3 +89,41 @@ def test_binary_values_become_text(spark, tmp_path):
     source = file_stream(spark, f"{base}/topic", "parquet", "value binary")
     start_ingest(source, f"{base}/bronze", f"{base}/ledger", f"{base}/checkpoint", trigger=None).awaitTermination()
     assert sorted(row["value"] for row in bronze_table(spark, f"{base}/bronze").collect()) == ["a", "b"]
+
+
+def test_compaction_folds_finished_batches(spark, tmp_path):
+    base = str(tmp_path)
+    bronze, ledger = f"{base}/bronze", f"{base}/ledger"
+    numbers = lambda start, count: spark.range(start, start + count).selectExpr("string(id) AS value")
+    writer = BronzeWriter(bronze, ledger)
+    for batch in range(5):
+        writer(numbers(batch * 10, 10), batch)
+    assert compact(spark, bronze, ledger) == 3
+    assert ledger_rows(spark, base) == [(-3, 30, 30), (3, 10, 40), (4, 10, 50)]
+    assert {path.name for path in (tmp_path / "bronze").iterdir() if path.is_dir()} == {"batch=-3", "batch=3", "batch=4"}
+    # The last batch again, as after a restart, then a new one: totals go on.
+    again = BronzeWriter(bronze, ledger)
+    again(numbers(40, 10), 4)
+    again(numbers(50, 7), 5)
+    assert ledger_rows(spark, base)[-2:] == [(4, 10, 50), (5, 7, 57)]
+    assert compact(spark, bronze, ledger, keep=1) == 2  # the first fold stays
+    assert [row[0] for row in ledger_rows(spark, base)] == [-5, -3, 5]
+    values = bronze_table(spark, bronze, ledger=ledger)
+    assert values.count() == values.distinct().count() == 57
+    assert compact(spark, bronze, ledger) == 0
+
+
+def test_a_fold_counts_from_its_entry_on(spark, tmp_path):
+    base = str(tmp_path)
+    bronze, ledger = f"{base}/bronze", f"{base}/ledger"
+    writer = BronzeWriter(bronze, ledger)
+    for batch in range(3):
+        writer(spark.range(batch * 4, batch * 4 + 4).selectExpr("string(id) AS value"), batch)
+    # Ended after the fold's rows were written: they do not count yet.
+    spark.range(8).selectExpr("string(id) AS value").write.parquet(f"{bronze}/batch=-2")
+    assert bronze_table(spark, bronze, ledger=ledger).count() == 12
+    # Ended before the cleanup: the folded batches no longer count.
+    write_entry(spark, ledger, -2, 8, 8)
+    values = bronze_table(spark, bronze, ledger=ledger)
+    assert values.count() == values.distinct().count() == 12
+    assert ledger_rows(spark, base) == [(-2, 8, 8), (2, 4, 12)]

@@ -25,7 +25,7 @@ from feedmill.plans import loan, marketing, marts, report
 from feedmill.plans.feed import encode_feed, encode_rows, write_feed_files
 from feedmill.sources.scratch import new_path
 from feedmill.sources.tables import Target, append_table, fan_out, publish, read_csv, read_table, replace_table, table_rows
-from feedmill.streaming.ingest import bronze_table, file_stream, ledger_table, start_ingest
+from feedmill.streaming.ingest import bronze_table, compact, file_stream, ledger_table, start_ingest
 
 from workloads.feeds import (
     LOAN_SILVER_SQL,
@@ -759,14 +759,14 @@ STREAM_CHUNK_ROWS = 1_000
 STREAM_FILES_PER_BATCH = "32"
 
 
-def ingest_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def ingest_events(spark: SparkSession, sf_dir: str, files_per_batch: str = STREAM_FILES_PER_BATCH) -> tuple[str, str]:
     """All events as a feed of JSON files, streamed into bronze; bronze and ledger paths."""
     topic, bronze, ledger, checkpoint = [
         new_path(spark, f"stream-{part}") for part in ("topic", "bronze", "ledger", "checkpoint")
     ]
     feed = encode_feed(table(spark, sf_dir, "events"), ["event_id"], rows=None, chunk_rows=STREAM_CHUNK_ROWS, unique=True)
     write_feed_files(feed, topic, STREAM_CHUNK_ROWS)
-    source = file_stream(spark, topic, maxFilesPerTrigger=STREAM_FILES_PER_BATCH)
+    source = file_stream(spark, topic, maxFilesPerTrigger=files_per_batch)
     start_ingest(source, bronze, ledger, checkpoint, trigger=None).awaitTermination()
     return bronze, ledger
 
@@ -787,6 +787,15 @@ def stream_ledger(spark, sf_dir):
     return ledger_table(spark, ledger).agg(F.sum("rows").alias("rows"), F.max("total_rows").alias("total_rows"))
 
 
+@query("stream_compacted", """SELECT event_id, user_id, event_type, value, count(*) OVER () AS total_rows FROM events""")
+def stream_compacted(spark, sf_dir):
+    """All events out of a bronze table whose batches have been folded, and the ledger's total."""
+    bronze, ledger = ingest_events(spark, sf_dir, files_per_batch="4")
+    compact(spark, bronze, ledger, keep=1)
+    rows = decode_json(bronze_table(spark, bronze, ledger=ledger), "event_id bigint, user_id bigint, event_type string, value double")
+    return rows.withColumn("total_rows", ledger_table(spark, ledger).agg(F.max("total_rows")).scalar())
+
+
 # --- models -------------------------------------------------------------------
 # SQL knows the holdout rows, since their key decides. Of the models it states what
 # must hold: classes are 0 or 1, the ranking beats chance clearly, settings are as asked for.

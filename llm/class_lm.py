@@ -7,18 +7,22 @@ of a text as a word before and after it. Words are lower-cased; a word is told b
 1. counts of all words of the training texts, a table of any size;
 2. the most frequent words (at most ``FREQUENT``; a count threshold decides) go to
    all tasks, and a staged table holds every text's words as places among them, so
-   that later passes read numbers. The ``CORE`` most frequent words are clustered; the
-   others belong to a class per band of frequency, all remaining words to the rare class;
-3. counts of neighbouring symbols over all training texts: core words, band classes,
-   the rare class and the end. They are at most (CORE + 40)^2, whatever the input;
+   that later passes read numbers. The ``CORE`` most frequent words are clustered; all
+   others belong to a class per band of frequency. Words beyond the frequent ones stay
+   in a staged table by hash, with class and neighbours, and meet by joins;
+3. counts of neighbouring symbols over all training texts: core words, band classes
+   and the end. They are at most (CORE + 70)^2, whatever the input;
 4. exchange clustering of the core words on these counts: each word in turn moves to
    the class that raises the likelihood most, until no word moves;
-5. exchange of all other frequent words, ``WORD_SWEEPS`` times: Spark counts the classes
+5. exchange of all other words, ``WORD_SWEEPS`` times: Spark counts the classes
    before and after each of them over all training texts, groups of words are dealt to
    tasks, and every word moves from its band to the class that raises the likelihood
    most, judged by the class counts of the sweep's start; these are then counted anew;
-6. scoring: frequent words within the tasks; rare words join their counts by hash, so
-   no table that grows with the corpus is broadcast.
+6. scoring: frequent words within the tasks; the others join their counts and classes
+   by hash, so no table that grows with the corpus is broadcast.
+
+A ``vocabulary`` asked for a number of frequent words classes these alone; all others
+share the rare class. Otherwise that class has the unknown words only.
 
 Smoothing: transitions are backed off to class frequencies, ``BACKOFF`` pseudo
 counts; emissions add ``ADDED`` to every count, and the rare class keeps room for
@@ -58,11 +62,15 @@ END = 0  # the hash that stands for the end; a word of this hash would count as
 COUNTS = "word bigint, count bigint"
 SCANNED = (
     "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_frequent bigint, n_rest bigint, "
-    "base double, rest array<struct<word:bigint,times:bigint>>, places binary"
+    "base double, rest array<struct<word:bigint,before:int,after:int>>, pairs array<struct<a:bigint,b:bigint>>, places binary"
 )
+CLASSED = "word bigint, count bigint, class bigint, before array<int>, after array<int>"
+ADDENDS = "row bigint, rest_log double, rest_known bigint, rest_model double"
+FEW = 16  # numbers up to this have their gains tabulated
 SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_frequent bigint, n_rest bigint, base double, model double"
 # Places of what is no frequent word, counted from the end of a table of all words.
 END_PLACE, REST_PLACE = -2, -1
+BAND = "length(bin(count)) - 1"  # the whole part of the binary logarithm
 
 
 def chosen(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -97,6 +105,8 @@ class Vocabulary:
     """Sorted hashes of the frequent words, their counts and symbols, and totals of all words.
 
     Symbols: core words first, then the bands, then the rare class, then the end.
+    Words with counts below ``least`` are not among them; ``bands`` has the symbols
+    of bands of frequency, and with ``capped`` these words are of the rare class.
     """
 
     words: np.ndarray
@@ -106,6 +116,9 @@ class Vocabulary:
     n_core: int
     n_tokens: int
     n_words: int
+    least: int
+    bands: dict[int, int]
+    capped: bool
 
     @property
     def rare(self) -> int:
@@ -127,8 +140,12 @@ class Vocabulary:
         return at, self.words[at] == found
 
 
-def vocabulary(counts: DataFrame, frequent: int = FREQUENT, core: int = CORE) -> Vocabulary:
-    """The frequent words: all at or above the least of a row of thresholds that at most ``frequent`` words reach."""
+def vocabulary(counts: DataFrame, frequent: int | None = None, core: int = CORE) -> Vocabulary:
+    """The frequent words: all at or above the least of a row of thresholds that at most ``FREQUENT`` words reach.
+
+    With ``frequent`` given, so many are reached at most and no other words get classes.
+    """
+    capped, frequent = frequent is not None, FREQUENT if frequent is None else frequent
     steps = [int(2 ** (step / 4)) for step in range(4, 160)]
     totals = counts.agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("tokens"), F.count("*").alias("words"),
@@ -140,17 +157,18 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT, core: int = CORE) ->
     times = rows["count"].to_numpy(np.int64)
     n_core = min(core, len(rows))
     bands = np.floor(np.log2(np.maximum(times[n_core:], 1))).astype(np.int64)
-    names, place = np.unique(bands, return_inverse=True)
-    symbols = np.concatenate([np.arange(n_core), n_core + place])
+    below = [] if capped else [row[0] for row in counts.where((F.col("count") < least) & (F.col("word") != END)).select(F.expr(BAND)).distinct().collect()]
+    names = np.unique(np.r_[bands, np.array(below, np.int64)])
+    symbols = np.concatenate([np.arange(n_core), n_core + np.searchsorted(names, bands)])
     order = np.argsort(rows["word"].to_numpy(np.int64), kind="stable")
     return Vocabulary(
         rows["word"].to_numpy(np.int64)[order], times[order], symbols[order], n_core + len(names) + 2, n_core,
-        totals["tokens"], totals["words"],
+        totals["tokens"], totals["words"], least, {int(name): n_core + place for place, name in enumerate(names)}, capped,
     )
 
 
 def scan_texts(texts: pa.Array, vocab: Vocabulary) -> list[pa.Array]:
-    """Per text: tokens, frequent words and others, the unigram sum over frequent words, the others with their numbers, and all places."""
+    """Per text: tokens, frequent words and others, the unigram sum over frequent words, the others with the places around them, neighbouring others, and all places."""
     found, begins = tokens(texts)
     at, known = vocab.look_up(found)
     ends = found == END
@@ -158,19 +176,21 @@ def scan_texts(texts: pa.Array, vocab: Vocabulary) -> list[pa.Array]:
     base = np.zeros(len(found))
     base[known] = np.log10((vocab.counts[at[known]] + ADDED) / vocab.base_denominator)
     per_text = lambda values: np.add.reduceat(values, begins) if len(begins) else np.empty(0)
-    rest = np.flatnonzero(~known & ~ends)
-    text = np.searchsorted(begins, rest, "right") - 1
-    order = np.lexsort((found[rest], text))
-    word, text = found[rest][order], text[order]
-    first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (text[1:] != text[:-1])]) if len(word) else np.empty(0, np.int64)
-    times = np.diff(np.r_[first, len(word)])
-    items = pa.StructArray.from_arrays([pa.array(word[first], pa.int64()), pa.array(times, pa.int64())], ["word", "times"])
-    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[first], np.arange(len(texts) + 1)), pa.int32()), items)
     places = np.where(known, at, np.where(ends, END_PLACE, REST_PLACE)).astype("<i4")
+    rest = np.flatnonzero(places == REST_PLACE)
+    # Every text ends with the end, which also stands before the next one.
+    around = np.r_[np.int32(END_PLACE), places]
+    both = rest[around[rest] == REST_PLACE]  # others that follow one
+    items = pa.StructArray.from_arrays(
+        [pa.array(found[rest], pa.int64()), pa.array(around[rest], pa.int32()), pa.array(around[rest + 2], pa.int32())], ["word", "before", "after"]
+    )
+    pairs = pa.StructArray.from_arrays([pa.array(found[both - 1], pa.int64()), pa.array(found[both], pa.int64())], ["a", "b"])
+    cuts = np.r_[begins, len(found)]
+    lists, pairs = (pa.ListArray.from_arrays(pa.array(np.searchsorted(of, cuts), pa.int32()), rows) for of, rows in ((rest, items), (both, pairs)))
     edges = (np.r_[begins, len(found)] * 4).astype(np.int32)
     raw = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(places.tobytes())])
     counts = [per_text(values.astype(np.int64)) for values in (np.ones(len(found)), known, ~known & ~ends)]
-    return [*(pa.array(values, pa.int64()) for values in counts), pa.array(per_text(base), pa.float64()), lists, raw]
+    return [*(pa.array(values, pa.int64()) for values in counts), pa.array(per_text(base), pa.float64()), lists, pairs, raw]
 
 
 def placed(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -183,7 +203,7 @@ def placed(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
             row += batch.num_rows
             yield pa.RecordBatch.from_arrays([rows, batch.column(0), batch.column(2), *scan_texts(batch.column(1), vocab)], names=names)
 
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_frequent", "n_rest", "base", "rest", "places"]
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_frequent", "n_rest", "base", "rest", "pairs", "places"]
     return stage(texts.mapInArrow(scanned, SCANNED), "placed")
 
 
@@ -204,8 +224,88 @@ def count_rows(code: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(code[part], pa.int64()), pa.array(times[part], pa.int64())], names=["word", "count"])
 
 
+@dataclass
+class Rest:
+    """Words beyond the frequent ones with count, class and the places around them, and pairs of such words with their classes."""
+
+    words: DataFrame
+    pairs: DataFrame
+
+    def relabelled(self, numbers: np.ndarray) -> Rest:
+        """With the number at each class as its new class."""
+        place = F.array(*(F.lit(int(at)) for at in numbers))
+        label = lambda column: F.element_at(place, (F.col(column) + 1).cast("int")).cast("bigint")
+        pairs = self.pairs.withColumns({column: label(column) for column in ("class_a", "class_b")})
+        return Rest(self.words.withColumn("class", label("class")), pairs)
+
+    def classes(self) -> list[int]:
+        return [row[0] for row in self.words.select("class").distinct().collect()]
+
+
+def pairs_with_classes(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """(a, b, times, class_a, class_b), staged."""
+    of = words.select("word", "class")
+    named = pairs.select("a", "b", "times").join(of.toDF("a", "class_a"), "a").join(of.toDF("b", "class_b"), "b")
+    return stage(named.select("a", "b", "times", "class_a", "class_b"), "rest-pairs")
+
+
+def rest_of(training: DataFrame, counts: DataFrame, vocab: Vocabulary) -> Rest | None:
+    """The words beyond the frequent ones, each in its band; nothing where all are frequent or these alone get classes."""
+    below = counts.where((F.col("count") < vocab.least) & (F.col("word") != END))
+    if vocab.capped or below.isEmpty():
+        return None
+    band = F.element_at(F.create_map(*(F.lit(value) for pair in vocab.bands.items() for value in pair)), F.expr(BAND)).cast("bigint")
+    found = training.select(F.inline("rest")).groupBy("word").agg(F.collect_list("before").alias("before"), F.collect_list("after").alias("after"))
+    words = stage(below.join(found, "word").select("word", "count", band.alias("class"), "before", "after"), "rest-words")
+    pairs = training.select(F.inline("pairs")).groupBy("a", "b").agg(F.count("*").alias("times"))
+    return Rest(words, pairs_with_classes(pairs, words))
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, and the row of each."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return column.flatten(), np.repeat(np.arange(len(column)), lengths)
+
+
+def rest_codes(vocab: Vocabulary, code):
+    """Numbers of the codes that ``code(class, place, symbol, after)`` gives the places around the words beyond the frequent ones."""
+    table = symbol_table(vocab)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number = [], 0
+        for batch in batches:
+            own = batch.column(0).to_numpy(zero_copy_only=False)
+            for after in (False, True):
+                places, row = flat(batch.column(1 + after))
+                places = places.to_numpy(zero_copy_only=False)
+                known = places != REST_PLACE
+                held.append(code(own[row[known]], places[known], table[places[known]], after))
+                number += len(held[-1])
+            if number >= COMBINED:
+                yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
+                held, number = [], 0
+        if held:
+            yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
+
+    return counted
+
+
+def all_neighbour_counts(training: DataFrame, vocab: Vocabulary, rest: Rest | None) -> np.ndarray:
+    """How often each symbol follows each, the classes of all words included."""
+    matrix, size = neighbour_counts(training, vocab), vocab.n_symbols
+    if rest is None:
+        return matrix
+    matrix[vocab.rare], matrix[:, vocab.rare] = 0, 0  # their words have other classes
+    code = lambda own, places, symbols, after: own * size + symbols if after else symbols * size + own
+    beside = rest.words.select("class", "before", "after").mapInArrow(rest_codes(vocab, code), COUNTS)
+    both = rest.pairs.select((F.col("class_a") * size + F.col("class_b")).alias("word"), F.col("times").alias("count"))
+    rows = beside.unionByName(both).groupBy("word").agg(F.sum("count").alias("count")).toPandas()
+    matrix.reshape(-1)[rows["word"].to_numpy(np.int64)] += rows["count"].to_numpy(float)
+    return matrix
+
+
 def neighbour_counts(training: DataFrame, vocab: Vocabulary) -> np.ndarray:
-    """How often each symbol follows each, over all training texts."""
+    """How often each symbol follows each, over all training texts; words beyond the frequent ones count as rare."""
     size, table = vocab.n_symbols, symbol_table(vocab)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +382,7 @@ def exchange(matrix: np.ndarray, n_core: int, classes: int = CLASSES, sweeps: in
 
 def context_batches(vocab: Vocabulary, movable: np.ndarray):
     """Codes of (movable word, before or after, symbol there) with their numbers, some batches of texts at a time."""
-    size, table, moves = vocab.n_symbols, symbol_table(vocab), np.r_[movable, False, False]
+    size, table, moves, rare = vocab.n_symbols, symbol_table(vocab), np.r_[movable, False, False], vocab.rare
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number = [], 0
@@ -292,7 +392,8 @@ def context_batches(vocab: Vocabulary, movable: np.ndarray):
             moving = np.flatnonzero(moves[places])
             # A text ends with the end, so a word always has a symbol after it.
             word = places[moving].astype(np.int64) * (2 * size)
-            held += [word + symbols[moving], word + size + symbols[moving + 2]]
+            sides = symbols[moving], symbols[moving + 2]
+            held += [(word + after * size + side)[vocab.capped | (side != rare)] for after, side in enumerate(sides)]
             number += 2 * len(moving)
             if number >= COMBINED:
                 yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
@@ -328,7 +429,55 @@ def best_classes(pairs: np.ndarray, own: np.ndarray, before: np.ndarray, after:
     return np.where(gain.max(axis=1) > stay + 1e-9, best, own)
 
 
-def sweep(training: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np.ndarray) -> np.ndarray:
+def few_classes(pairs: np.ndarray):
+    """As ``best_classes``, for words with few neighbours: gains of small numbers are looked up, and only for classes beside the word."""
+    n_classes, size = len(pairs) - 2, len(pairs)
+    classes = np.arange(n_classes)
+    sides = []
+    for matrix in (pairs, pairs.T):
+        near = np.ascontiguousarray(matrix[:n_classes].T)  # by the class beside the word, then by the word's
+        steps = np.stack([h(near + number) - h(near) for number in range(FEW + 1)])
+        steps[:, classes, classes] = 0  # the class's pair with itself is counted apart
+        sides.append((near, steps, matrix.sum(axis=1)[:n_classes]))
+
+    def gains(own: np.ndarray, here: np.ndarray, there: np.ndarray, near, steps, sums) -> np.ndarray:
+        """Of the words' neighbours on one side; ``there`` are those on the other."""
+        gain = np.zeros((len(own), n_classes))
+        word, beside = np.nonzero(here)
+        times = here[word, beside]
+        each = steps[np.minimum(times, FEW).astype(np.int64), beside]
+        many = np.flatnonzero(times > FEW)
+        each[many] = h(near[beside[many]] + times[many, None]) - h(near[beside[many]])
+        # The neighbours' counts of the own class have the word in them.
+        same = np.flatnonzero(beside == own[word])
+        without = near[beside[same]] - there[word[same], :n_classes]
+        each[same] = h(without + times[same, None]) - h(without)
+        full = near[beside, own[word]]
+        each[np.arange(len(word)), own[word]] = h(full) - h(full - times)
+        within = np.flatnonzero(beside < n_classes)
+        each[within, beside[within]] = 0
+        if len(word):
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            gain[word[first]] = np.add.reduceat(each, first)
+        totals, at = np.unique(here.sum(axis=1), return_inverse=True)
+        gain -= (h(sums + totals[:, None]) - h(sums))[at]
+        every = np.arange(len(own))
+        gain[every, own] += h(sums[own] + totals[at]) - 2 * h(sums[own]) + h(sums[own] - totals[at])
+        return gain
+
+    def best(own: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        gain = gains(own, after, before, *sides[0]) + gains(own, before, after, *sides[1])
+        word, place = np.nonzero((before + after)[:, :n_classes])
+        both = before[word, place] + after[word, place]
+        inside = pairs[place, place] - np.where(own[word] == place, both, 0)
+        gain[word, place] += h(inside + both) - h(inside)
+        stay = gain[np.arange(len(own)), own]
+        return np.where(gain.max(axis=1) > stay + 1e-9, gain.argmax(axis=1), own)
+
+    return best
+
+
+def sweep(training: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np.ndarray, rest: Rest | None = None) -> np.ndarray:
     """The class of every frequent word after all movable ones have chosen; symbols are classes here."""
     size = vocab.n_symbols
 
@@ -340,7 +489,15 @@ def sweep(training: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np
         best = best_classes(pairs, vocab.symbols[words], around[:, :size], around[:, size:])
         return pd.DataFrame({"word": words, "count": best})
 
-    counts = training.select("places").mapInArrow(context_batches(vocab, movable), COUNTS).groupBy("word").agg(F.sum("count").alias("count"))
+    def code(own: np.ndarray, places: np.ndarray, symbols: np.ndarray, after: bool) -> np.ndarray:
+        """The word beyond the frequent ones, as seen from the frequent word at its side."""
+        moving = np.r_[movable, False, False][places]
+        return (places.astype(np.int64) * (2 * size) + (0 if after else size) + own)[moving]
+
+    counts = training.select("places").mapInArrow(context_batches(vocab, movable), COUNTS)
+    if rest is not None:
+        counts = counts.unionByName(rest.words.select("class", "before", "after").mapInArrow(rest_codes(vocab, code), COUNTS))
+    counts = counts.groupBy("word").agg(F.sum("count").alias("count"))
     share = F.pmod(F.floor(F.col("word") / F.lit(2 * size)), F.lit(SHARES))
     found = counts.groupBy(share.alias("share")).applyInPandas(chosen_class, COUNTS).toPandas()
     classes = vocab.symbols.copy()
@@ -348,21 +505,58 @@ def sweep(training: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np
     return classes
 
 
-def with_classes(vocab: Vocabulary, classes: np.ndarray, total: int) -> Vocabulary:
-    """The vocabulary with classes as symbols, those without words left out; the rare class and the end stay the last ones."""
-    names, place = np.unique(np.r_[classes, total - 2, total - 1], return_inverse=True)
-    return replace(vocab, symbols=place[:-2], n_symbols=len(names), n_core=0)
+def sweep_rest(rest: Rest, vocab: Vocabulary, pairs: np.ndarray) -> Rest:
+    """The words beyond the frequent ones after all have chosen, by the same counts as the frequent ones; staged."""
+    size, table = vocab.n_symbols, symbol_table(vocab)
+
+    def chosen_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = few_classes(pairs)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
+                around = np.zeros(batch.num_rows * 2 * size)
+                for after in (0, 1):
+                    places, row = flat(batch.column(3 + after))
+                    places = places.to_numpy(zero_copy_only=False)
+                    known = places != REST_PLACE
+                    around += np.bincount(row[known] * (2 * size) + after * size + table[places[known]], minlength=len(around))
+                items, row = flat(batch.column(5))
+                code, times = (items.field(place).to_numpy(zero_copy_only=False) for place in (0, 1))
+                around += np.bincount(row * (2 * size) + code, weights=times, minlength=len(around))
+                around = around.reshape(-1, 2 * size)
+                new = best(batch.column(2).to_numpy(zero_copy_only=False), around[:, :size], around[:, size:])
+                columns = [*batch.columns[:2], pa.array(new, pa.int64()), *batch.columns[3:5]]
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:5])
+
+    item = lambda word, code: rest.pairs.select(F.col(word).alias("word"), F.struct(code.alias("code"), "times").alias("item"))
+    beside = item("a", F.col("class_b") + size).unionByName(item("b", F.col("class_a") + 0)).groupBy("word").agg(F.collect_list("item").alias("items"))
+    joined = rest.words.join(beside, "word", "left").select("word", "count", "class", "before", "after", "items")
+    words = stage(joined.mapInArrow(chosen_class, CLASSED), "rest-words")
+    return Rest(words, pairs_with_classes(rest.pairs, words))
+
+
+def with_classes(vocab: Vocabulary, classes: np.ndarray, total: int, rest: Rest | None = None) -> tuple[Vocabulary, Rest | None]:
+    """The vocabulary and the other words with classes as symbols, those without words left out; the rare class and the end stay the last ones."""
+    others = rest.classes() if rest is not None else []
+    names = np.unique(np.r_[classes, np.array([*others, total - 2, total - 1], np.int64)])
+    classed = replace(vocab, symbols=np.searchsorted(names, classes), n_symbols=len(names), n_core=0)
+    return classed, rest.relabelled(np.searchsorted(names, np.arange(total))) if rest is not None else None
 
 
 @dataclass
 class ClassModel:
-    """Frequent words with class and log10 probability in the class; log10 transitions; the rare class's denominator."""
+    """Frequent words with class and log10 probability in the class; log10 transitions; the classes' denominators, also the rare one's."""
 
     vocab: Vocabulary
     symbol_class: np.ndarray
     emission: np.ndarray
     transition: np.ndarray
-    rare_denominator: float
+    denominators: np.ndarray
+    rest: Rest | None
+
+    @property
+    def rare_denominator(self) -> float:
+        return self.denominators[self.symbol_class[self.vocab.rare]]
 
 
 def summed(matrix: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -371,54 +565,102 @@ def summed(matrix: np.ndarray, of: np.ndarray) -> np.ndarray:
     return member.T @ matrix @ member
 
 
-def class_model(vocab: Vocabulary, matrix: np.ndarray, of: np.ndarray) -> ClassModel:
+def class_model(vocab: Vocabulary, matrix: np.ndarray, of: np.ndarray, rest: Rest | None = None) -> ClassModel:
     total, pairs = int(of.max()) + 1, summed(matrix, of)
     share = (pairs.sum(axis=0) + 1) / (pairs.sum() + total)
     transition = np.log10((pairs + BACKOFF * share) / (pairs.sum(axis=1, keepdims=True) + BACKOFF))
     word_class = of[vocab.symbols] if len(vocab.words) else np.empty(0, np.int64)
     sums = np.bincount(word_class, weights=vocab.counts + ADDED, minlength=total)
+    rare = of[vocab.rare]
+    if rest is not None:
+        sums[rare] += ADDED
+        for row in rest.words.groupBy("class").agg(F.sum("count").alias("count"), F.count("*").alias("words")).collect():
+            sums[of[row["class"]]] += row["count"] + ADDED * row["words"]
+    else:
+        ends = matrix[:, vocab.end].sum()
+        n_rare_words = vocab.n_words - len(vocab.words) - (1 if ends else 0)
+        sums[rare] += vocab.n_tokens - vocab.counts.sum() - ends + ADDED * (n_rare_words + 1)
     emission = np.log10((vocab.counts + ADDED) / sums[word_class])
-    ends = matrix[:, vocab.end].sum()
-    n_rare_words = vocab.n_words - len(vocab.words) - (1 if ends else 0)
-    n_rare = vocab.n_tokens - vocab.counts.sum() - ends
-    return ClassModel(vocab, of, emission, transition, n_rare + ADDED * (n_rare_words + 1))
+    return ClassModel(vocab, of, emission, transition, sums, rest)
 
 
-def fit(training: DataFrame, vocab: Vocabulary) -> ClassModel:
-    """The model of the training texts, given as places."""
-    matrix = neighbour_counts(training, vocab)
+def fit(training: DataFrame, vocab: Vocabulary, counts: DataFrame) -> ClassModel:
+    """The model of the training texts, given as places, and their words' counts."""
+    rest = rest_of(training, counts, vocab)
+    matrix = all_neighbour_counts(training, vocab, rest)
     of = exchange(matrix, vocab.n_core)
     movable = vocab.symbols >= vocab.n_core
-    classed = with_classes(vocab, of[vocab.symbols], int(of.max()) + 1)
-    pairs = summed(matrix, np.unique(of, return_inverse=True)[1])
-    for _ in range(WORD_SWEEPS if movable.any() else 0):
-        classed = with_classes(classed, sweep(training, classed, pairs, movable), classed.n_symbols)
-        pairs = neighbour_counts(training, classed)
-    return class_model(classed, pairs, np.arange(classed.n_symbols))
+    rest = rest.relabelled(of) if rest is not None else None
+    classed, rest = with_classes(vocab, of[vocab.symbols], int(of.max()) + 1, rest)
+    names = np.unique(of)
+    pairs = summed(matrix, np.searchsorted(names, of))
+    for _ in range(WORD_SWEEPS if movable.any() or rest is not None else 0):
+        classes = sweep(training, classed, pairs, movable, rest)
+        following = sweep_rest(rest, classed, pairs) if rest is not None else None
+        classed, rest = with_classes(classed, classes, classed.n_symbols, following)
+        pairs = all_neighbour_counts(training, classed, rest)
+    return class_model(classed, pairs, np.arange(classed.n_symbols), rest)
 
 
 def train(texts: DataFrame, counts: DataFrame) -> ClassModel:
     """The model of the texts, all for training, and their words' counts."""
     vocab = vocabulary(counts)
-    return fit(placed(texts, vocab), vocab)
+    return fit(placed(texts, vocab), vocab, counts)
 
 
 def score_batches(model: ClassModel):
-    """The sums of log10 transitions and of the frequent words' emissions, after the columns of SCORED."""
+    """The sums of log10 transitions between frequent words and of their emissions, after the columns of SCORED."""
     vocab = model.vocab
     classes_of, emission = model.symbol_class[symbol_table(vocab)], np.r_[model.emission, 0.0, 0.0]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places, begins = places_of(batch.column(7))
-            classes = classes_of[places]
+            classes, rest = classes_of[places], places == REST_PLACE
             each = model.transition[np.r_[model.symbol_class[vocab.end], classes[:-1]], classes] + emission[places]
+            each[rest | np.r_[False, rest[:-1]]] = 0
+            # Where a word beyond the frequent ones stands before, the emission is all that is known here.
+            follows = np.flatnonzero(np.r_[False, rest[:-1]] & ~rest)
+            each[follows] = emission[places[follows]]
             sums = np.add.reduceat(each, begins) if len(begins) else np.empty(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(sums, pa.float64())], names=[*batch.schema.names[:7], "model"])
 
     return scored
 
 
+def rest_scores(model: ClassModel):
+    """What words beyond the frequent ones add to a row, with the transitions from and to frequent words beside them."""
+    classes_of, rare = model.symbol_class[symbol_table(model.vocab)], model.symbol_class[model.vocab.rare]
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, after = (batch.column(place).to_numpy(zero_copy_only=False) for place in (1, 2))
+            count = batch.column(3).fill_null(0).to_numpy(zero_copy_only=False)
+            own = batch.column(4).fill_null(int(rare)).to_numpy(zero_copy_only=False)
+            log = np.log10(count + ADDED)
+            score = log - np.log10(model.denominators[own])
+            score += np.where(before == REST_PLACE, 0, model.transition[classes_of[before], own])
+            score += np.where(after == REST_PLACE, 0, model.transition[own, classes_of[after]])
+            columns = [batch.column(0), pa.array(log), pa.array((count > 0).astype(np.int64)), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "rest_log", "rest_known", "rest_model"])
+
+    return scored
+
+
+def pair_scores(model: ClassModel):
+    """The transitions between words beyond the frequent ones."""
+    rare = int(model.symbol_class[model.vocab.rare])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (batch.column(place).fill_null(rare).to_numpy(zero_copy_only=False) for place in (1, 2))
+            nothing = np.zeros(batch.num_rows)
+            columns = [batch.column(0), pa.array(nothing), pa.array(nothing.astype(np.int64)), pa.array(model.transition[one, other])]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "rest_log", "rest_known", "rest_model"])
+
+    return scored
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: tokens, known ones, the unigram score and the class model's, log10."""
     small_batches(docs.sparkSession)
@@ -426,18 +668,23 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = word_counts(texts.where(~F.col("held_out")))
     vocab = vocabulary(counts)
     scan = placed(texts, vocab)
-    model = fit(scan.where(~F.col("held_out")), vocab)
-    scores = scan.drop("rest").mapInArrow(score_batches(model), SCORED)
-    rest = scan.select("row", F.explode("rest").alias("rest")).select("row", "rest.word", "rest.times")
+    model = fit(scan.where(~F.col("held_out")), vocab, counts)
+    sent = replace(model, rest=None)  # tables stay on the driver
+    scores = scan.drop("rest", "pairs").mapInArrow(score_batches(sent), SCORED)
+    # Without classes of their own these words are of the rare class, like unknown ones.
+    of = counts.withColumn("class", F.lit(None).cast("bigint")) if model.rest is None else model.rest.words
+    of = of.select("word", "count", "class")
+    rest = scan.select("row", F.inline("rest")).join(of, "word", "left").select("row", "before", "after", "count", "class")
+    pairs = scan.select("row", F.inline("pairs"))
+    for side in "ab":
+        pairs = pairs.join(of.select(F.col("word").alias(side), F.col("class").alias(f"class_{side}")), side, "left")
+    added = rest.mapInArrow(rest_scores(sent), ADDENDS).unionByName(pairs.select("row", "class_a", "class_b").mapInArrow(pair_scores(sent), ADDENDS))
+    joined = added.groupBy("row").agg(*(F.sum(name).alias(name) for name in ("rest_log", "rest_known", "rest_model")))
     # The end is counted like a word, so it comes from the same table.
-    count = F.coalesce("count", F.lit(0))
-    joined = rest.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(count + ADDED)).alias("rest_log"), F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rest_known")
-    )
     ends = counts.where(F.col("word") == END).agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    rest_log, rest_known = F.coalesce("rest_log", F.lit(0.0)), F.coalesce("rest_known", F.lit(0))
+    rest_log, rest_known, rest_model = F.coalesce("rest_log", F.lit(0.0)), F.coalesce("rest_known", F.lit(0)), F.coalesce("rest_model", F.lit(0.0))
     base = F.col("base") + rest_log - F.col("n_rest") * np.log10(vocab.base_denominator) + np.log10((ends + ADDED) / vocab.base_denominator)
-    score = F.col("model") + rest_log - F.col("n_rest") * np.log10(model.rare_denominator)
+    score = F.col("model") + rest_model
     return scores.join(joined, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_frequent") + rest_known + (1 if ends else 0)).cast("bigint").alias("n_known"),

@@ -135,3 +135,50 @@ def test_a_word_moves_to_the_class_that_raises_the_likelihood_most(seed):
     pairs, member = class_lm.summed(matrix, of), np.eye(8)[of]
     chosen = class_lm.best_classes(pairs, of[5:6], (matrix[:, 5] @ member)[None], (matrix[5] @ member)[None])
     assert chosen.tolist() == [best]
+
+
+def test_words_beyond_the_broadcast_ones_have_classes_and_transitions_of_their_own(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(class_lm, "FREQUENT", 300)
+    monkeypatch.setattr(class_lm, "CORE", 100)
+    monkeypatch.setattr(class_lm, "vocabulary", lambda counts, original=class_lm.vocabulary: original(counts, core=100))
+    models, original = [], class_lm.fit
+    monkeypatch.setattr(class_lm, "fit", lambda *given: models.append(original(*given)) or models[-1])
+    docs = table(spark, sf_dir, "documents")
+    rows = {row["doc_id"]: row for row in class_lm.score_documents(docs).collect()}
+    model, texts = models[0], class_lm.chosen(docs, "doc_id", "text").collect()
+    vocab = model.vocab
+    counts = {row["word"]: row["count"] for row in class_lm.word_counts(class_lm.chosen(docs, "doc_id", "text").where(~F.col("held_out"))).collect()}
+    place = {row["word"]: row["class"] for row in model.rest.words.collect()}
+    assert 0 < len(vocab.words) <= 300 and len(place) + len(vocab.words) + 1 == len(counts) and vocab.rare not in place.values()
+    assert sum(number < 64 for number in place.values()) > len(place) / 2  # they left their bands
+    place |= dict(zip(vocab.words.tolist(), vocab.symbols.tolist())) | {class_lm.END: vocab.end}
+    import pyarrow as pa
+
+    pairs, found = np.zeros((vocab.n_symbols,) * 2), {}
+    for row in texts:
+        hashes = class_lm.tokens(pa.array([row["text"]], pa.string()))[0].tolist()
+        found[row["doc_id"]] = hashes, [place.get(word, vocab.rare) for word in hashes]
+        if not row["held_out"]:
+            kinds = found[row["doc_id"]][1]
+            np.add.at(pairs, ([vocab.end, *kinds[:-1]], kinds), 1)
+    share = (pairs.sum(axis=0) + 1) / (pairs.sum() + len(pairs))
+    transition = np.log10((pairs + class_lm.BACKOFF * share) / (pairs.sum(axis=1, keepdims=True) + class_lm.BACKOFF))
+    sums = np.zeros(len(pairs))
+    sums[vocab.rare] = class_lm.ADDED
+    for word, count in counts.items():
+        sums[place[word]] += count + class_lm.ADDED
+    for doc, (hashes, kinds) in found.items():
+        # The end is alone in its class.
+        words_only = sum(np.log10((counts.get(word, 0) + class_lm.ADDED) / sums[kind]) for word, kind in zip(hashes, kinds) if word != class_lm.END)
+        assert rows[doc]["score"] == pytest.approx(words_only + transition[[vocab.end, *kinds[:-1]], kinds].sum(), rel=1e-9)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_words_with_few_neighbours_choose_as_others_do(seed):
+    rng = np.random.default_rng(seed)
+    of = np.r_[np.arange(40) % 8, 8, 9]
+    matrix = rng.integers(0, 3, (42, 42)) * rng.integers(0, 2, (42, 42)) * rng.choice([1.0, 1.0, 30.0], (42, 42))
+    matrix[np.arange(40), np.arange(40)] = 0
+    pairs, member = class_lm.summed(matrix, of), np.eye(10)[of]
+    before, after = matrix[:, :40].T @ member, matrix[:40] @ member
+    assert (class_lm.few_classes(pairs)(of[:40], before, after) == class_lm.best_classes(pairs, of[:40], before, after)).all()

@@ -8,9 +8,11 @@ texts have equal fingerprints; the share of equal places estimates the Jaccard
 similarity.
 
 ``near_duplicates`` joins in Spark: documents of equal sets become one class, class
-signatures are cut into bands of four places, classes that agree in a band are
-linked with the smallest class of that band only (never with each other), links
-are verified by the exact Jaccard similarity of the two sets.
+signatures are cut into bands of four places, all classes that agree in a band are
+compared with each other, and links are verified by the exact Jaccard similarity of
+the two sets. The members of a band are dealt into blocks of about ``BLOCK``, and
+every pair of blocks is joined by itself, so no task holds a large band; the pairs
+of a band, as its links, grow with the square of its different sets.
 
 ``with_next`` gives each document its successor in descending id order without a
 global sort in one task: quantiles of the id cut blocks, each block also gets the
@@ -33,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import small_batches, word_hashes, word_shingles
+from llm.common import connected, small_batches, stage, word_hashes, word_shingles
 
 PERMUTATIONS = 128
 BAND_PLACES = 4
 CHUNK = 1024
 SIMILARITY = 0.75
+BLOCK = 256  # sets of a band that are joined with as many others at a time
 
 _random = np.random.Generator(np.random.PCG64(20240229))
 FACTORS = _random.integers(0, 1 << 63, (PERMUTATIONS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -191,21 +194,46 @@ def jaccard(one: Column, other: Column) -> Column:
     return shared / (F.array_size(one) + F.array_size(other) - shared)
 
 
+def band_pairs(classes: DataFrame) -> DataFrame:
+    """(one, other): the keys of all pairs of sets that agree in a band."""
+    banded = classes.select("set_key", F.posexplode("bands").alias("band", "value"))
+    blocks = banded.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1")
+    blocks = blocks.select("band", "value", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    members = banded.join(blocks, ["band", "value"]).withColumn("block", F.pmod(F.xxhash64("set_key"), "blocks").cast("int"))
+    dealt = members.withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", "value", F.least("block", "beside").alias("low"), F.greatest("block", "beside").alias("high"), "block", "set_key")
+    keys = ["band", "value", "low", "high"]
+    one, other = dealt.withColumnsRenamed({"set_key": "one", "block": "block_one"}), dealt.withColumnsRenamed({"set_key": "other", "block": "block_other"})
+    # Two sets of one block meet where the block is joined with itself.
+    met = one.join(other, keys).where("one < other AND (low = high OR block_one <> block_other)")
+    return met.select("one", "other").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document with words: doc_id, class_id, and the links of its class.
+    """One row per document with words: doc_id, class_id, the links of its class, their number and the component.
 
-    ``links`` are (class_id, similarity) of smaller classes that share a band and are
-    verified. A class is named by its smallest id.
+    ``links`` are (class_id, similarity) of all smaller classes that share a band and are
+    verified; ``n_links`` counts the links to larger classes too. A class is named by its
+    smallest id, a component by that of its classes.
     """
     sets = shingle_sets(docs, id_col, text_col).where(F.size("shingles") > 0).withColumn("set_key", F.sha2(F.col("shingles").cast("string"), 256))
+    sets = stage(sets, "shingle-sets")
     named = sets.groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
-    members = sets.select("doc_id", "set_key").join(named, "set_key").select("doc_id", "class_id")
-    classes = sets.select("set_key", "shingles", "bands").dropDuplicates(["set_key"]).join(named, "set_key").drop("set_key")
-    banded = classes.select("class_id", F.posexplode("bands").alias("band", "value"))
-    leads = banded.groupBy("band", "value").agg(F.min("class_id").alias("lead"), F.count("*").alias("size")).where("size > 1")
-    pairs = banded.join(leads, ["band", "value"]).where("class_id <> lead").select("class_id", "lead").distinct()
-    own = classes.select("class_id", "shingles")
-    compared = pairs.join(own, "class_id").join(own.select(F.col("class_id").alias("lead"), F.col("shingles").alias("other")), "lead")
-    verified = compared.withColumn("similarity", jaccard(F.col("shingles"), F.col("other"))).where(F.col("similarity") >= similarity)
-    links = verified.groupBy("class_id").agg(F.collect_list(F.struct(F.col("lead").alias("class_id"), "similarity")).alias("links"))
-    return members.join(links, "class_id", "left").select("doc_id", "class_id", "links")
+    classes = sets.select("set_key", "shingles", "bands").dropDuplicates(["set_key"])
+    own = classes.select("set_key", "shingles").join(named, "set_key")
+    side = lambda name: own.select(F.col("set_key").alias(name), F.col("shingles").alias(f"{name}_set"), F.col("class_id").alias(f"{name}_class"))
+    compared = band_pairs(classes).join(side("one"), "one").join(side("other"), "other").withColumn("similarity", jaccard(F.col("one_set"), F.col("other_set")))
+    verified = stage(compared.where(F.col("similarity") >= similarity).drop("one_set", "other_set"), "links")
+    place = lambda name: F.struct(F.coalesce(f"{name}_class", F.lit((1 << 63) - 1)), F.col(name))
+    after = place("one") > place("other")  # classes without an id come last
+    item = lambda name, other, take: verified.select(
+        F.col(name).alias("set_key"), F.when(take, F.struct(F.col(f"{other}_class").alias("class_id"), "similarity")).alias("link")
+    )
+    both = item("one", "other", after).unionByName(item("other", "one", ~after))
+    linked = both.groupBy("set_key").agg(F.collect_list("link").alias("links"), F.count("*").alias("n_links"))
+    linked = linked.withColumn("links", F.when(F.size("links") > 0, F.col("links")))
+    of = connected(verified, "one", "other").withColumnRenamed("node", "set_key")
+    names = named.join(of, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    least = names.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    rows = sets.select("doc_id", "set_key").join(names.join(least, "component"), "set_key").join(linked, "set_key", "left")
+    return rows.select("doc_id", "class_id", "links", F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id")

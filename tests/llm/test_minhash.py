@@ -63,3 +63,29 @@ def test_band_join_finds_near_copies_and_verifies_them(spark):
         assert doc >= 500 or doc == 0 or row["links"]
         assert doc < 500 or doc >= 900 or not row["links"]
     assert near_duplicates(docs_frame(spark, [])).collect() == []
+
+
+def test_band_join_gives_all_links_and_components(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    base = prose(21, 200).split()
+    rows = [(at, " ".join(base[:at] + ["changed"] + base[at + 1 :])) for at in range(0, 200, 10)]
+    rows += [(1000 + step, " ".join(base[step * 12 :] + prose(77, step * 12 + 1).split())) for step in range(9)]
+    rows += [(500 + at, prose(600 + at, 100)) for at in range(10)] + [(900, rows[0][1])]
+    sets = dict(zip([doc for doc, _ in rows], text_shingles(pa.array([text for _, text in rows], pa.string()))))
+    bands, links = {doc: signature(one).view("<u8") for doc, one in sets.items()}, {}
+    name = {doc: min(other for other in sets if np.array_equal(sets[doc], sets[other])) for doc in sets}
+    for one in set(name.values()):
+        for other in set(name.values()) - {one}:
+            shared = len(np.intersect1d(sets[one], sets[other]))
+            likeness = shared / (len(sets[one]) + len(sets[other]) - shared)
+            if (bands[one] == bands[other]).any() and likeness >= 0.75:
+                links.setdefault(one, {})[other] = likeness
+    component = {doc: doc for doc in name.values()}
+    for _ in component:
+        component = {doc: min([component[doc], *(component[other] for other in links.get(doc, ()))]) for doc in component}
+    found = {row["doc_id"]: row for row in near_duplicates(docs_frame(spark, rows)).collect()}
+    assert set(found) == set(sets) and len(links[0]) >= 19
+    for doc, row in found.items():
+        mine = links.get(name[doc], {})
+        assert (row["class_id"], row["n_links"], row["component_id"]) == (name[doc], len(mine), component[name[doc]])
+        assert {link["class_id"]: link["similarity"] for link in row["links"] or []} == {other: of for other, of in mine.items() if other < name[doc]}

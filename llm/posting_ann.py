@@ -12,8 +12,9 @@ of the least, ``REPLICAS`` at most: vectors at a boundary are in several lists.
 grew beyond ``CELL`` vectors is cut into cells by a hash of the id, and all cells of
 a list are searched, so a list of any size is spread over tasks and none is cut short.
 
-Search: the graph gives a query's nearest lists; those within ``PROBE_RATIO`` of the
-nearest one are read. Queries meet their cells' vectors in a cogrouped join, in
+Search: the graph gives a query's nearest lists, ``PROBES`` at most; the ratio
+``PROBE_RATIO`` counts from the list at which they hold ``SPARE`` times k vectors, so a
+list very near, of a group of near copies, does not shut out all others. Queries meet their cells' vectors in a cogrouped join, in
 blocks; distances are taken in double precision on the vectors as given; the best
 of each cell are merged per query.
 
@@ -43,6 +44,7 @@ HALVING_ROUNDS = 6
 DEGREE = 24
 REPLICAS, REPLICA_RATIO = 4, 1.15
 PROBES, PROBE_RATIO = 96, 1.5
+SPARE = 4 * REPLICAS  # each vector may be in as many lists
 BEAM_SPARE = 16
 CELL, QUERY_CELL = 256, 256
 SEARCH_ROWS = 256
@@ -157,8 +159,11 @@ def fit(rows: DataFrame) -> CentroidGraph | None:
     return centroid_graph(halved(points[order]))
 
 
-def listed(rows: DataFrame, graph: CentroidGraph, count: int, ratio: float) -> DataFrame:
-    """(list, id, vector): a row for each of the nearest centroids within the ratio."""
+def listed(rows: DataFrame, graph: CentroidGraph, count: int, ratio: float, sizes: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """(list, id, vector): a row for each of the nearest centroids within the ratio.
+
+    With ``sizes`` of lists the ratio counts from the first of the nearest that together hold ``least`` vectors.
+    """
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -169,7 +174,12 @@ def listed(rows: DataFrame, graph: CentroidGraph, count: int, ratio: float) -> D
             for at in range(0, len(ids), SEARCH_ROWS):
                 part = points[at : at + SEARCH_ROWS]
                 centroid, distance = graph.nearest(part, count)
-                row, column = np.nonzero(distance <= distance[:, :1] * ratio)
+                reach = distance[:, :1]
+                if sizes is not None:
+                    held = np.cumsum(np.where(np.isfinite(distance), sizes[centroid], 0), axis=1)
+                    full = np.minimum((held < least).sum(axis=1), np.isfinite(distance).sum(axis=1) - 1)
+                    reach = np.take_along_axis(distance, full[:, None], 1)
+                row, column = np.nonzero((distance <= reach * ratio) & np.isfinite(distance))
                 raw = [vector.tobytes() for vector in part]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -222,8 +232,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     if graph is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     index = stage(listed(rows, graph, REPLICAS, REPLICA_RATIO), "postings")
-    probes = stage(listed(asked, graph, PROBES, PROBE_RATIO), "probes")
     size = len(graph.centroids)
+    sizes = np.zeros(size, np.int64)
+    for row in index.groupBy("list").count().collect():
+        sizes[row["list"]] = row["count"]
+    probes = stage(listed(asked, graph, PROBES, PROBE_RATIO, sizes, SPARE * k), "probes")
     cells, blocks = by_list(cell_counts(index, CELL), size), by_list(cell_counts(probes, QUERY_CELL), size)
     own = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     index = index.withColumn("cell", (own % cells).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))

@@ -70,3 +70,23 @@ def test_lists_are_balanced_and_the_graph_finds_them():
     best = np.argsort(exact, axis=1)[:, :8]
     assert np.mean([len(set(one) & set(other)) for one, other in zip(place, best)]) >= 7.5
     assert len(halved(np.ones((100, 3)))) == 1
+
+
+def test_groups_of_near_copies_do_not_shut_out_the_other_neighbours(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(2100, 64))
+    points = np.repeat(centres / np.linalg.norm(centres, axis=1, keepdims=True), 8, axis=0)
+    points = (points + 0.1 / 8 * rng.normal(size=points.shape)).astype("f4")  # more vectors than the sample takes
+    vectors = spark.createDataFrame([(i, vector) for i, vector in enumerate(points.tolist())], "vec_id long, embedding array<float>").repartition(8)
+    queries = np.arange(0, len(points), 100)
+    mine = {}
+    for row in nearest(vectors, vectors.where("vec_id % 100 = 0")).collect():
+        mine.setdefault(row["query_id"], set()).add(row["vec_id"])
+    hits = 0
+    for query in queries:
+        distance = ((points - points[query]) ** 2).sum(axis=1)
+        distance[query] = np.inf
+        hits += len(mine[query] & set(np.argsort(distance)[:10].tolist()))
+        assert len(mine[query]) == 10
+    print("recall", hits / 10 / len(queries))
+    assert hits >= 0.9 * 10 * len(queries)

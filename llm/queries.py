@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm import class_lm, cover_dedup, language_tree, minhash, posting_ann, raking, secret_links, sos_packing, vector_join, warc_zstd
+from llm import class_lm, cover_dedup, language_tree, minhash, periodic_runs, posting_ann, prefix_doubling, raking, secret_links, sos_packing, spelling_trie, vector_join, warc_zstd
 from llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,4 +113,19 @@ def op10_minhash(spark, sf_dir):
     return minhash.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@query("op11_prefix_doubling")
+def op11_prefix_doubling(spark, sf_dir):
+    return prefix_doubling.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@query("op12_spelling_trie")
+def op12_spelling_trie(spark, sf_dir):
+    return spelling_trie.spelling_forms(spelling_trie.count_words(table(spark, sf_dir, "documents")))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.summarize_runs(table(spark, sf_dir, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

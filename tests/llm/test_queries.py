@@ -15,5 +15,5 @@ def test_query_agrees_with_sql(spark, sf_dir, name):
 
 def test_all_operators_are_registered():
     names = [name for name in entry_point.queries() if name.startswith("op")]
-    assert {int(name[2:].split("_")[0]) for name in names if name[2].isdigit()} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in names if name[2].isdigit()} == set(range(1, 14))
     assert "pipeline" in entry_point.queries()

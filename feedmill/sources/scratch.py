@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``.
@@ -40,10 +42,19 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write the frame once and return a reader of the written table."""
+    """Write the frame once and return a reader of the written table.
+
+    The shuffles behind a written table are of no more use, so their files go with the write
+    instead of staying until the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

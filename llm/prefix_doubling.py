@@ -21,7 +21,8 @@ Anchors thus cut a text into phrases, and equal texts into equal phrases. Steps:
 3. texts that occur more than once as a whole are removed whole, if long enough, by counting.
 
 A text is known by 86 bits of hashes, so copies count as one and are not compared. Ranks serve
-as a sieve; families are compared by two 64-bit hashes, strings by 128 bits. What goes through a
+as a sieve; families and strings are compared by a 64-bit hash of what all
+strings of the anchor share and one of the whole. What goes through a
 shuffle with many equal keys is sorted into ranges by key and position, so a passage
 that a third of all texts holds spreads over many tasks; its rank in later ranges is
 corrected by a table with one row per range. Tasks see texts, never groups, whole.
@@ -51,7 +52,9 @@ REACH, GRAM = 64, 8
 CERTAIN = LENGTH - REACH + 1
 # The phrase that begins here or before is known from these bytes.
 LAST_PHRASE = CERTAIN - REACH - GRAM
-CHUNK = 1 << 20
+CHUNK = 1 << 17
+# Bounds of the ranges come from one text in so many, by hash, and from so many of its positions for each range.
+SAMPLED_ONE_IN, SAMPLED_PER_RANGE = 64, 40
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _VALUES = np.random.Generator(np.random.PCG64(20240711)).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 
@@ -85,21 +88,26 @@ def least_grams(raw: np.ndarray) -> np.ndarray:
 def parsed(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Of every text of ``LENGTH`` bytes or more: its number, bytes, anchors, and the first window of each anchor.
 
-    Texts are taken together up to about a megabyte.
+    Texts are taken together up to the size of a chunk.
     """
+    for text, begin, end, part, least in chunks(column):
+        own = least[begin : end - REACH - GRAM + 2]
+        firsts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        yield text, part[begin:end], own[firsts] - begin, firsts
+
+
+def chunks(column: pa.Array) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """Text by text: its number, its place in a chunk of bytes, the chunk and its least grams."""
     raw, edges = text_bytes(column)
     at = 0
     while at < len(edges) - 1:
         stop = max(at + 1, int(np.searchsorted(edges, edges[at] + CHUNK, "right")) - 1)
         part = raw[edges[at] : edges[stop]]
-        if len(part) >= LENGTH:
+        sizes = np.diff(edges[at : stop + 1])
+        if sizes.max() >= LENGTH:
             least = least_grams(part)
-            for text in range(at, stop):
-                begin, end = edges[text] - edges[at], edges[text + 1] - edges[at]
-                if end - begin >= LENGTH:
-                    own = least[begin : end - REACH - GRAM + 2]
-                    firsts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                    yield text, part[begin:end], own[firsts] - begin, firsts
+            for text in np.flatnonzero(sizes >= LENGTH).tolist():
+                yield at + text, int(edges[at + text] - edges[at]), int(edges[at + text + 1] - edges[at]), part, least
         at = stop
 
 
@@ -111,38 +119,83 @@ def families(size: int, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return firsts, lasts
 
 
-def phrase_names(raw: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-    """64-bit names of the phrases from each anchor to the next."""
-    power, inverse = powers(len(raw))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_VALUES[raw] * power, out=sums[1:])
-    names = (sums[anchors[1:]] - sums[anchors[:-1]]) * inverse[anchors[:-1]]
-    names ^= names >> np.uint64(32)
-    names *= _MIX
-    return (names ^ (names >> np.uint64(29))).view(np.int64)
+def named_phrases(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of every text that ``parsed`` gives: its number, anchors, first windows, and 64-bit names of the phrases from each anchor to the next."""
+    known, sums, inverse = None, None, None
+    for text, begin, end, part, least in chunks(column):
+        if part is not known:
+            power, inverse = powers(len(part))
+            known, sums = part, np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_VALUES[part] * power, out=sums[1:])
+        own = least[begin : end - REACH - GRAM + 2]
+        firsts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        anchors = own[firsts]
+        ends = sums[anchors]
+        names = (ends[1:] - ends[:-1]) * inverse[anchors[:-1]]
+        names ^= names >> np.uint64(32)
+        names *= _MIX
+        yield text, anchors - begin, firsts, (names ^ (names >> np.uint64(29))).view(np.int64)
+
+
+def phrase_batches(bounds: np.ndarray | None):
+    """(range, name, mark, at) of every phrase; a text that a task has seen before is left out."""
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            marks, subs = (batch.column(place).to_numpy() for place in (0, 1))
+            edges = np.diff(text_bytes(batch.column(2))[1])
+            columns = ([], [], [])
+            for text, anchors, firsts, names in named_phrases(batch.column(2)):
+                known = (int(marks[text]), int(subs[text]))
+                if known in seen or not len(names):
+                    continue
+                seen.add(known)
+                places = np.arange(len(names))
+                phrases = np.minimum(np.searchsorted(anchors, anchors[:-1] + LAST_PHRASE, "right"), len(names)) - places
+                family = places < len(families(int(edges[text]), firsts)[0])
+                columns[0].append(names)
+                columns[1].append(np.full(len(names), marks[text]))
+                columns[2].append((subs[text] << SUB_SHIFT) | (places << PLACE_SHIFT) | (phrases << PHRASE_SHIFT) | family)
+            yield placed([joined(column) for column in columns], bounds, ["first", "mark", "at"])
+
+    return named
+
+
+def placed(columns: list[np.ndarray], bounds: np.ndarray | None, names: list[str]) -> pa.RecordBatch:
+    """The columns, after the range that the row lies in."""
+    return longs([ranges(columns, bounds), *columns], ["part", *names])
+
+
+def ranges(columns: list[np.ndarray], bounds: np.ndarray | None) -> np.ndarray:
+    """How many bounds (columns of numbers, sorted) are not above each row, by bisection over all columns at once."""
+    low = np.zeros(len(columns[0]), np.int64)
+    if bounds is None or not bounds.shape[1]:
+        return low
+    high = np.full(len(columns[0]), bounds.shape[1])
+    while (open_ := low < high).any():
+        middle = np.minimum((low + high) // 2, bounds.shape[1] - 1)
+        below, equal = np.zeros(len(low), bool), np.ones(len(low), bool)
+        for column, bound in zip(columns, bounds):
+            at = bound[middle]
+            below |= equal & (at < column)
+            equal &= at == column
+        up = open_ & (below | equal)
+        low, high = np.where(up, middle + 1, low), np.where(open_ & ~up, middle, high)
+    return low
+
+
+def bounds_of(sample: DataFrame, keys: list[str], count: int) -> np.ndarray:
+    """Bounds of ``count`` ranges of about equal size, from about ``SAMPLED_PER_RANGE`` sampled rows for each."""
+    order = [*keys, "mark", "at"]
+    one_in = max(1, sample.count() // (SAMPLED_PER_RANGE * count))
+    found = sorted(tuple(row) for row in sample.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(one_in)) == 0).collect())
+    picked = sorted({found[len(found) * part // count] for part in range(1, count)}) if found else []
+    return np.array(picked, np.int64).reshape(-1, len(order)).T
 
 
-def phrase_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(name, mark, at) of every phrase; a text that a task has seen before is left out."""
-    seen: set[tuple[int, int]] = set()
-    for batch in batches:
-        marks, subs = (batch.column(place).to_numpy() for place in (0, 1))
-        columns = ([], [], [])
-        for text, raw, anchors, firsts in parsed(batch.column(2)):
-            known = (int(marks[text]), int(subs[text]))
-            if known in seen:
-                continue
-            seen.add(known)
-            count = len(anchors) - 1
-            if not count:
-                continue
-            places = np.arange(count)
-            phrases = np.minimum(np.searchsorted(anchors, anchors[:-1] + LAST_PHRASE, "right"), count) - places
-            family = places < len(families(len(raw), firsts)[0])
-            columns[0].append(phrase_names(raw, anchors))
-            columns[1].append(np.full(count, marks[text]))
-            columns[2].append((subs[text] << SUB_SHIFT) | (places << PLACE_SHIFT) | (phrases << PHRASE_SHIFT) | family)
-        yield longs([joined(column) for column in columns], ["first", "mark", "at"])
+def few(frame: DataFrame) -> DataFrame:
+    return frame.where(F.pmod("mark", F.lit(SAMPLED_ONE_IN)) == 0)
 
 
 def longs(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -162,26 +215,26 @@ def changes(data: np.ndarray) -> np.ndarray:
     return np.r_[True, (data[:, 1:] != data[:, :-1]).any(0)] if data.shape[1] else np.empty(0, bool)
 
 
-RANKED = "rank bigint, mark bigint, at bigint, opening array<bigint>, closing array<bigint>"
+RANKED = "rank bigint, mark bigint, at bigint, opening array<bigint>, closing array<bigint>, alone array<boolean>"
 
 
-def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
+def ranked(rows: DataFrame, keys: list[str], ranges: int) -> DataFrame:
     """(rank, mark, at): positions whose keys some other position has too, ranked in the order of the keys.
 
-    A range shuffle sorts the positions; a rank is the range and the number of the group in it.
-    A group that goes on in the next range has its rank there corrected. The first and
-    the last group of a range are kept whatever their size, as they may go on.
+    ``part`` tells the range of a row. A range is sorted by one task; a rank is the range
+    and the number of the group in it. A group that goes on in the next range has its rank there
+    corrected, and a position at an end of a range goes if no neighbouring range has its keys.
     """
     width = len(keys)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << BLOCK_SHIFT
         previous = waiting = opening = closing = None  # last row; a row alone so far; keys at both ends
-        rank, kept = block - 1, False
+        rank, kept, first_size, last_size = block - 1, False, 0, 0
 
         def out(ranks: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
-            none = pa.nulls(len(ranks), pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(ranks, pa.int64()), pa.array(data[width]), pa.array(data[width + 1]), none, none], names=["rank", "mark", "at", "opening", "closing"])
+            none = [pa.nulls(len(ranks), pa.list_(kind)) for kind in (pa.int64(), pa.int64(), pa.bool_())]
+            return pa.RecordBatch.from_arrays([pa.array(ranks, pa.int64()), pa.array(data[width]), pa.array(data[width + 1]), *none], names=names)
 
         for batch in batches:
             data = stacked(batch)
@@ -192,53 +245,66 @@ def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
                 continue
             previous = data[:, -1:]
             opening = data[:width, 0].tolist() if opening is None else opening
-            if waiting is not None:
-                data, rank = np.concatenate([waiting, data], axis=1), rank - 1
-            goes_on = waiting is None and closing is not None and closing == data[:width, 0].tolist()
+            goes_on = closing == data[:width, 0].tolist()
             new = changes(data[:width])
             new[0] = not goes_on
             ranks = rank + np.cumsum(new)
             starts = np.flatnonzero(np.r_[True, new[1:]])
             sizes = np.diff(np.r_[starts, data.shape[1]])
             several = (sizes > 1) | (ranks[starts] == block)
-            several[0] |= goes_on and kept
-            closing, rank, kept = data[:width, -1].tolist(), int(ranks[-1]), bool(several[-1])
-            waiting = None if kept else data[:, -1:]
-            take = np.repeat(several, sizes)
+            several[0] |= goes_on
+            if goes_on and waiting is not None:
+                yield out(np.array([rank]), waiting)
+            sizes[0] += last_size if goes_on else 0
+            first_size += int(sizes[ranks[starts] == block].sum()) - (last_size if goes_on and ranks[0] == block else 0)
+            closing, rank, last_size = data[:width, -1].tolist(), int(ranks[-1]), int(sizes[-1])
+            waiting = None if several[-1] else data[:, -1:]
+            take = np.repeat(several, np.diff(np.r_[starts, data.shape[1]]))
             yield out(ranks[take], data[:, take])
         if waiting is not None:
             yield out(np.array([rank]), waiting)
         if opening is not None:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([rank]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([opening]), pa.array([closing])],
-                names=["rank", "mark", "at", "opening", "closing"],
-            )
-
+                [
+                    pa.array([rank]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([opening]), pa.array([closing]),
+                    pa.array([[first_size == 1, last_size == 1]]),
+                ],
+                names=names,
+            )
+
+    names = [field.split()[0] for field in RANKED.split(", ")]
     order = [*keys, "mark", "at"]
-    sorted_ = rows.select(*order).repartitionByRange(partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
+    spark = rows.sparkSession
+    sorted_ = rows.repartitionById(ranges, F.col("part").cast("int")).select(*order).sortWithinPartitions(*order)
     staged = stage(sorted_.mapInArrow(numbered, RANKED), "ranks")
     result = staged.where("mark IS NOT NULL").select("rank", "mark", "at")
-    moved, last, closing = [], None, None
+    moved, last, before = [], None, None
     # One row per range comes to the driver.
-    for row in sorted(staged.where("mark IS NULL").select("rank", "opening", "closing").collect(), key=lambda row: row["rank"]):
+    ends = sorted(staged.where("mark IS NULL").select("rank", "opening", "closing", "alone").collect(), key=lambda row: row["rank"])
+    for row, after in zip(ends, [*ends[1:], None]):
         first = row["rank"] >> BLOCK_SHIFT << BLOCK_SHIFT
-        goes_on = closing == row["opening"]
-        if goes_on:
+        comes, goes = before is not None and before["closing"] == row["opening"], after is not None and row["closing"] == after["opening"]
+        single = row["rank"] == first
+        if comes:
             moved.append((first, last))
-        last = last if goes_on and row["rank"] == first else row["rank"]
-        closing = row["closing"]
+        elif row["alone"][0] and not (single and goes):
+            moved.append((first, None))
+        if row["alone"][1] and not goes and not single:
+            moved.append((row["rank"], None))
+        last, before = last if comes and single else row["rank"], row
     if not moved:
         return result
-    table = rows.sparkSession.createDataFrame(moved, "rank bigint, known bigint")
-    return result.join(F.broadcast(table), "rank", "left").select(F.coalesce("known", "rank").alias("rank"), "mark", "at")
+    table = spark.createDataFrame([(rank, known, True) for rank, known in moved], "rank bigint, known bigint, changed boolean")
+    corrected = result.join(F.broadcast(table), "rank", "left").where("changed IS NULL OR known IS NOT NULL")
+    return corrected.select(F.coalesce("known", "rank").alias("rank"), "mark", "at")
 
 
 def phrases_of(at):
     return F.shiftright(at, PHRASE_SHIFT).bitwiseAND(F.lit(PHRASE_MASK))
 
 
-def paired(ranks: DataFrame, span: int) -> DataFrame:
-    """(first, second, mark, at): the ranks of an anchor and of one that many phrases on, ``span`` or what is left to rank."""
+def paired(ranks: DataFrame, span: int, bounds: np.ndarray | None = None) -> DataFrame:
+    """(part, first, second, mark, at): the ranks of an anchor and of one that many phrases on, ``span`` or what is left to rank."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None
@@ -263,21 +329,25 @@ def paired(ranks: DataFrame, span: int) -> DataFrame:
         goal = code[asked] + np.minimum(left[asked], span)
         found = np.minimum(np.searchsorted(code, goal), max(len(code) - 1, 0))
         good = code[found] == goal if len(code) else np.empty(0, bool)  # else a unique string lies on the way
-        return longs([rank[asked[good]], rank[found[good]], mark[asked[good]], at[asked[good]]], ["first", "second", "mark", "at"])
+        return placed([rank[asked[good]], rank[found[good]], mark[asked[good]], at[asked[good]]], bounds, ["first", "second", "mark", "at"])
 
     dealt = ranks.where(phrases_of("at") >= span).repartition(partitions(ranks.sparkSession), "mark").sortWithinPartitions("mark", "at")
-    return dealt.mapInArrow(pairs, "first bigint, second bigint, mark bigint, at bigint")
+    return dealt.mapInArrow(pairs, f"part bigint, first bigint, second bigint, {PLACED}")
 
 
 def repeated_anchors(texts: DataFrame) -> DataFrame:
     """(mark, at) of the anchors whose phrases, as far as every string of theirs holds them, some other position has too."""
-    ranks, span, done = ranked(texts.mapInArrow(phrase_batches, "first bigint, mark bigint, at bigint"), ["first"]), 1, []
+    count = partitions(texts.sparkSession)
+    named = f"part bigint, first bigint, {PLACED}"
+    bounds = bounds_of(few(texts).mapInArrow(phrase_batches(None), named), ["first"], count)
+    ranks, span, done = ranked(texts.mapInArrow(phrase_batches(bounds), named), ["first"], count), 1, []
     while True:
         done.append(ranks.where(phrases_of("at") <= span))
         if ranks.where(phrases_of("at") > span).isEmpty():
             break
         # Those that are done keep their rank for others' sake, but are listed once.
-        ranks = ranked(paired(ranks, span), ["first", "second"])
+        bounds = bounds_of(paired(few(ranks), span), ["first", "second"], count)
+        ranks = ranked(paired(ranks, span, bounds), ["first", "second"], count)
         span *= 2
     found = done[0]
     for more in done[1:]:
@@ -285,9 +355,8 @@ def repeated_anchors(texts: DataFrame) -> DataFrame:
     return found.where("at % 2 = 1").select("mark", "at")
 
 
-def digest(raw: bytes) -> tuple[int, int]:
-    found = hashlib.blake2b(raw, digest_size=16).digest()
-    return int.from_bytes(found[:8], "little", signed=True), int.from_bytes(found[8:], "little", signed=True)
+def digest(raw: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
 def family_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,8 +369,8 @@ def family_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             data = raw.tobytes()
             for place in np.unique(listed[text].values.to_numpy(zero_copy_only=False)).tolist():
                 anchor, begin, end = int(anchors[place]), int(begins[place]), int(ends[place])
-                rows[0].append(digest(data[anchor : anchor + CERTAIN])[0])
-                rows[1].append(digest(b"%d,%d," % (anchor - begin, end - anchor) + data[begin : end + LENGTH])[0])
+                rows[0].append(digest(data[anchor : anchor + CERTAIN]))
+                rows[1].append(digest(b"%d,%d," % (anchor - begin, end - anchor) + data[begin : end + LENGTH]))
                 rows[2].append(marks[text])
                 rows[3].append((subs[text] << SUB_SHIFT) | (place << PLACE_SHIFT))
         yield longs([np.array(column, np.int64) for column in rows], ["core", "context", "mark", "at"])
@@ -343,22 +412,22 @@ def judged(data: np.ndarray, again: bool, count: int) -> pa.RecordBatch:
 
 
 def window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(one, other, mark, at) of every string of the families to compare; ``at`` holds its first byte."""
+    """(core, string, mark, at) of every string of the families to compare; ``at`` holds its first byte."""
     for batch in batches:
         marks, subs, flags = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
-        rows = ([], [], [], [])
-        for text, raw, _, firsts in parsed(batch.column(2)):
+        rows: list[list[int]] = [[], [], [], []]
+        for text, raw, anchors, firsts in parsed(batch.column(2)):
             begins, ends = families(len(raw), firsts)
             data = raw.tobytes()
             marked = flags[text].values.to_numpy(zero_copy_only=False)
             for place in np.unique(marked[marked & TEST > 0] >> 2).tolist():
-                for begin in range(int(begins[place]), int(ends[place]) + 1):
-                    one, other = digest(data[begin : begin + LENGTH])
-                    rows[0].append(one)
-                    rows[1].append(other)
-                    rows[2].append(marks[text])
-                    rows[3].append((subs[text] << SUB_SHIFT) | begin)
-        yield longs([np.array(column, np.int64) for column in rows], ["one", "other", "mark", "at"])
+                anchor, first, last = int(anchors[place]), int(begins[place]), int(ends[place])
+                size = last - first + 1
+                rows[0] += [digest(data[anchor : anchor + CERTAIN])] * size
+                rows[1] += [digest(data[begin : begin + LENGTH]) for begin in range(first, last + 1)]
+                rows[2] += [marks[text]] * size
+                rows[3] += range((subs[text] << SUB_SHIFT) | first, ((subs[text] << SUB_SHIFT) | last) + 1)
+        yield longs([np.array(column, np.int64) for column in rows], ["core", "string", "mark", "at"])
 
 
 def removed_bytes(size: int, copied: bool, whole: list[tuple[int, int]], starts: list[int]) -> np.ndarray:
@@ -372,6 +441,20 @@ def removed_bytes(size: int, copied: bool, whole: list[tuple[int, int]], starts:
     return np.cumsum(change[:-1]) > 0
 
 
+def twice_at_least(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(mark, at) of the rows whose keys another position has too."""
+    spark = rows.sparkSession
+    count = partitions(spark)
+    bounds = bounds_of(few(rows), keys, count)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield placed(list(stacked(batch)), bounds, [*keys, "mark", "at"])
+
+    fields = ", ".join(f"{key} bigint" for key in keys)
+    return ranked(rows.mapInArrow(dealt, f"part bigint, {fields}, {PLACED}"), keys, count).select("mark", "at")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """One row per document: byte counts, removed runs, the checksum of the kept bytes and, if asked for, these."""
     spark = docs.sparkSession
@@ -383,25 +466,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     anchors = repeated_anchors(chosen.select("mark", "sub", "text"))
     own = [F.col("mark"), F.shiftright("at", SUB_SHIFT).alias("sub")]
-    # All three joins below take the texts as they are dealt out here, so their shuffle is made once.
     known = ["mark", "sub"]
     copies = stage(chosen.groupBy(known).agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("least")), "copies")
-    places = anchors.select(*own, F.shiftright("at", PLACE_SHIFT).bitwiseAND(F.lit(PLACE_MASK)).alias("place"))
-    listed = places.groupBy(known).agg(F.collect_set("place").alias("places")).join(copies, known)
     first = F.col("doc").eqNullSafe(F.col("least"))
+    place = F.shiftright("at", PLACE_SHIFT).bitwiseAND(F.lit(PLACE_MASK))
+    listed = anchors.select(*own, place.alias("place")).groupBy(known).agg(F.collect_set("place").alias("places")).join(copies, known)
     met = chosen.join(listed, known).where(first).select("mark", "sub", "text", "places")
-    rows = met.mapInArrow(family_batches, "core bigint, context bigint, mark bigint, at bigint")
     order = ["core", "context", "mark", "at"]
+    rows = stage(met.mapInArrow(family_batches, f"core bigint, context bigint, {PLACED}"), "families")
     kinds = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).mapInArrow(classified, f"{PLACED}, kind bigint")
-    place = F.shiftright("at", PLACE_SHIFT).bitwiseAND(F.lit(PLACE_MASK))
     flags = kinds.select(*own, (F.shiftleft(place, 2) + F.col("kind")).alias("flag")).groupBy(known).agg(F.collect_set("flag").alias("flags"))
+    flags = stage(flags, "flags")
     compared = flags.join(copies, known).where(F.exists("flags", lambda flag: flag.bitwiseAND(F.lit(TEST)) > 0))
     strings = chosen.join(compared, known).where(first).select("mark", "sub", "text", "flags")
-    strings = strings.mapInArrow(window_batches, f"one bigint, other bigint, {PLACED}")
-    position = F.struct("mark", "at")
-    twice = strings.groupBy("one", "other").agg(F.min(position).alias("low"), F.max(position).alias("high")).where("low <> high")
-    hits = strings.join(twice.select("one", "other"), ["one", "other"], "left_semi")
-    starts = hits.select(*own, F.col("at").bitwiseAND(F.lit((1 << SUB_SHIFT) - 1)).alias("start")).groupBy(known).agg(F.collect_set("start").alias("starts"))
+    strings = stage(strings.mapInArrow(window_batches, f"core bigint, string bigint, {PLACED}"), "strings")
+    twice = twice_at_least(strings, ["core", "string"])
+    starts = twice.select(*own, F.col("at").bitwiseAND(F.lit((1 << SUB_SHIFT) - 1)).alias("start")).groupBy(known).agg(F.collect_set("start").alias("starts"))
     found = copies.join(flags, known, "left").join(starts, known, "left")
     found = found.where("n > 1 OR flags IS NOT NULL").select(*known, (F.col("n") > 1).alias("copied"), "flags", "starts")
     rows = chosen.join(found, known, "left").select("doc", "text", "copied", "flags", "starts")

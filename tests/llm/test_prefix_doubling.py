@@ -2,12 +2,12 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from llm import prefix_doubling
-from llm.prefix_doubling import LENGTH, families, parsed, ranked, remove_repeats
+from llm.prefix_doubling import LENGTH, bounds_of, families, parsed, placed, ranked, remove_repeats, stacked, twice_at_least
 
 from .helpers import docs_frame, edge_rows, prose
 
@@ -96,21 +96,35 @@ def test_small_batches(spark, monkeypatch):
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_ranks_of_groups_over_several_ranges(spark):
-    """Ranks are equal for equal keys, ordered as the keys are, and positions that are alone go, but at ends of ranges."""
-    rows = [(at % 3 if at < 900 else at, 7 if at < 600 else at % 5, at) for at in range(1000)]
-    frame = spark.createDataFrame(rows, "first long, mark long, at long")
-    found = {(row["mark"], row["at"]): row["rank"] for row in ranked(frame, ["first"]).collect()}
-    by_rank = {}
-    for first, mark, at in rows:
-        if (mark, at) in found:
-            by_rank.setdefault(found[mark, at], set()).add(first)
-    assert all(len(keys) == 1 for keys in by_rank.values())
-    assert [min(by_rank[rank]) for rank in sorted(by_rank)] == sorted(min(keys) for keys in by_rank.values())
-    assert all((mark, at) in found for _, mark, at in rows[:900])
-    assert len(found) <= 900 + 2 * 4
-    doubled = frame.select("first", F.lit(1).cast("bigint").alias("second"), "mark", "at")
-    assert ranked(doubled.limit(0), ["first", "second"]).collect() == []
+def test_ranks_of_groups_over_several_ranges(spark, monkeypatch):
+    """Ranks are equal for equal keys and ordered as the keys are, and positions that are alone go, also at ends of ranges."""
+    monkeypatch.setattr(prefix_doubling, "few", lambda frame: frame)
+    rng = random.Random(4)
+    for case in range(6):
+        spread = [3, 40, 400, 2000, 10**6, 2][case]
+        rows = [(rng.randrange(spread) if at % 3 else 1, rng.randrange(30), at) for at in range(1000)]
+        frame = spark.createDataFrame(rows, "first long, mark long, at long").repartition(3)
+        bounds = bounds_of(frame, ["first"], 9)
+        part = lambda batches: (placed(list(stacked(batch)), bounds, ["first", "mark", "at"]) for batch in batches)
+        dealt = frame.mapInArrow(part, "part long, first long, mark long, at long")
+        found = {(row["mark"], row["at"]): row["rank"] for row in ranked(dealt, ["first"], 9).collect()}
+        counts = Counter(first for first, _, _ in rows)
+        assert set(found) == {(mark, at) for first, mark, at in rows if counts[first] > 1}
+        by_rank = {}
+        for first, mark, at in rows:
+            if (mark, at) in found:
+                by_rank.setdefault(found[mark, at], set()).add(first)
+        assert [min(by_rank[rank]) for rank in sorted(by_rank)] == sorted(first for first in counts if counts[first] > 1)
+        assert all(len(keys) == 1 for keys in by_rank.values())
+        assert sorted((row["mark"], row["at"]) for row in twice_at_least(frame, ["first"]).collect()) == sorted(found)
+
+
+def test_ranges_follow_the_order_of_rows():
+    rng = np.random.default_rng(3)
+    columns = list(rng.integers(0, 4, (3, 500)))
+    bounds = np.unique(rng.integers(0, 4, (3, 20)), axis=1)
+    expected = [sum(tuple(bound) <= tuple(row) for bound in bounds.T.tolist()) for row in np.stack(columns, 1).tolist()]
+    assert prefix_doubling.ranges(columns, bounds).tolist() == expected
 
 
 def test_every_string_has_an_anchor():

@@ -30,8 +30,9 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from llm.common import free_name, own_columns, small_batches, stage
+from llm.common import own_columns, small_batches, stage
 
 SCOPE = 200
 KINDS = ["assign", "access", "hex", "ident", "weak", "endpoint"]
@@ -169,31 +170,60 @@ def with_spans(scanned: DataFrame) -> DataFrame:
     return scanned.join(added, "key", "left").withColumn("secrets", F.array_sort(ordered)).withColumn("n_linked", number)
 
 
+def complete_in_text(base: list, weak: list) -> list:
+    """The candidates whose missing parts the text has at all, wherever: of the others none can be linked."""
+    here = {ROLES[KINDS[span[2]]] for span in [*base, *weak]}
+    needs = {3: {"secret"} <= here, 4: "identifier" in here or "endpoint" in here, 5: {"identifier", "secret"} <= here}
+    return [span for span in weak if needs[span[2]]]
+
+
 def mask_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """The frame with every span of the texts replaced by its kind; ``length_col``, if given, has the new number of characters.
 
-    Only documents with spans go through Python a second time.
+    The scan masks a text at once, unless it has weak candidates and parts that might complete them. Only
+    such documents join their linked spans, by key, and are masked after that.
     """
-    key, spans = free_name(docs, "secret_key"), free_name(docs, "secret_spans")
-    found = with_spans(stage(scan_documents(docs, id_col, text_col), "secret-scan")).where(F.size("secrets") > 0)
-    found = stage(found.dropDuplicates(["key"]).select(F.col("key").alias(key), F.col("secrets").alias(spans)), "secret-spans")
-    keyed = docs.withColumn(key, row_key(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")))
+    small_batches(docs.sparkSession)
     names, at = docs.columns, docs.columns.index(text_col)
-
-    def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    inner = [f"c{place}" for place in range(len(names))]
+    key = row_key(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
+    keyed = docs.select(*own_columns(docs), key).toDF(*inner, "key")
+    spans = "array<struct<start:bigint,stop:bigint,kind:int>>"
+    columns_only = [T.StructField(name, field.dataType) for name, field in zip(inner, docs.schema)]
+    masked_schema = T.StructType(list(columns_only)).add("changed", "boolean")
+    scanned_schema = T.StructType(list(columns_only)).add("changed", "boolean").add("key", "string").add("base", T.DataType.fromDDL(spans)).add("weak", T.DataType.fromDDL(spans))
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [mask(text, one) for text, one in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist())]
-            columns = list(batch.columns[: len(names)])
+            texts, bases, weaks = [], [], []
+            for text in batch.column(at).to_pylist():
+                base, weak = scan(text or "")
+                weak = complete_in_text(base, weak)
+                waits = bool(weak)
+                texts.append(text if waits or not base else mask(text, [dict(zip(("start", "stop", "kind"), span)) for span in base]))
+                bases.append([dict(zip(("start", "stop", "kind"), span)) for span in base] if waits else [])
+                weaks.append([dict(zip(("start", "stop", "kind"), span)) for span in weak])
+            columns = list(batch.columns)
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            changed = pa.array([found != text for found, text in zip(texts, batch.column(at).to_pylist())], pa.bool_())
+            arrays = [*columns[:-1], changed, columns[-1], pa.array(bases, pa.list_(SPAN)), pa.array(weaks, pa.list_(SPAN))]
+            yield pa.RecordBatch.from_arrays(arrays, names=scanned_schema.names)
 
-    touched = keyed.join(found, key).select(*own_columns(docs), spans).toDF(*(f"c{place}" for place in range(len(names) + 1)))
-    touched = touched.mapInArrow(masked, docs.schema)
+    def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns[: len(inner)])
+            found = batch.column(len(inner)).to_pylist()
+            columns[at] = pa.array([mask(text, spans) for text, spans in zip(batch.column(at).to_pylist(), found)], pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([bool(spans) for spans in found], pa.bool_())], names=masked_schema.names)
+
+    rows = stage(keyed.mapInArrow(scanned, scanned_schema), "secret-scan")
+    waiting = with_spans(rows.where(F.size("weak") > 0)).select(*inner, "secrets").mapInArrow(masked, masked_schema)
+    done = rows.where(F.size("weak") == 0).select(*masked_schema.names).unionByName(waiting)
     if length_col is not None:
-        kind = docs.schema[length_col].dataType
-        touched = touched.withColumn(length_col, F.length(text_col).cast(kind))
-    untouched = keyed.join(found.select(key), key, "left_anti").select(*own_columns(docs))
-    return untouched.unionByName(touched)
+        column = inner[names.index(length_col)]
+        length = F.length(inner[at]).cast(docs.schema[length_col].dataType)
+        done = done.withColumn(column, F.when(F.col("changed"), length).otherwise(F.col(column)))
+    return done.select(*inner).toDF(*names)
 
 
 def mask(text: str, spans: list) -> str:

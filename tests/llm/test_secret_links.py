@@ -4,7 +4,7 @@ import re
 import pytest
 
 from llm import secret_links
-from llm.secret_links import KINDS, SCOPE, find_secrets, mask_secrets, scan
+from llm.secret_links import KINDS, SCOPE, complete_in_text, find_secrets, mask, mask_secrets, scan
 
 from .helpers import docs_frame, edge_rows
 
@@ -70,6 +70,24 @@ def test_masking_keeps_all_rows_and_other_columns(spark):
     assert all(row["n_chars"] == len(row["text"] or "") and row["key"] == 7 for row in rows)
 
 
+def test_masked_texts_agree_with_plain_search(spark):
+    rows = mask_secrets(docs_frame(spark, list(enumerate(TEXTS))), length_col="n_chars").collect()
+    span = lambda start, kind, stop: {"start": start, "kind": kind, "stop": stop}
+    expected = {doc: mask(text, [span(*found) for found in sorted(plain(text) + linked_plainly(text))]) for doc, text in enumerate(TEXTS)}
+    assert {row["doc_id"]: row["text"] for row in rows} == expected
+    assert sum(expected[doc] != text for doc, text in enumerate(TEXTS)) > 5
+
+
+def test_candidates_that_nothing_in_the_text_completes(spark):
+    assert complete_in_text([], [(0, 9, 5), (20, 30, 5)]) == []
+    assert complete_in_text([], [(0, 9, 3), (20, 30, 4)]) == [(0, 9, 3), (20, 30, 4)]
+    assert complete_in_text([(0, 30, 2)], [(40, 50, 3), (60, 70, 5)]) == [(40, 50, 3), (60, 70, 5)]
+    for text in TEXTS:
+        base, weak = scan(text)
+        linked = {span for span in linked_plainly(text)}
+        assert linked <= {(start, kind, stop) for start, stop, kind in complete_in_text(base, weak)}
+
+
 def test_edges(spark):
     rows = find_secrets(docs_frame(spark, edge_rows())).collect()
     assert len(rows) == len(edge_rows())

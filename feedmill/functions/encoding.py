@@ -62,6 +62,42 @@ def only_value(bronze: DataFrame, name: str = "line", value: str = "value") -> D
     return bronze.select(F.inline(F.array(F.struct(F.get(fields, F.lit(0)).alias(name)))))
 
 
+def table_schema(bronze: DataFrame, value: str = "value") -> T.StructType:
+    """The fields of all JSON objects of the table, each of a type that holds all its values, in order of their names.
+
+    One aggregate merges the types of all rows, a few at a time, and only the merged
+    type comes to the driver. Text that is no JSON, or no object, has no say. Whole
+    numbers are bigint, other ones double; fields whose values agree on no type are text, and
+    so are those that are null everywhere. Fails where no row holds a field.
+    """
+    parsed = F.try_parse_json(field(value))
+    objects = F.when(F.schema_of_variant(parsed).startswith("OBJECT<"), parsed)
+    merged = bronze.agg(F.schema_of_variant_agg(objects).alias("merged")).first()["merged"]
+    if not merged.startswith("OBJECT<") or merged == "OBJECT<>":
+        raise ValueError("no row holds a JSON object with fields")
+    return as_text_where_mixed(T.DataType.fromDDL(merged.replace("OBJECT<", "STRUCT<")))
+
+
+def as_text_where_mixed(kind: T.DataType) -> T.DataType:
+    """The type, with text for values of several types (variant) and for nothing but nulls (void), and double for decimals."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(part.name, as_text_where_mixed(part.dataType)) for part in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(as_text_where_mixed(kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType()
+    return T.StringType() if isinstance(kind, (T.VariantType, T.NullType)) else kind
+
+
+def decode_table(bronze: DataFrame, value: str = "value") -> DataFrame:
+    """All fields of JSON objects whose fields are not known beforehand.
+
+    Every row is parsed once more with the merged types; fields that a row lacks are null, and so are
+    all fields of text that is no object. No row is lost.
+    """
+    return decode_json(bronze, table_schema(bronze, value), value)
+
+
 def sampled_schema(bronze: DataFrame, value: str = "value") -> T.StructType:
     """Schema of one row's JSON, which then stands for the whole table; for parity with feeds read that way.
 

@@ -1,18 +1,25 @@
-"""Stream of text values into a bronze table, with a ledger of its batches.
+"""Stream of text values into a versioned bronze table.
 
-A batch is written under its own number and replaces what an earlier try of
-the same number left behind, so a crash between write and commit repeats work
-but no rows. The ledger carries the running total, so a batch costs one read
-of its own rows and never a recount of the table.
+Every batch is written to a folder of its own name and counts once a version of the ledger names
+that folder. A version is the list of all live folders, with their batches, rows and
+running totals, written under a new number and never changed. Readers take one version and read its
+folders, so they see whole batches only, and go on reading it while later ones are
+written. A batch that is written again takes the place of its earlier folder; what a
+crash left behind is named by no version, and ``sweep`` deletes it.
 
-``compact`` folds finished batches into one. A fold has the negative number
--1 - (its last batch). Its ledger entry, written last, makes it count and the
-batches up to its last one not, so a crash at any point neither loses nor
-repeats rows for readers who give the ledger.
+``compact`` folds finished batches into one folder, and many folds of a size into
+a larger one, so a row is rewritten a logarithmic number of times and a version names
+few folders. Two writers at once are told apart by the version's number: the later one
+takes up the new version and tries again.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +29,21 @@ from feedmill import fixed_values as fixed
 from feedmill.sources.scratch import delete
 from feedmill.sources.tables import append_table, replace_table
 
-LEDGER_SCHEMA = "rows bigint, total_rows bigint, batch bigint"
+VERSION_SCHEMA = "folder string, first bigint, batch bigint, rows bigint, total_rows bigint, level int"
+# Batches that may wait for a fold, folds of one size that make up a larger one, and versions that readers may still use.
+FOLD_AFTER, FOLD_WIDTH, KEPT_VERSIONS = 500, 32, 100
+LEFTOVER_SECONDS = 3_600
+
+
+class Live(NamedTuple):
+    """A folder of a version: its batches, its rows, all rows up to and with it, and how often it was folded."""
+
+    folder: str
+    first: int
+    batch: int
+    rows: int
+    total_rows: int
+    level: int
 
 
 def topic_stream(spark: SparkSession, topic: str, **options: str) -> DataFrame:
@@ -37,44 +58,41 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "text", schema: str =
 
 
 class BronzeWriter:
-    """The function a stream calls for each batch of values."""
+    """The function a stream calls for each batch of values; folds when ``fold_after`` batches have come together."""
 
-    def __init__(self, bronze: str, ledger: str, fmt: str = "parquet"):
+    def __init__(self, bronze: str, ledger: str, fmt: str = "parquet", fold_after: int | None = FOLD_AFTER):
         self.bronze = bronze
         self.ledger = ledger
         self.fmt = fmt
-        self._last: tuple[int, int] | None = None
+        self.fold_after = fold_after
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = self._write(batch, batch_id)
-        if rows == 0:
-            return
         spark = batch.sparkSession
-        total = self._total_before(spark, batch_id) + rows
-        write_entry(spark, self.ledger, batch_id, rows, total)
-        self._last = (batch_id, total)
+        _, live = latest(spark, self.ledger)
+        if any(item.level and item.first <= batch_id <= item.batch for item in live):
+            return  # folded, so it was finished before
+        folder, rows = self._write(batch, batch_id)
 
-    def _write(self, batch: DataFrame, batch_id: int) -> int:
+        def replaced(items: list[Live]) -> list[Live]:
+            others = [item for item in items if item.level or item.batch != batch_id]
+            return [*others, Live(folder, batch_id, batch_id, rows, 0, 0)] if rows else others
+
+        update(spark, self.ledger, replaced)
+        waiting = sum(not item.level for item in live)
+        if self.fold_after is not None and self.fmt != "delta" and waiting >= self.fold_after:
+            compact(spark, self.bronze, self.ledger, self.fmt)
+
+    def _write(self, batch: DataFrame, batch_id: int) -> tuple[str, int]:
         if self.fmt == "delta":
             # The table's own transaction marker makes a repeated append a no-op.
             kept = batch.persist()
             try:
                 append_table(kept, self.bronze, "delta", txnAppId=self.bronze, txnVersion=str(batch_id))
-                return kept.count()
+                return "", kept.count()
             finally:
                 kept.unpersist()
-        return replace_table(batch, f"{self.bronze}/batch={batch_id}", self.fmt)
-
-    def _total_before(self, spark: SparkSession, batch_id: int) -> int:
-        if self._last is not None and self._last[0] < batch_id:
-            return self._last[1]
-        try:
-            earlier = ledger_table(spark, self.ledger).where(F.col("batch") < batch_id)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return 0
-        return earlier.agg(F.max("total_rows").alias("total")).first()["total"] or 0
+        folder = f"batch-{batch_id}-{uuid.uuid4().hex}"
+        return folder, replace_table(batch, f"{self.bronze}/{folder}", self.fmt)
 
 
 def start_ingest(
@@ -97,59 +115,166 @@ def start_ingest(
     return writer.trigger(processingTime=trigger).start()
 
 
-def bronze_table(spark: SparkSession, path: str, fmt: str = "parquet", ledger: str | None = None) -> DataFrame:
-    """The values of all batches; with the ``ledger``, of those it lists as finished.
+def bronze_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", ledger: str | None = None, version: int | None = None
+) -> DataFrame:
+    """The values of all finished batches, of the last version of the ledger or of the one given.
 
-    A batch folder that a crash left behind has no entry yet. Delta's log knows that by itself.
+    Delta's log knows its versions itself and needs no ledger.
     """
     if fmt == "delta":
         return spark.read.format(fmt).load(path).select("value")
-    rows = bronze_rows(spark, path, fmt)
-    if ledger is not None:
-        finished = F.broadcast(ledger_table(spark, ledger).select("batch"))  # one row per batch
-        rows = rows.join(finished, "batch", "left_semi")
-    return rows.select("value")
+    if ledger is None:
+        raise ValueError(f"{path}: name the ledger, which knows the folders that count")
+    live = latest(spark, ledger)[1] if version is None else entries(spark, ledger, version)
+    if not live:
+        return spark.createDataFrame([], "value string")
+    return spark.read.format(fmt).schema("value string").load([f"{path}/{item.folder}" for item in live])
+
+
+def ledger_table(spark: SparkSession, ledger: str, version: int | None = None) -> DataFrame:
+    """One row per live folder: its last batch, its rows, and all rows up to and with it."""
+    number = latest_number(spark, ledger) if version is None else version
+    if number == 0:
+        return spark.createDataFrame([], VERSION_SCHEMA).select("batch", "rows", "total_rows")
+    return read_version(spark, ledger, number).select("batch", "rows", "total_rows")
+
+
+def read_version(spark: SparkSession, ledger: str, version: int) -> DataFrame:
+    return spark.read.schema(VERSION_SCHEMA).parquet(f"{ledger}/version-{version}")
+
+
+def entries(spark: SparkSession, ledger: str, version: int) -> list[Live]:
+    """The folders of a version in order; ``compact`` keeps them few."""
+    return sorted((Live(*row) for row in read_version(spark, ledger, version).collect()), key=lambda item: item.batch)
+
+
+def children(spark: SparkSession, path: str) -> dict[str, float]:
+    """Name and time of change, in seconds, of what a folder holds; nothing where there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return {}
+    return {item.getPath().getName(): item.getModificationTime() / 1000 for item in files.listStatus(folder)}
 
 
-def bronze_rows(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    return spark.read.format(fmt).schema("value string, batch bigint").load(path)
+def version_numbers(spark: SparkSession, ledger: str) -> list[int]:
+    """All versions that were begun, the latest first."""
+    names = [name.removeprefix("version-") for name in children(spark, ledger) if name.startswith("version-")]
+    return sorted((int(name) for name in names if name.isdigit()), reverse=True)
 
 
-def ledger_table(spark: SparkSession, path: str) -> DataFrame:
-    """One row per batch or fold: rows written, and all rows up to and with it."""
-    entries = spark.read.schema(LEDGER_SCHEMA).parquet(path).select("batch", "rows", "total_rows")
-    folded = F.coalesce(entries.agg(F.max(-F.col("batch") - 1).alias("last")).scalar(), F.lit(-1))
-    # Entries of folded batches stay until the fold's cleanup. No batch is below 0, so without folds all count.
-    return entries.where((F.col("batch") < 0) | (F.col("batch") > folded))
+def is_written(spark: SparkSession, ledger: str, version: int) -> bool:
+    """Whether the write of a version came to its end."""
+    return "_SUCCESS" in children(spark, f"{ledger}/version-{version}")
 
 
-def write_entry(spark: SparkSession, ledger: str, batch: int, rows: int, total: int) -> None:
-    entry = spark.range(1).select(F.lit(rows).cast("bigint").alias("rows"), F.lit(total).cast("bigint").alias("total_rows"))
-    entry.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/batch={batch}")
+def latest_number(spark: SparkSession, ledger: str) -> int:
+    return next((number for number in version_numbers(spark, ledger) if is_written(spark, ledger, number)), 0)
 
 
-def compact(spark: SparkSession, bronze: str, ledger: str, fmt: str = "parquet", keep: int = 2) -> int:
+def latest(spark: SparkSession, ledger: str) -> tuple[int, list[Live]]:
+    """Number and folders of the last version; 0 and none before the first."""
+    number = latest_number(spark, ledger)
+    return number, entries(spark, ledger, number) if number else []
+
+
+def commit(spark: SparkSession, ledger: str, version: int, live: Sequence[Live]) -> bool:
+    """Write a version; False if another writer has written that number."""
+    if is_written(spark, ledger, version):
+        return False
+    path = f"{ledger}/version-{version}"
+    if version in version_numbers(spark, ledger):
+        delete(spark, path)  # begun by a writer that did not come to the end
+    total, counted = 0, []
+    for item in sorted(live, key=lambda item: item.batch):
+        total += item.rows
+        counted.append(item._replace(total_rows=total))
+    try:
+        spark.createDataFrame([tuple(item) for item in counted], VERSION_SCHEMA).coalesce(1).write.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return False
+    return True
+
+
+def update(spark: SparkSession, ledger: str, change: Callable[[list[Live]], list[Live]]) -> int:
+    """Write the next version with the changed list of folders; returns its number."""
+    while True:
+        number, live = latest(spark, ledger)
+        changed = change(live)
+        if changed == live:
+            return number
+        if commit(spark, ledger, number + 1, changed):
+            return number + 1
+
+
+def fold(spark: SparkSession, bronze: str, ledger: str, fmt: str, items: Sequence[Live]) -> None:
+    """Put the rows of neighbouring folders into one, and let a version name it instead."""
+    folder = f"fold-{items[-1].batch}-{uuid.uuid4().hex}"
+    rows = spark.read.format(fmt).schema("value string").load([f"{bronze}/{item.folder}" for item in items])
+    written = replace_table(rows, f"{bronze}/{folder}", fmt)
+    if written != sum(item.rows for item in items):
+        raise RuntimeError(f"{bronze}: {written} rows in batches {items[0].first} to {items[-1].batch}, not those of the ledger")
+    folders, level = {item.folder for item in items}, items[0].level + 1
+
+    def folded(live: list[Live]) -> list[Live]:
+        if not folders <= {item.folder for item in live}:
+            return live  # another writer was faster; the folder written here is swept
+        others = [item for item in live if item.folder not in folders]
+        return [*others, Live(folder, items[0].first, items[-1].batch, written, 0, level)]
+
+    update(spark, ledger, folded)
+
+
+def compact(
+    spark: SparkSession, bronze: str, ledger: str, fmt: str = "parquet", keep: int = 2, kept_versions: int = KEPT_VERSIONS,
+    leftover_seconds: float = LEFTOVER_SECONDS,
+) -> int:
     """Fold all finished batches but the last ``keep``, which a restart may write again; returns how many were folded.
 
-    Earlier folds stay as they are, so a row is rewritten once. Run one at a time; a
-    reader that began before it may miss the files it lists. Delta compacts by itself.
+    ``FOLD_WIDTH`` folds of one size are folded again. At the end what no kept version
+    names is swept. Delta compacts by itself.
     """
     if fmt == "delta":
         raise ValueError("compact a Delta table by its own command")
     if keep < 1:
         raise ValueError("the last batch cannot be folded: a restart may write it again")
-    single = ledger_table(spark, ledger).where("batch >= 0").orderBy("batch").collect()
-    folded = single[:-keep]
-    if len(folded) < 2:
+    done, level = 0, 0
+    while True:
+        same = [item for item in latest(spark, ledger)[1] if item.level == level]
+        items, least = (same[:-keep], 2) if level == 0 else (same, FOLD_WIDTH)
+        if len(items) < least:
+            if level and not same:
+                break
+        else:
+            fold(spark, bronze, ledger, fmt, items)
+            done += len(items) if level == 0 else 0
+        level += 1
+    sweep(spark, bronze, ledger, kept_versions, leftover_seconds)
+    return done
+
+
+def sweep(
+    spark: SparkSession, bronze: str, ledger: str, kept_versions: int = KEPT_VERSIONS, leftover_seconds: float = LEFTOVER_SECONDS
+) -> int:
+    """Delete all but the last versions, and the folders none of these names; returns how many folders went.
+
+    Folders changed within ``leftover_seconds`` stay: a writer may be about to name them. A
+    crash on the way leaves folders that the next sweep finds.
+    """
+    written = [number for number in version_numbers(spark, ledger) if is_written(spark, ledger, number)]
+    kept = written[: max(kept_versions, 1)]
+    if not kept:
         return 0
-    first, last = folded[0]["batch"], folded[-1]["batch"]
-    fold = -1 - last
-    rows = bronze_rows(spark, bronze, fmt).join(F.broadcast(ledger_table(spark, ledger).select("batch")), "batch", "left_semi")
-    written = replace_table(rows.where(F.col("batch").between(first, last)).select("value"), f"{bronze}/batch={fold}", fmt)
-    if written != sum(row["rows"] for row in folded):
-        raise RuntimeError(f"{bronze}: {written} rows in batches {first} to {last}, not those of the ledger")
-    write_entry(spark, ledger, fold, written, folded[-1]["total_rows"])
-    for row in folded:
-        delete(spark, f"{bronze}/batch={row['batch']}")
-        delete(spark, f"{ledger}/batch={row['batch']}")
-    return len(folded)
+    named = {item.folder for number in kept for item in entries(spark, ledger, number)}
+    for number in version_numbers(spark, ledger):
+        if number < kept[-1]:
+            delete(spark, f"{ledger}/version-{number}")
+    before = time.time() - leftover_seconds
+    unnamed = [name for name, changed in children(spark, bronze).items() if name not in named and changed <= before]
+    leftovers = [name for name in unnamed if name.startswith(("batch-", "fold-"))]
+    for name in leftovers:
+        delete(spark, f"{bronze}/{name}")
+    return len(leftovers)

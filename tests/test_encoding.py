@@ -5,11 +5,13 @@ import pytest
 from feedmill import fixed_values as fixed
 from feedmill.functions.encoding import (
     decode_json,
+    decode_table,
     line_fields,
     only_value,
     positional_json,
     row_json,
     sampled_schema,
+    table_schema,
     text_schema,
 )
 from feedmill.plans import marketing
@@ -84,3 +86,27 @@ def test_semicolon_file_read_as_comma_csv(spark, tmp_path):
 def test_semicolon_file_read_with_its_own_separator(spark, tmp_path):
     (tmp_path / "bank.csv").write_text('"age";"job"\n58;"management"\n')
     assert [tuple(row) for row in read_csv(spark, str(tmp_path / "bank.csv"), sep=";").collect()] == [("58", "management")]
+
+
+def test_schema_of_the_whole_table(spark):
+    rows = [
+        '{"a":1,"b":"x","d":{"p":1}}', '{"a":2.5,"c":[1,2]}', '{"b":7,"d":{"q":"z"},"e":null}', "{bad", "[1]", "3", None, "", '{"odd name; \\"x\\"":true}',
+        '{"c":["t"]}', '{"a":12345678901234}', "{}", '{"a":null}',
+    ]
+    bronze = spark.createDataFrame([(row,) for row in rows], "value string")
+    decoded = decode_table(bronze)
+    assert decoded.columns == ["a", "b", "c", "d", "e", 'odd name; "x"']
+    types = {part.name: part.dataType.simpleString() for part in decoded.schema}
+    assert types["b"] == types["e"] == "string" and types["c"] == "array<string>" and types["d"] == "struct<p:bigint,q:string>"
+    found = decoded.collect()
+    assert len(found) == len(rows)
+    assert [None if row["a"] is None else float(row["a"]) for row in found] == [1, 2.5] + [None] * 8 + [12345678901234, None, None]
+    assert [row["b"] for row in found][:3] == ["x", None, "7"]
+    assert found[1]["c"] == ["1", "2"] and found[2]["d"].asDict() == {"p": None, "q": "z"} and found[8]['odd name; "x"'] is True
+    assert all(value is None for at in (3, 4, 5, 6, 7) for value in found[at])
+
+
+def test_whole_table_schema_needs_a_field(spark):
+    for rows in ([], [(None,)], [("{}",)], [("[1]",), ("{bad",)]):
+        with pytest.raises(ValueError, match="JSON object"):
+            table_schema(spark.createDataFrame(rows, "value string"))

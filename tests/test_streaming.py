@@ -1,6 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
-from feedmill.streaming.ingest import BronzeWriter, bronze_table, compact, file_stream, ledger_table, start_ingest, write_entry
+from feedmill.streaming import ingest
+from feedmill.streaming.ingest import (
+    BronzeWriter, Live, bronze_table, commit, compact, entries, file_stream, latest, ledger_table, start_ingest, sweep, update,
+)
 
 
 def write_lines(spark, folder, start, count):
@@ -28,7 +32,7 @@ def test_batches_ledger_and_restart(spark, tmp_path):
     write_lines(spark, f"{base}/topic", 50, 7)
     run_once(spark, base).awaitTermination()
     assert ledger_rows(spark, base)[-1] == (3, 7, 57)
-    values = bronze_table(spark, f"{base}/bronze")
+    values = bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger")
     assert values.columns == ["value"]
     assert values.count() == values.distinct().count() == 57
 
@@ -43,21 +47,23 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     writer(second, 1)
     BronzeWriter(f"{base}/bronze", f"{base}/ledger")(second, 1)
     assert ledger_rows(spark, base) == [(0, 4, 4), (1, 6, 10)]
-    assert bronze_table(spark, f"{base}/bronze").count() == 10
+    assert bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger").count() == 10
     # A shorter second try leaves none of the first one's rows.
     writer(first, 1)
     assert ledger_rows(spark, base) == [(0, 4, 4), (1, 4, 8)]
-    assert bronze_table(spark, f"{base}/bronze").count() == 8
+    assert bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger").count() == 8
 
 
 def test_unfinished_batches_are_not_read(spark, tmp_path):
     base = str(tmp_path)
     writer = BronzeWriter(f"{base}/bronze", f"{base}/ledger")
-    writer(spark.range(4).selectExpr("string(id) AS value"), 0)
-    spark.range(6).selectExpr("string(id) AS value").write.parquet(f"{base}/bronze/batch=1")  # no entry yet
+    writer(numbers(spark, 0, 4), 0)
+    numbers(spark, 4, 6).write.parquet(f"{base}/bronze/batch-1-unfinished")  # no version names it
     assert bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger").count() == 4
-    writer(spark.range(6).selectExpr("string(id) AS value"), 1)
+    writer(numbers(spark, 4, 6), 1)
     assert bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger").count() == 10
+    with pytest.raises(ValueError, match="ledger"):
+        bronze_table(spark, f"{base}/bronze")
 
 
 def test_empty_batch_leaves_no_entry(spark, tmp_path):
@@ -80,7 +86,7 @@ def test_timed_trigger(spark, tmp_path):
     finally:
         query.stop()
     assert sum(rows for _, rows, _ in ledger_rows(spark, base)) == 15
-    assert bronze_table(spark, f"{base}/bronze").distinct().count() == 15
+    assert bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger").distinct().count() == 15
 
 
 def test_binary_values_become_text(spark, tmp_path):
@@ -88,42 +94,123 @@ def test_binary_values_become_text(spark, tmp_path):
     spark.createDataFrame([(bytearray(b"a"),), (bytearray(b"b"),)], "value binary").write.parquet(f"{base}/topic")
     source = file_stream(spark, f"{base}/topic", "parquet", "value binary")
     start_ingest(source, f"{base}/bronze", f"{base}/ledger", f"{base}/checkpoint", trigger=None).awaitTermination()
-    assert sorted(row["value"] for row in bronze_table(spark, f"{base}/bronze").collect()) == ["a", "b"]
+    assert sorted(row["value"] for row in bronze_table(spark, f"{base}/bronze", ledger=f"{base}/ledger").collect()) == ["a", "b"]
+
+
+def numbers(spark, start, count):
+    return spark.range(start, start + count).selectExpr("string(id) AS value")
+
+
+def filled(spark, base, batches):
+    writer = BronzeWriter(f"{base}/bronze", f"{base}/ledger")
+    for batch in range(batches):
+        writer(numbers(spark, batch * 10, 10), batch)
+    return f"{base}/bronze", f"{base}/ledger"
+
+
+def folders(tmp_path):
+    return {path.name.rsplit("-", 1)[0] for path in (tmp_path / "bronze").iterdir() if path.is_dir()}
 
 
 def test_compaction_folds_finished_batches(spark, tmp_path):
     base = str(tmp_path)
-    bronze, ledger = f"{base}/bronze", f"{base}/ledger"
-    numbers = lambda start, count: spark.range(start, start + count).selectExpr("string(id) AS value")
-    writer = BronzeWriter(bronze, ledger)
-    for batch in range(5):
-        writer(numbers(batch * 10, 10), batch)
-    assert compact(spark, bronze, ledger) == 3
-    assert ledger_rows(spark, base) == [(-3, 30, 30), (3, 10, 40), (4, 10, 50)]
-    assert {path.name for path in (tmp_path / "bronze").iterdir() if path.is_dir()} == {"batch=-3", "batch=3", "batch=4"}
-    # The last batch again, as after a restart, then a new one: totals go on.
+    bronze, ledger = filled(spark, base, 5)
+    assert compact(spark, bronze, ledger, kept_versions=1, leftover_seconds=0) == 3
+    assert ledger_rows(spark, base) == [(2, 30, 30), (3, 10, 40), (4, 10, 50)]
+    assert folders(tmp_path) == {"fold-2", "batch-3", "batch-4"}
+    # The last batch again, as after a restart, a folded one, then a new one: totals go on.
     again = BronzeWriter(bronze, ledger)
-    again(numbers(40, 10), 4)
-    again(numbers(50, 7), 5)
+    again(numbers(spark, 40, 10), 4)
+    again(numbers(spark, 10, 10), 1)
+    again(numbers(spark, 50, 7), 5)
     assert ledger_rows(spark, base)[-2:] == [(4, 10, 50), (5, 7, 57)]
     assert compact(spark, bronze, ledger, keep=1) == 2  # the first fold stays
-    assert [row[0] for row in ledger_rows(spark, base)] == [-5, -3, 5]
+    assert [row[0] for row in ledger_rows(spark, base)] == [2, 4, 5]
     values = bronze_table(spark, bronze, ledger=ledger)
     assert values.count() == values.distinct().count() == 57
     assert compact(spark, bronze, ledger) == 0
 
 
-def test_a_fold_counts_from_its_entry_on(spark, tmp_path):
+def test_folds_are_folded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "FOLD_WIDTH", 2)
     base = str(tmp_path)
     bronze, ledger = f"{base}/bronze", f"{base}/ledger"
-    writer = BronzeWriter(bronze, ledger)
-    for batch in range(3):
-        writer(spark.range(batch * 4, batch * 4 + 4).selectExpr("string(id) AS value"), batch)
-    # Ended after the fold's rows were written: they do not count yet.
-    spark.range(8).selectExpr("string(id) AS value").write.parquet(f"{bronze}/batch=-2")
-    assert bronze_table(spark, bronze, ledger=ledger).count() == 12
-    # Ended before the cleanup: the folded batches no longer count.
-    write_entry(spark, ledger, -2, 8, 8)
+    writer = BronzeWriter(bronze, ledger, fold_after=3)
+    for batch in range(12):
+        writer(numbers(spark, batch * 10, 10), batch)
+    live = latest(spark, ledger)[1]
+    assert max(item.level for item in live) >= 2 and len(live) < 8
     values = bronze_table(spark, bronze, ledger=ledger)
-    assert values.count() == values.distinct().count() == 12
-    assert ledger_rows(spark, base) == [(-2, 8, 8), (2, 4, 12)]
+    assert values.count() == values.distinct().count() == live[-1].total_rows == 120
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["replace_table", "update", "commit", "sweep", "delete"])
+def test_crash_at_every_step_of_a_fold(spark, tmp_path, monkeypatch, step):
+    """The rows stay the same, and the next run leaves no folder behind."""
+    base = str(tmp_path)
+    bronze, ledger = filled(spark, base, 5)
+    numbers(spark, 900, 9).write.parquet(f"{bronze}/batch-7-unfinished")
+
+    def rows():
+        return sorted(int(row["value"]) for row in bronze_table(spark, bronze, ledger=ledger).collect())
+
+    with monkeypatch.context() as broken:
+        for moment in ("before", "after"):
+            true = getattr(ingest, step)
+
+            def crash(*given, true=true, moment=moment):
+                if moment == "after":
+                    true(*given)
+                raise Crash
+
+            broken.setattr(ingest, step, crash)
+            with pytest.raises(Crash):
+                compact(spark, bronze, ledger, kept_versions=1, leftover_seconds=0)
+                sweep(spark, bronze, ledger, 1, 0)
+            broken.setattr(ingest, step, true)
+            assert rows() == list(range(50))
+    compact(spark, bronze, ledger, kept_versions=1, leftover_seconds=0)
+    sweep(spark, bronze, ledger, 1, 0)
+    assert rows() == list(range(50))
+    assert folders(tmp_path) == {"fold-2", "batch-3", "batch-4"}
+    assert len(list((tmp_path / "ledger").iterdir())) == 1
+
+
+def test_readers_keep_their_version(spark, tmp_path):
+    base = str(tmp_path)
+    bronze, ledger = filled(spark, base, 4)
+    number, live = latest(spark, ledger)
+    assert number == 4 and [item.total_rows for item in entries(spark, ledger, 2)] == [10, 20]
+    old = bronze_table(spark, bronze, ledger=ledger, version=number)
+    compact(spark, bronze, ledger, keep=1)
+    assert latest(spark, ledger)[0] == 5
+    assert old.count() == 40 and bronze_table(spark, bronze, ledger=ledger, version=2).count() == 20
+    assert sweep(spark, bronze, ledger, 1) == 0  # too young to be taken for leftovers
+    assert sweep(spark, bronze, ledger, 1, 0) == 3
+    assert bronze_table(spark, bronze, ledger=ledger).count() == 40
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    ledger = f"{tmp_path}/ledger"
+    item = lambda batch, rows: Live(f"batch-{batch}", batch, batch, rows, 0, 0)
+    assert commit(spark, ledger, 1, [item(0, 5)]) and not commit(spark, ledger, 1, [item(0, 6)])
+    tries = []
+
+    def change(live):
+        tries.append(len(live))
+        if len(tries) == 1:
+            assert commit(spark, ledger, 2, [*live, item(1, 7)])  # another writer comes first
+        return [*live, item(2, 8)]
+
+    assert update(spark, ledger, change) == 3
+    assert tries == [1, 2] and [row.total_rows for row in latest(spark, ledger)[1]] == [5, 12, 20]
+    # A version whose write did not end is none, and its number is used again.
+    (tmp_path / "ledger" / "version-4").mkdir()
+    assert latest(spark, ledger)[0] == 3
+    assert update(spark, ledger, lambda live: live[:1]) == 4
+    assert ledger_table(spark, ledger).agg(F.max("total_rows")).first()[0] == 5
+    assert ledger_table(spark, f"{tmp_path}/none").collect() == []

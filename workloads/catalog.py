@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
-from feedmill.functions.encoding import decode_json, row_json, text_schema
+from feedmill.functions.encoding import decode_json, decode_table, row_json, text_schema
 from feedmill.functions.values import class_text, lenient_double, loose_number
 from feedmill.operators.caps import ordered_cap
 from feedmill.operators.cleaning import apply_null_policy
@@ -25,7 +25,7 @@ from feedmill.plans import loan, marketing, marts, report
 from feedmill.plans.feed import encode_feed, encode_rows, write_feed_files
 from feedmill.sources.scratch import new_path
 from feedmill.sources.tables import Target, append_table, fan_out, publish, read_csv, read_table, replace_table, table_rows
-from feedmill.streaming.ingest import bronze_table, compact, file_stream, ledger_table, start_ingest
+from feedmill.streaming.ingest import BronzeWriter, bronze_table, compact, file_stream, ledger_table, start_ingest, sweep
 
 from workloads.feeds import (
     LOAN_SILVER_SQL,
@@ -238,6 +238,22 @@ def marketing_silver_mixed(spark, sf_dir):
     return marketing.silver(odd.unionByName(mixed))
 
 
+@query(
+    "unknown_fields",
+    """SELECT event_id, CASE WHEN event_id % 3 = 2 THEN true END AS flag,
+              CASE event_id % 3 WHEN 0 THEN user_id::VARCHAR WHEN 2 THEN 'u' || user_id END AS user_id,
+              CASE WHEN event_id % 3 = 1 THEN value END AS value
+       FROM events UNION ALL SELECT NULL, NULL, NULL, NULL FROM range(4)""",
+)
+def unknown_fields(spark, sf_dir):
+    """A feed whose rows differ in fields and in a field's type, with rows that hold no object."""
+    text = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"user_id":"u'), F.col("user_id"), F.lit('","flag":true}'))
+    value = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct("event_id", "user_id")))
+    feed = table(spark, sf_dir, "events").select(value.when(F.col("event_id") % 3 == 1, F.to_json(F.struct("event_id", "value"))).otherwise(text).alias("value"))
+    odd = spark.range(1).select(F.explode(F.array(*map(F.lit, ["{bad", '["x"]', "7", None]))).alias("value"))
+    return decode_table(odd.unionByName(feed))
+
+
 @query("marketing_silver_from_csv", f"WITH {MARKETING_SILVER_SQL} SELECT * FROM silver")
 def marketing_silver_from_csv(spark, sf_dir):
     return marketing.silver(marketing_csv_bronze(spark, sf_dir))
@@ -773,9 +789,9 @@ def ingest_events(spark: SparkSession, sf_dir: str, files_per_batch: str = STREA
 
 @query("stream_ingest", "SELECT event_id, user_id, event_type, value, (props::JSON ->> '$.k')::BIGINT AS k FROM events")
 def stream_ingest(spark, sf_dir):
-    bronze, _ = ingest_events(spark, sf_dir)
+    bronze, ledger = ingest_events(spark, sf_dir)
     rows = decode_json(
-        bronze_table(spark, bronze), "event_id bigint, user_id bigint, event_type string, value double, props string"
+        bronze_table(spark, bronze, ledger=ledger), "event_id bigint, user_id bigint, event_type string, value double, props string"
     )
     return rows.withColumn("k", F.from_json("props", "k bigint")["k"]).drop("props")
 
@@ -796,6 +812,27 @@ def stream_compacted(spark, sf_dir):
     return rows.withColumn("total_rows", ledger_table(spark, ledger).agg(F.max("total_rows")).scalar())
 
 
+@query(
+    "stream_restarted",
+    """SELECT event_id, user_id, event_type, value, count(*) OVER () AS total_rows, 0 AS leftovers FROM events""",
+)
+def stream_restarted(spark, sf_dir):
+    """All events once, after a batch was written twice, another one not to its end, a fold begun for nothing and a restart."""
+    bronze, ledger = ingest_events(spark, sf_dir, files_per_batch="2")
+    again = bronze_table(spark, bronze, ledger=ledger).where("false")
+    last = ledger_table(spark, ledger).agg(F.max("batch")).first()[0]
+    values = bronze_table(spark, bronze, ledger=ledger)
+    values.write.parquet(f"{bronze}/batch-{last + 1}-unfinished")
+    values.write.parquet(f"{bronze}/fold-{last}-unfinished")
+    BronzeWriter(bronze, ledger)(again, last + 1)  # an empty batch
+    compact(spark, bronze, ledger, keep=1, kept_versions=1, leftover_seconds=0)
+    BronzeWriter(bronze, ledger)(values, 0)  # a batch that has been folded comes again
+    rows = decode_json(bronze_table(spark, bronze, ledger=ledger), "event_id bigint, user_id bigint, event_type string, value double")
+    sweep(spark, bronze, ledger, 1, 0)
+    left = sweep(spark, bronze, ledger, 1, 0)  # what the first sweep has overlooked
+    return rows.withColumn("total_rows", ledger_table(spark, ledger).agg(F.max("total_rows")).scalar()).withColumn("leftovers", F.lit(left))
+
+
 # --- models -------------------------------------------------------------------
 # SQL knows the holdout rows, since their key decides. Of the models it states what
 # must hold: classes are 0 or 1, the ranking beats chance clearly, settings are as asked for.

@@ -4,30 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.values import field, unused
 from feedmill.operators.ordinals import with_ordinals
+from feedmill.sources.scratch import stage
 
-GROUP_TASKS = 1_000
-# More rows than this are numbered by range blocks instead of sorted in one task.
-SORTED_ROWS = 100_000
+# So few rows of every task meet in one task; for more, the last row to take is looked up first.
+TAKEN_ROWS = 1_000
 
 
 def ordered_cap(df: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``rows`` rows by ascending ``order_by`` columns, nulls first.
+    """The first ``rows`` rows by ascending ``order_by`` columns, nulls first, in that order.
 
-    Every group of neighbouring tasks keeps its first rows, which Spark limits
-    in each task before they are shuffled; the few left are sorted at the end.
-    That last sort takes one task, so for a large ``rows`` all rows are numbered
-    instead and those with a small number taken, with no task taking more than a block.
+    Up to ``TAKEN_ROWS`` rows, every task keeps its first ones and one task merges them. For
+    more, the order columns alone are numbered by range blocks, which gives the order values of the last row to take;
+    a filter keeps the rows before it, and of rows that tie with it as many as are missing.
+    They are sorted in ranges, so no task takes more than a block.
     """
     order = [field(name) for name in order_by]
-    if rows > SORTED_ROWS:
-        number = unused(df, "_number")
-        return with_ordinals(df, order, number).where(F.col(number) < rows).drop(number)
-    group, place = unused(df, "_group"), unused(df, "_place")
-    grouped = df.withColumn(group, F.floor(F.spark_partition_id() / F.lit(GROUP_TASKS)))
-    first = grouped.withColumn(place, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    return first.where(F.col(place) <= rows).drop(group, place).orderBy(*order).limit(rows)
+    if rows <= TAKEN_ROWS:
+        return df.orderBy(*order).limit(rows)
+    number, bounds = unused(df, "_number"), [unused(df, f"_bound{place}") for place in range(len(order))]
+    values = df.select(*[column.alias(bound) for column, bound in zip(order, bounds)])
+    numbered = with_ordinals(values, bounds, number)
+    last = stage(numbered.where(F.col(number) == rows - 1).select(*bounds), "cap-bound")
+    if last.isEmpty():
+        return df.orderBy(*order)
+    names = [unused(values, f"_value{place}") for place in range(len(order))]
+    tied = numbered.toDF(*names, number).join(F.broadcast(last), equal(names, bounds))  # one row
+    missing = rows - tied.agg(F.min(number).alias("first")).first()["first"]
+    bounded = df.join(F.broadcast(last))
+    before = bounded.where(lower(order, bounds)).drop(*bounds)
+    at = bounded.where(equal(order_by, bounds)).drop(*bounds)
+    if missing > TAKEN_ROWS:
+        at = with_ordinals(at, order, number).where(F.col(number) < missing).drop(number)
+    else:
+        at = at.limit(missing)
+    return before.unionByName(at).orderBy(*order)
+
+
+def equal(names: Sequence[str], bounds: Sequence[str]) -> Column:
+    """Whether all columns have the bounds' values."""
+    met = F.lit(True)
+    for name, bound in zip(names, bounds):
+        met &= field(name).eqNullSafe(field(bound))
+    return met
+
+
+def lower(order: Sequence[Column], bounds: Sequence[str]) -> Column:
+    """Whether a row comes before the bounds: by the first column that differs, nulls first."""
+    before, same = F.lit(False), F.lit(True)
+    for column, bound in zip(order, bounds):
+        less = F.coalesce(column < field(bound), column.isNull() & field(bound).isNotNull())
+        before |= same & less
+        same &= column.eqNullSafe(field(bound))
+    return before

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import (
@@ -12,15 +13,16 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from feedmill import fixed_values as fixed
 from feedmill.functions.values import field
+from feedmill.operators.metrics import area_under_roc, positive_score
+from feedmill.operators.splitting import key_bucket
 
 # Fitted models follow the partitions of their rows, so their number is fixed;
 # give a larger one for tables that don't fit so few tasks.
@@ -52,6 +54,12 @@ def fit_forest(
     return forest.fit(train)
 
 
+def fold_number(rows: DataFrame, folds: int, seed: int = fixed.SPLIT_SEED, key: Column | None = None) -> Column:
+    """The fold of a row, from its key or else its values alone; equal rows share a fold."""
+    values = [vector_to_array(field(part.name)) if isinstance(part.dataType, VectorUDT) else field(part.name) for part in rows.schema]
+    return key_bucket(F.xxhash64(*values) if key is None else key, seed, folds)
+
+
 def fit_logistic(
     train: DataFrame,
     weight: str | None = "classWeight",
@@ -60,21 +68,32 @@ def fit_logistic(
     seed: int = fixed.SPLIT_SEED,
     parallelism: int = 2,
 ) -> LogisticRegressionModel:
-    """Logistic regression, its regularization chosen by area under ROC over folds.
+    """Logistic regression, its regularization chosen by exact area under ROC over folds.
 
-    The best setting is fitted again on all rows. Folds are drawn in the JVM
-    from the seed; a fold column of our own would send every row through a
-    Python check.
+    A row's fold is a hash of its values, so the choice does not follow the layout of the
+    files, and a fold is a filter on the rows: no copy of it is kept. A fold without both
+    classes has no area and no say; of equal settings the first is taken. The
+    best setting is fitted again on all rows.
     """
-    logistic = LogisticRegression(featuresCol="features", labelCol="label")
-    if weight:
-        logistic = logistic.setWeightCol(weight)
-    search = CrossValidator(
-        estimator=logistic,
-        estimatorParamMaps=ParamGridBuilder().addGrid(logistic.regParam, list(reg_params)).build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", numBins=0),
-        numFolds=folds,
-        seed=seed,
-        parallelism=parallelism,
-    )
-    return search.fit(train).bestModel
+    columns = ["label", "features", *([weight] if weight else [])]
+    rows = train.select(*columns)
+    number = fold_number(rows, folds, seed)
+    settings = dict.fromkeys(reg_params)
+
+    def logistic(reg_param: float) -> LogisticRegression:
+        model = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param)
+        return model.setWeightCol(weight) if weight else model
+
+    def area(task: tuple[float, int]) -> float | None:
+        reg_param, fold = task
+        model = logistic(reg_param).fit(rows.where(number != fold))
+        scored = model.transform(rows.where(number == fold)).select("label", positive_score().alias("score"))
+        return area_under_roc(scored, "score").first()["auc"]
+
+    tasks = [(reg_param, fold) for reg_param in settings for fold in range(folds)] if len(settings) > 1 else []
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        areas = pool.map(inheritable_thread_target(train.sparkSession)(area), tasks)
+    for reg_param in settings:
+        own = [found for (tried, _), found in zip(tasks, areas) if tried == reg_param and found is not None]
+        settings[reg_param] = sum(own) / len(own) if own else 0.0
+    return logistic(max(settings, key=settings.get)).fit(rows)

@@ -2,7 +2,7 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,7 +10,7 @@ from feedmill import fixed_values as fixed
 from feedmill.operators import features
 from feedmill.operators.features import add_features, category_counts, category_places, with_places
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
-from feedmill.operators.models import fit_forest, kept_for_training
+from feedmill.operators.models import fit_forest, fit_logistic, fold_number, kept_for_training
 from feedmill.plans import loan, marketing
 from workloads import catalog
 
@@ -204,3 +204,25 @@ def test_rows_without_label_or_score_are_left_out(spark):
     frame = spark.createDataFrame(rows, "label double, prediction double, score double")
     row = model_report(frame, "m").first()
     assert (row["rows"], row["accuracy"], row["auc"]) == (4, 1.0, 1.0)
+
+
+def test_setting_chosen_is_the_same_from_any_layout(spark):
+    draw = random.Random(3)
+    rows = [(float(draw.random() < 0.2 + 0.6 * (at % 7 > 3)), at % 7 + draw.random(), draw.random() * 5) for at in range(900)]
+    frame = spark.createDataFrame(rows, "label double, a double, b double")
+    frame = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(frame).withColumn("classWeight", F.lit(1.0))
+    models, sizes = [], []
+    for layout in (1, 4, 8):
+        with kept_for_training(frame.repartition(layout, "b"), "label", "features", "classWeight", partitions=3) as kept:
+            models.append(fit_logistic(kept, reg_params=[0.0, 0.1, 30.0]))
+            sizes.append(kept.groupBy(fold_number(kept, 3).alias("fold")).count().orderBy("fold").collect())
+    assert len({model.getRegParam() for model in models}) == 1 and models[0].getRegParam() < 30
+    assert len({tuple(model.coefficients.toArray().round(9)) for model in models}) == 1
+    assert sizes[0] == sizes[1] == sizes[2] and all(200 < row["count"] < 400 for row in sizes[0])
+
+
+def test_folds_of_one_class_have_no_say(spark):
+    frame = spark.createDataFrame([(1.0, float(at)) for at in range(5)] + [(0.0, -1.0)], "label double, a double")
+    frame = VectorAssembler(inputCols=["a"], outputCol="features").transform(frame)
+    assert fit_logistic(frame, weight=None, reg_params=[0.2, 0.1]).getRegParam() in (0.1, 0.2)
+    assert fit_logistic(frame, weight=None, reg_params=[0.3]).getRegParam() == 0.3

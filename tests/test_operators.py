@@ -152,7 +152,7 @@ def expected_cap(rows, count):
 
 @pytest.mark.parametrize("count", [1, 7, 60, 5000])
 @pytest.mark.parametrize("shape", ["spread", "hot", "nulls", "floats"])
-def test_cap_against_sorting(spark, count, shape):
+def test_cap_against_sorting(spark, count, shape, monkeypatch):
     draw = random.Random(f"{count}-{shape}")
     lead = {
         "spread": lambda: draw.randrange(100_000),
@@ -163,25 +163,33 @@ def test_cap_against_sorting(spark, count, shape):
     kind = "double" if shape == "floats" else "bigint"
     rows = [(lead(), draw.randrange(1000)) for _ in range(4000)]
     frame = spark.createDataFrame(rows, f"a {kind}, b bigint").repartition(6)
-    expected = Counter(map(repr, expected_cap(rows, count)))
+    expected = list(map(repr, expected_cap(rows, count)))
+    monkeypatch.setattr(caps, "TAKEN_ROWS", 20)
     found = [tuple(row) for row in ordered_cap(frame, count, ["a", "b"]).collect()]
-    assert Counter(map(repr, found)) == expected
+    assert list(map(repr, found)) == expected
 
 
-@pytest.mark.parametrize("sorted_rows", [10, 100_000])
-def test_cap_of_more_rows_than_one_task_sorts(spark, sorted_rows, monkeypatch):
-    monkeypatch.setattr(caps, "SORTED_ROWS", sorted_rows)
-    monkeypatch.setattr(caps, "GROUP_TASKS", 2)
-    frame = spark.range(0, 20_000, 1, 7).select((F.col("id") % 3).alias("hot"), F.xxhash64("id").alias("h"), F.lit(1).alias("_place"))
-    found = ordered_cap(frame, 50, ["hot", "h"])
-    assert found.columns == frame.columns
-    assert tuples(found) == tuples(frame.orderBy("hot", "h").limit(50))
-    assert ordered_cap(frame, 50_000, ["hot", "h"]).count() == 20_000
+def test_cap_is_sorted_whatever_its_size(spark):
+    frame = spark.range(0, 130_000, 1, 7).select((F.col("id") % 3).alias("hot"), F.xxhash64("id").alias("h"), F.lit(1).alias("_number"))
+    expected = [tuple(row) for row in frame.orderBy("hot", "h").collect()]
+    for count in (1_000, 1_001, 100_000, 100_001, 200_000):
+        found = ordered_cap(frame, count, ["hot", "h"])
+        assert found.columns == frame.columns
+        assert [tuple(row) for row in found.collect()] == expected[:count]
 
 
-def test_cap_limits_every_task_before_the_shuffle(spark):
-    plan = ordered_cap(spark.range(0, 1000, 1, 4), 5, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+def test_cap_among_ties(spark, monkeypatch):
+    frame = spark.range(0, 5_000, 1, 5).select((F.col("id") % 2).alias("t"), "id")
+    for taken in (10, 1_000):
+        monkeypatch.setattr(caps, "TAKEN_ROWS", taken)
+        for count in (1_500, 2_500, 2_501, 4_999):
+            found = [row["t"] for row in ordered_cap(frame, count, ["t"]).collect()]
+            assert found == [0] * min(count, 2_500) + [1] * max(0, count - 2_500)
+
+
+def test_large_cap_takes_no_single_task(spark):
+    plan = ordered_cap(spark.range(0, 10_000, 1, 4), 2_000, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "rangepartitioning" in plan and "Window" not in plan
 
 
 def test_cap_by_text(spark):

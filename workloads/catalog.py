@@ -17,6 +17,7 @@ from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.counting import count_by, histogram, sum_counts
 from feedmill.operators.features import add_features, category_counts, category_places, with_places
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
+from feedmill.operators.models import fold_number
 from feedmill.operators.ordinals import slice_rows, with_chunks, with_ordinals
 from feedmill.operators.pivoting import pivot_counts
 from feedmill.operators.splitting import split_rows
@@ -833,6 +834,21 @@ def stream_restarted(spark, sf_dir):
     return rows.withColumn("total_rows", ledger_table(spark, ledger).agg(F.max("total_rows")).scalar()).withColumn("leftovers", F.lit(left))
 
 
+@query(
+    "fold_sizes",
+    """SELECT ('0x' || substr(md5('42:' || c_custkey), 1, 8))::BIGINT % 3 AS fold, count(*) AS "rows",
+              min(c_custkey) AS least, max(c_custkey) AS largest
+       FROM customer GROUP BY 1""",
+)
+def fold_sizes(spark, sf_dir):
+    """Rows and range of keys per fold of a cross-validation whose folds follow a key."""
+    customers = table(spark, sf_dir, "customer")
+    folds = customers.select(fold_number(customers, fixed.LOGIT_FOLDS, key=F.col("c_custkey")).alias("fold"), "c_custkey")
+    return folds.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("c_custkey").alias("least"), F.max("c_custkey").alias("largest")
+    )
+
+
 # --- models -------------------------------------------------------------------
 # SQL knows the holdout rows, since their key decides. Of the models it states what
 # must hold: classes are 0 or 1, the ranking beats chance clearly, settings are as asked for.

@@ -31,9 +31,13 @@ from feedmill.streaming.ingest import BronzeWriter, bronze_table, compact, file_
 from workloads.feeds import (
     LOAN_SILVER_SQL,
     MARKETING_SILVER_SQL,
+    RULE_LOAN_SQL,
+    RULE_MARKETING_SQL,
     loan_bronze,
     marketing_bronze,
     marketing_csv_bronze,
+    rule_loan_bronze,
+    rule_marketing_bronze,
     table,
 )
 
@@ -923,6 +927,64 @@ def forest_score(spark, sf_dir):
     return checked_results(trained_marketing(spark, sf_dir))
 
 
+# Models of feeds whose fields follow from one value: SQL knows every prediction, and the
+# order of the scores follows from the value, so it knows the area too.
+RULE_LOAN_HOLDOUT = f"{RULE_LOAN_SQL}, holdout AS (SELECT * FROM silver WHERE {holdout_sql('fico_range_low')})"
+RULE_MARKETING_HOLDOUT = f"{RULE_MARKETING_SQL}, holdout AS (SELECT * FROM silver WHERE {holdout_sql('o_orderkey')})"
+
+
+def quality_sql(holdout: str) -> tuple[str, str]:
+    """SQL of the class metrics and of the area of a holdout with score, label and prediction."""
+    scored = f"{holdout}, s AS (SELECT score, label, prediction FROM holdout)"
+    return CLASS_METRICS_SQL.replace(SCORED_SQL, scored), AUC_SQL.replace(SCORED_SQL, scored)
+
+
+def rule_loans(spark: SparkSession, sf_dir: str):
+    silver = written(loan.silver(rule_loan_bronze(spark, sf_dir)), "rule-loan-silver")
+    key = F.expr("CAST(fico_range_low AS BIGINT)")
+    gold = written(loan.gold(silver, fit_rows=split_rows(silver, key=key)[0]), "rule-loan-gold")
+    return loan.train_and_score(gold, key=key)
+
+
+def rule_marketing(spark: SparkSession, sf_dir: str):
+    silver = written(marketing.silver(rule_marketing_bronze(spark, sf_dir)), "rule-marketing-silver")
+    gold = written(marketing.gold(silver, fit_rows=split_rows(silver, key="day")[0]), "rule-marketing-gold")
+    return marketing.train_and_score(gold, key="day")
+
+
+def rule_loan_report_sql() -> str:
+    metrics, area = quality_sql(RULE_LOAN_HOLDOUT)
+    return f"""SELECT model, m.*, CASE model WHEN 'logistic' THEN a.auc END AS auc
+               FROM (VALUES ('forest'), ('logistic')) t(model), ({metrics}) m, ({area}) a"""
+
+
+def rule_marketing_report_sql() -> str:
+    metrics, area = quality_sql(RULE_MARKETING_HOLDOUT)
+    return f"SELECT 'forest' AS model, m.*, a.auc FROM ({metrics}) m, ({area}) a"
+
+
+@query("rule_loan_report", rule_loan_report_sql())
+def rule_loan_report(spark, sf_dir):
+    """Of the forest all but the area: within a side of the gap its order is not that of the value."""
+    report_rows = rounded(rule_loans(spark, sf_dir).report)
+    return report_rows.withColumn("auc", F.when(F.col("model") == "logistic", F.col("auc")))
+
+
+@query("rule_loan_score", f"WITH {RULE_LOAN_HOLDOUT} SELECT loan_amnt, prediction, label, grade, dti FROM holdout")
+def rule_loan_score(spark, sf_dir):
+    return rule_loans(spark, sf_dir).results
+
+
+@query("rule_marketing_report", rule_marketing_report_sql())
+def rule_marketing_report(spark, sf_dir):
+    return rounded(rule_marketing(spark, sf_dir).report)
+
+
+@query("rule_marketing_score", f"WITH {RULE_MARKETING_HOLDOUT} SELECT age, job, balance, prediction, label FROM holdout")
+def rule_marketing_score(spark, sf_dir):
+    return rule_marketing(spark, sf_dir).results
+
+
 def bronze_to_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: loan feed, silver, settled loans per grade and label, as a report."""
     counts = count_by(loan.silver(loan_bronze(spark, sf_dir), ["grade"]), "grade", "label")

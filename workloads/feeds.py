@@ -147,3 +147,67 @@ silver AS (
           ('0x' || substr(md5('7:' || c_custkey), 1, 8))::BIGINT % 10 < 2 AS noise FROM customer)
   WHERE c_custkey % 37 <> 0 AND c_custkey % 47 <> 0
 )"""
+
+
+# --- feeds whose models SQL can know ------------------------------------------
+
+def rule_loan_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans whose numbers all rise with one value ``v`` that has a wide gap, and whose labels follow its side of the gap.
+
+    A tenth of the labels is turned round. A model that ranks by the numbers ranks by ``v``,
+    and its classes are the two sides.
+    """
+    orders = table(spark, sf_dir, "orders").withColumns({
+        "x": key_bucket("o_orderkey", seed=5, buckets=400), "turned": key_bucket("o_orderkey", seed=11, buckets=10) < 1
+    })
+    rows = orders.withColumn("v", F.expr("x + IF(x >= 200, 600, 0)")).selectExpr(
+        "IF((x >= 200) <> turned, 'Charged Off', 'Fully Paid') AS loan_status",
+        "1000.0D + v * 10 AS loan_amnt", "v / 64 AS int_rate", "(1000.0D + v * 10) / 32 AS installment",
+        "20000 + v * 5 AS annual_inc", "v / 32 AS dti", "600 + v AS fico_range_low",
+        "IF(x >= 200, ' 60 months', ' 36 months') AS term", "IF(x >= 200, 'F', 'A') AS grade",
+        "IF(x >= 200, '1 year', '10+ years') AS emp_length", "IF(x >= 200, 'RENT', 'OWN') AS home_ownership",
+    )
+    return encode_rows(rows)
+
+
+RULE_LOAN_SQL = """
+silver AS (
+  SELECT 1000 + v * 10::DOUBLE AS loan_amnt, v / 32 AS dti, 600 + v AS fico_range_low, v::DOUBLE AS score,
+    CASE WHEN x >= 200 THEN 'F' ELSE 'A' END AS grade, (x >= 200)::INT::DOUBLE AS prediction,
+    ((x >= 200) <> turned)::INT::DOUBLE AS label
+  FROM (SELECT *, x + CASE WHEN x >= 200 THEN 600 ELSE 0 END AS v FROM (
+    SELECT ('0x' || substr(md5('5:' || o_orderkey), 1, 8))::BIGINT % 400 AS x,
+           ('0x' || substr(md5('11:' || o_orderkey), 1, 8))::BIGINT % 10 < 1 AS turned FROM orders))
+)"""
+
+# Of a hundred contacts of a level, so many say yes.
+RULE_YES = [2, 20, 80, 98]
+
+
+def rule_marketing_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts of four levels: every field a model reads follows from the level, and so does the share that says yes.
+
+    The day names the row; no model reads it. A forest joins leaves of one class, so its scores
+    tell the two upper levels from the two lower ones, as its classes do.
+    """
+    orders = table(spark, sf_dir, "orders").withColumns({
+        "place": key_bucket("o_orderkey", seed=5, buckets=10), "drawn": key_bucket("o_orderkey", seed=11, buckets=100)
+    }).withColumn("level", F.expr("CASE WHEN place < 4 THEN 0 WHEN place < 7 THEN 1 WHEN place < 9 THEN 2 ELSE 3 END"))
+    parts = f"""array(
+        CAST(20 + 10 * level AS STRING), element_at(array('"admin."', '"technician"', '"retired"', '"student"'), level + 1),
+        IF(level < 2, '"married"', '"single"'), element_at(array('"primary"', '"secondary"', '"tertiary"', '"unknown"'), level + 1),
+        '"no"', CAST(1000 * level - 500 AS STRING), IF(level < 2, '"yes"', '"no"'), IF(level < 3, '"no"', '"yes"'), '"cellular"',
+        CAST(o_orderkey AS STRING), '"may"', CAST(100 + 100 * level AS STRING), CAST(1 + level AS STRING), '-1', '0', '"unknown"',
+        IF(drawn < element_at(array({", ".join(map(str, RULE_YES))}), level + 1), '"yes"', '"no"'))"""
+    return encode_rows(orders.select(F.expr(f"array_join({parts}, ';')").alias(HEADER_LINE)))
+
+
+RULE_MARKETING_SQL = f"""
+silver AS (
+  SELECT (20 + 10 * level)::DOUBLE AS age, (['admin.', 'technician', 'retired', 'student'])[level + 1] AS job,
+    (1000 * level - 500)::DOUBLE AS balance, o_orderkey, (level >= 2)::INT::DOUBLE AS score, (level >= 2)::INT::DOUBLE AS prediction,
+    (drawn < ({RULE_YES})[level + 1])::INT::DOUBLE AS label
+  FROM (SELECT *, CASE WHEN place < 4 THEN 0 WHEN place < 7 THEN 1 WHEN place < 9 THEN 2 ELSE 3 END AS level FROM (
+    SELECT o_orderkey, ('0x' || substr(md5('5:' || o_orderkey), 1, 8))::BIGINT % 10 AS place,
+           ('0x' || substr(md5('11:' || o_orderkey), 1, 8))::BIGINT % 100 AS drawn FROM orders))
+)"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
@@ -71,7 +72,8 @@ def fit_logistic(
     """Logistic regression, its regularization chosen by exact area under ROC over folds.
 
     A row's fold is a hash of its values, so the choice does not follow the layout of the
-    files, and a fold is a filter on the rows: no copy of it is kept. A fold without both
+    files, and a fold is a filter on the rows: no copy of it is kept. All settings and folds are
+    evaluated together. A fold without both
     classes has no area and no say; of equal settings the first is taken. The
     best setting is fitted again on all rows.
     """
@@ -84,16 +86,17 @@ def fit_logistic(
         model = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param)
         return model.setWeightCol(weight) if weight else model
 
-    def area(task: tuple[float, int]) -> float | None:
+    def scores(task: tuple[float, int]) -> DataFrame:
         reg_param, fold = task
         model = logistic(reg_param).fit(rows.where(number != fold))
         scored = model.transform(rows.where(number == fold)).select("label", positive_score().alias("score"))
-        return area_under_roc(scored, "score").first()["auc"]
+        return scored.select(F.lit(reg_param).alias("setting"), F.lit(fold).alias("fold"), "*")
 
     tasks = [(reg_param, fold) for reg_param in settings for fold in range(folds)] if len(settings) > 1 else []
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        areas = pool.map(inheritable_thread_target(train.sparkSession)(area), tasks)
+        scored = pool.map(inheritable_thread_target(train.sparkSession)(scores), tasks)
+    areas = area_under_roc(reduce(DataFrame.unionByName, scored), "score", by=["setting", "fold"]).collect() if tasks else []
     for reg_param in settings:
-        own = [found for (tried, _), found in zip(tasks, areas) if tried == reg_param and found is not None]
+        own = [row["auc"] for row in areas if row["setting"] == reg_param and row["auc"] is not None]
         settings[reg_param] = sum(own) / len(own) if own else 0.0
     return logistic(max(settings, key=settings.get)).fit(rows)

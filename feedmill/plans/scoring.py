@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from feedmill.operators.metrics import model_report, positive_score
+from feedmill.operators.metrics import model_reports, positive_score
 from feedmill.sources.scratch import stage
 
 
@@ -24,7 +26,7 @@ class Trained:
 def score_rows(model: Model, rows: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """The result columns and the score of class 1, computed once and staged.
 
-    The report reads the scores three times and the result table once; none of
+    The report reads the scores twice and the result table once; none of
     them runs the model again.
     """
     inputs = [column for column in columns if column != "prediction"]
@@ -33,9 +35,8 @@ def score_rows(model: Model, rows: DataFrame, columns: Sequence[str], name: str)
 
 
 def report_on(scored: dict[str, DataFrame]) -> DataFrame:
-    """One quality row per model."""
-    rows = [model_report(frame, name) for name, frame in scored.items()]
-    report = rows[0]
-    for row in rows[1:]:
-        report = report.unionByName(row)
-    return report
+    """One quality row per model, all of them out of one evaluation."""
+    rows = [
+        frame.select(F.lit(name).alias("model"), "label", "prediction", "score") for name, frame in scored.items()
+    ]
+    return model_reports(reduce(DataFrame.unionByName, rows))

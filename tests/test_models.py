@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from feedmill import fixed_values as fixed
 from feedmill.operators import features
 from feedmill.operators.features import add_features, category_counts, category_places, with_places
-from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
+from feedmill.operators import metrics
+from feedmill.operators.metrics import area_under_roc, class_metrics, model_report, model_reports
 from feedmill.operators.models import fit_forest, fit_logistic, fold_number, kept_for_training
 from feedmill.plans import loan, marketing
 from workloads import catalog
@@ -226,3 +227,38 @@ def test_folds_of_one_class_have_no_say(spark):
     frame = VectorAssembler(inputCols=["a"], outputCol="features").transform(frame)
     assert fit_logistic(frame, weight=None, reg_params=[0.2, 0.1]).getRegParam() in (0.1, 0.2)
     assert fit_logistic(frame, weight=None, reg_params=[0.3]).getRegParam() == 0.3
+
+
+def stacked(scored, models):
+    names = F.explode(F.array(*[F.lit(f"m{number}") for number in range(models)])).alias("model")
+    rows = scored.select(names, "label", "prediction", F.col("score").alias("raw"))
+    turn = F.xxhash64("model", "raw") % 7 / 20
+    return rows.select("model", "label", "prediction", (F.col("raw") + turn).alias("score"))
+
+
+def test_all_models_in_one_evaluation(spark, scored):
+    frame = stacked(scored, 3)
+    none = spark.createDataFrame([("empty", None, 1.0, 0.5), ("flat", 1.0, 1.0, None)], frame.schema)
+    rows = {row["model"]: row for row in model_reports(frame.unionByName(none)).collect()}
+    assert set(rows) == {"m0", "m1", "m2", "flat"}  # no labels, no row
+    assert (rows["flat"]["rows"], rows["flat"]["auc"]) == (1, None)
+    for name in ("m0", "m1", "m2"):
+        alone = model_report(frame.where(F.col("model") == name), name).first()
+        assert rows[name][:5] == alone[:5]
+        assert rows[name]["auc"] == pytest.approx(alone["auc"], abs=1e-12)
+    assert len({row["auc"] for row in rows.values()}) > 2
+
+
+def test_evaluation_shuffles_do_not_grow_with_the_models(spark, scored):
+    def shuffles(models):
+        frame = model_reports(stacked(scored, models))
+        return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert shuffles(1) == shuffles(5)
+
+
+@pytest.mark.parametrize("blocks", [2, 8])
+def test_area_over_few_blocks(spark, scored, blocks, monkeypatch):
+    whole = area_under_roc(scored, "score").first()["auc"]
+    monkeypatch.setattr(metrics, "SCORE_BLOCKS", blocks)
+    assert area_under_roc(scored, "score").first()["auc"] == pytest.approx(whole, abs=1e-12)

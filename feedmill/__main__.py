@@ -8,7 +8,8 @@
     charts --base DIR/marts --out DIR/charts
     charts --fmt mongodb --option collection={mart} --out DIR/charts
 
-``{mart}`` stands for the mart's name.
+``{mart}`` stands for the mart's name. With ``--together`` marts and charts use folders whose
+marts change at once.
 
 Names are ``loan`` and ``mkt``. Tables lie under the base folder as
 ``<name>_bronze``, ``<name>_silver``, ``<name>_gold`` and their results.
@@ -23,10 +24,14 @@ from pyspark.sql import SparkSession
 from feedmill import fixed_values as fixed
 from feedmill.plans import feed, loan, marketing, marts, report
 from feedmill.session import build_session
+from feedmill.sources.releases import Place, read_published
 from feedmill.sources.scratch import release
 from feedmill.sources.tables import Target, publish, read_csv, read_table
 from feedmill.streaming.ingest import compact, file_stream, start_ingest, topic_stream
+from feedmill.streaming.progress import ProgressLog, run_until_marked
 
+# For the events of a stream's end to come in.
+LAST_EVENT_SECONDS = 10
 PLANS = {"loan": loan, "mkt": marketing}
 CHART_MARTS = [
     "viz_loan_grade", "viz_mkt_balance", "viz_loan_home", "viz_mkt_edu", "viz_loan_scatter", "viz_mkt_job",
@@ -51,6 +56,9 @@ def arguments(words: list[str] | None) -> argparse.Namespace:
     job["ingest"].add_argument("--topic")
     job["ingest"].add_argument("--files", help="folder of text files in place of a topic")
     job["ingest"].add_argument("--once", action="store_true", help="take what is there and end")
+    job["ingest"].add_argument("--progress", action="store_true", help="write a row per trigger beside the bronze table")
+    job["ingest"].add_argument("--stop-marker", help="end once this file is there")
+    job["feed"].add_argument("--partitions", type=int, help="of the topic, to deal out chunks in order")
     job["compact"].add_argument("--keep", type=int, default=2, help="batches at the end that stay as they are")
     for name in ("ingest", "compact", "train", "marts"):
         job[name].add_argument("--table-fmt", default="parquet")
@@ -62,6 +70,8 @@ def arguments(words: list[str] | None) -> argparse.Namespace:
     job["marts"].add_argument("--target", action="append", required=True, help="format=folder, or format alone")
     job["marts"].add_argument("--target-option", action="append", default=[], help="format.key=value")
     job["marts"].add_argument("--scatter-rows", type=int, help="default: all")
+    job["marts"].add_argument("--together", action="store_true", help="all targets show all marts at once, or none; folders only")
+    job["charts"].add_argument("--together", action="store_true", help="the base holds marts that were published together")
     job["charts"].add_argument("--base", help="folder of the marts")
     job["charts"].add_argument("--fmt", default="parquet")
     job["charts"].add_argument("--out", required=True)
@@ -69,14 +79,27 @@ def arguments(words: list[str] | None) -> argparse.Namespace:
 
 
 def run_feed(spark: SparkSession, given: argparse.Namespace, options: dict[str, str]) -> None:
-    publish(feed.encode_feed(read_csv(spark, given.csv), given.order_by, given.rows), given.fmt, given.path, **options)
+    publish(feed.encode_feed(read_csv(spark, given.csv), given.order_by, given.rows), given.fmt, given.path, given.partitions, **options)
 
 
 def run_ingest(spark: SparkSession, given: argparse.Namespace, options: dict[str, str]) -> None:
     source = file_stream(spark, given.files, **options) if given.files else topic_stream(spark, given.topic, **options)
     bronze, ledger, checkpoint = [f"{given.base}/{given.name}_{part}" for part in ("bronze", "ledger", "checkpoint")]
     trigger = None if given.once else fixed.INGEST_TRIGGER
-    start_ingest(source, bronze, ledger, checkpoint, given.table_fmt, trigger).awaitTermination()
+    log = ProgressLog(spark, f"{given.base}/{given.name}_progress") if given.progress else None
+    if log:
+        spark.streams.addListener(log)
+    query = start_ingest(source, bronze, ledger, checkpoint, given.table_fmt, trigger)
+    try:
+        if given.stop_marker:
+            run_until_marked(query, spark, given.stop_marker)
+        else:
+            query.awaitTermination()
+    finally:
+        if log:
+            log.ended.wait(LAST_EVENT_SECONDS)
+            spark.streams.removeListener(log)
+            log.write()
 
 
 def training_options(given: argparse.Namespace) -> dict:
@@ -99,11 +122,29 @@ def mart_targets(given: argparse.Namespace, mart: str) -> list[Target]:
     return [Target(fmt, f"{folder}/{mart}" if folder else None, options.get(fmt, {})) for fmt, _, folder in pairs]
 
 
+def mart_places(given: argparse.Namespace) -> list[Place]:
+    """The folders of marts that change together."""
+    folders = [target.partition("=")[2] for target in given.target]
+    if not all(folders):
+        raise ValueError("--together needs a folder for every target")
+    return [Place(folder, target.fmt, target.options) for folder, target in zip(folders, mart_targets(given, ""))]
+
+
+def run_marts(spark: SparkSession, given: argparse.Namespace) -> None:
+    if given.together:
+        marts.run_together(spark, given.base, mart_places(given), given.table_fmt, given.scatter_rows)
+    else:
+        marts.run(spark, given.base, lambda name: mart_targets(given, name), given.table_fmt, given.scatter_rows)
+
+
 def run_charts(spark: SparkSession, given: argparse.Namespace, options: dict[str, str]) -> None:
     built = {}
     for mart in CHART_MARTS:
         own = {key: value.replace("{mart}", mart) for key, value in options.items()}
-        built[mart] = read_table(spark, f"{given.base}/{mart}" if given.base else None, given.fmt, **own)
+        if given.together:
+            built[mart] = read_published(spark, Place(given.base, given.fmt, own), mart)
+        else:
+            built[mart] = read_table(spark, f"{given.base}/{mart}" if given.base else None, given.fmt, **own)
     report.chart_rows(built).write.mode("overwrite").partitionBy("chart").json(given.out)
 
 
@@ -120,7 +161,7 @@ def main(words: list[str] | None = None) -> None:
     elif given.job == "train":
         PLANS[given.name].run(spark, given.base, given.table_fmt, **training_options(given)).report.show(truncate=False)
     elif given.job == "marts":
-        marts.run(spark, given.base, lambda name: mart_targets(given, name), given.table_fmt, given.scatter_rows)
+        run_marts(spark, given)
     else:
         run_charts(spark, given, options)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedmill.operators.caps import ordered_cap
 from feedmill.operators.counting import count_by, histogram
+from feedmill.sources.releases import Place, publish_together
 from feedmill.sources.tables import Target, fan_out, read_table
 
 
@@ -72,17 +73,28 @@ def build_marts(
     }
 
 
-def run(
-    spark: SparkSession, base: str, targets: Callable[[str], Sequence[Target]], fmt: str = "parquet",
-    scatter_rows: int | None = None,
-) -> None:
-    """Build the marts from the tables under ``base`` and write each to its targets."""
-    marts = build_marts(
+def marts_of(spark: SparkSession, base: str, fmt: str = "parquet", scatter_rows: int | None = None) -> dict[str, DataFrame]:
+    """The marts of the tables under ``base``."""
+    return build_marts(
         read_table(spark, f"{base}/loan_results", fmt),
         read_table(spark, f"{base}/marketing_results", fmt),
         read_table(spark, f"{base}/loan_silver", fmt),
         read_table(spark, f"{base}/mkt_silver", fmt),
         scatter_rows,
     )
-    for name, mart in marts.items():
+
+
+def run(
+    spark: SparkSession, base: str, targets: Callable[[str], Sequence[Target]], fmt: str = "parquet",
+    scatter_rows: int | None = None,
+) -> None:
+    """Build the marts from the tables under ``base`` and write each to its targets, one after the other."""
+    for name, mart in marts_of(spark, base, fmt, scatter_rows).items():
         fan_out(mart, targets(name))
+
+
+def run_together(
+    spark: SparkSession, base: str, places: Sequence[Place], fmt: str = "parquet", scatter_rows: int | None = None
+) -> str:
+    """Build the marts and let all places show all of them at once, or none; returns the release."""
+    return publish_together(marts_of(spark, base, fmt, scatter_rows), places)

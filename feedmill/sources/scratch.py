@@ -64,6 +64,27 @@ def delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place).close()
+
+
+def children(spark: SparkSession, path: str) -> dict[str, float]:
+    """Name and time of change, in seconds, of what a folder holds; nothing where there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return {}
+    return {item.getPath().getName(): item.getModificationTime() / 1000 for item in files.listStatus(folder)}
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application staged. Frames read from it are gone too."""
     delete(spark, session_folder(spark))

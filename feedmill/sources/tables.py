@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -76,23 +77,69 @@ def in_chunks(feed: DataFrame) -> DataFrame:
     return feed.repartitionByRange("chunk").sortWithinPartitions("chunk", "ordinal")
 
 
-def publish(df: DataFrame, fmt: str = "kafka", path: str | None = None, **options: str) -> None:
-    """Send the ``value`` column to a topic, or append it to files of text.
+HEADERS = ["chunk", "ordinal"]
+MESSAGE_SCHEMA = "key string, value string, headers array<struct<key: string, value: binary>>, partition int"
+# Formats with one text per row and nothing beside it.
+BARE_FORMATS = ("text",)
 
-    A feed with ``chunk`` and ``ordinal`` is sent chunk by chunk, in order. In a topic
-    the chunk is the message key, so its rows share a partition and stay in order there.
+
+def as_messages(feed: DataFrame, partitions: int | None = None) -> DataFrame:
+    """A feed with ``chunk`` and ``ordinal`` as messages that say their place.
+
+    ``headers`` hold both numbers as text, so a reader can restore the order whatever way
+    the messages went. The chunk is the key. With ``partitions`` chunks are dealt out to
+    so many, and one task sends all of a partition, so that each holds its chunks in order.
     """
-    columns = ["value"]
-    if {"chunk", "ordinal"} <= set(df.columns):
-        df = in_chunks(df)
-        if fmt == "kafka":
-            columns = ["CAST(chunk AS STRING) AS key", "value"]
-    writer = df.selectExpr(*columns).write.format(fmt).options(**options)
+    headers = F.array(*[
+        F.struct(F.lit(name).alias("key"), F.col(name).cast("string").cast("binary").alias("value")) for name in HEADERS
+    ])
+    message = [F.col("chunk").cast("string").alias("key"), F.col("value"), headers.alias("headers")]
+    if partitions is None:
+        return in_chunks(feed).select(*message)
+    dealt = feed.withColumn("partition", F.pmod("chunk", F.lit(partitions)).cast("int"))
+    placed = dealt.repartitionByRange(partitions, "partition").sortWithinPartitions("partition", "chunk", "ordinal")
+    return placed.select(*message, "partition")
+
+
+def publish(df: DataFrame, fmt: str = "kafka", path: str | None = None, partitions: int | None = None, **options: str) -> None:
+    """Send the ``value`` column to a topic, or append it to files.
+
+    A feed with ``chunk`` and ``ordinal`` is sent chunk by chunk, in order; tasks send
+    different chunks at once. Topics and formats with columns also get each row's
+    place, see ``as_messages``; ``read_feed`` restores the order from it.
+    """
+    if not set(HEADERS) <= set(df.columns):
+        messages = df.select("value")
+    elif fmt in BARE_FORMATS:
+        messages = in_chunks(df).select("value")
+    else:
+        messages = as_messages(df, partitions)
+    writer = messages.write.format(fmt).options(**options)
     if fmt != "kafka":
         writer = writer.mode("append")
     writer.save(path) if path else writer.save()
 
 
+def feed_places(messages: DataFrame) -> DataFrame:
+    """``chunk``, ``ordinal`` and ``value`` of messages; works on streams too.
+
+    Messages without headers have null places. A message that was delivered twice is there
+    twice, with the same place: drop duplicates by ``ordinal`` where that matters.
+    """
+    held = F.map_from_entries(F.coalesce("headers", F.expr("array()").cast(messages.schema["headers"].dataType)))
+    places = [F.try_element_at(held, F.lit(name)).cast("string").try_cast("bigint").alias(name) for name in HEADERS]
+    return messages.select(*places, F.col("value").cast("string").alias("value"))
+
+
+def read_feed(spark: SparkSession, path: str | None = None, fmt: str = "kafka", **options: str) -> DataFrame:
+    """A published feed in the order of its ordinals: a range sort, so no task takes more than its range."""
+    if fmt == "kafka":
+        messages = read_table(spark, None, fmt, includeHeaders="true", **options)
+    else:
+        messages = read_table(spark, path, fmt, MESSAGE_SCHEMA, **options)
+    return feed_places(messages).orderBy("ordinal")
+
+
 @dataclass(frozen=True)
 class Target:
     """One place a mart is written to."""

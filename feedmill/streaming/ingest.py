@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill import fixed_values as fixed
-from feedmill.sources.scratch import delete
+from feedmill.sources.scratch import children, delete
 from feedmill.sources.tables import append_table, replace_table
 
 VERSION_SCHEMA = "folder string, first bigint, batch bigint, rows bigint, total_rows bigint, level int"
@@ -149,15 +149,6 @@ def entries(spark: SparkSession, ledger: str, version: int) -> list[Live]:
     return sorted((Live(*row) for row in read_version(spark, ledger, version).collect()), key=lambda item: item.batch)
 
 
-def children(spark: SparkSession, path: str) -> dict[str, float]:
-    """Name and time of change, in seconds, of what a folder holds; nothing where there is no such folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return {}
-    return {item.getPath().getName(): item.getModificationTime() / 1000 for item in files.listStatus(folder)}
-
-
 def version_numbers(spark: SparkSession, ledger: str) -> list[int]:
     """All versions that were begun, the latest first."""
     names = [name.removeprefix("version-") for name in children(spark, ledger) if name.startswith("version-")]

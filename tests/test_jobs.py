@@ -12,6 +12,7 @@ from feedmill import fixed_values as fixed
 from feedmill.__main__ import arguments, main, mart_targets, training_options
 from feedmill.plans.feed import encode_feed
 from feedmill.sources.tables import read_csv, read_table
+from feedmill.streaming.ingest import bronze_table
 from workloads.feeds import HEADER_LINE, loan_rows, marketing_lines
 
 
@@ -31,7 +32,7 @@ def base(spark, sf_dir, tmp_path_factory):
 
 
 def test_whole_chain(spark, base):
-    assert read_table(spark, f"{base}/loan_bronze").count() == read_csv(spark, f"{base}/loan_csv").count()
+    assert bronze_table(spark, f"{base}/loan_bronze", ledger=f"{base}/loan_ledger").count() == read_csv(spark, f"{base}/loan_csv").count()
     assert read_csv(spark, f"{base}/mkt_csv").columns == [HEADER_LINE]
     assert read_table(spark, f"{base}/loan_results").columns == fixed.LOAN_RESULT_COLUMNS
     assert read_table(spark, f"{base}/marketing_results").columns == fixed.MARKETING_RESULT_COLUMNS
@@ -74,3 +75,20 @@ def test_an_application_deletes_what_it_staged(base, tmp_path):
     root = pathlib.Path(__file__).parents[1]
     subprocess.run([sys.executable, "-m", "feedmill", *job], cwd=root, env=os.environ | {"TMPDIR": str(scratch)}, check=True, timeout=300)
     assert list((tmp_path / "out").glob("*.txt")) and not list(scratch.rglob("*.parquet"))
+
+
+def test_marts_and_charts_together(spark, base, tmp_path):
+    folders = [f"{tmp_path}/one", f"{tmp_path}/two"]
+    main(["marts", "--base", base, "--together", "--target", f"parquet={folders[0]}", "--target", f"json={folders[1]}"])
+    main(["charts", "--base", folders[0], "--together", "--out", f"{tmp_path}/charts"])
+    found, before = [spark.read.json(folder).groupBy("chart").count() for folder in (f"{tmp_path}/charts", f"{base}/charts")]
+    assert sorted(found.collect()) == sorted(before.collect())
+    with pytest.raises(ValueError):
+        main(["marts", "--base", base, "--together", "--target", "mongodb"])
+
+
+def test_ingest_with_progress_and_marker(spark, base, tmp_path):
+    words = ["ingest", "loan", "--base", str(tmp_path), "--files", f"{base}/loan_topic", "--once", "--progress"]
+    main([*words, "--stop-marker", f"{tmp_path}/stop"])
+    rows = bronze_table(spark, f"{base}/loan_bronze", ledger=f"{base}/loan_ledger").count()
+    assert spark.read.parquet(f"{tmp_path}/loan_progress").agg(F.sum("rows")).first()[0] == rows

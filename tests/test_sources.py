@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from feedmill.plans.feed import encode_feed
 from feedmill.sources import scratch
-from feedmill.sources.tables import Target, append_table, fan_out, publish, read_csv, read_table, replace_table, table_rows
+from feedmill.sources.tables import (
+    MESSAGE_SCHEMA, Target, append_table, as_messages, fan_out, feed_places, publish, read_csv, read_feed, read_table, replace_table,
+    table_rows,
+)
 
 
 def test_replace_changes_the_schema(spark, tmp_path):
@@ -58,6 +61,40 @@ def test_chunks_are_published_in_order(spark, tmp_path):
     assert all(len({file for file, ids in files.items() if set(ids) & set(range(10 * chunk, 10 * chunk + 10))}) == 1 for chunk in range(10))
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "json", "orc"])
+def test_order_is_restored_from_messages(spark, tmp_path, fmt):
+    path = str(tmp_path / "topic")
+    feed = encode_feed(spark.range(95).repartition(5), ["id"], chunk_rows=10, unique=True)
+    publish(feed.where("ordinal >= 50"), fmt, path)  # the later half first
+    publish(feed.where("ordinal < 50"), fmt, path)
+    read = read_feed(spark, path, fmt).collect()
+    assert [(row["ordinal"], row["chunk"], json.loads(row["value"])["id"]) for row in read] == [(n, n // 10, n) for n in range(95)]
+
+
+def test_a_partition_holds_its_chunks_in_order(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    feed = encode_feed(spark.range(95).repartition(5), ["id"], chunk_rows=10, unique=True)
+    publish(feed, "parquet", path, partitions=4)
+    rows = spark.read.schema(MESSAGE_SCHEMA).parquet(path).select(
+        "partition", F.get_json_object("value", "$.id").cast("int").alias("id"), F.input_file_name().alias("file"),
+        F.monotonically_increasing_id().alias("at"),
+    ).orderBy("file", "at").collect()
+    held = {}
+    for row in rows:
+        assert row["id"] // 10 % 4 == row["partition"]
+        held.setdefault(row["partition"], []).append((row["file"], row["id"]))
+    assert sorted(held) == [0, 1, 2, 3]
+    for sent in held.values():
+        assert len({file for file, _ in sent}) == 1 and [row for _, row in sent] == sorted(row for _, row in sent)
+
+
+def test_messages_without_places(spark):
+    headers = "array<struct<key: string, value: binary>>"
+    rows = spark.createDataFrame([("a", None), ("b", []), ("c", [("chunk", b"x"), ("other", b"1")])], f"value string, headers {headers}")
+    assert [tuple(row) for row in feed_places(rows).orderBy("value").collect()] == [(None, None, "a"), (None, None, "b"), (None, None, "c")]
+    assert as_messages(spark.createDataFrame([], "ordinal bigint, chunk bigint, value string")).columns == ["key", "value", "headers"]
+
+
 def test_csv_schema_and_inference(spark, tmp_path):
     (tmp_path / "f.csv").write_text("a,b\n1,x\n2.5,\n")
     path = str(tmp_path / "f.csv")

@@ -1,10 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from feedmill.sources.scratch import exists
 from feedmill.streaming import ingest
 from feedmill.streaming.ingest import (
     BronzeWriter, Live, bronze_table, commit, compact, entries, file_stream, latest, ledger_table, start_ingest, sweep, update,
 )
+from feedmill.streaming.progress import ProgressLog, progress_table, request_stop, run_until_marked
 
 
 def write_lines(spark, folder, start, count):
@@ -214,3 +216,35 @@ def test_two_writers_of_one_version(spark, tmp_path):
     assert update(spark, ledger, lambda live: live[:1]) == 4
     assert ledger_table(spark, ledger).agg(F.max("total_rows")).first()[0] == 5
     assert ledger_table(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_progress_of_a_stream(spark, tmp_path):
+    base = str(tmp_path)
+    assert progress_table(spark, f"{base}/progress").count() == 0
+    log = ProgressLog(spark, f"{base}/progress", write_after=2)
+    spark.streams.addListener(log)
+    try:
+        for part in range(5):
+            write_lines(spark, f"{base}/topic", part * 10, 10)
+        run_once(spark, base).awaitTermination()
+        assert log.ended.wait(30)
+    finally:
+        spark.streams.removeListener(log)
+    rows = [row for row in progress_table(spark, f"{base}/progress").orderBy("batch").collect() if row["batch"] is not None]
+    assert [(row["batch"], row["rows"]) for row in rows if row["rows"]] == [(0, 20), (1, 20), (2, 10)]
+    assert all(row["milliseconds"] >= 0 for row in rows) and len({row["run"] for row in rows}) == 1
+    assert [(batch, count) for batch, count, _ in ledger_rows(spark, base)] == [(row["batch"], row["rows"]) for row in rows if row["rows"]]
+
+
+def test_marker_ends_a_timed_stream(spark, tmp_path):
+    base = str(tmp_path)
+    write_lines(spark, f"{base}/topic", 0, 10)
+    query = run_once(spark, base, trigger="200 milliseconds")
+    query.processAllAvailable()
+    request_stop(spark, f"{base}/stop")
+    assert exists(spark, f"{base}/stop")
+    assert run_until_marked(query, spark, f"{base}/stop", every=0.1)
+    assert not query.isActive
+    ended = run_once(spark, base)
+    assert not run_until_marked(ended, spark, f"{base}/no-stop", every=30)
+    assert sum(rows for _, rows, _ in ledger_rows(spark, base)) == 10

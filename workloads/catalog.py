@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +26,22 @@ from feedmill.operators.splitting import split_rows
 from feedmill.operators.weighting import class_balance, with_class_weight
 from feedmill.plans import loan, marketing, marts, report
 from feedmill.plans.feed import encode_feed, encode_rows, write_feed_files
+from feedmill.sources.releases import Place, publish_together, read_published
 from feedmill.sources.scratch import new_path
-from feedmill.sources.tables import Target, append_table, fan_out, publish, read_csv, read_table, replace_table, table_rows
+from feedmill.sources.tables import (
+    MESSAGE_SCHEMA,
+    Target,
+    append_table,
+    fan_out,
+    publish,
+    read_csv,
+    read_feed,
+    read_table,
+    replace_table,
+    table_rows,
+)
 from feedmill.streaming.ingest import BronzeWriter, bronze_table, compact, file_stream, ledger_table, start_ingest, sweep
+from feedmill.streaming.progress import ProgressLog, progress_table, request_stop, run_until_marked
 
 from workloads.feeds import (
     LOAN_SILVER_SQL,
@@ -151,6 +166,53 @@ def publish_text(spark, sf_dir):
     )
 
 
+@query(
+    "publish_places",
+    """SELECT ordinal::BIGINT AS ordinal, (ordinal // 1000)::BIGINT AS chunk, ((ordinal // 1000) % 3)::INT AS partition, event_id, event_type
+       FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS ordinal FROM events)""",
+)
+def publish_places(spark, sf_dir):
+    """Chunk and place of every row of a feed that was published and read back, and the partition of its chunk."""
+    path = new_path(spark, "topic")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    publish(encode_feed(events, ["ts", "event_id"], unique=True), "parquet", path, partitions=3)
+    sent = read_table(spark, path, schema=MESSAGE_SCHEMA).select(
+        F.col("partition"), F.from_json("value", "event_id bigint")["event_id"].alias("event_id")
+    )
+    read = read_feed(spark, path, "parquet").select("ordinal", "chunk", F.from_json("value", "event_id bigint, event_type string").alias("j"))
+    return read.select("ordinal", "chunk", "j.*").join(sent, "event_id")
+
+
+@query(
+    "marts_together",
+    """WITH c AS (SELECT c_mktsegment AS job, c_acctbal > 0 AS paid FROM customer),
+       m AS (SELECT 'failed' AS step, job, count(*) AS "count" FROM c GROUP BY job
+             UNION ALL SELECT 'repaired', job, count(*) FROM c WHERE paid GROUP BY job)
+       SELECT step, place, job, "count" FROM m, (VALUES ('first'), ('second')) p(place)""",
+)
+def marts_together(spark, sf_dir):
+    """What two places show after a release whose second place failed, and after it was written anew."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("job"), "c_acctbal")
+    first, second = Place(new_path(spark, "marts")), Place(new_path(spark, "marts"), "json")
+    old = {"jobs": count_by(customers, "job")}
+    new = {"jobs": count_by(customers.where("c_acctbal > 0"), "job")}
+    shown = []
+
+    def show(step: str) -> None:
+        for name, place in (("first", first), ("second", second)):
+            mart = read_published(spark, place, "jobs", "job string, count bigint")
+            shown.append(mart.select(F.lit(step).alias("step"), F.lit(name).alias("place"), "job", "count"))
+
+    publish_together(old, [first, second])
+    try:
+        publish_together(new, [first, replace(second, options={"compression": "unknown"})], attempts=2)
+    except PySparkException:
+        show("failed")
+    publish_together(new, [first, second])
+    show("repaired")
+    return reduce(DataFrame.unionByName, shown)
+
+
 # --- projections, casts, null policy ------------------------------------------
 
 @query(
@@ -838,6 +900,32 @@ def stream_restarted(spark, sf_dir):
     return rows.withColumn("total_rows", ledger_table(spark, ledger).agg(F.max("total_rows")).scalar()).withColumn("leftovers", F.lit(left))
 
 
+@query("stream_progress", 'SELECT false AS idle, count(*) AS "rows" FROM events UNION ALL SELECT true, 0')
+def stream_progress(spark, sf_dir):
+    """Rows of the triggers that had some and of those that had none, of a timed stream ended by its marker."""
+    topic, bronze, ledger, checkpoint, progress, marker = [
+        new_path(spark, f"timed-{part}") for part in ("topic", "bronze", "ledger", "checkpoint", "progress", "stop")
+    ]
+    encode_rows(table(spark, sf_dir, "events")).write.text(topic)
+    log, often = ProgressLog(spark, progress), "spark.sql.streaming.noDataProgressEventInterval"
+    before = spark.conf.get(often)
+    spark.conf.set(often, "500")
+    spark.streams.addListener(log)
+    try:
+        query_ = start_ingest(file_stream(spark, topic, maxFilesPerTrigger="2"), bronze, ledger, checkpoint, trigger="200 milliseconds")
+        query_.processAllAvailable()
+        log.idle.clear()
+        log.idle.wait(60)
+        request_stop(spark, marker)
+        run_until_marked(query_, spark, marker, every=0.2)
+        log.ended.wait(60)
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set(often, before)
+    log.write()
+    return progress_table(spark, progress).groupBy("idle").agg(F.sum("rows").alias("rows"))
+
+
 @query(
     "fold_sizes",
     """SELECT ('0x' || substr(md5('42:' || c_custkey), 1, 8))::BIGINT % 3 AS fold, count(*) AS "rows",

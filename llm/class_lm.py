@@ -22,7 +22,8 @@ of a text as a word before and after it. Words are lower-cased; a word is told b
    by hash, so no table that grows with the corpus is broadcast.
 
 A ``vocabulary`` asked for a number of frequent words classes these alone; all others
-share the rare class. Otherwise that class has the unknown words only.
+share the rare class. Otherwise that class has the unknown words only, and takes its
+transitions from the words seen once, as each of them was unknown when it came.
 
 Smoothing: transitions are backed off to class frequencies, ``BACKOFF`` pseudo
 counts; emissions add ``ADDED`` to every count, and the rare class keeps room for
@@ -243,10 +244,10 @@ class Rest:
 
 
 def pairs_with_classes(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """(a, b, times, class_a, class_b), staged."""
-    of = words.select("word", "class")
-    named = pairs.select("a", "b", "times").join(of.toDF("a", "class_a"), "a").join(of.toDF("b", "class_b"), "b")
-    return stage(named.select("a", "b", "times", "class_a", "class_b"), "rest-pairs")
+    """(a, b, times, class_a, class_b, once_a, once_b), staged; the last two say which words occur once."""
+    of = words.select("word", "class", F.col("count") == 1)
+    named = pairs.select("a", "b", "times").join(of.toDF("a", "class_a", "once_a"), "a").join(of.toDF("b", "class_b", "once_b"), "b")
+    return stage(named.select("a", "b", "times", "class_a", "class_b", "once_a", "once_b"), "rest-pairs")
 
 
 def rest_of(training: DataFrame, counts: DataFrame, vocab: Vocabulary) -> Rest | None:
@@ -323,6 +324,45 @@ def neighbour_counts(training: DataFrame, vocab: Vocabulary) -> np.ndarray:
     return matrix.reshape(size, size)
 
 
+def unseen_counts(training: DataFrame, vocab: Vocabulary, rest: Rest | None) -> np.ndarray:
+    """Counts of the rare class, whose unknown words training never meets: those of the words seen once.
+
+    Each was unknown when it came, so what stands before and after it, and how often, is
+    what to expect of an unknown word.
+    """
+    size, rare = vocab.n_symbols, vocab.rare
+    table, once = symbol_table(vocab), np.zeros(0, bool)
+    total = np.zeros(size * size)
+    if (vocab.counts == 1).any():
+        once = np.r_[vocab.counts == 1, np.zeros(len(table) - len(vocab.counts), bool)]
+
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = np.zeros(size * size, np.int64)
+            for batch in batches:
+                places = places_of(batch.column(0))[0]
+                flat, single = np.r_[vocab.end, table[places]], np.r_[False, once[places]]
+                found += np.bincount(flat[:-1][single[1:]] * size + rare, minlength=size * size)
+                found += np.bincount(rare * size + flat[1:][single[:-1]], minlength=size * size)
+            codes = np.flatnonzero(found)
+            yield from count_rows(codes, found[codes])
+
+        rows = training.select("places").mapInArrow(counted, COUNTS)
+    else:
+        rows = None
+    if rest is not None:
+        code = lambda own, places, symbols, after: own * size + symbols if after else symbols * size + own
+        single = rest.words.where(F.col("count") == 1).select(F.lit(rare).cast("bigint").alias("class"), "before", "after")
+        beside = single.mapInArrow(rest_codes(vocab, code), COUNTS)
+        first = rest.pairs.where("once_a").select((F.lit(rare * size) + F.col("class_b")).cast("bigint").alias("word"), F.col("times").alias("count"))
+        second = rest.pairs.where("once_b").select((F.col("class_a") * size + rare).cast("bigint").alias("word"), F.col("times").alias("count"))
+        joined = beside.unionByName(first).unionByName(second)
+        rows = joined if rows is None else rows.unionByName(joined)
+    if rows is not None:
+        summed_rows = rows.groupBy("word").agg(F.sum("count").alias("count")).toPandas()
+        total[summed_rows["word"].to_numpy(np.int64)] += summed_rows["count"].to_numpy(float)
+    return total.reshape(size, size)
+
+
 def h(values: np.ndarray) -> np.ndarray:
     return values * np.log(np.maximum(values, 1))
 
@@ -599,6 +639,8 @@ def fit(training: DataFrame, vocab: Vocabulary, counts: DataFrame) -> ClassModel
         following = sweep_rest(rest, classed, pairs) if rest is not None else None
         classed, rest = with_classes(classed, classes, classed.n_symbols, following)
         pairs = all_neighbour_counts(training, classed, rest)
+    if not vocab.capped:
+        pairs = pairs + unseen_counts(training, classed, rest)
     return class_model(classed, pairs, np.arange(classed.n_symbols), rest)
 
 

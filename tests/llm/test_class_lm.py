@@ -161,6 +161,10 @@ def test_words_beyond_the_broadcast_ones_have_classes_and_transitions_of_their_o
         if not row["held_out"]:
             kinds = found[row["doc_id"]][1]
             np.add.at(pairs, ([vocab.end, *kinds[:-1]], kinds), 1)
+            for at, word in enumerate(hashes):
+                if counts[word] == 1 and word != class_lm.END:
+                    pairs[kinds[at - 1] if at else vocab.end, vocab.rare] += 1
+                    pairs[vocab.rare, kinds[at + 1]] += 1
     share = (pairs.sum(axis=0) + 1) / (pairs.sum() + len(pairs))
     transition = np.log10((pairs + class_lm.BACKOFF * share) / (pairs.sum(axis=1, keepdims=True) + class_lm.BACKOFF))
     sums = np.zeros(len(pairs))

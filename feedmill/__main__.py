@@ -65,7 +65,7 @@ def arguments(words: list[str] | None) -> argparse.Namespace:
     job["train"].add_argument("--fit-all", action="store_true", help="fit weight, indexes and scale on the holdout too")
     job["train"].add_argument("--result-model", choices=["logistic", "forest"], help="loans only")
     job["train"].add_argument("--max-bins", type=int, help="for categories with more than 32 values")
-    job["train"].add_argument("--partitions", type=int, help="of the training rows")
+    job["train"].add_argument("--partitions", type=int, help="of the training rows; needed on a cluster")
     job["train"].add_argument("--schema-from-first-row", action="store_true", help="contacts only")
     job["marts"].add_argument("--target", action="append", required=True, help="format=folder, or format alone")
     job["marts"].add_argument("--target-option", action="append", default=[], help="format.key=value")

@@ -16,7 +16,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -25,18 +25,28 @@ from feedmill.functions.values import field
 from feedmill.operators.metrics import area_under_roc, positive_score
 from feedmill.operators.splitting import key_bucket
 
-# Fitted models follow the partitions of their rows, so their number is fixed;
-# give a larger one for tables that don't fit so few tasks.
+# Fitted models follow the partitions of their rows, so their number is fixed on one machine;
+# a cluster's table may not fit so few tasks, so there the number must be given.
 TRAINING_PARTITIONS = 16
 
 
+def training_partitions(spark: SparkSession, given: int | None) -> int:
+    """The number given, or the fixed one of a local session."""
+    if given is not None:
+        return given
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("say into how many partitions the training rows go: models depend on it, and each must fit a task")
+    return TRAINING_PARTITIONS
+
+
 @contextmanager
-def kept_for_training(train: DataFrame, *columns: str, partitions: int = TRAINING_PARTITIONS):
+def kept_for_training(train: DataFrame, *columns: str, partitions: int | None = None):
     """The training columns, held in memory and on disk while models are fitted.
 
     Rows are dealt out and ordered by a hash of their values, so that the same
     rows give the same model from any file layout, at any size and on any number of cores.
     """
+    partitions = training_partitions(train.sparkSession, partitions)
     rows = train.select(*columns)
     values = [vector_to_array(field(name)) if isinstance(rows.schema[name].dataType, VectorUDT) else field(name) for name in columns]
     place = F.xxhash64(*values)

@@ -12,7 +12,7 @@ from feedmill.functions.encoding import decode_json, text_schema
 from feedmill.functions.values import label_unless, lenient_double
 from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.features import add_features
-from feedmill.operators.models import TRAINING_PARTITIONS, fit_forest, fit_logistic, kept_for_training
+from feedmill.operators.models import fit_forest, fit_logistic, kept_for_training, training_partitions
 from feedmill.operators.splitting import row_key, split_rows
 from feedmill.operators.weighting import with_class_weight
 from feedmill.plans.scoring import Trained, report_on, score_rows
@@ -52,7 +52,7 @@ def gold(silver_rows: DataFrame, fit_rows: DataFrame | None = None) -> DataFrame
 
 def train_and_score(
     gold_rows: DataFrame, key: Column | str | None = None, result_model: str = "logistic", parallelism: int = 2,
-    partitions: int = TRAINING_PARTITIONS, **forest: int,
+    partitions: int | None = None, **forest: int,
 ) -> Trained:
     """Fit a forest and a cross-validated logistic regression, report on both.
 
@@ -75,6 +75,7 @@ def run(spark: SparkSession, base: str, fmt: str = "parquet", fit_all: bool = Fa
     indexes and scale come from the training rows, or from all with ``fit_all``.
     ``training`` goes to ``train_and_score``.
     """
+    training["partitions"] = training_partitions(spark, training.get("partitions"))
     bronze = bronze_table(spark, f"{base}/loan_bronze", fmt, ledger=f"{base}/loan_ledger")
     replace_table(silver(bronze), f"{base}/loan_silver", fmt)
     rows = read_table(spark, f"{base}/loan_silver", fmt)

@@ -9,7 +9,7 @@ from feedmill.functions.encoding import decode_json, line_fields, only_value, sa
 from feedmill.functions.values import field, label_if, lenient_double
 from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.features import add_features
-from feedmill.operators.models import TRAINING_PARTITIONS, fit_forest, kept_for_training
+from feedmill.operators.models import fit_forest, kept_for_training, training_partitions
 from feedmill.operators.splitting import row_key, split_rows
 from feedmill.plans.scoring import Trained, report_on, score_rows
 from feedmill.sources.tables import read_table, replace_table
@@ -40,7 +40,7 @@ def gold(silver_rows: DataFrame, fit_rows: DataFrame | None = None) -> DataFrame
 
 
 def train_and_score(
-    gold_rows: DataFrame, key: Column | str | None = None, partitions: int = TRAINING_PARTITIONS, **forest: int
+    gold_rows: DataFrame, key: Column | str | None = None, partitions: int | None = None, **forest: int
 ) -> Trained:
     """Fit a forest on the training rows, score and report on the holdout.
 
@@ -62,6 +62,7 @@ def run(
     A hash of the silver row splits the rows before anything is fitted; indexes
     come from the training rows, or from all with ``fit_all``. ``training`` goes to ``train_and_score``.
     """
+    training["partitions"] = training_partitions(spark, training.get("partitions"))
     bronze = bronze_table(spark, f"{base}/mkt_bronze", fmt, ledger=f"{base}/mkt_ledger")
     replace_table(silver(bronze, schema_from_first_row), f"{base}/mkt_silver", fmt)
     rows = read_table(spark, f"{base}/mkt_silver", fmt)

@@ -1,4 +1,5 @@
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -11,7 +12,7 @@ from feedmill.operators import features
 from feedmill.operators.features import add_features, category_counts, category_places, with_places
 from feedmill.operators import metrics
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report, model_reports
-from feedmill.operators.models import fit_forest, fit_logistic, fold_number, kept_for_training
+from feedmill.operators.models import TRAINING_PARTITIONS, fit_forest, fit_logistic, fold_number, kept_for_training, training_partitions
 from feedmill.plans import loan, marketing
 from workloads import catalog
 
@@ -262,3 +263,11 @@ def test_area_over_few_blocks(spark, scored, blocks, monkeypatch):
     whole = area_under_roc(scored, "score").first()["auc"]
     monkeypatch.setattr(metrics, "SCORE_BLOCKS", blocks)
     assert area_under_roc(scored, "score").first()["auc"] == pytest.approx(whole, abs=1e-12)
+
+
+def test_a_cluster_must_name_its_training_partitions(spark):
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master="yarn"))
+    assert training_partitions(cluster, 400) == 400
+    assert training_partitions(spark, None) == TRAINING_PARTITIONS
+    with pytest.raises(ValueError, match="partitions"):
+        training_partitions(cluster, None)

@@ -122,6 +122,43 @@ def test_ordinals_split_rows_that_are_all_the_same(spark):
     assert len(sizes) >= 6 and max(sizes) < 20_000 / 3
 
 
+def wide_rows(spark, path):
+    """A third of all rows under one key, wide, in several Parquet files."""
+    frame = spark.range(0, 9_000, 1, 5).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700).alias("hot"), F.sha2(F.col("id").cast("string"), 512).alias("wide"),
+        F.lit("mine").alias("_file"), F.col("id").alias("_number"),
+    )
+    frame.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_ordinals_come_back_by_address(spark, tmp_path, stored):
+    rows = wide_rows(spark, str(tmp_path / "rows"))
+    found = with_ordinals(rows, ["hot"], blocks=8, stored=stored)
+    assert found.columns == [*rows.columns, "ordinal"]
+    numbered = found.orderBy("ordinal").collect()
+    assert [row["ordinal"] for row in numbered] == list(range(9_000))
+    assert [row["hot"] for row in numbered] == sorted(row["hot"] for row in numbered)
+    assert found.drop("ordinal").exceptAll(rows).count() == 0 == rows.exceptAll(found.drop("ordinal")).count()
+    placement = [folder for folder in {file.rsplit("/", 1)[0] for file in found.inputFiles()} if "ordinals-" in folder]
+    placed = spark.read.parquet(*placement)
+    assert not {"hot", "wide"} & set(placed.columns) and len(placed.columns) == 3
+    sizes = [row["n"] for row in placed.groupBy(F.shiftright(placed.columns[2], ROW_BITS)).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 6 and max(sizes) < 9_000 / 3
+
+
+def test_wide_rows_are_read_once_and_only_joined(spark, tmp_path):
+    rows = wide_rows(spark, str(tmp_path / "rows"))
+    plan = with_ordinals(rows, ["hot"], stored=True)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert len([line for line in scans if "wide" in line]) == 1
+    assert "rangepartitioning" not in plan and "\nSort" not in plan
+    part = rows.where("hot > 3").select("hot", "wide")
+    kept = with_ordinals(part, [F.desc("hot")], stored=True)
+    assert kept.where("ordinal = 0").first()["hot"] == 699 and kept.count() == part.count()
+
+
 def test_ordinals_descending_and_empty(spark):
     frame = spark.createDataFrame([(1, "b"), (2, "a"), (2, "c")], "n int, t string")
     found = with_ordinals(frame, [F.desc("n"), "t"], unique=True).orderBy("ordinal").collect()

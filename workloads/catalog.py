@@ -416,7 +416,19 @@ def hot_key_ordinals(spark, sf_dir):
     hot = events.select(
         F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).cast("bigint").alias("hot"), "event_id"
     )
-    return with_ordinals(hot, ["hot", "event_id"])
+    return with_ordinals(hot, ["hot", "event_id"], stored=True)
+
+
+@query(
+    "wide_ordinals",
+    """SELECT event_id, event_type, value, props,
+              (row_number() OVER (ORDER BY event_type, user_id, event_id) - 1)::BIGINT AS by_key,
+              ((row_number() OVER (ORDER BY event_type, user_id, event_id) - 1) // 1000)::BIGINT AS chunk FROM events""",
+)
+def wide_ordinals(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    numbered = with_ordinals(events, ["event_type", "user_id", "event_id"], "by_key", stored=True)
+    return with_chunks(numbered, fixed.FEED_CHUNK_ROWS, "by_key").drop("user_id")
 
 
 @query(
@@ -438,7 +450,7 @@ def feed_slice(spark, sf_dir):
 )
 def chunk_sizes(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    chunked = with_chunks(with_ordinals(lines, ["l_orderkey", "l_linenumber"]), fixed.FEED_CHUNK_ROWS)
+    chunked = with_chunks(with_ordinals(lines, ["l_orderkey", "l_linenumber"], stored=True), fixed.FEED_CHUNK_ROWS)
     return chunked.groupBy("chunk").agg(F.count("*").alias("rows"), F.min("l_orderkey").alias("first_key"))
 
 

@@ -6,11 +6,16 @@ or a new one, for which the sum over fill levels of the squared number of open
 windows is least. An array holds that number per level, so a choice reads the
 array and never the windows.
 
-What is still open when a split ends is cut anew: its pieces are laid end to end,
-full windows are cut off, and the last run is cut into windows whose lengths are
-powers of two, which need no padding. So no window is padded, and no task needs
-another one's windows. Memory is the open windows, at most a window per level and
-count, besides one batch of texts.
+What is still open when a split ends is staged, and goes through a second pass of the
+same kind: neighbouring splits make groups of about ``GROUP`` open windows, and each group's
+pieces are placed anew, together. So a small split does not decide how much
+the method places.
+
+What is open when a group ends is closed: the emptiest windows are taken apart, and their
+pieces fill the fullest ones, cut where a window is full. What is left, less than a window per group, is cut into
+windows whose lengths are powers of two. So no window is padded. ``closed`` marks the pieces that were
+moved or cut in that; all others lie where the sum of squares put them. Memory of a task is
+its split's or group's open windows, besides one batch of texts.
 
 Defined results: a null text is an empty one, whose document is the end id alone;
 null document ids are kept; repeated rows are packed once per row; an empty table
@@ -27,17 +32,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import small_batches
+from llm.common import small_batches, stage
 
 WINDOW = 2048
 END_ID = 1
+GROUP = 4096  # open windows of a group, 32 MB of ids; a group ends with the split that reaches it
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-    "sequence_id bigint, offset bigint, sequence_length bigint"
+    "sequence_id bigint, offset bigint, sequence_length bigint, closed boolean"
 )
+NAMES = [part.split()[0] for part in PIECES.split(", ")]
+# Pieces of windows that a split leaves open come with their ids, split and place there instead of a sequence.
+STAGED = f"{PIECES}, split bigint, at bigint, ids binary"
+OPEN = "doc_id bigint, start bigint, doc_tokens bigint, split bigint, at bigint, ids binary, part bigint"
+SECOND = 1 << 62  # sequences of the second pass are numbered from here
+EMITTED = 512
 # Letters and digits up to here are the same in every Unicode version, so both
 # libraries split such texts alike.
 _BEYOND_LATIN = re.compile("[^\x00-ɏ‐-‧€]")
@@ -104,9 +116,9 @@ class SumOfSquares:
         self.open.setdefault(level + size, []).append(pieces)
         return None
 
-    def rest(self) -> list:
-        """The pieces of all open windows, fullest windows first."""
-        return [piece for level in sorted(self.open, reverse=True) for pieces in self.open[level] for piece in pieces]
+    def rest(self) -> list[list]:
+        """All open windows, fullest first, as lists of pieces."""
+        return [pieces for level in sorted(self.open, reverse=True) for pieces in self.open[level]]
 
 
 def rest_lengths(total: int, window: int = WINDOW) -> list[int]:
@@ -115,62 +127,129 @@ def rest_lengths(total: int, window: int = WINDOW) -> list[int]:
     return [window] * (total // window) + [1 << bit for bit in range(tail.bit_length() - 1, -1, -1) if tail >> bit & 1]
 
 
-def recut(pieces: list, lengths: list[int]) -> Iterator[list]:
-    """Lay pieces (document, start, ids, document's tokens) end to end and cut them at the given lengths."""
-    todo = list(reversed(pieces))
-    for length in lengths:
-        window = []
-        while length:
-            doc, start, ids, whole = todo.pop()
-            if len(ids) > length:
-                todo.append((doc, start + length, ids[length:], whole))
-                ids = ids[:length]
-            window.append((doc, start, ids, whole))
-            length -= len(ids)
-        yield window
+def cut(piece: tuple, length: int) -> tuple[tuple, tuple]:
+    """A piece (document, start, ids, document's tokens, closed) as its first ids and the others."""
+    doc, start, ids, whole, _ = piece
+    return (doc, start, ids[:length], whole, True), (doc, start + length, ids[length:], whole, True)
+
+
+def close(windows: list[list], window: int = WINDOW) -> Iterator[list]:
+    """Windows without padding out of open ones, fullest first: pieces of the last ones fill up the first ones."""
+    size = lambda pieces: sum(len(piece[2]) for piece in pieces)
+    first, last = 0, len(windows) - 1
+    while first < last:
+        gap = window - size(windows[first])
+        while gap and first < last:
+            piece = windows[last].pop()
+            if len(piece[2]) > gap:
+                piece, others = cut(piece, gap)
+                windows[last].append(others)
+            windows[first].append((*piece[:4], True))
+            gap -= len(piece[2])
+            last -= not windows[last]
+        if not gap:
+            yield windows[first]
+            first += 1
+    if first == last:
+        todo = windows[first][::-1]
+        for length in rest_lengths(size(todo), window):
+            pieces = []
+            while length:
+                piece = todo.pop()
+                if len(piece[2]) > length:
+                    piece, others = cut(piece, length)
+                    todo.append(others)
+                pieces.append((*piece[:4], True))
+                length -= len(piece[2])
+            yield pieces
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row per piece: document, place in it, length, checksum, and place in a sequence.
+class Rows:
+    """Pieces of finished windows as rows, with sequences numbered from a start."""
 
-    ``sequence_id`` holds the number of the input split above 40 bits of the
-    split's own count, so it is the same when a lost task runs again.
-    """
+    def __init__(self, sequence: int):
+        self.sequence, self.rows = sequence, []
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer, out = Encoder(), SumOfSquares(window), []
-        sequence = TaskContext.get().partitionId() << 40
-
-        def emit(pieces: list) -> None:
-            nonlocal sequence
-            offset, length = 0, sum(len(ids) for _, _, ids, _ in pieces)
-            for doc, start, ids, whole in pieces:
-                out.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), whole, sequence, offset, length))
-                offset += len(ids)
-            sequence += 1
-
-        def rows() -> pa.RecordBatch:
-            columns = list(zip(*out)) or [()] * 8
-            batch = pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names=names)
-            out.clear()
-            return batch
+    def add(self, pieces: list) -> None:
+        offset, length = 0, sum(len(piece[2]) for piece in pieces)
+        for doc, start, ids, whole, closed in pieces:
+            self.rows.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), whole, self.sequence, offset, length, closed))
+            offset += len(ids)
+        self.sequence += 1
+
+    def columns(self) -> list[pa.Array]:
+        """The rows so far, which are forgotten here."""
+        columns = list(zip(*self.rows)) or [()] * len(NAMES)
+        self.rows = []
+        return [pa.array(column, pa.bool_() if name == "closed" else pa.int64()) for name, column in zip(NAMES, columns)]
 
+
+def pack_splits(window: int):
+    """The finished windows of a split, then the pieces of its open ones with their ids."""
+    names = [part.split()[0] for part in STAGED.split(", ")]
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = TaskContext.get().partitionId()
+        encoder, packer, out = Encoder(), SumOfSquares(window), Rows(split << 40)
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encoder.ids(text or "")
                 full = len(ids) // window * window
                 for start in range(0, full, window):
-                    emit([(doc, start, ids[start : start + window], len(ids))])
+                    out.add([(doc, start, ids[start : start + window], len(ids), False)])
                 if full < len(ids):
-                    if pieces := packer.add(len(ids) - full, (doc, full, ids[full:].copy(), len(ids))):
-                        emit(pieces)
-            yield rows()
-        rest = packer.rest()
-        for pieces in recut(rest, rest_lengths(sum(len(piece[2]) for piece in rest), window)):
-            emit(pieces)
-        yield rows()
-
-    names = [part.split()[0] for part in PIECES.split(", ")]
+                    if pieces := packer.add(len(ids) - full, (doc, full, ids[full:].copy(), len(ids), False)):
+                        out.add(pieces)
+            columns = out.columns()
+            none = [pa.nulls(len(columns[0]), kind) for kind in (pa.int64(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *none], names=names)
+        left = [piece for pieces in packer.rest() for piece in pieces]
+        for at in range(0, len(left), EMITTED):
+            part = left[at : at + EMITTED]
+            held = {
+                "doc_id": [piece[0] for piece in part], "start": [piece[1] for piece in part], "doc_tokens": [piece[3] for piece in part],
+                "split": [split] * len(part), "at": range(at, at + len(part)), "ids": [piece[2].tobytes() for piece in part],
+            }
+            kinds = {"ids": pa.binary(), "closed": pa.bool_()}
+            columns = [pa.array(held[name], kinds.get(name, pa.int64())) if name in held else pa.nulls(len(part), kinds.get(name, pa.int64())) for name in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return packed
+
+
+def pack_group(window: int):
+    """The windows of all pieces that a group's splits have left, none of them open in the end."""
+
+    def packed(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("split", "ascending"), ("at", "ascending")])
+        packer, out = SumOfSquares(window), Rows(SECOND + (table["part"][0].as_py() << 40))
+        of = [table[name].to_pylist() for name in ("doc_id", "start", "ids", "doc_tokens")]
+        for doc, start, ids, whole in zip(*of):
+            ids = np.frombuffer(ids, "<u4")
+            if pieces := packer.add(len(ids), (doc, start, ids, whole, False)):
+                out.add(pieces)
+        for pieces in close(packer.rest(), window):
+            out.add(pieces)
+        return pa.Table.from_arrays(out.columns(), names=NAMES)
+
+    return packed
+
+
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, group: int = GROUP) -> DataFrame:
+    """One row per piece: document, place in it, length, checksum, and place in a sequence.
+
+    ``sequence_id`` holds the number of the input split, or of the group, above 40 bits of its
+    own count, so it is the same when a lost task runs again.
+    """
     small_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(packed, PIECES)
+    staged = stage(chosen.mapInArrow(pack_splits(window), STAGED), "packed")
+    left = staged.where(F.col("ids").isNotNull())
+    # One row per split, so one task numbers the groups whatever the size of the table.
+    sizes = left.groupBy("split").agg(F.sum(F.octet_length("ids")).alias("bytes"))
+    before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / F.lit(4 * window * group))
+    parts = stage(sizes.select("split", part.alias("part")), "packing-groups")
+    grouped = left.join(parts, "split").select(*(name.split()[0] for name in OPEN.split(", ")))
+    again = grouped.groupBy("part").applyInArrow(pack_group(window), PIECES)
+    return staged.where(F.col("ids").isNull()).select(*NAMES).unionByName(again)

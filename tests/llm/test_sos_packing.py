@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm import sos_packing
 from llm.common import table
@@ -73,6 +74,39 @@ def test_choice_has_the_least_sum_of_squares():
     assert all(packer.levels[level] == levels[level] == len(packer.open.get(level, [])) for level in range(64))
 
 
+@pytest.mark.parametrize("splits", [1, 4, 32])
+def test_nearly_all_tokens_lie_where_the_sum_of_squares_puts_them(spark, splits):
+    docs = table(spark, "/root/testdata/sf0.1", "documents").repartition(splits, "doc_id")
+    rows = pack(docs).groupBy("closed").agg(F.sum("length").alias("ids")).collect()
+    ids = {row["closed"]: row["ids"] for row in rows}
+    assert ids[True] <= 0.05 * (ids[True] + ids[False])
+
+
+@pytest.mark.parametrize("group", [1, 3, 1000])
+def test_groups_of_open_windows_of_any_size(spark, sf_dir, group):
+    docs = table(spark, sf_dir, "documents")
+    rows = pack(docs.repartition(6), group=group).collect()
+    check(rows, {row["doc_id"]: row["text"] for row in docs.collect()})
+    assert len({row["sequence_id"] >> 40 for row in rows if row["sequence_id"] >= sos_packing.SECOND}) >= (2 if group == 1 else 1)
+
+
+def test_closing_fills_the_fullest_with_the_emptiest():
+    rng = random.Random(8)
+    for _ in range(50):
+        windows = [[(number, 0, np.arange(rng.randrange(1, 60)), 60, False)] for number in range(rng.randrange(12))]
+        windows.sort(key=lambda pieces: -len(pieces[0][2]))
+        total, sizes = sum(len(pieces[0][2]) for pieces in windows), {pieces[0][0]: len(pieces[0][2]) for pieces in windows}
+        closed = list(sos_packing.close(windows, 64))
+        lengths = [sum(len(piece[2]) for piece in pieces) for pieces in closed]
+        assert sum(lengths) == total and lengths[: total // 64] == [64] * (total // 64) and all(size & (size - 1) == 0 for size in lengths)
+        found = defaultdict(list)
+        for pieces in closed:
+            for doc, start, ids, _, _ in pieces:
+                assert ids[0] == start and len(ids)
+                found[doc] += ids.tolist()
+        assert {doc: sorted(ids) for doc, ids in found.items()} == {doc: list(range(size)) for doc, size in sizes.items()}
+
+
 @pytest.mark.parametrize("total", [0, 1, 2047, 2048, 5000])
 def test_rest_needs_no_padding(total):
     lengths = rest_lengths(total)

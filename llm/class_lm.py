@@ -612,11 +612,12 @@ def class_model(vocab: Vocabulary, matrix: np.ndarray, of: np.ndarray, rest: Res
     word_class = of[vocab.symbols] if len(vocab.words) else np.empty(0, np.int64)
     sums = np.bincount(word_class, weights=vocab.counts + ADDED, minlength=total)
     rare = of[vocab.rare]
+    if not vocab.capped:
+        sums[rare] += ADDED  # all words that training has are in other classes
     if rest is not None:
-        sums[rare] += ADDED
         for row in rest.words.groupBy("class").agg(F.sum("count").alias("count"), F.count("*").alias("words")).collect():
             sums[of[row["class"]]] += row["count"] + ADDED * row["words"]
-    else:
+    if vocab.capped:
         ends = matrix[:, vocab.end].sum()
         n_rare_words = vocab.n_words - len(vocab.words) - (1 if ends else 0)
         sums[rare] += vocab.n_tokens - vocab.counts.sum() - ends + ADDED * (n_rare_words + 1)

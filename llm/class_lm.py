@@ -40,13 +40,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import small_batches, stage, text_bytes, word_hashes
+from llm.common import partitions, small_batches, stage, text_bytes, word_hashes
 
 ADDED = 0.1
 BACKOFF = 50.0
@@ -55,7 +54,7 @@ CORE = 1024
 CLASSES = 64
 SWEEPS = 12
 WORD_SWEEPS = 2
-SHARES = 64  # groups of words that a sweep deals to tasks
+SHARES = 64  # groups of words that a sweep deals to tasks, at least
 COMBINED = 1 << 21  # codes that a task counts together
 EMITTED = 1 << 16
 END = 0  # the hash that stands for the end; a word of this hash would count as one
@@ -245,8 +244,8 @@ class Rest:
 
 def pairs_with_classes(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """(a, b, times, class_a, class_b, once_a, once_b), staged; the last two say which words occur once."""
-    of = words.select("word", "class", F.col("count") == 1)
-    named = pairs.select("a", "b", "times").join(of.toDF("a", "class_a", "once_a"), "a").join(of.toDF("b", "class_b", "once_b"), "b")
+    of = words.select("word", "class", F.col("count") == 1)  # a row per word, so its hash tables have no hot key
+    named = pairs.select("a", "b", "times").join(of.toDF("a", "class_a", "once_a").hint("shuffle_hash"), "a").join(of.toDF("b", "class_b", "once_b").hint("shuffle_hash"), "b")
     return stage(named.select("a", "b", "times", "class_a", "class_b", "once_a", "once_b"), "rest-pairs")
 
 
@@ -521,13 +520,25 @@ def sweep(training: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np
     """The class of every frequent word after all movable ones have chosen; symbols are classes here."""
     size = vocab.n_symbols
 
-    def chosen_class(rows: pd.DataFrame) -> pd.DataFrame:
-        code = rows["word"].to_numpy(np.int64)
-        words, at = np.unique(code // (2 * size), return_inverse=True)
-        around = np.zeros((len(words), 2 * size))
-        around[at, code % (2 * size)] = rows["count"]
-        best = best_classes(pairs, vocab.symbols[words], around[:, :size], around[:, size:])
-        return pd.DataFrame({"word": words, "count": best})
+    shares = max(SHARES, partitions(training.sparkSession))
+
+    def chosen_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The neighbours of one share of the words, added up, then the choice of each."""
+        around, share = None, 0
+        for batch in batches:
+            code, times = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
+            if not len(code):
+                continue
+            if around is None:
+                share = int(code[0] // (2 * size) % shares)
+                around = np.zeros((len(vocab.words) // shares + 1) * 2 * size)
+            np.add.at(around, code // (2 * size) // shares * (2 * size) + code % (2 * size), times)
+        if around is not None:
+            around = around.reshape(-1, 2 * size)
+            met = np.flatnonzero(around.any(axis=1))
+            words = met * shares + share
+            best = best_classes(pairs, vocab.symbols[words], around[met, :size], around[met, size:])
+            yield from count_rows(words, best)
 
     def code(own: np.ndarray, places: np.ndarray, symbols: np.ndarray, after: bool) -> np.ndarray:
         """The word beyond the frequent ones, as seen from the frequent word at its side."""
@@ -537,9 +548,9 @@ def sweep(training: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np
     counts = training.select("places").mapInArrow(context_batches(vocab, movable), COUNTS)
     if rest is not None:
         counts = counts.unionByName(rest.words.select("class", "before", "after").mapInArrow(rest_codes(vocab, code), COUNTS))
-    counts = counts.groupBy("word").agg(F.sum("count").alias("count"))
-    share = F.pmod(F.floor(F.col("word") / F.lit(2 * size)), F.lit(SHARES))
-    found = counts.groupBy(share.alias("share")).applyInPandas(chosen_class, COUNTS).toPandas()
+    # Tasks have combined their counts; a share is one task, whose words' neighbours are a table of fixed size.
+    share = F.pmod(F.floor(F.col("word") / F.lit(2 * size)), F.lit(shares)).cast("int")
+    found = counts.repartitionById(shares, share).mapInArrow(chosen_class, COUNTS).toPandas()
     classes = vocab.symbols.copy()
     classes[found["word"].to_numpy(np.int64)] = found["count"].to_numpy(np.int64)
     return classes
@@ -672,34 +683,39 @@ def score_batches(model: ClassModel):
 
 
 def rest_scores(model: ClassModel):
-    """What words beyond the frequent ones add to a row, with the transitions from and to frequent words beside them."""
+    """What words beyond the frequent ones add to a row, with the transitions beside them.
+
+    The words come by row and place, so of two such words next to each other the first has just been seen.
+    """
     classes_of, rare = model.symbol_class[symbol_table(model.vocab)], model.symbol_class[model.vocab.rare]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            before, after = (batch.column(place).to_numpy(zero_copy_only=False) for place in (1, 2))
-            count = batch.column(3).fill_null(0).to_numpy(zero_copy_only=False)
-            own = batch.column(4).fill_null(int(rare)).to_numpy(zero_copy_only=False)
-            log = np.log10(count + ADDED)
-            score = log - np.log10(model.denominators[own])
-            score += np.where(before == REST_PLACE, 0, model.transition[classes_of[before], own])
-            score += np.where(after == REST_PLACE, 0, model.transition[own, classes_of[after]])
-            columns = [batch.column(0), pa.array(log), pa.array((count > 0).astype(np.int64)), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "rest_log", "rest_known", "rest_model"])
-
-    return scored
-
+        last_row, last_class, last_sums = -1, 0, np.zeros(3)  # of the row that may go on in the next batch
 
-def pair_scores(model: ClassModel):
-    """The transitions between words beyond the frequent ones."""
-    rare = int(model.symbol_class[model.vocab.rare])
+        def added(rows: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array(rows, pa.int64()), pa.array(sums[0]), pa.array(sums[1].astype(np.int64)), pa.array(sums[2])]
+            return pa.RecordBatch.from_arrays(columns, names=["row", "rest_log", "rest_known", "rest_model"])
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, other = (batch.column(place).fill_null(rare).to_numpy(zero_copy_only=False) for place in (1, 2))
-            nothing = np.zeros(batch.num_rows)
-            columns = [batch.column(0), pa.array(nothing), pa.array(nothing.astype(np.int64)), pa.array(model.transition[one, other])]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "rest_log", "rest_known", "rest_model"])
+            if not batch.num_rows:
+                continue
+            row, before, after = (batch.column(place).to_numpy(zero_copy_only=False) for place in (0, 2, 3))
+            count = batch.column(4).fill_null(0).to_numpy(zero_copy_only=False)
+            own = batch.column(5).fill_null(int(rare)).to_numpy(zero_copy_only=False)
+            log = np.log10(count + ADDED)
+            previous = np.where(before == REST_PLACE, np.r_[last_class, own[:-1]], classes_of[before])
+            score = log - np.log10(model.denominators[own]) + model.transition[previous, own]
+            score += np.where(after == REST_PLACE, 0, model.transition[own, classes_of[after]])
+            begins = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            rows, sums = row[begins], np.add.reduceat(np.stack([log, count > 0, score]), begins, axis=1)
+            if rows[0] == last_row:
+                sums[:, 0] += last_sums
+            elif last_row >= 0:
+                yield added(np.array([last_row]), last_sums[:, None])
+            last_row, last_class, last_sums = rows[-1], own[-1], sums[:, -1]
+            yield added(rows[:-1], sums[:, :-1])
+        if last_row >= 0:
+            yield added(np.array([last_row]), last_sums[:, None])
 
     return scored
 
@@ -717,12 +733,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Without classes of their own these words are of the rare class, like unknown ones.
     of = counts.withColumn("class", F.lit(None).cast("bigint")) if model.rest is None else model.rest.words
     of = of.select("word", "count", "class")
-    rest = scan.select("row", F.inline("rest")).join(of, "word", "left").select("row", "before", "after", "count", "class")
-    pairs = scan.select("row", F.inline("pairs"))
-    for side in "ab":
-        pairs = pairs.join(of.select(F.col("word").alias(side), F.col("class").alias(f"class_{side}")), side, "left")
-    added = rest.mapInArrow(rest_scores(sent), ADDENDS).unionByName(pairs.select("row", "class_a", "class_b").mapInArrow(pair_scores(sent), ADDENDS))
-    joined = added.groupBy("row").agg(*(F.sum(name).alias(name) for name in ("rest_log", "rest_known", "rest_model")))
+    found = scan.select("row", F.posexplode("rest").alias("at", "item")).select("row", "at", "item.*")
+    rest = found.join(of.hint("shuffle_hash"), "word", "left").select("row", "at", "before", "after", "count", "class")
+    joined = rest.repartition("row").sortWithinPartitions("row", "at").mapInArrow(rest_scores(sent), ADDENDS)
     # The end is counted like a word, so it comes from the same table.
     ends = counts.where(F.col("word") == END).agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     rest_log, rest_known, rest_model = F.coalesce("rest_log", F.lit(0.0)), F.coalesce("rest_known", F.lit(0)), F.coalesce("rest_model", F.lit(0.0))

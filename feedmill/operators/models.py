@@ -28,6 +28,8 @@ from feedmill.operators.splitting import key_bucket
 # Fitted models follow the partitions of their rows, so their number is fixed on one machine;
 # a cluster's table may not fit so few tasks, so there the number must be given.
 TRAINING_PARTITIONS = 16
+# Rows of a partition where the number follows from the table.
+TRAINING_ROWS = 250_000
 
 
 def training_partitions(spark: SparkSession, given: int | None) -> int:
@@ -39,6 +41,11 @@ def training_partitions(spark: SparkSession, given: int | None) -> int:
     return TRAINING_PARTITIONS
 
 
+def partitions_by_rows(rows: DataFrame) -> int:
+    """A number of partitions that the rows of a written table alone decide, the same on one machine and on a cluster."""
+    return max(TRAINING_PARTITIONS, -(-rows.count() // TRAINING_ROWS))
+
+
 @contextmanager
 def kept_for_training(train: DataFrame, *columns: str, partitions: int | None = None):
     """The training columns, held in memory and on disk while models are fitted.

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from feedmill import fixed_values as fixed
 from feedmill.operators import features
 from feedmill.operators.features import add_features, category_counts, category_places, with_places
-from feedmill.operators import metrics
+from feedmill.operators import metrics, models as training
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report, model_reports
-from feedmill.operators.models import TRAINING_PARTITIONS, fit_forest, fit_logistic, fold_number, kept_for_training, training_partitions
+from feedmill.operators.models import TRAINING_PARTITIONS, fit_forest, fit_logistic, fold_number, kept_for_training, partitions_by_rows, training_partitions
 from feedmill.plans import loan, marketing
 from workloads import catalog
 
@@ -271,3 +271,17 @@ def test_a_cluster_must_name_its_training_partitions(spark):
     assert training_partitions(spark, None) == TRAINING_PARTITIONS
     with pytest.raises(ValueError, match="partitions"):
         training_partitions(cluster, None)
+
+
+def test_training_partitions_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(training, "TRAINING_ROWS", 100)
+    assert [partitions_by_rows(spark.range(rows)) for rows in (0, 1600, 1601, 5000)] == [16, 16, 17, 50]
+
+
+@pytest.mark.parametrize("name", ["forest_report", "rule_loan_score"])
+def test_model_queries_run_on_a_cluster(spark, sf_dir, monkeypatch, tmp_path, name):
+    """They say themselves into how many partitions their training rows go."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert catalog.ENTRIES[name].run(spark, sf_dir).count() > 0

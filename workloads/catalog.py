@@ -19,7 +19,7 @@ from feedmill.operators.cleaning import apply_null_policy
 from feedmill.operators.counting import count_by, histogram, sum_counts
 from feedmill.operators.features import add_features, category_counts, category_places, with_places
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report
-from feedmill.operators.models import fold_number
+from feedmill.operators.models import fold_number, partitions_by_rows
 from feedmill.operators.ordinals import slice_rows, with_chunks, with_ordinals
 from feedmill.operators.pivoting import pivot_counts
 from feedmill.operators.splitting import split_rows
@@ -970,7 +970,7 @@ def trained_loans(spark: SparkSession, sf_dir: str):
     silver = written(loan_silver(spark, sf_dir), "loan-silver")
     key = F.expr(LOAN_KEY)
     gold = written(loan.gold(silver, fit_rows=split_rows(silver, key=key)[0]), "loan-gold")
-    return loan.train_and_score(gold, key=key)
+    return loan.train_and_score(gold, key=key, partitions=partitions_by_rows(gold))
 
 
 def trained_marketing(spark: SparkSession, sf_dir: str):
@@ -979,7 +979,7 @@ def trained_marketing(spark: SparkSession, sf_dir: str):
     complete = silver.na.drop(subset=fixed.MARKETING_NUMERIC)
     key = F.expr(MARKETING_KEY)
     gold = written(marketing.gold(complete, fit_rows=split_rows(complete, key=key)[0]), "marketing-gold")
-    return marketing.train_and_score(gold, key=key)
+    return marketing.train_and_score(gold, key=key, partitions=partitions_by_rows(gold))
 
 
 def checked_report(trained, least: float) -> DataFrame:
@@ -1043,13 +1043,13 @@ def rule_loans(spark: SparkSession, sf_dir: str):
     silver = written(loan.silver(rule_loan_bronze(spark, sf_dir)), "rule-loan-silver")
     key = F.expr("CAST(fico_range_low AS BIGINT)")
     gold = written(loan.gold(silver, fit_rows=split_rows(silver, key=key)[0]), "rule-loan-gold")
-    return loan.train_and_score(gold, key=key)
+    return loan.train_and_score(gold, key=key, partitions=partitions_by_rows(gold))
 
 
 def rule_marketing(spark: SparkSession, sf_dir: str):
     silver = written(marketing.silver(rule_marketing_bronze(spark, sf_dir)), "rule-marketing-silver")
     gold = written(marketing.gold(silver, fit_rows=split_rows(silver, key="day")[0]), "rule-marketing-gold")
-    return marketing.train_and_score(gold, key="day")
+    return marketing.train_and_score(gold, key="day", partitions=partitions_by_rows(gold))
 
 
 def rule_loan_report_sql() -> str:

@@ -15,6 +15,7 @@ takes up the new version and tries again.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -26,13 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill import fixed_values as fixed
-from feedmill.sources.scratch import children, delete
+from feedmill.sources.scratch import children, delete, exists
 from feedmill.sources.tables import append_table, replace_table
 
 VERSION_SCHEMA = "folder string, first bigint, batch bigint, rows bigint, total_rows bigint, level int"
 # Batches that may wait for a fold, folds of one size that make up a larger one, and versions that readers may still use.
 FOLD_AFTER, FOLD_WIDTH, KEPT_VERSIONS = 500, 32, 100
 LEFTOVER_SECONDS = 3_600
+# Batches that a backlog comes in; a batch costs about the same at any size.
+BACKLOG_BATCHES = 64
 
 
 class Live(NamedTuple):
@@ -57,18 +60,28 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "text", schema: str =
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
+def backlog_files(files: int, least: int, batches: int = BACKLOG_BATCHES) -> int:
+    """Files per batch that take a backlog of so many files in at most ``batches`` batches, ``least`` or more."""
+    return max(least, -(-files // batches))
+
+
 class BronzeWriter:
-    """The function a stream calls for each batch of values; folds when ``fold_after`` batches have come together."""
+    """The function a stream calls for each batch of values; folds when ``fold_after`` batches have come together.
+
+    It remembers the version it has written, so a batch neither lists the ledger nor reads that version again.
+    """
 
     def __init__(self, bronze: str, ledger: str, fmt: str = "parquet", fold_after: int | None = FOLD_AFTER):
         self.bronze = bronze
         self.ledger = ledger
         self.fmt = fmt
         self.fold_after = fold_after
+        self._known: tuple[int, list[Live]] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        _, live = latest(spark, self.ledger)
+        self._known = latest(spark, self.ledger, self._known)
+        live = self._known[1]
         if any(item.level and item.first <= batch_id <= item.batch for item in live):
             return  # folded, so it was finished before
         folder, rows = self._write(batch, batch_id)
@@ -77,7 +90,7 @@ class BronzeWriter:
             others = [item for item in items if item.level or item.batch != batch_id]
             return [*others, Live(folder, batch_id, batch_id, rows, 0, 0)] if rows else others
 
-        update(spark, self.ledger, replaced)
+        self._known = advance(spark, self.ledger, replaced, self._known)
         waiting = sum(not item.level for item in live)
         if self.fold_after is not None and self.fmt != "delta" and waiting >= self.fold_after:
             compact(spark, self.bronze, self.ledger, self.fmt)
@@ -157,32 +170,49 @@ def version_numbers(spark: SparkSession, ledger: str) -> list[int]:
 
 def is_written(spark: SparkSession, ledger: str, version: int) -> bool:
     """Whether the write of a version came to its end."""
-    return "_SUCCESS" in children(spark, f"{ledger}/version-{version}")
+    return exists(spark, f"{ledger}/version-{version}/_SUCCESS")
 
 
 def latest_number(spark: SparkSession, ledger: str) -> int:
     return next((number for number in version_numbers(spark, ledger) if is_written(spark, ledger, number)), 0)
 
 
-def latest(spark: SparkSession, ledger: str) -> tuple[int, list[Live]]:
-    """Number and folders of the last version; 0 and none before the first."""
+def latest(spark: SparkSession, ledger: str, known: tuple[int, list[Live]] | None = None) -> tuple[int, list[Live]]:
+    """Number and folders of the last version; 0 and none before the first.
+
+    From a version that is ``known`` the next numbers are tried one by one. Old versions are deleted
+    in their order, so as long as one stands, none after it is gone, and the list is not needed.
+    """
+    if known is not None:
+        number = known[0]
+        while is_written(spark, ledger, number + 1):
+            number += 1
+        if number and is_written(spark, ledger, number):
+            return known if number == known[0] else (number, entries(spark, ledger, number))
     number = latest_number(spark, ledger)
     return number, entries(spark, ledger, number) if number else []
 
 
+def with_totals(live: Sequence[Live]) -> list[Live]:
+    """The folders in order, with all rows up to and with each."""
+    total, counted = 0, []
+    for item in sorted(live, key=lambda item: item.batch):
+        total += item.rows
+        counted.append(item._replace(total_rows=total))
+    return counted
+
+
 def commit(spark: SparkSession, ledger: str, version: int, live: Sequence[Live]) -> bool:
     """Write a version; False if another writer has written that number."""
     if is_written(spark, ledger, version):
         return False
     path = f"{ledger}/version-{version}"
-    if version in version_numbers(spark, ledger):
+    if exists(spark, path):
         delete(spark, path)  # begun by a writer that did not come to the end
-    total, counted = 0, []
-    for item in sorted(live, key=lambda item: item.batch):
-        total += item.rows
-        counted.append(item._replace(total_rows=total))
+    # As one literal: rows made from a Python list would go through a Python worker.
+    listed = F.from_json(F.lit(json.dumps([item._asdict() for item in with_totals(live)])), f"array<struct<{VERSION_SCHEMA}>>")
     try:
-        spark.createDataFrame([tuple(item) for item in counted], VERSION_SCHEMA).coalesce(1).write.parquet(path)
+        spark.range(0, 1, 1, 1).select(F.inline(listed)).write.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_ALREADY_EXISTS":
             raise
@@ -190,15 +220,22 @@ def commit(spark: SparkSession, ledger: str, version: int, live: Sequence[Live])
     return True
 
 
-def update(spark: SparkSession, ledger: str, change: Callable[[list[Live]], list[Live]]) -> int:
-    """Write the next version with the changed list of folders; returns its number."""
+def advance(
+    spark: SparkSession, ledger: str, change: Callable[[list[Live]], list[Live]], known: tuple[int, list[Live]] | None = None
+) -> tuple[int, list[Live]]:
+    """Write the next version with the changed list of folders; returns its number and folders."""
     while True:
-        number, live = latest(spark, ledger)
+        number, live = known = latest(spark, ledger, known)
         changed = change(live)
         if changed == live:
-            return number
+            return known
         if commit(spark, ledger, number + 1, changed):
-            return number + 1
+            return number + 1, with_totals(changed)
+
+
+def update(spark: SparkSession, ledger: str, change: Callable[[list[Live]], list[Live]]) -> int:
+    """Write the next version with the changed list of folders; returns its number."""
+    return advance(spark, ledger, change)[0]
 
 
 def fold(spark: SparkSession, bronze: str, ledger: str, fmt: str, items: Sequence[Live]) -> None:
@@ -260,7 +297,7 @@ def sweep(
     if not kept:
         return 0
     named = {item.folder for number in kept for item in entries(spark, ledger, number)}
-    for number in version_numbers(spark, ledger):
+    for number in reversed(version_numbers(spark, ledger)):  # the oldest first, see ``latest``
         if number < kept[-1]:
             delete(spark, f"{ledger}/version-{number}")
     before = time.time() - leftover_seconds

@@ -7,6 +7,7 @@ from feedmill.streaming.ingest import (
     BronzeWriter, Live, bronze_table, commit, compact, entries, file_stream, latest, ledger_table, start_ingest, sweep, update,
 )
 from feedmill.streaming.progress import ProgressLog, progress_table, request_stop, run_until_marked
+from workloads import catalog
 
 
 def write_lines(spark, folder, start, count):
@@ -248,3 +249,37 @@ def test_marker_ends_a_timed_stream(spark, tmp_path):
     ended = run_once(spark, base)
     assert not run_until_marked(ended, spark, f"{base}/no-stop", every=30)
     assert sum(rows for _, rows, _ in ledger_rows(spark, base)) == 10
+
+
+def test_a_backlog_comes_in_few_batches(spark, sf_dir, monkeypatch):
+    assert [ingest.backlog_files(files, 2) for files in (0, 128, 129, 6_000, 36_000)] == [2, 2, 3, 94, 563]
+    monkeypatch.setattr(catalog, "STREAM_CHUNK_ROWS", 5)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    bronze, ledger = catalog.ingest_events(spark, sf_dir, files_per_batch="2")
+    live = latest(spark, ledger)[1]
+    assert events.count() > 2 * 5 * ingest.BACKLOG_BATCHES and len(live) <= ingest.BACKLOG_BATCHES
+    assert live[-1].total_rows == bronze_table(spark, bronze, ledger=ledger).count() == events.count()
+
+
+def test_a_batch_neither_lists_nor_reads_the_ledger(spark, tmp_path, monkeypatch):
+    base, calls = str(tmp_path), []
+    for name in ("children", "entries"):
+        true = getattr(ingest, name)
+        monkeypatch.setattr(ingest, name, lambda *given, true=true, name=name: calls.append(name) or true(*given))
+    bronze, ledger = filled(spark, base, 6)
+    assert calls == ["children"] * 2  # of the first batch, before any version
+    assert [row[0] for row in ledger_rows(spark, base)] == list(range(6))
+
+
+def test_a_writer_finds_versions_of_others(spark, tmp_path):
+    base = str(tmp_path)
+    bronze, ledger = f"{base}/bronze", f"{base}/ledger"
+    first, second = BronzeWriter(bronze, ledger), BronzeWriter(bronze, ledger)
+    first(numbers(spark, 0, 10), 0)
+    second(numbers(spark, 10, 10), 1)
+    first(numbers(spark, 20, 10), 2)
+    assert compact(spark, bronze, ledger, keep=1, kept_versions=1, leftover_seconds=0) == 2
+    second(numbers(spark, 30, 10), 3)  # what it knew has been swept
+    first(numbers(spark, 0, 10), 0)  # folded
+    assert ledger_rows(spark, base) == [(1, 20, 20), (2, 10, 30), (3, 10, 40)]
+    assert sorted(int(row["value"]) for row in bronze_table(spark, bronze, ledger=ledger).collect()) == list(range(40))

@@ -40,7 +40,7 @@ from feedmill.sources.tables import (
     replace_table,
     table_rows,
 )
-from feedmill.streaming.ingest import BronzeWriter, bronze_table, compact, file_stream, ledger_table, start_ingest, sweep
+from feedmill.streaming.ingest import BronzeWriter, backlog_files, bronze_table, compact, file_stream, ledger_table, start_ingest, sweep
 from feedmill.streaming.progress import ProgressLog, progress_table, request_stop, run_until_marked
 
 from workloads.feeds import (
@@ -855,13 +855,18 @@ STREAM_FILES_PER_BATCH = "32"
 
 
 def ingest_events(spark: SparkSession, sf_dir: str, files_per_batch: str = STREAM_FILES_PER_BATCH) -> tuple[str, str]:
-    """All events as a feed of JSON files, streamed into bronze; bronze and ledger paths."""
+    """All events as a feed of JSON files, streamed into bronze; bronze and ledger paths.
+
+    A long feed comes in larger batches, not in more of them.
+    """
     topic, bronze, ledger, checkpoint = [
         new_path(spark, f"stream-{part}") for part in ("topic", "bronze", "ledger", "checkpoint")
     ]
-    feed = encode_feed(table(spark, sf_dir, "events"), ["event_id"], rows=None, chunk_rows=STREAM_CHUNK_ROWS, unique=True)
+    events = table(spark, sf_dir, "events")
+    feed = encode_feed(events, ["event_id"], rows=None, chunk_rows=STREAM_CHUNK_ROWS, unique=True)
     write_feed_files(feed, topic, STREAM_CHUNK_ROWS)
-    source = file_stream(spark, topic, maxFilesPerTrigger=files_per_batch)
+    files = -(-events.count() // STREAM_CHUNK_ROWS)
+    source = file_stream(spark, topic, maxFilesPerTrigger=str(backlog_files(files, int(files_per_batch))))
     start_ingest(source, bronze, ledger, checkpoint, trigger=None).awaitTermination()
     return bronze, ledger
 

@@ -64,6 +64,12 @@ def delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete the table that ``stage`` wrote for this frame. All frames read from it are gone too."""
+    for path in {name.rsplit("/", 1)[0] for name in staged.inputFiles()}:
+        delete(staged.sparkSession, path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder of that name."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

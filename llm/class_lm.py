@@ -45,6 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.sources.scratch import discard
 from llm.common import partitions, small_batches, stage, text_bytes, word_hashes
 
 ADDED = 0.1
@@ -238,6 +239,11 @@ class Rest:
         pairs = self.pairs.withColumns({column: label(column) for column in ("class_a", "class_b")})
         return Rest(self.words.withColumn("class", label("class")), pairs)
 
+    def discard(self) -> None:
+        """Delete both tables."""
+        discard(self.words)
+        discard(self.pairs)
+
     def classes(self) -> list[int]:
         return [row[0] for row in self.words.select("class").distinct().collect()]
 
@@ -649,10 +655,14 @@ def fit(training: DataFrame, vocab: Vocabulary, counts: DataFrame) -> ClassModel
     for _ in range(WORD_SWEEPS if movable.any() or rest is not None else 0):
         classes = sweep(training, classed, pairs, movable, rest)
         following = sweep_rest(rest, classed, pairs) if rest is not None else None
+        if rest is not None:
+            rest.discard()  # the next sweep reads what this one staged
         classed, rest = with_classes(classed, classes, classed.n_symbols, following)
         pairs = all_neighbour_counts(training, classed, rest)
     if not vocab.capped:
         pairs = pairs + unseen_counts(training, classed, rest)
+    if rest is not None:
+        discard(rest.pairs)  # counted; scoring takes the words alone
     return class_model(classed, pairs, np.arange(classed.n_symbols), rest)
 
 

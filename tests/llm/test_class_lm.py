@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from feedmill.sources.scratch import exists
 from llm import class_lm
 from llm.common import table, words
 from llm.queries import QUERIES
@@ -186,3 +187,15 @@ def test_words_with_few_neighbours_choose_as_others_do(seed):
     pairs, member = class_lm.summed(matrix, of), np.eye(10)[of]
     before, after = matrix[:, :40].T @ member, matrix[:40] @ member
     assert (class_lm.few_classes(pairs)(of[:40], before, after) == class_lm.best_classes(pairs, of[:40], before, after)).all()
+
+
+def test_superseded_tables_are_deleted(spark, sf_dir, monkeypatch):
+    """Of the words beyond the frequent ones one table is left when the model is fitted, of their pairs none."""
+    monkeypatch.setattr(class_lm, "FREQUENT", 300)
+    staged, original = [], class_lm.stage
+    monkeypatch.setattr(class_lm, "stage", lambda df, label: staged.append((label, original(df, label))) or staged[-1][1])
+    docs = class_lm.chosen(table(spark, sf_dir, "documents"), "doc_id", "text")
+    class_lm.train(docs, class_lm.word_counts(docs))
+    places = lambda label: [{name.rsplit("/", 1)[0] for name in frame.inputFiles()} for of, frame in staged if of == label]
+    left = {label: [all(exists(spark, path) for path in paths) for paths in places(label)] for label in ("rest-words", "rest-pairs")}
+    assert left == {"rest-words": [False, False, True], "rest-pairs": [False, False, False]}

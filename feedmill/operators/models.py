@@ -8,6 +8,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
+from pyspark.ml import Model
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
@@ -24,6 +25,7 @@ from feedmill import fixed_values as fixed
 from feedmill.functions.values import field
 from feedmill.operators.metrics import area_under_roc, positive_score
 from feedmill.operators.splitting import key_bucket
+from feedmill.sources.scratch import new_path
 
 # Fitted models follow the partitions of their rows, so their number is fixed on one machine;
 # a cluster's table may not fit so few tasks, so there the number must be given.
@@ -64,12 +66,23 @@ def kept_for_training(train: DataFrame, *columns: str, partitions: int | None =
         kept.unpersist()
 
 
+def without_summary(spark: SparkSession, model: Model) -> Model:
+    """The fitted model, saved and loaded.
+
+    A fitted model has a training summary that holds the session, and goes to the tasks with it;
+    a session that has used an ``Observation`` cannot go there, a loaded model always can.
+    """
+    path = new_path(spark, "model")
+    model.save(path)
+    return type(model).load(path)
+
+
 def fit_forest(
     train: DataFrame, trees: int = fixed.FOREST_TREES, seed: int = fixed.SPLIT_SEED, **params
 ) -> RandomForestClassificationModel:
     """Random forest; depth 5 and 32 bins unless given."""
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, seed=seed, **params)
-    return forest.fit(train)
+    return without_summary(train.sparkSession, forest.fit(train))
 
 
 def fold_number(rows: DataFrame, folds: int, seed: int = fixed.SPLIT_SEED, key: Column | None = None) -> Column:
@@ -99,13 +112,14 @@ def fit_logistic(
     number = fold_number(rows, folds, seed)
     settings = dict.fromkeys(reg_params)
 
-    def logistic(reg_param: float) -> LogisticRegression:
-        model = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param)
-        return model.setWeightCol(weight) if weight else model
+    def fitted(reg_param: float, part: DataFrame) -> LogisticRegressionModel:
+        logistic = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param)
+        model = (logistic.setWeightCol(weight) if weight else logistic).fit(part)
+        return without_summary(train.sparkSession, model)
 
     def scores(task: tuple[float, int]) -> DataFrame:
         reg_param, fold = task
-        model = logistic(reg_param).fit(rows.where(number != fold))
+        model = fitted(reg_param, rows.where(number != fold))
         scored = model.transform(rows.where(number == fold)).select("label", positive_score().alias("score"))
         return scored.select(F.lit(reg_param).alias("setting"), F.lit(fold).alias("fold"), "*")
 
@@ -116,4 +130,4 @@ def fit_logistic(
     for reg_param in settings:
         own = [row["auc"] for row in areas if row["setting"] == reg_param and row["auc"] is not None]
         settings[reg_param] = sum(own) / len(own) if own else 0.0
-    return logistic(max(settings, key=settings.get)).fit(rows)
+    return fitted(max(settings, key=settings.get), rows)

@@ -66,7 +66,7 @@ def table_rows(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
 
     The scan asks for no column, so columnar formats answer from file footers
     and nothing is computed again. An Observation on the write would save that
-    small job, but a session that has used one can no longer ship MLlib models,
+    small job, but a session that has used one can no longer ship fitted MLlib models,
     whose training summaries hold the session.
     """
     return read_table(spark, path, fmt, schema).count()

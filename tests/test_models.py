@@ -5,6 +5,8 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from feedmill import fixed_values as fixed
@@ -285,3 +287,12 @@ def test_model_queries_run_on_a_cluster(spark, sf_dir, monkeypatch, tmp_path, na
         spark.sparkContext.setCheckpointDir(str(tmp_path))
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     assert catalog.ENTRIES[name].run(spark, sf_dir).count() > 0
+
+
+def test_models_go_to_tasks_of_a_session_that_has_used_an_observation(spark):
+    session = spark.newSession()
+    session.range(3).observe(Observation("rows"), F.count(F.lit(1)).alias("n")).collect()
+    rows = [(float(place % 2), 1.0, Vectors.dense(float(place % 2), float(place % 7))) for place in range(60)]
+    frame = session.createDataFrame(rows, ["label", "classWeight", "features"])
+    for model in (fit_forest(frame, trees=3), fit_logistic(frame, reg_params=[0.01, 0.1])):
+        assert model.transform(frame).where("prediction = label").count() == 60

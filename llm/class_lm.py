@@ -56,11 +56,13 @@ CLASSES = 64
 SWEEPS = 12
 WORD_SWEEPS = 2
 SHARES = 64  # groups of words that a sweep deals to tasks, at least
+CHOSEN = 512  # words that choose their classes together
 COMBINED = 1 << 21  # codes that a task counts together
 EMITTED = 1 << 16
 END = 0  # the hash that stands for the end; a word of this hash would count as one
 
 COUNTS = "word bigint, count bigint"
+DEALT = "share int, codes binary, times binary"
 SCANNED = (
     "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_frequent bigint, n_rest bigint, "
     "base double, rest array<struct<word:bigint,before:int,after:int>>, pairs array<struct<a:bigint,b:bigint>>, places binary"
@@ -225,6 +227,23 @@ def count_rows(code: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(code[part], pa.int64()), pa.array(times[part], pa.int64())], names=["word", "count"])
 
 
+def dealt_rows(shares: int, width: int):
+    """Codes of (word, one of ``width`` things beside it) with their numbers: one row per share of the words, with the codes as places in the share's table."""
+
+    def dealt(code: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        word, beside = np.divmod(code, width)
+        share = word % shares
+        order = np.argsort(share, kind="stable")
+        bounds = np.searchsorted(share[order], np.arange(shares + 1))
+        met = np.flatnonzero(np.diff(bounds))
+        edges = pa.py_buffer((np.r_[bounds[met], len(code)] * 4).astype(np.int32).tobytes())
+        columns = [word // shares * width + beside, times]
+        raw = [pa.Array.from_buffers(pa.binary(), len(met), [None, edges, pa.py_buffer(column[order].astype("<i4").tobytes())]) for column in columns]
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), *raw], names=["share", "codes", "times"])
+
+    return dealt
+
+
 @dataclass
 class Rest:
     """Words beyond the frequent ones with count, class and the places around them, and pairs of such words with their classes."""
@@ -273,8 +292,8 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten(), np.repeat(np.arange(len(column)), lengths)
 
 
-def rest_codes(vocab: Vocabulary, code):
-    """Numbers of the codes that ``code(class, place, symbol, after)`` gives the places around the words beyond the frequent ones."""
+def rest_codes(vocab: Vocabulary, code, rows=count_rows):
+    """Numbers of the codes that ``code(class, place, symbol, after)`` gives the places around the words beyond the frequent ones, as ``rows`` puts them."""
     table = symbol_table(vocab)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,10 +307,10 @@ def rest_codes(vocab: Vocabulary, code):
                 held.append(code(own[row[known]], places[known], table[places[known]], after))
                 number += len(held[-1])
             if number >= COMBINED:
-                yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
+                yield from rows(*np.unique(np.concatenate(held), return_counts=True))
                 held, number = [], 0
         if held:
-            yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
+            yield from rows(*np.unique(np.concatenate(held), return_counts=True))
 
     return counted
 
@@ -425,8 +444,8 @@ def exchange(matrix: np.ndarray, n_core: int, classes: int = CLASSES, sweeps: in
     return of
 
 
-def context_batches(vocab: Vocabulary, movable: np.ndarray):
-    """Codes of (movable word, before or after, symbol there) with their numbers, some batches of texts at a time."""
+def context_batches(vocab: Vocabulary, movable: np.ndarray, rows):
+    """Codes of (movable word, before or after, symbol there) with their numbers, some batches of texts at a time, as ``rows`` puts them."""
     size, table, moves, rare = vocab.n_symbols, symbol_table(vocab), np.r_[movable, False, False], vocab.rare
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,16 +460,19 @@ def context_batches(vocab: Vocabulary, movable: np.ndarray):
             held += [(word + after * size + side)[vocab.capped | (side != rare)] for after, side in enumerate(sides)]
             number += 2 * len(moving)
             if number >= COMBINED:
-                yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
+                yield from rows(*np.unique(np.concatenate(held), return_counts=True))
                 held, number = [], 0
         if held:
-            yield from count_rows(*np.unique(np.concatenate(held), return_counts=True))
+            yield from rows(*np.unique(np.concatenate(held), return_counts=True))
 
     return counted
 
 
 def best_classes(pairs: np.ndarray, own: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """The class for each of some words, a row each of the classes before and after them; ties keep the own class."""
+    """The class for each of some words, a row each of the classes before and after them; ties keep the own class.
+
+    The plain way: every class pair of every move. Sweeps take ``few_classes``, tests hold it against this.
+    """
     n_classes = len(pairs) - 2  # the rare class and the end take no words
     rows, columns, size = pairs.sum(axis=1), pairs.sum(axis=0), len(pairs)
     total_after, total_before = after.sum(axis=1), before.sum(axis=1)
@@ -475,7 +497,7 @@ def best_classes(pairs: np.ndarray, own: np.ndarray, before: np.ndarray, after:
 
 
 def few_classes(pairs: np.ndarray):
-    """As ``best_classes``, for words with few neighbours: gains of small numbers are looked up, and only for classes beside the word."""
+    """As ``best_classes``, with less work: gains of small numbers are looked up, and only for classes beside the word."""
     n_classes, size = len(pairs) - 2, len(pairs)
     classes = np.arange(n_classes)
     sides = []
@@ -532,31 +554,31 @@ def sweep(training: DataFrame, vocab: Vocabulary, pairs: np.ndarray, movable: np
         """The neighbours of one share of the words, added up, then the choice of each."""
         around, share = None, 0
         for batch in batches:
-            code, times = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
-            if not len(code):
-                continue
-            if around is None:
-                share = int(code[0] // (2 * size) % shares)
-                around = np.zeros((len(vocab.words) // shares + 1) * 2 * size)
-            np.add.at(around, code // (2 * size) // shares * (2 * size) + code % (2 * size), times)
+            for row in range(batch.num_rows):
+                if around is None:
+                    share = batch.column(0)[row].as_py()
+                    around = np.zeros((len(vocab.words) // shares + 1) * 2 * size)
+                codes, times = (np.frombuffer(batch.column(at)[row].as_buffer(), "<i4") for at in (1, 2))
+                around[codes] += times  # a row has a code once
         if around is not None:
-            around = around.reshape(-1, 2 * size)
+            around, best = around.reshape(-1, 2 * size), few_classes(pairs)
             met = np.flatnonzero(around.any(axis=1))
-            words = met * shares + share
-            best = best_classes(pairs, vocab.symbols[words], around[met, :size], around[met, size:])
-            yield from count_rows(words, best)
+            for at in range(0, len(met), CHOSEN):
+                part = met[at : at + CHOSEN]
+                words = part * shares + share
+                yield from count_rows(words, best(vocab.symbols[words], around[part, :size], around[part, size:]))
 
     def code(own: np.ndarray, places: np.ndarray, symbols: np.ndarray, after: bool) -> np.ndarray:
         """The word beyond the frequent ones, as seen from the frequent word at its side."""
         moving = np.r_[movable, False, False][places]
         return (places.astype(np.int64) * (2 * size) + (0 if after else size) + own)[moving]
 
-    counts = training.select("places").mapInArrow(context_batches(vocab, movable), COUNTS)
+    rows = dealt_rows(shares, 2 * size)
+    counts = training.select("places").mapInArrow(context_batches(vocab, movable, rows), DEALT)
     if rest is not None:
-        counts = counts.unionByName(rest.words.select("class", "before", "after").mapInArrow(rest_codes(vocab, code), COUNTS))
+        counts = counts.unionByName(rest.words.select("class", "before", "after").mapInArrow(rest_codes(vocab, code, rows), DEALT))
     # Tasks have combined their counts; a share is one task, whose words' neighbours are a table of fixed size.
-    share = F.pmod(F.floor(F.col("word") / F.lit(2 * size)), F.lit(shares)).cast("int")
-    found = counts.repartitionById(shares, share).mapInArrow(chosen_class, COUNTS).toPandas()
+    found = counts.repartitionById(shares, F.col("share")).mapInArrow(chosen_class, COUNTS).toPandas()
     classes = vocab.symbols.copy()
     classes[found["word"].to_numpy(np.int64)] = found["count"].to_numpy(np.int64)
     return classes
@@ -568,22 +590,53 @@ def sweep_rest(rest: Rest, vocab: Vocabulary, pairs: np.ndarray) -> Rest:
 
     def chosen_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = few_classes(pairs)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                batch = whole.slice(at, 2048)
-                around = np.zeros(batch.num_rows * 2 * size)
-                for after in (0, 1):
-                    places, row = flat(batch.column(3 + after))
-                    places = places.to_numpy(zero_copy_only=False)
-                    known = places != REST_PLACE
-                    around += np.bincount(row[known] * (2 * size) + after * size + table[places[known]], minlength=len(around))
-                items, row = flat(batch.column(5))
-                code, times = (items.field(place).to_numpy(zero_copy_only=False) for place in (0, 1))
-                around += np.bincount(row * (2 * size) + code, weights=times, minlength=len(around))
-                around = around.reshape(-1, 2 * size)
-                new = best(batch.column(2).to_numpy(zero_copy_only=False), around[:, :size], around[:, size:])
-                columns = [*batch.columns[:2], pa.array(new, pa.int64()), *batch.columns[3:5]]
-                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:5])
+        of_single = np.full(size**3, -1, np.int64)  # by class, symbol before and symbol after
+
+        def single_classes(own: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+            """Of words seen once: those with the same class and neighbours choose alike."""
+            code = (own * size + before) * size + after
+            new = np.unique(code[of_single[code] < 0])
+            for at in range(0, len(new), 2048):
+                part = new[at : at + 2048]
+                sides = [np.zeros((len(part), size)) for _ in range(2)]
+                sides[0][np.arange(len(part)), part // size % size] = 1
+                sides[1][np.arange(len(part)), part % size] = 1
+                of_single[part] = best(part // size**2, *sides)
+            return of_single[code]
+
+        def several_classes(batch: pa.RecordBatch) -> np.ndarray:
+            around = np.zeros(batch.num_rows * 2 * size)
+            for after in (0, 1):
+                places, row = flat(batch.column(3 + after))
+                places = places.to_numpy(zero_copy_only=False)
+                known = places != REST_PLACE
+                around += np.bincount(row[known] * (2 * size) + after * size + table[places[known]], minlength=len(around))
+            items, row = flat(batch.column(5))
+            code, times = (items.field(place).to_numpy(zero_copy_only=False) for place in (0, 1))
+            around += np.bincount(row * (2 * size) + code, weights=times, minlength=len(around))
+            around = around.reshape(-1, 2 * size)
+            return best(batch.column(2).to_numpy(zero_copy_only=False), around[:, :size], around[:, size:])
+
+        for batch in batches:
+            # One word before and one after, neither of them beyond the frequent ones.
+            sides = [flat(batch.column(place)) for place in (3, 4)]
+            ends = [places.to_numpy(zero_copy_only=False) for places, _ in sides]
+            number = [np.bincount(row, minlength=batch.num_rows) for _, row in sides]
+            single = (number[0] == 1) & (number[1] == 1)
+            first = [np.minimum(np.cumsum(each) - each, max(len(end) - 1, 0)) for each, end in zip(number, ends)]
+            at = np.flatnonzero(single)
+            place = [end[begin[at]] for end, begin in zip(ends, first)]
+            known = (place[0] != REST_PLACE) & (place[1] != REST_PLACE)
+            at = at[known]
+            own = batch.column(2).to_numpy(zero_copy_only=False)
+            new = np.empty(batch.num_rows, np.int64)
+            new[at] = single_classes(own[at], *(table[each[known]] for each in place))
+            others = np.flatnonzero(~np.isin(np.arange(batch.num_rows), at))
+            for begin in range(0, len(others), 2048):
+                part = others[begin : begin + 2048]
+                new[part] = several_classes(batch.take(pa.array(part)))
+            columns = [*batch.columns[:2], pa.array(new, pa.int64()), *batch.columns[3:5]]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:5])
 
     item = lambda word, code: rest.pairs.select(F.col(word).alias("word"), F.struct(code.alias("code"), "times").alias("item"))
     beside = item("a", F.col("class_b") + size).unionByName(item("b", F.col("class_a") + 0)).groupBy("word").agg(F.collect_list("item").alias("items"))

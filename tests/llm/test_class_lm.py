@@ -199,3 +199,45 @@ def test_superseded_tables_are_deleted(spark, sf_dir, monkeypatch):
     places = lambda label: [{name.rsplit("/", 1)[0] for name in frame.inputFiles()} for of, frame in staged if of == label]
     left = {label: [all(exists(spark, path) for path in paths) for paths in places(label)] for label in ("rest-words", "rest-pairs")}
     assert left == {"rest-words": [False, False, True], "rest-pairs": [False, False, False]}
+
+
+def test_counts_go_to_their_share_in_one_row():
+    code = np.unique(np.random.default_rng(3).integers(0, 50 * 12, 200))
+    (batch,) = class_lm.dealt_rows(7, 12)(code, code + 1)
+    assert batch.num_rows == 7 and batch.column(0).to_pylist() == list(range(7))
+    found = {}
+    for share, codes, times in zip(*(column.to_pylist() for column in batch.columns)):
+        for place, number in zip(np.frombuffer(codes, "<i4").tolist(), np.frombuffer(times, "<i4").tolist()):
+            found[(place // 12 * 7 + share) * 12 + place % 12] = number
+    assert found == dict(zip(code.tolist(), (code + 1).tolist()))
+    (few,) = class_lm.dealt_rows(7, 12)(np.array([2 * 12 + 5]), np.array([4]))
+    assert few.to_pylist() == [{"share": 2, "codes": np.array([5], "<i4").tobytes(), "times": np.array([4], "<i4").tobytes()}]
+
+
+def test_words_seen_once_choose_as_others_do(spark, monkeypatch):
+    """Those with the same class and neighbours are looked at once, and all end where the plain way puts them."""
+    draw, classes = np.random.default_rng(8), 5
+    size = classes + 2
+    pairs = draw.integers(20, 60, (size, size)).astype(float)
+    vocab = class_lm.Vocabulary(np.arange(10), np.full(10, 9), np.arange(10) % classes, size, 0, 99, 99, 1, {}, False)
+    table = class_lm.symbol_table(vocab)
+    rows, around, met = [], np.zeros((300, 2, size)), []
+    for word in range(300):
+        number = 1 if word % 3 else 3
+        sides = draw.choice([*range(10), class_lm.END_PLACE], (2, number)).tolist()
+        if word % 10 == 0:
+            sides[1][0], beside = class_lm.REST_PLACE, int(draw.integers(0, classes))
+            met.append((word, 1000 + word, 1, int(word % classes), beside, False, False))
+            around[word, 1, beside] += 1
+        for side in (0, 1):
+            for place in sides[side]:
+                if place != class_lm.REST_PLACE:
+                    around[word, side, table[place]] += 1
+        rows.append((word, number, word % classes, *sides))
+    words = spark.createDataFrame(rows, class_lm.CLASSED)
+    beside = spark.createDataFrame(met, "a bigint, b bigint, times bigint, class_a bigint, class_b bigint, once_a boolean, once_b boolean")
+    monkeypatch.setattr(class_lm, "pairs_with_classes", lambda pairs, words: pairs)
+    swept = class_lm.sweep_rest(class_lm.Rest(words, beside), vocab, pairs)
+    found = {row["word"]: row["class"] for row in swept.words.collect()}
+    own = np.arange(300) % classes
+    assert found == dict(enumerate(class_lm.best_classes(pairs, own, around[:, 0], around[:, 1]).tolist()))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
@@ -91,6 +91,24 @@ def fold_number(rows: DataFrame, folds: int, seed: int = fixed.SPLIT_SEED, key:
     return key_bucket(F.xxhash64(*values) if key is None else key, seed, folds)
 
 
+def at_once[Item, Result](
+    spark: SparkSession, task: Callable[[Item], Result], items: Sequence[Item], parallelism: int
+) -> list[Result]:
+    """What the task makes of each item, in order; so many run at once, with the local properties of the caller.
+
+    A pool of ``multiprocessing`` would need semaphores, which some machines do not grant. Where
+    Python threads have no JVM threads of their own (``PYSPARK_PIN_THREAD``), there are no
+    properties to hand on, and ``inheritable_thread_target`` returns what it got.
+    """
+    workers = min(parallelism, len(items))
+    if workers < 2:
+        return [task(item) for item in items]
+    handed_on = inheritable_thread_target(spark)
+    target = task if handed_on is spark else handed_on(task)
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(target, items))
+
+
 def fit_logistic(
     train: DataFrame,
     weight: str | None = "classWeight",
@@ -124,8 +142,7 @@ def fit_logistic(
         return scored.select(F.lit(reg_param).alias("setting"), F.lit(fold).alias("fold"), "*")
 
     tasks = [(reg_param, fold) for reg_param in settings for fold in range(folds)] if len(settings) > 1 else []
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        scored = pool.map(inheritable_thread_target(train.sparkSession)(scores), tasks)
+    scored = at_once(train.sparkSession, scores, tasks, parallelism)
     areas = area_under_roc(reduce(DataFrame.unionByName, scored), "score", by=["setting", "fold"]).collect() if tasks else []
     for reg_param in settings:
         own = [row["auc"] for row in areas if row["setting"] == reg_param and row["auc"] is not None]

@@ -14,7 +14,7 @@ from feedmill.operators import features
 from feedmill.operators.features import add_features, category_counts, category_places, with_places
 from feedmill.operators import metrics, models as training
 from feedmill.operators.metrics import area_under_roc, class_metrics, model_report, model_reports
-from feedmill.operators.models import TRAINING_PARTITIONS, fit_forest, fit_logistic, fold_number, kept_for_training, partitions_by_rows, training_partitions
+from feedmill.operators.models import TRAINING_PARTITIONS, at_once, fit_forest, fit_logistic, fold_number, kept_for_training, partitions_by_rows, training_partitions
 from feedmill.plans import loan, marketing
 from workloads import catalog
 
@@ -296,3 +296,36 @@ def test_models_go_to_tasks_of_a_session_that_has_used_an_observation(spark):
     frame = session.createDataFrame(rows, ["label", "classWeight", "features"])
     for model in (fit_forest(frame, trees=3), fit_logistic(frame, reg_params=[0.01, 0.1])):
         assert model.transform(frame).where("prediction = label").count() == 60
+
+
+@pytest.fixture
+def halves(spark):
+    rows = [(float(place % 2), 1.0, Vectors.dense(float(place % 2), float(place % 7))) for place in range(60)]
+    return spark.createDataFrame(rows, ["label", "classWeight", "features"])
+
+
+def test_settings_are_compared_without_semaphores(halves, monkeypatch):
+    def refused(*arguments, **named):
+        raise OSError(38, "Function not implemented")
+
+    monkeypatch.setattr("multiprocessing.synchronize.SemLock.__init__", refused)
+    assert fit_logistic(halves, reg_params=[0.01, 0.1]).transform(halves).where("prediction = label").count() == 60
+
+
+def test_settings_are_compared_where_threads_are_not_pinned(halves, monkeypatch):
+    """A gateway of another kind is what PySpark knows PYSPARK_PIN_THREAD=false by."""
+    monkeypatch.setattr("py4j.clientserver.ClientServer", type("Other", (), {}))
+    assert fit_logistic(halves, reg_params=[0.01, 0.1]).transform(halves).where("prediction = label").count() == 60
+
+
+@pytest.mark.parametrize("parallelism", [1, 2, 9])
+def test_tasks_at_once_keep_order_properties_and_errors(spark, parallelism):
+    context = spark.sparkContext
+    context.setLocalProperty("feedmill.test", "kept")
+    try:
+        found = at_once(spark, lambda item: (item, context.getLocalProperty("feedmill.test")), range(5), parallelism)
+    finally:
+        context.setLocalProperty("feedmill.test", None)
+    assert found == [(item, "kept") for item in range(5)] and at_once(spark, str, [], parallelism) == []
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, lambda item: 1 / item, [1, 0], parallelism)

@@ -289,6 +289,17 @@ def test_model_queries_run_on_a_cluster(spark, sf_dir, monkeypatch, tmp_path, na
     assert catalog.ENTRIES[name].run(spark, sf_dir).count() > 0
 
 
+@pytest.mark.parametrize("name", ["logit_cv_score"])
+def test_loan_queries_run_on_a_cluster_after_an_observation(spark, sf_dir, monkeypatch, tmp_path, name):
+    """What once stopped them together: a master that is not local, and a session that goes nowhere with a model."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path))
+    session = spark.newSession()
+    session.range(3).observe(Observation("rows"), F.count(F.lit(1)).alias("n")).collect()
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert catalog.ENTRIES[name].run(session, sf_dir).count() > 0
+
+
 def test_models_go_to_tasks_of_a_session_that_has_used_an_observation(spark):
     session = spark.newSession()
     session.range(3).observe(Observation("rows"), F.count(F.lit(1)).alias("n")).collect()

@@ -289,7 +289,7 @@ def test_model_queries_run_on_a_cluster(spark, sf_dir, monkeypatch, tmp_path, na
     assert catalog.ENTRIES[name].run(spark, sf_dir).count() > 0
 
 
-@pytest.mark.parametrize("name", ["logit_cv_score"])
+@pytest.mark.parametrize("name", ["logit_cv_score", "rule_loan_report"])
 def test_loan_queries_run_on_a_cluster_after_an_observation(spark, sf_dir, monkeypatch, tmp_path, name):
     """What once stopped them together: a master that is not local, and a session that goes nowhere with a model."""
     if spark.sparkContext.getCheckpointDir() is None:
